@@ -36,7 +36,7 @@ def windows_over_buckets(counts: DataFrame, window_seconds: int = 60, slide_seco
         raise ValueError("the window must be a multiple of the slide")
     window_ms, slide_ms = window_seconds * 1000, slide_seconds * 1000
     back = F.sequence(*(F.lit(v).cast("bigint") for v in (0, window_ms - slide_ms, slide_ms)))
-    started = counts.select((F.col("bucket_ms") - F.explode(back)).alias("window_start_ms"), "bucket_ms", "count")
-    return started.select(
-        "window_start_ms", (F.col("window_start_ms") + window_ms).alias("window_end_ms"), "bucket_ms", "count"
+    start = F.col("bucket_ms") - F.col("back")
+    return counts.select("bucket_ms", "count", F.explode(back).alias("back")).select(
+        start.alias("window_start_ms"), (start + window_ms).alias("window_end_ms"), "bucket_ms", "count"
     )

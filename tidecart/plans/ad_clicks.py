@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecart.functions import times
-from tidecart.operators.counting import bucket_counts, count_by, windows_over_buckets
+from tidecart.operators.counting import bucket_counts, count_by, sum_by, windows_over_buckets
 from tidecart.operators.membership import not_listed
 
 # Fixed value: clicks of one user on one advertisement in one day that are still accepted.
@@ -85,3 +85,17 @@ def click_trend(clicks: DataFrame, window_seconds: int = 60, slide_seconds: int
 def with_event_time(clicks: DataFrame) -> DataFrame:
     ms = times.text_to_ms(F.col("ts"))
     return clicks.where(ms.isNotNull()).withColumn("event_time", F.timestamp_millis(ms))
+
+
+def fold_batches(batch_counts: list[DataFrame], threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Final ``(counts, black_list)`` after the per-batch counts ran through the blacklist rule one after another."""
+    first, *later = batch_counts
+    # Nothing was stored before the first batch.
+    judged = judge(first, first.where(F.lit(False)), threshold)
+    stored, banned = increments(judged), banned_users(judged)
+    for counts in later:
+        judged = judge(accepted_counts(counts, banned), stored, threshold)
+        # Users banned earlier have no counts in this batch, so the two lists do not overlap.
+        banned = banned.unionByName(banned_users(judged))
+        stored = sum_by(stored.unionByName(increments(judged)), USER_AD)
+    return stored, banned

@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+_TYPES = {"string": StringType(), "bigint": LongType(), "int": IntegerType(), "double": DoubleType()}
+
+
+def _ddl(*parts: str, **nested: DataType) -> StructType:
+    """A struct from ``"name type, ..."`` texts and nested fields. Unlike a DDL parse it needs no session."""
+    fields = [field.split() for part in parts for field in part.split(", ")]
+    flat = [StructField(name, _TYPES[kind]) for name, kind in fields]
+    return StructType([StructField(name, kind) for name, kind in nested.items()] + flat)
 
 
-def _ddl(*parts: str) -> StructType:
-    return StructType.fromDDL(", ".join(parts))
+def _texts(names: str) -> StructType:
+    return StructType([StructField(name, StringType()) for name in names.split()])
 
 
 # --- fixed values: record fields -------------------------------------------------------------
@@ -77,14 +95,12 @@ AD_CLICK = _ddl("ts string, area string, city string, user string, ad string")
 CORRUPT = "_corrupt_record"
 
 ODS_LOG = _ddl(
-    "common struct<ar:string,uid:string,os:string,ch:string,is_new:string,md:string,mid:string,vc:string,ba:string>",
-    "page struct<page_id:string,item:string,item_type:string,during_time:string,last_page_id:string,source_type:string>",
-    "displays array<struct<display_type:string,item:string,item_type:string,pos_id:string,order:string>>",
-    "actions array<struct<action_id:string,item:string,item_type:string,ts:string>>",
-    "start struct<entry:string,open_ad_id:string,loading_time:string,open_ad_ms:string,open_ad_skip_ms:string>",
-    "err string",
-    "ts string",
-    f"{CORRUPT} string",
+    f"err string, ts string, {CORRUPT} string",
+    common=_texts("ar uid os ch is_new md mid vc ba"),
+    page=_texts("page_id item item_type during_time last_page_id source_type"),
+    displays=ArrayType(_texts("display_type item item_type pos_id order")),
+    actions=ArrayType(_texts("action_id item item_type ts")),
+    start=_texts("entry open_ad_id loading_time open_ad_ms open_ad_skip_ms"),
 )
 
 CDC_ENVELOPE = _ddl("type string, table string, ts string, xid string, xoffset string, data string", f"{CORRUPT} string")
@@ -96,3 +112,4 @@ DIM_ROWS = _ddl("table_name string, id string, data string, op string, seq bigin
 BLACK_LIST = _ddl("userid string")
 USER_AD_COUNT = _ddl("dt string, userid string, adid string, count bigint")
 AREA_CITY_AD_COUNT = _ddl("dt string, area string, city string, adid string, count bigint")
+TOPIC_ROWS = _ddl("key string, value string, batch_id bigint, topic string")

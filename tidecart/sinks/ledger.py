@@ -26,7 +26,7 @@ from tidecart.operators.counting import sum_by
 from tidecart.operators.pick import latest_by_key
 from tidecart.sources.files import read_table
 
-_MARKS = StructType.fromDDL("epoch bigint, upto bigint")
+_MARKS = StructType().add("epoch", LongType()).add("upto", LongType())
 _BATCH = "batch_id"
 
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
+from tidecart.schemas import TOPIC_ROWS
 from tidecart.sources.files import read_table
 from tidecart.sources.kafka import sink_options
 
@@ -30,6 +30,5 @@ class FileTopics:
         messages.write.mode("overwrite").partitionBy("topic").parquet(f"{self.path}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession, topic: str | None = None) -> DataFrame:
-        schema = StructType.fromDDL("key string, value string, batch_id bigint, topic string")
-        rows = read_table(spark, self.path, schema)
+        rows = read_table(spark, self.path, TOPIC_ROWS)
         return rows if topic is None else rows.where(F.col("topic") == topic)
