@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidecart import schemas
 from tidecart.operators.lookup import lookup
+from tidecart.operators.parsing import evaluated_once
 
 AS_OF = "2024-01-30"
 # More provinces are referred to than exist, so some facts have no province row.
@@ -174,7 +175,7 @@ def raw_logs(spark: SparkSession, folder: str) -> DataFrame:
         F.col("ms").alias("ts"),
     )
     broken = F.concat(F.lit("broken "), F.col("event_id"))
-    return e.select(F.when(k == 99, broken).otherwise(F.to_json(message)).alias("value"))
+    return evaluated_once(e, F.when(k == 99, broken).otherwise(F.to_json(message)), "value")
 
 
 # --- change events ---------------------------------------------------------------------------

@@ -3,24 +3,29 @@
 Three ways, by size and skew:
 
 * the table is proven small (row count first, from file footers; then bytes): broadcast it;
-* otherwise the ``hot_keys`` most frequent fact keys are found with a bounded one-pass sketch and their
-  table rows, at most ``hot_keys`` of them, are broadcast; all other rows take a shuffled join in which hot
-  and null keys are spread over the partitions, since they no longer need a partner there;
-* on a streaming fact frame the sketch cannot run, so only null keys are spread.
+* otherwise one pass over the fact keys with a fixed-size frequent-items sketch looks for keys that hold more than
+  one ``hot_keys``-th of the rows. There are fewer than ``hot_keys`` of them, so their table rows are broadcast,
+  and all other rows take a shuffled join in which hot and null keys are spread over the partitions, since they need
+  no partner there;
+* without hot keys that is a plain shuffled join.
+
+The sketch only steers rows between joins that give the same result. On a streaming fact frame it cannot run; null
+keys are spread there too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_KEYS = 256
-# The sketch keeps this many candidates per hot key, so that a key above 1/HOT_KEYS is never missed.
-_TRACKED_PER_HOT_KEY = 40
+# Candidates the sketch keeps per reported key, so that no key above the share is missed.
+_TRACKED_PER_KEY = 16
 _SPREAD = 1024
 
 
@@ -35,15 +40,12 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return (df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0) <= max_bytes
 
 
-def frequent_keys(df: DataFrame, key: str, k: int = HOT_KEYS) -> DataFrame:
-    """At most ``k`` rows: the most frequent non-null values of ``key``.
-
-    A frequent-items sketch with a fixed buffer per task: no shuffle of keys. It may miss a rare key, never a
-    heavy one, and it only steers rows between two joins with the same result.
-    """
-    sketch = F.expr(f"approx_top_k(`{key}`, {int(k)}, {int(k) * _TRACKED_PER_HOT_KEY})")
-    items = df.where(F.col(key).isNotNull()).agg(sketch.alias("items"))
-    return items.select(F.explode("items.item").alias(key))
+def heavy_keys(df: DataFrame, key: str, k: int = HOT_KEYS) -> tuple[list[Any], bool]:
+    """The fewer than ``k`` non-null keys with at least one ``k``-th of the rows, and whether nulls have that share."""
+    sketch = F.expr(f"approx_top_k(`{key}`, {int(k)}, {int(k) * _TRACKED_PER_KEY}) FILTER (WHERE `{key}` IS NOT NULL)")
+    seen = df.agg(sketch.alias("items"), F.count(F.lit(1)).alias("rows"), F.count(key).alias("keyed")).first()
+    least = max(seen["rows"] / k, 2)
+    return [i["item"] for i in seen["items"] or [] if i["count"] >= least], seen["rows"] - seen["keyed"] >= least
 
 
 def lookup(
@@ -60,7 +62,7 @@ def lookup(
     """``facts`` with ``attributes`` of the row of ``table`` whose ``table_key`` equals ``fact_key``.
 
     ``table`` has one row per key. ``spread_by`` names fact columns that vary within one key. ``small`` overrides
-    the size check; ``hot_keys=0`` leaves skew to adaptive execution.
+    the size check; ``hot_keys=0`` skips the sketch and leaves hot keys to adaptive execution.
     """
     if how not in ("left", "inner", "anti"):
         raise ValueError(f"unsupported lookup {how!r}")
@@ -73,36 +75,39 @@ def lookup(
     else:
         left = facts.withColumn("__fact_key", F.col(fact_key).cast("string"))
         right = right.withColumn("__key", F.col("__key").cast("string"))
+    same_key = F.col("__fact_key") == F.col("__key")
 
     if small is None:
         small = fits_broadcast(right)
     if small:
-        return left.join(F.broadcast(right), F.col("__fact_key") == F.col("__key"), how).select(*kept, *names)
-
-    split_hot = hot_keys > 0 and not facts.isStreaming
-    needs_no_partner = F.col("__fact_key").isNull()
-    if split_hot:
-        hot = frequent_keys(left.select("__fact_key"), "__fact_key", hot_keys).withColumnRenamed("__fact_key", "__hot_key")
-        hot_rows = (
-            right.join(F.broadcast(hot), F.col("__key") == F.col("__hot_key"), "left_semi")
-            .withColumnsRenamed({n: f"__hot_{n}" for n in names})
-            .withColumnRenamed("__key", "__hot_found")
+        return left.join(F.broadcast(right), same_key, how).select(*kept, *names)
+
+    hot: list[Any] = []
+    spread_nulls = how != "inner"
+    if hot_keys > 0 and not facts.isStreaming:
+        hot, many_nulls = heavy_keys(left, "__fact_key", hot_keys)
+        spread_nulls = spread_nulls and many_nulls
+    if not hot and not spread_nulls:
+        return left.join(right, same_key, how).select(*kept, *names)
+
+    if hot:
+        hot_rows = right.where(F.col("__key").isin(hot)).select(
+            F.col("__key").alias("__hot_key"), *[F.col(n).alias(f"__hot_{n}") for n in names]
         )
-        hot_table = hot.join(F.broadcast(hot_rows), F.col("__hot_key") == F.col("__hot_found"), "left")
-        left = left.join(F.broadcast(hot_table), F.col("__fact_key") == F.col("__hot_key"), "left")
-        needs_no_partner = needs_no_partner | F.col("__hot_key").isNotNull()
-
+        left = left.join(F.broadcast(hot_rows), F.col("__fact_key") == F.col("__hot_key"), "left")
+    is_hot = F.coalesce(F.col("__fact_key").isin(hot), F.lit(False)) if hot else F.lit(False)
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(_SPREAD)) + 1
-    left = left.withColumn("__spread", F.when(needs_no_partner, spread).otherwise(F.lit(0).cast("bigint")))
+    left = left.withColumn(
+        "__spread", F.when(F.col("__fact_key").isNull() | is_hot, spread).otherwise(F.lit(0).cast("bigint"))
+    )
     # Always 0, but not a literal: a literal would be folded away and with it the spreading of the fact side.
-    right = right.withColumn("__spread_0", F.pmod(F.xxhash64("__key"), F.lit(1)))
-    joined = left.join(right, (F.col("__fact_key") == F.col("__key")) & (F.col("__spread") == F.col("__spread_0")), "left")
+    right = right.withColumn("__no_spread", F.pmod(F.xxhash64("__key"), F.lit(1)))
+    joined = left.join(right, same_key & (F.col("__spread") == F.col("__no_spread")), "left")
     found = F.col("__key").isNotNull()
     values = [F.col(n) for n in names]
-    if split_hot:
-        from_hot = F.col("__hot_key").isNotNull()
-        found = found | F.col("__hot_found").isNotNull()
-        values = [F.when(from_hot, F.col(f"__hot_{n}")).otherwise(F.col(n)).alias(n) for n in names]
+    if hot:
+        found = found | F.col("__hot_key").isNotNull()
+        values = [F.when(is_hot, F.col(f"__hot_{n}")).otherwise(F.col(n)).alias(n) for n in names]
     if how != "left":
         joined = joined.where(found if how == "inner" else ~found)
     return joined.select(*kept, *values)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidecart import schemas
 from tidecart.functions import times
 from tidecart.operators.membership import not_stored
+from tidecart.operators.parsing import evaluated_once
 from tidecart.operators.pick import first_by_key
 from tidecart.plans.dimensions import with_province, with_user
 
@@ -24,7 +25,8 @@ _PROVINCE_NAMES = {
 
 def parse(raw: DataFrame) -> DataFrame:
     """Page records from their JSON texts in ``value``."""
-    return raw.select(F.from_json("value", schemas.PAGE_LOG).alias("r")).where(F.col("r").isNotNull()).select("r.*")
+    records = evaluated_once(raw, F.from_json("value", schemas.PAGE_LOG), "r")
+    return records.where(F.col("r").isNotNull()).select("r.*")
 
 
 def landings(page_logs: DataFrame) -> DataFrame:
@@ -53,10 +55,15 @@ def daily_active(
     provinces: DataFrame,
     as_of: Column | str | dt.date | None = None,
     stored: DataFrame | None = None,
+    hot_keys: int = 0,
     **lookup_options,
 ) -> DataFrame:
-    """Page records to day records. Devices already in ``stored`` for their day are left out."""
+    """Page records to day records. Devices already in ``stored`` for their day are left out.
+
+    A search for hot users would read and reduce all page records once more, so it is off unless ``hot_keys`` is
+    given; null users are spread in any case.
+    """
     first = first_landings(landings(page_logs))
     if stored is not None:
         first = not_stored(first, stored, ["dt", "mid"])
-    return enrich(first, users, provinces, as_of, **lookup_options)
+    return enrich(first, users, provinces, as_of, hot_keys=hot_keys, **lookup_options)

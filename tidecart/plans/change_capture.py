@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecart import schemas
+from tidecart.operators.parsing import evaluated_once
 from tidecart.operators.membership import listed
 from tidecart.operators.pick import latest_by_key
 
@@ -19,17 +20,20 @@ def op_code(kind: Column) -> Column:
     )
 
 
+def _events(raw: DataFrame) -> DataFrame:
+    options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
+    return evaluated_once(raw, F.from_json("value", schemas.CDC_ENVELOPE, options), "e", ["value"])
+
+
 def parse(raw: DataFrame) -> DataFrame:
     """Row changes ``(table_name, op, data, seq)`` of a frame with a ``value`` text column.
 
     ``seq`` orders the changes: source second, then the transaction offset within it.
     Events other than row changes are dropped, and so are texts that are not change events.
     """
-    options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
-    event = F.from_json("value", schemas.CDC_ENVELOPE, options)
     number = lambda name: F.coalesce(F.col(name).try_cast("bigint"), F.lit(0))
     return (
-        raw.select(event.alias("e"))
+        _events(raw)
         .where(F.col("e").isNotNull() & F.col("e")[schemas.CORRUPT].isNull())
         .select(
             F.col("e.table").alias("table_name"),
@@ -42,13 +46,9 @@ def parse(raw: DataFrame) -> DataFrame:
 
 
 def dead_letters(raw: DataFrame) -> DataFrame:
-    options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
-    event = F.from_json("value", schemas.CDC_ENVELOPE, options)
-    return (
-        raw.select("value", event.alias("e"))
-        .where(F.col("e").isNull() | F.col("e")[schemas.CORRUPT].isNotNull())
-        .select("value")
-    )
+    """Texts that are not one JSON object of the expected shape."""
+    broken = F.col("e").isNull() | F.col("e")[schemas.CORRUPT].isNotNull()
+    return _events(raw).where(broken).select("value")
 
 
 def _in_role(changes: DataFrame, roles: DataFrame, role: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecart import schemas
+from tidecart.operators.parsing import evaluated_once
 
 # Topic names.
 PAGE_TOPIC = "DWD_PAGE_LOG_TOPIC"
@@ -64,7 +65,7 @@ _NUMBERS = {"during_time", "action_ts", "loading_time_ms", "open_ad_ms", "open_a
 def parse(raw: DataFrame) -> DataFrame:
     """``value`` and the parsed message ``log``."""
     options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
-    return raw.select("value", F.from_json("value", schemas.ODS_LOG, options).alias("log"))
+    return evaluated_once(raw, F.from_json("value", schemas.ODS_LOG, options), "log", ["value"])
 
 
 def is_dead() -> Column:

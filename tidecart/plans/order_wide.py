@@ -7,10 +7,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidecart import schemas
 from tidecart.functions import times
 from tidecart.operators.lookup import HOT_KEYS, fits_broadcast, lookup
+from tidecart.operators.parsing import evaluated_once
 from tidecart.operators.merge import merge_by_name, prefixed
 from tidecart.plans.dimensions import with_province, with_user
 
@@ -25,17 +27,19 @@ _RENAMES = {"order__id": "order_id", "detail__id": "detail_id"}
 
 
 def parse_orders(raw: DataFrame) -> DataFrame:
-    """Order headers from their JSON texts in ``value``."""
-    return raw.select("*", F.from_json("value", schemas.ORDER_INFO).alias("r")).where(F.col("r").isNotNull()).select("r.*", *_arrival(raw))
+    """Order headers from their JSON texts in ``value``, with the arrival ``timestamp`` where the source has one."""
+    return _records(raw, schemas.ORDER_INFO)
 
 
 def parse_details(raw: DataFrame) -> DataFrame:
-    """Order lines from their JSON texts in ``value``."""
-    return raw.select("*", F.from_json("value", schemas.ORDER_DETAIL).alias("r")).where(F.col("r").isNotNull()).select("r.*", *_arrival(raw))
+    """Order lines from their JSON texts in ``value``, with the arrival ``timestamp`` where the source has one."""
+    return _records(raw, schemas.ORDER_DETAIL)
 
 
-def _arrival(raw: DataFrame) -> list[str]:
-    return ["timestamp"] if "timestamp" in raw.columns else []
+def _records(raw: DataFrame, schema: StructType) -> DataFrame:
+    arrival = ["timestamp"] if "timestamp" in raw.columns else []
+    records = evaluated_once(raw, F.from_json("value", schema), "r", arrival)
+    return records.where(F.col("r").isNotNull()).select("r.*", *arrival)
 
 
 def enrich_orders(
@@ -84,8 +88,7 @@ def order_wide(
     enriched = prefixed(enrich_orders(orders, users, provinces, as_of, **options), "order__")
     lines = prefixed(details, "detail__")
     if small is None:
-        # Enrichment keeps the row count, so the plain headers answer for the enriched ones; a line's attributes
-        # are about as wide as its header.
+        # Enrichment keeps the row count and adds a few short texts, so the plain headers answer the size check.
         small = fits_broadcast(orders)
     attributes = [F.col(c) for c in enriched.columns]
     joined = lookup(
