@@ -222,6 +222,7 @@ SELECT dt, userid, adid, count(*) AS "count" FROM clicks GROUP BY ALL HAVING cou
     "ad_blacklist": f"{_FOLD} SELECT userid FROM ban2",
     "ad_count_filtered": f'{_FOLD} SELECT dt, userid, adid, CAST(n AS BIGINT) AS "count" FROM kept2',
     "ad_area_city_count": f'WITH {_CLICKS} SELECT dt, area, city, adid, count(*) AS "count" FROM clicks GROUP BY ALL',
+    "ad_area_city_count_hot_keys": f'WITH {_CLICKS} SELECT dt, area, city, adid, count(*) AS "count" FROM clicks GROUP BY ALL',
     "click_bucket_10s": f"""WITH {_CLICKS}
 SELECT epoch_us(time_bucket(INTERVAL 10 SECOND, make_timestamp(ms * 1000))) // 1000 AS bucket_ms, count(*) AS "count"
 FROM clicks GROUP BY 1""",

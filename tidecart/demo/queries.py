@@ -175,6 +175,10 @@ QUERIES: dict[str, Query] = {
     "ad_blacklist": _folded(1),
     "ad_count_filtered": _folded(0),
     "ad_area_city_count": lambda spark, folder: ad_clicks.area_city_counts(_clicks(spark, folder)),
+    # every nation, and at small scale every user, holds more than one part in 256 of the clicks
+    "ad_area_city_count_hot_keys": lambda spark, folder: ad_clicks.area_city_counts(
+        ad_clicks.parse(t.raw_clicks(spark, folder, small=False))
+    ),
     "click_bucket_10s": lambda spark, folder: ad_clicks.click_buckets(_clicks(spark, folder)),
     "click_sliding_60s": lambda spark, folder: ad_clicks.click_trend(_clicks(spark, folder)),
     "delta_counter_total": _delta_total,

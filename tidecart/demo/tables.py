@@ -223,14 +223,14 @@ def raw_changes(spark: SparkSession, folder: str) -> DataFrame:
 # --- advertisement clicks --------------------------------------------------------------------
 
 
-def raw_clicks(spark: SparkSession, folder: str) -> DataFrame:
+def raw_clicks(spark: SparkSession, folder: str, **lookup_options) -> DataFrame:
     """One click line per event: time, region and nation of the user, user, advertisement."""
     e = source(spark, folder, "events").select(_millis().alias("ms"), "user_id", _k().alias("k"))
     nation = F.col("c_nationkey").alias("nation_id")
-    placed = lookup(e, source(spark, folder, "customer"), "user_id", "c_custkey", [nation], ["ms", "k"])
+    placed = lookup(e, source(spark, folder, "customer"), "user_id", "c_custkey", [nation], ["ms", "k"], **lookup_options)
     nations = source(spark, folder, "nation").join(
         source(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     names = [F.replace("r_name", F.lit(" "), F.lit("_")).alias("area"), F.col("n_name").alias("city")]
-    placed = lookup(placed, nations, "nation_id", "n_nationkey", names, ["ms", "k"])
+    placed = lookup(placed, nations, "nation_id", "n_nationkey", names, ["ms", "k"], **lookup_options)
     return placed.select(F.concat_ws(" ", "ms", "area", "city", "user_id", F.col("k") % 6 + 1).alias("value"))
