@@ -16,7 +16,7 @@ def spark():
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.default.parallelism", "4")
         .getOrCreate()
     )

@@ -49,6 +49,7 @@ def test_heavy_keys_are_found_and_bounded(skewed):
 def test_hot_and_null_keys_are_spread_in_the_shuffled_join(spark, skewed, table):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
     try:
         joined = lookup(skewed, table, "k", "id", ATTRIBUTES(), ["fact"], small=False)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
@@ -56,6 +57,7 @@ def test_hot_and_null_keys_are_spread_in_the_shuffled_join(spark, skewed, table)
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
 
 
 def test_size_check(table):

@@ -1,0 +1,151 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidecart import schemas
+from tidecart.schemas import _ddl
+from tidecart.sinks import CounterLedger, FileTopics, KeyedLedger, SetLedger
+from tidecart.sources import files, kafka
+
+ROW = _ddl("dt string, id bigint, v string")
+
+
+@pytest.fixture
+def frame(spark):
+    return lambda *rows: spark.createDataFrame(list(rows), ROW)
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return KeyedLedger(spark, f"{tmp_path}/t", ROW, ["dt", "id"], day="dt")
+
+
+def test_upsert(frame, table, rows):
+    assert table.read().count() == 0
+    table.write(frame(("d1", 1, "a"), ("d1", 2, "b"), ("d2", 1, "c")), 0)
+    table.write(frame(("d1", 1, "new"), ("d3", 9, "x")), 1)
+    assert rows(table.read()) == [("d1", 1, "new"), ("d1", 2, "b"), ("d2", 1, "c"), ("d3", 9, "x")]
+    assert rows(table.read(before=1)) == [("d1", 1, "a"), ("d1", 2, "b"), ("d2", 1, "c")]
+
+
+def test_a_replayed_batch_replaces_itself(frame, table, rows):
+    for _ in range(2):
+        table.write(frame(("d1", 1, "a")), 0)
+    table.write(frame(("d1", 5, "gone")), 1)
+    table.write(frame(("d1", 1, "b")), 1)
+    assert rows(table.read()) == [("d1", 1, "b")]
+
+
+def test_duplicates_in_one_batch(frame, table, rows):
+    table.write(frame(("d1", 1, "a"), ("d1", 1, "z"), ("d1", 1, "z")), 0)
+    assert rows(table.read()) == [("d1", 1, "z")]
+
+
+def test_compaction_keeps_the_content(frame, table, rows):
+    for i in range(4):
+        table.write(frame(("d1", i, f"b{i}"), ("d1", 0, f"b{i}"), (f"d{i}", 7, "x")), i)
+    want = rows(table.read())
+    table.compact(2)
+    assert rows(table.read()) == want
+    # the batch after the compacted ones can still be replayed, and read as it was before
+    assert rows(table.read(before=3)) == [("d0", 7, "x"), ("d1", 0, "b2"), ("d1", 1, "b1"), ("d1", 2, "b2"), ("d1", 7, "x"), ("d2", 7, "x")]
+    table.write(frame(("d1", 0, "again")), 3)
+    assert ("d1", 0, "again") in rows(table.read()) and ("d3", 7, "x") not in rows(table.read())
+    table.compact(3)
+    table.compact(1)
+    assert ("d1", 0, "again") in rows(table.read())
+    with pytest.raises(ValueError):
+        table.write(frame(("d1", 0, "late")), 3)
+    with pytest.raises(ValueError):
+        table.read(before=2)
+
+
+def test_a_compaction_that_dies_before_its_mark_is_ignored(frame, table, rows, monkeypatch):
+    table.write(frame(("d1", 1, "a")), 0)
+    table.write(frame(("d1", 2, "b")), 1)
+    original = table._save
+    calls = []
+
+    def dies(df, folder, partitions):
+        if calls:
+            raise RuntimeError("lost")
+        calls.append(folder)
+        original(df, folder, partitions)
+
+    monkeypatch.setattr(table, "_save", dies)
+    with pytest.raises(RuntimeError):
+        table.compact(0)
+    monkeypatch.undo()
+    assert rows(table.read()) == [("d1", 1, "a"), ("d1", 2, "b")]
+    table.compact(1)
+    assert rows(table.read()) == [("d1", 1, "a"), ("d1", 2, "b")]
+
+
+def test_source_order_beats_arrival_order(spark, tmp_path, rows):
+    schema = _ddl("id bigint, seq bigint, v string")
+    table = KeyedLedger(spark, f"{tmp_path}/dim", schema, ["id"], order=["seq"])
+    table.write(spark.createDataFrame([(1, 5, "new"), (1, 4, "old")], schema), 0)
+    table.write(spark.createDataFrame([(1, 3, "late"), (2, 1, "x")], schema), 1)
+    assert rows(table.read(), "id", "v") == [(1, "new"), (2, "x")]
+    table.compact(1)
+    table.write(spark.createDataFrame([(2, 0, "late"), (1, 5, "same second, later batch")], schema), 2)
+    assert rows(table.read(), "id", "v") == [(1, "same second, later batch"), (2, "x")]
+
+
+def test_day_filter_prunes_folders(frame, table):
+    table.write(frame(("d1", 1, "a"), ("d2", 1, "b")), 0)
+    table.compact(0)
+    table.write(frame(("d1", 2, "c"), ("d2", 2, "d")), 1)
+    day = table.read(where=F.col("dt") == "d1")
+    assert day.count() == 2
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) >= 2 and all("PartitionFilters: [isnotnull(dt" in line for line in scans)
+
+
+def test_day_must_be_in_the_key(spark):
+    with pytest.raises(ValueError):
+        KeyedLedger(spark, "/nowhere", ROW, ["id"], day="dt")
+
+
+def test_counter_and_set(spark, tmp_path, rows):
+    schema = _ddl("dt string, k string, count bigint")
+    counter = CounterLedger(spark, f"{tmp_path}/c", schema, ["dt", "k"], day="dt")
+    members = SetLedger(spark, f"{tmp_path}/s", schemas.BLACK_LIST, ["userid"])
+    for i in (0, 1, 1, 2):
+        counter.write(spark.createDataFrame([("d", "a", 1), ("d", "a", 2), (f"d{i}", "b", 5)], schema), i)
+        members.write(spark.createDataFrame([("u",), ("u",), (f"u{i}",)], schemas.BLACK_LIST), i)
+    want = [("d", "a", 9), ("d0", "b", 5), ("d1", "b", 5), ("d2", "b", 5)]
+    assert rows(counter.read()) == want
+    counter.compact(1)
+    members.compact(1)
+    assert rows(counter.read()) == want
+    assert rows(counter.read(before=2, where=None)) == [("d", "a", 6), ("d0", "b", 5), ("d1", "b", 5)]
+    assert rows(members.read()) == [("u",), ("u0",), ("u1",), ("u2",)]
+
+
+def test_file_topics(spark, tmp_path, rows):
+    topics = FileTopics(f"{tmp_path}/topics")
+    assert topics.read(spark).count() == 0
+    messages = spark.createDataFrame([("A", "1"), ("B", "2"), ("A", "3")], "topic string, value string")
+    for _ in range(2):
+        topics.write(messages, 0)
+    topics.write(messages.limit(1), 1)
+    assert rows(topics.read(spark, "A"), "value", "batch_id") == [("1", 0), ("1", 1), ("3", 0)]
+    topics.write(messages.selectExpr("topic", "'k' AS key", "value"), 2)
+    assert rows(topics.read(spark, "B").where("batch_id = 2"), "key", "value") == [("k", "2")]
+
+
+def test_day_table_reads(spark, frame, table, rows):
+    table.write(frame(("d1", 1, "a"), ("d2", 1, "b")), 0)
+    assert files.day_exists(table.read(), "d1") and not files.day_exists(table.read(), "d9")
+    assert rows(files.day_field(table.read(), "d1", "v")) == [("a",)]
+    assert files.day_field(table.read(), "d9", "v").count() == 0
+    assert files.table_roles(spark, "/nowhere/roles").count() == 0
+
+
+def test_kafka_options():
+    assert kafka.source_options("h:9092", "t") == {"kafka.bootstrap.servers": "h:9092", "subscribe": "t", "startingOffsets": "latest"}
+    fixed = kafka.source_options("h:9092", "t", {1: 20, 0: 10}, group_prefix="g", max_offsets_per_trigger=5)
+    assert fixed["startingOffsets"] == '{"t": {"0": 10, "1": 20}}'
+    assert (fixed["groupIdPrefix"], fixed["maxOffsetsPerTrigger"]) == ("g", "5")
+    assert kafka.sink_options("h:9092")["kafka.acks"] == "all"
