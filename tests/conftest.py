@@ -17,7 +17,7 @@ def spark():
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "2")
-        .config("spark.default.parallelism", "4")
+        .config("spark.default.parallelism", "2")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

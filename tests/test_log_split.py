@@ -1,6 +1,5 @@
 import json
-
-import pytest
+from collections import Counter
 
 from tidecart.plans import active_users, log_split
 
@@ -17,54 +16,45 @@ def raw(spark, *messages):
     return spark.createDataFrame([(t,) for t in texts], "value string")
 
 
-def counts(spark, message):
-    parsed = log_split.parse(raw(spark, message))
-    outputs = (
-        log_split.error_logs,
-        log_split.page_logs,
-        log_split.display_logs,
-        log_split.action_logs,
-        log_split.start_logs,
-        log_split.dead_letters,
-    )
-    typed = tuple(f(parsed).count() for f in outputs)
-    topics = [r.topic for r in log_split.split(raw(spark, message)).collect()]
-    names = (
-        log_split.ERROR_TOPIC,
-        log_split.PAGE_TOPIC,
-        log_split.DISPLAY_TOPIC,
-        log_split.ACTION_TOPIC,
-        log_split.START_TOPIC,
-        log_split.DEAD_LETTER_TOPIC,
-    )
-    assert typed == tuple(topics.count(n) for n in names)
-    return typed
-
-
-@pytest.mark.parametrize(
-    "message, expected",
-    [
-        # error, page, display, action, start, dead letter
-        ({"common": COMMON, "page": PAGE, "displays": [DISPLAY], "actions": [ACTION], "ts": TS}, (0, 1, 1, 1, 0, 0)),
-        ({"common": COMMON, "start": START, "ts": TS}, (0, 0, 0, 0, 1, 0)),
-        ({"common": COMMON, "page": PAGE, "start": START, "displays": [DISPLAY] * 2, "ts": TS}, (0, 1, 2, 0, 1, 0)),
-        ({"common": COMMON, "err": {"msg": "x"}, "page": PAGE, "displays": [DISPLAY], "start": START, "ts": TS}, (1, 0, 0, 0, 0, 0)),
-        ({"err": {}}, (1, 0, 0, 0, 0, 0)),
-        ({"common": COMMON, "page": PAGE, "err": None, "ts": TS}, (0, 1, 0, 0, 0, 0)),
-        ({"common": COMMON, "page": PAGE, "displays": [], "actions": [], "ts": TS}, (0, 1, 0, 0, 0, 0)),
-        ({"common": COMMON, "page": PAGE, "displays": [DISPLAY, None], "ts": TS}, (0, 1, 1, 0, 0, 0)),
-        ({"common": COMMON, "displays": [DISPLAY], "actions": [ACTION], "ts": TS}, (0, 0, 0, 0, 0, 0)),
-        ({"page": {}}, (0, 1, 0, 0, 0, 0)),
-        ({}, (0, 0, 0, 0, 0, 0)),
-        ("not json", (0, 0, 0, 0, 0, 1)),
-        ("", (0, 0, 0, 0, 0, 1)),
-        (None, (0, 0, 0, 0, 0, 1)),
-        ("[1]", (0, 0, 0, 0, 0, 1)),
-        ({"page": "a text"}, (0, 0, 0, 0, 0, 1)),
-    ],
-)
-def test_outputs_per_message(spark, message, expected):
-    assert counts(spark, message) == expected
+def device(n):
+    return {**COMMON, "mid": f"m{n}"}
+
+
+# Message, then the expected numbers of page, display, action and start records.
+GOOD = [
+    ({"page": PAGE, "displays": [DISPLAY], "actions": [ACTION], "ts": TS}, (1, 1, 1, 0)),
+    ({"start": START, "ts": TS}, (0, 0, 0, 1)),
+    ({"page": PAGE, "start": START, "displays": [DISPLAY] * 2, "ts": TS}, (1, 2, 0, 1)),
+    ({"page": PAGE, "err": None, "ts": TS}, (1, 0, 0, 0)),
+    ({"page": PAGE, "displays": [], "actions": [], "ts": TS}, (1, 0, 0, 0)),
+    ({"page": PAGE, "displays": [DISPLAY, None], "actions": [None], "ts": TS}, (1, 1, 0, 0)),
+    ({"displays": [DISPLAY], "actions": [ACTION], "ts": TS}, (0, 0, 0, 0)),
+    ({"page": {}}, (1, 0, 0, 0)),
+    ({}, (0, 0, 0, 0)),
+]
+# Whole messages that only go to the error topic.
+ERRORS = [{"common": COMMON, "err": {"msg": "x"}, "page": PAGE, "displays": [DISPLAY], "start": START, "ts": TS}, {"err": {}}]
+# Texts that only go to the dead letters.
+DEAD = ["not json", "", None, "[1]", '{"page": "a text"}']
+
+
+def test_outputs_per_message(spark):
+    good = [{"common": device(n), **message} for n, (message, _) in enumerate(GOOD)]
+    source = raw(spark, *good, *ERRORS, *DEAD)
+    sent = [(r.topic, r.value) for r in log_split.split(source).collect()]
+    topics = (log_split.PAGE_TOPIC, log_split.DISPLAY_TOPIC, log_split.ACTION_TOPIC, log_split.START_TOPIC)
+    records = Counter((topic, json.loads(value)["mid"]) for topic, value in sent if topic in topics)
+    for n, (message, expected) in enumerate(GOOD):
+        assert tuple(records[topic, f"m{n}"] for topic in topics) == expected, message
+    assert [v for topic, v in sent if topic == log_split.ERROR_TOPIC] == [json.dumps(m) for m in ERRORS]
+    assert [v for topic, v in sent if topic == log_split.DEAD_LETTER_TOPIC] == DEAD
+    # the typed outputs hold the same records
+    parsed = log_split.parse(source)
+    outputs = (log_split.page_logs, log_split.display_logs, log_split.action_logs, log_split.start_logs)
+    for topic, output in zip(topics, outputs):
+        assert Counter(r.mid for r in output(parsed).collect()) == {m: c for (t, m), c in records.items() if t == topic}
+    assert [r.value for r in log_split.error_logs(parsed).collect()] == [json.dumps(m) for m in ERRORS]
+    assert [r.value for r in log_split.dead_letters(parsed).collect()] == DEAD
 
 
 def test_page_fields(spark):

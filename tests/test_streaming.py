@@ -118,8 +118,7 @@ def page(mid, ts, last=None):
     return json.dumps({k: v for k, v in record.items() if v is not None})
 
 
-@pytest.mark.parametrize("salts", [1, 4])
-def test_daily_active(spark, feed, dims, tmp_path, rows, salts):
+def test_daily_active(spark, feed, dims, tmp_path, rows):
     pages = feed()
     pages.add(page("a", DAY - 1), page("a", DAY - 2), page("b", DAY - 5, last="home"), *[page("hot", DAY - 9 - i) for i in range(50)])
     pages.add(page("a", DAY - 1000), page("a", DAY), page("b", DAY + 1), *[page("hot", DAY + i) for i in range(50)])
@@ -127,7 +126,7 @@ def test_daily_active(spark, feed, dims, tmp_path, rows, salts):
     table = dau_stream.dau_ledger(spark, f"{tmp_path}/dau")
     stream = active_users.parse(pages.stream())
     args = (dau_stream.start_daily_active, stream, dims, table, AS_OF)
-    run(*args, checkpoint=tmp_path / "cp", salts=salts)
+    run(*args, checkpoint=tmp_path / "cp", salts=4)
     batch = active_users.daily_active(active_users.parse(pages.static()), *dims(), AS_OF)
     columns = ["dt", "mid", "user_gender", "user_age", "province_name"]
     before = rows(batch, "dt", "mid")
@@ -135,7 +134,7 @@ def test_daily_active(spark, feed, dims, tmp_path, rows, salts):
     assert table.read().columns == schemas.DAU_INFO.names
     # restart: known devices stay out, a new one comes in
     pages.add(page("c", DAY + 5), page("d", DAY + 5))
-    run(*args, checkpoint=tmp_path / "cp", salts=salts)
+    run(*args, checkpoint=tmp_path / "cp", salts=4)
     assert rows(table.read(), "dt", "mid") == sorted([*before, ("2023-11-15", "d")])
     # nothing was stored twice either
     assert table._log(table._mark()).count() == len(before) + 1
@@ -169,46 +168,52 @@ def day(n, clock="10:00:00"):
     return f"2023-11-{n:02d} {clock}"
 
 
-# Batches of (orders, details), and the line ids that find their order.
-ARRIVALS = {
-    "same batch": ([([order(1, day(1))], [detail(10, 1, day(1)), detail(11, 1, day(1))])], [10, 11]),
-    "order first": ([([order(1, day(1))], []), ([], [detail(10, 1, day(1, "12:00:00"))])], [10]),
-    "detail first": ([([], [detail(10, 1, day(1))]), ([order(1, day(1, "12:00:00"))], [])], [10]),
-    "one early, one on time": ([([], [detail(10, 1, day(1))]), ([order(1, day(1))], [detail(11, 1, day(1))])], [10, 11]),
-    "a day apart and a bit more": (
-        [([order(1, day(1))], []), ([], [detail(10, 1, day(2)), detail(11, 1, day(2, "10:00:01"))])],
-        [10],
+# Two batches of (orders, details). Line ids are ten times the order id plus a number.
+ARRIVALS = [
+    # 1: same batch, two lines; 2: order first; 3: line first; 4: one line early and one on time; 5: a day apart and a
+    # second more; 6: order without lines; 70: line without order
+    (
+        [order(1, day(1)), order(2, day(1)), order(5, day(1)), order(6, day(1))],
+        [detail(10, 1, day(1)), detail(11, 1, day(1)), detail(30, 3, day(1)), detail(40, 4, day(1)), detail(700, 70, day(1))],
     ),
-    "no partner": ([([order(1, day(1))], [detail(10, 2, day(1))])], []),
-    "partner after the wait": (
-        # the second batch moves the watermark, the third one clears order 1 from state
-        [
-            ([order(1, day(1))], []),
-            ([order(2, day(9))], [detail(20, 2, day(9))]),
-            ([order(3, day(9))], []),
-            ([], [detail(10, 1, day(1)), detail(21, 2, day(9))]),
-        ],
-        [20, 21],
+    (
+        [order(3, day(1, "12:00:00")), order(4, day(1))],
+        [detail(20, 2, day(1, "12:00:00")), detail(41, 4, day(1)), detail(50, 5, day(2)), detail(51, 5, day(2, "10:00:01"))],
     ),
-}
+]
 
 
-@pytest.mark.parametrize("arrival", ARRIVALS)
-def test_order_wide_in_any_arrival_order(spark, feed, dims, tmp_path, rows, arrival):
-    batches, expected = ARRIVALS[arrival]
+@pytest.mark.parametrize("salts", [1, 3])
+def test_order_wide_in_any_arrival_order(spark, feed, dims, tmp_path, rows, salts):
     orders, details = feed(), feed()
-    for some_orders, some_details in batches:
+    for some_orders, some_details in ARRIVALS:
         orders.add(*some_orders)
         details.add(*some_details)
     table = order_stream.wide_ledger(spark, f"{tmp_path}/wide")
     streams = order_wide.parse_orders(orders.stream()), order_wide.parse_details(details.stream())
-    run(order_stream.start_order_wide, *streams, dims, table, AS_OF, checkpoint=tmp_path / "cp", salts=3, compact_every=2)
+    run(order_stream.start_order_wide, *streams, dims, table, AS_OF, checkpoint=tmp_path / "cp", salts=salts, compact_every=2)
     got = table.read()
-    assert [r.detail_id for r in got.orderBy("detail_id").collect()] == expected
-    assert got.columns == schemas.ORDER_WIDE.names
-    if arrival != "partner after the wait":
-        static = order_wide.parse_orders(orders.static()), order_wide.parse_details(details.static())
-        assert rows(got) == rows(order_wide.order_wide(*static, *dims(), AS_OF, within="24 hours"))
+    assert rows(got, "detail_id") == [(i,) for i in (10, 11, 20, 30, 40, 41, 50)]
+    static = order_wide.parse_orders(orders.static()), order_wide.parse_details(details.static())
+    assert rows(got) == rows(order_wide.order_wide(*static, *dims(), AS_OF, within="24 hours"))
+
+
+def test_a_partner_after_the_wait_is_not_found(spark, feed, dims, tmp_path, rows):
+    orders, details = feed(), feed()
+    # the second batch moves the watermark, the third one clears order 1 from state
+    for some_orders, some_details in [
+        ([order(1, day(1))], []),
+        ([order(2, day(9))], [detail(20, 2, day(9))]),
+        ([order(3, day(9))], []),
+        ([], [detail(10, 1, day(1)), detail(21, 2, day(9))]),
+    ]:
+        orders.add(*some_orders)
+        details.add(*some_details)
+    table = order_stream.wide_ledger(spark, f"{tmp_path}/wide")
+    streams = order_wide.parse_orders(orders.stream()), order_wide.parse_details(details.stream())
+    run(order_stream.start_order_wide, *streams, dims, table, AS_OF, checkpoint=tmp_path / "cp", salts=2)
+    assert rows(table.read(), "detail_id") == [(20,), (21,)]
+    assert table.read().columns == schemas.ORDER_WIDE.names
 
 
 def test_order_wide_restart_finds_the_waiting_side(spark, feed, dims, tmp_path, rows):
@@ -296,8 +301,8 @@ def test_click_trend_equals_counting_every_window_directly(spark, rows):
     assert rows(windows_over_buckets(bucket_counts(timed, "event_time"))) == rows(direct)
 
 
-def test_checkpoint_folder_comes_from_the_cluster(spark):
+def test_checkpoint_folder_comes_from_the_cluster():
     with pytest.raises(ValueError):
-        checkpoint_location(spark, "q")
+        checkpoint_location(SimpleNamespace(conf={}), "q")
     cluster = SimpleNamespace(conf={"spark.checkpoint.dir": "/shared/cp/"})
     assert checkpoint_location(cluster, "q") == "/shared/cp/q"

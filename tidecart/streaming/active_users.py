@@ -57,6 +57,8 @@ def handle_landings(
     compact_before(batch_id, compact_every, table)
     batch.persist()
     try:
+        if batch.isEmpty():
+            return
         if restore:
             days = batch.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")).first()
             stored = table.read(before=batch_id, where=F.col("dt").between(days.lo, days.hi))

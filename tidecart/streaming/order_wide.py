@@ -95,6 +95,8 @@ def handle_pairs(
     compact_before(batch_id, compact_every, table)
     batch.persist()
     try:
+        if batch.isEmpty():
+            return
         enriched = order_wide.enrich_orders(batch, users, provinces, as_of, "order__", ["detail__id"])
         table.write(order_wide.merge(enriched), batch_id)
     finally:
