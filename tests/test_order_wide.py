@@ -87,6 +87,14 @@ def test_audit(spark, rows):
         assert rows(order_wide.details_without_order(orders, details, **options), "id") == [(14,), (15,)]
 
 
+@pytest.mark.parametrize("options", [{}, {"small": False}])
+def test_full_match(spark, rows, options):
+    orders = spark.createDataFrame([order(1), order(2)], schemas.ORDER_INFO)
+    details = spark.createDataFrame([detail(10, 1), detail(14, 77), detail(15, None)], schemas.ORDER_DETAIL)
+    got = order_wide.full_match(orders, details, **options)
+    assert rows(got, "order__id", "detail__id") == [(None, 14), (None, 15), (1, 10), (2, None)]
+
+
 def test_json_forms(spark):
     raw = spark.createDataFrame([('{"id":101,"user_id":36,"total_amount":99.5,"create_time":"2023-11-14 22:13:20"}',), (None,)], "value string")
     parsed = order_wide.parse_orders(raw).collect()

@@ -153,6 +153,10 @@ ORACLES: dict[str, str] = {
     "order_wide": f"{_wide()} SELECT * FROM wide",
     "order_wide_hot_keys": f"{_wide()} SELECT * FROM wide",
     "order_wide_24h": f"{_wide('l.created BETWEEN h.created - INTERVAL 24 HOUR AND h.created + INTERVAL 24 HOUR')} SELECT * FROM wide",
+    "order_full_match": f"""WITH {_ORDERS}, {_DETAILS}
+SELECT h.id AS order__id, h.total_amount AS order__total_amount, l.detail_id AS detail__id,
+       l.split_total_amount AS detail__split_total_amount
+FROM headers h FULL JOIN lines l ON h.id = l.order_id""",
     "order_unmatched": """SELECT o_orderkey AS id, o_custkey AS user_id, o_totalprice AS total_amount
 FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
     "stats_by_item_age": f"""{_wide()}

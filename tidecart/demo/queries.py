@@ -139,6 +139,9 @@ QUERIES: dict[str, Query] = {
     "order_wide": _wide,
     "order_wide_hot_keys": lambda spark, folder: _wide(spark, folder, small=False),
     "order_wide_24h": lambda spark, folder: _wide(spark, folder, within="24 hours"),
+    "order_full_match": lambda spark, folder: order_wide.full_match(
+        t.orders(spark, folder), t.details(spark, folder)
+    ).select("order__id", "order__total_amount", "detail__id", "detail__split_total_amount"),
     "order_unmatched": lambda spark, folder: order_wide.orders_without_details(
         t.orders(spark, folder), t.details(spark, folder)
     ).select("id", "user_id", "total_amount"),

@@ -106,6 +106,22 @@ def close_in_time(within: str) -> Column:
     return detail_time.between(order_time - span, order_time + span)
 
 
+def full_match(
+    orders: DataFrame, details: DataFrame, small: bool | None = None, hot_keys: int = HOT_KEYS
+) -> DataFrame:
+    """Full outer match on the order id, with ``order__`` and ``detail__`` columns.
+
+    Adaptive execution cannot split a hot key of a full outer join, so it is composed of a left lookup, which is
+    safe for hot keys, and the orders without lines.
+    """
+    left, right = prefixed(details, "detail__"), prefixed(orders, "order__")
+    attributes = [F.col(c) for c in right.columns]
+    options = {"small": small, "hot_keys": hot_keys}
+    lines = lookup(left, right, "detail__order_id", "order__id", attributes, ["detail__id"], **options)
+    alone = prefixed(orders_without_details(orders, details), "order__")
+    return lines.unionByName(alone, allowMissingColumns=True)
+
+
 def orders_without_details(orders: DataFrame, details: DataFrame) -> DataFrame:
     """Audit: headers no line refers to."""
     # Distinct ids combine on the map side and leave the data partitioned for the join.

@@ -43,30 +43,30 @@ def dau_hourly(dau: DataFrame, day: str | None = None) -> DataFrame:
 
 
 def _two_days(dau: DataFrame, day: str) -> DataFrame:
-    """At most 48 rows ``(dt, hr, n)``: hours of ``day`` and of the day before, from one scan."""
-    return dau_hourly(dau.where(F.col("dt").isin(day, times.previous_day(day))))
+    return dau.where(F.col("dt").isin(day, times.previous_day(day)))
 
 
 def dau_realtime(dau: DataFrame, day: str) -> DataFrame:
     """``(metric, hr, n)``: ``dauTotal`` (one row, ``hr`` null), ``dauTd`` and ``dauYd`` (a row per active hour).
 
-    An hour belongs to each row it feeds, so one aggregate over at most 48 rows gives all three.
+    The two days are read once: the total is the sum of the at most 24 hourly counts of ``day``.
     """
+    hourly = dau_hourly(_two_days(dau, day))
     today = F.col("dt") == day
-    hourly = _two_days(dau, day).select(F.when(today, "dauTd").otherwise("dauYd").alias("metric"), "hr", "n")
-    total = dau_total(dau, day).select(F.lit("dauTotal").alias("metric"), F.lit(None).cast("string").alias("hr"), "n")
-    return total.unionByName(hourly)
+    hour = F.struct(F.when(today, "dauTd").otherwise("dauYd").alias("metric"), "hr", "n")
+    one_row = hourly.agg(
+        F.collect_list(hour).alias("hours"), F.coalesce(F.sum(F.when(today, F.col("n"))), F.lit(0)).alias("total")
+    )
+    total = F.struct(F.lit("dauTotal").alias("metric"), F.lit(None).cast("string").alias("hr"), F.col("total").alias("n"))
+    return one_row.select(F.inline(F.concat(F.array(total), F.col("hours"))))
 
 
 def dau_realtime_24h(dau: DataFrame, day: str) -> DataFrame:
     """``(hr, today, yesterday)`` for all 24 hours, 0 where nobody was active."""
-    spark = dau.sparkSession
-    hours = spark.range(0, 24, 1, 1).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("hr"))
+    hours = dau.sparkSession.range(0, 24, 1, 1).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("hr"))
     today = F.col("dt") == day
     per_hour = (
-        _two_days(dau, day)
-        .groupBy("hr")
-        .agg(F.sum(F.when(today, F.col("n"))).alias("today"), F.sum(F.when(~today, F.col("n"))).alias("yesterday"))
+        _two_days(dau, day).groupBy("hr").agg(F.count_if(today).alias("today"), F.count_if(~today).alias("yesterday"))
     )
     # At most 24 rows by construction.
     return hours.join(F.broadcast(per_hour), "hr", "left").select(

@@ -41,16 +41,23 @@ def handle_black_list(
     Both tables are read as they were before the batch, so a replay decides the same.
     """
     compact_before(batch_id, compact_every, counts, black_list)
-    accepted = ad_clicks.accepted_counts(ad_clicks.user_ad_counts(clicks), black_list.read(before=batch_id)).persist()
-    days = accepted.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")).first()
-    totals = counts.read(before=batch_id, where=F.col("dt").between(days.lo, days.hi))
-    judged = ad_clicks.judge(accepted, totals, threshold).persist()
+    batch = ad_clicks.user_ad_counts(clicks).persist()
+    judged = None
     try:
+        # Only entries of this batch's users and keys are looked at. The semi joins move below the reduction of the
+        # ledgers, so what is shuffled grows with the batch and not with the tables.
+        banned = black_list.read(before=batch_id).join(batch.select("userid"), "userid", "left_semi")
+        days = batch.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")).first()
+        keys = list(ad_clicks.USER_AD)
+        totals = counts.read(before=batch_id, where=F.col("dt").between(days.lo, days.hi))
+        totals = totals.join(batch.select(*keys), keys, "left_semi")
+        judged = ad_clicks.judge(ad_clicks.accepted_counts(batch, banned), totals, threshold).persist()
         counts.write(ad_clicks.increments(judged), batch_id)
         black_list.write(ad_clicks.banned_users(judged), batch_id)
     finally:
-        judged.unpersist()
-        accepted.unpersist()
+        if judged is not None:
+            judged.unpersist()
+        batch.unpersist()
 
 
 def start_black_list(
