@@ -114,15 +114,14 @@ def _clicks(spark: SparkSession, folder: str) -> DataFrame:
     return ad_clicks.parse(t.raw_clicks(spark, folder))
 
 
-def _batch_counts(spark: SparkSession, folder: str) -> list[DataFrame]:
+def _batch_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Clicks counted as three batches: hours 0-7, 8-15 and 16-23 of every day."""
-    clicks = _clicks(spark, folder)
-    hour = F.hour(F.timestamp_millis(F.col("ts").cast("bigint")))
-    return [ad_clicks.user_ad_counts(clicks.where(F.floor(hour / 8) == batch)) for batch in range(3)]
+    hour = F.hour(F.timestamp_millis(times.text_to_ms(F.col("ts"))))
+    return ad_clicks.batch_counts(_clicks(spark, folder), F.floor(hour / 8))
 
 
-def _folded(part: int) -> Query:
-    return lambda spark, folder: ad_clicks.fold_batches(_batch_counts(spark, folder), CLICK_THRESHOLD)[part]
+def _replayed(part: int) -> Query:
+    return lambda spark, folder: ad_clicks.replay_batches(_batch_counts(spark, folder), CLICK_THRESHOLD)[part]
 
 
 def _over_threshold(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,8 +129,8 @@ def _over_threshold(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _delta_total(spark: SparkSession, folder: str) -> DataFrame:
-    increments = _batch_counts(spark, folder)
-    return sum_by(increments[0].unionByName(increments[1]).unionByName(increments[2]), ad_clicks.USER_AD)
+    """Running totals as the sum of the batches' increments."""
+    return sum_by(_batch_counts(spark, folder).drop("batch"), ad_clicks.USER_AD)
 
 
 QUERIES: dict[str, Query] = {
@@ -175,8 +174,8 @@ QUERIES: dict[str, Query] = {
     # advertisement clicks
     "ad_user_day_count": lambda spark, folder: ad_clicks.user_ad_counts(_clicks(spark, folder)),
     "ad_over_threshold": _over_threshold,
-    "ad_blacklist": _folded(1),
-    "ad_count_filtered": _folded(0),
+    "ad_blacklist": _replayed(1),
+    "ad_count_filtered": _replayed(0),
     "ad_area_city_count": lambda spark, folder: ad_clicks.area_city_counts(_clicks(spark, folder)),
     # every nation, and at small scale every user, holds more than one part in 256 of the clicks
     "ad_area_city_count_hot_keys": lambda spark, folder: ad_clicks.area_city_counts(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecart.functions import times
@@ -87,15 +87,26 @@ def with_event_time(clicks: DataFrame) -> DataFrame:
     return clicks.where(ms.isNotNull()).withColumn("event_time", F.timestamp_millis(ms))
 
 
-def fold_batches(batch_counts: list[DataFrame], threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Final ``(counts, black_list)`` after the per-batch counts ran through the blacklist rule one after another."""
-    first, *later = batch_counts
-    # Nothing was stored before the first batch.
-    judged = judge(first, first.where(F.lit(False)), threshold)
-    stored, banned = increments(judged), banned_users(judged)
-    for counts in later:
-        judged = judge(accepted_counts(counts, banned), stored, threshold)
-        # Users banned earlier have no counts in this batch, so the two lists do not overlap.
-        banned = banned.unionByName(banned_users(judged))
-        stored = sum_by(stored.unionByName(increments(judged)), USER_AD)
-    return stored, banned
+def batch_counts(clicks: DataFrame, batch: Column) -> DataFrame:
+    """Clicks per batch number, day, user and advertisement."""
+    named = _with_day(clicks).select(batch.alias("batch"), "dt", F.col("user").alias("userid"), F.col("ad").alias("adid"))
+    return count_by(named, ["batch", *USER_AD])
+
+
+def replay_batches(per_batch: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Final ``(counts, black_list)`` of a whole history of batches, without running them one by one.
+
+    Until a user is banned nothing of theirs is left out, so a key's first running total above the threshold is
+    also the first batch in which it bans. The user is banned in the earliest such batch over their keys; counts of
+    earlier batches are stored, and those of that batch where they alone are not above the threshold.
+    """
+    # A window holds one row per batch of one key.
+    upto = Window.partitionBy(*USER_AD).orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
+    crossing = per_batch.withColumn("total", F.sum("count").over(upto)).where(F.col("total") > threshold)
+    bans = crossing.groupBy("userid").agg(F.min("batch").alias("banned_in"))
+    stored = (
+        F.col("banned_in").isNull()
+        | (F.col("batch") < F.col("banned_in"))
+        | ((F.col("batch") == F.col("banned_in")) & (F.col("count") <= threshold))
+    )
+    return sum_by(per_batch.join(bans, "userid", "left").where(stored), USER_AD), bans.select("userid")
