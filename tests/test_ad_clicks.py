@@ -1,4 +1,5 @@
 from functools import reduce
+from random import Random
 
 import pytest
 from pyspark.sql import DataFrame
@@ -88,3 +89,30 @@ def test_trend(spark, rows):
     assert got.count() == 12
     window = {r.bucket_ms - DAY: r["count"] for r in got.where(f"window_start_ms = {DAY - 50_000}").collect()}
     assert window == {0: 2}
+
+
+def test_replay_against_brute_force(spark, rows):
+    """Random histories, decided click batch by click batch in plain Python."""
+    random = Random(7)
+    cells = {
+        (history, batch, f"h{history}u{random.randrange(3)}", str(random.randrange(3))): random.randrange(1, 5)
+        for history in range(30)
+        for batch in range(4)
+        for _ in range(5)
+    }
+    counts, banned = {}, set()
+    for batch in range(4):
+        before = set(banned)
+        for (_, b, user, ad), n in cells.items():
+            if b != batch or user in before:
+                continue
+            if n <= 3:
+                counts[user, ad] = counts.get((user, ad), 0) + n
+            if n > 3 or counts.get((user, ad), 0) > 3:
+                banned.add(user)
+    history = spark.createDataFrame(
+        [(b, "d", user, ad, n) for (_, b, user, ad), n in cells.items()], "batch int, dt string, userid string, adid string, count bigint"
+    )
+    stored, black_list = ad_clicks.replay_batches(history, threshold=3)
+    assert rows(stored, "userid", "adid", "count") == sorted((u, a, n) for (u, a), n in counts.items())
+    assert rows(black_list) == [(u,) for u in sorted(banned)]

@@ -16,7 +16,7 @@ def frame(spark):
 
 @pytest.fixture
 def table(spark, tmp_path):
-    return KeyedLedger(spark, f"{tmp_path}/t", ROW, ["dt", "id"], day="dt")
+    return KeyedLedger(spark, f"{tmp_path}/t", ROW, ["dt", "id"], partition="dt")
 
 
 def test_upsert(frame, table, rows):
@@ -104,12 +104,12 @@ def test_day_filter_prunes_folders(frame, table):
 
 def test_day_must_be_in_the_key(spark):
     with pytest.raises(ValueError):
-        KeyedLedger(spark, "/nowhere", ROW, ["id"], day="dt")
+        KeyedLedger(spark, "/nowhere", ROW, ["id"], partition="dt")
 
 
 def test_counter_and_set(spark, tmp_path, rows):
     schema = _ddl("dt string, k string, count bigint")
-    counter = CounterLedger(spark, f"{tmp_path}/c", schema, ["dt", "k"], day="dt")
+    counter = CounterLedger(spark, f"{tmp_path}/c", schema, ["dt", "k"], partition="dt")
     members = SetLedger(spark, f"{tmp_path}/s", schemas.BLACK_LIST, ["userid"])
     for i in (0, 1, 1, 2):
         counter.write(spark.createDataFrame([("d", "a", 1), ("d", "a", 2), (f"d{i}", "b", 5)], schema), i)

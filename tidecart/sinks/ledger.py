@@ -6,8 +6,8 @@ to a new epoch folder and then appends a mark that makes the epoch current; noth
 compaction that dies before its mark leaves the old epoch current.
 
     marks/                              rows (epoch, upto)
-    epoch=<e>/state/[<day>=../]         rows of batches up to ``upto``, reduced
-    epoch=<e>/log/batch_id=<n>/[<day>=../]   rows of each later batch
+    epoch=<e>/state/[<partition>=../]         rows of batches up to ``upto``, reduced
+    epoch=<e>/log/batch_id=<n>/[<partition>=../]   rows of each later batch
 
 One streaming query writes a table; any number read it. Folders of old epochs are never read again and can be
 removed with the storage's own tools.
@@ -36,12 +36,12 @@ class _Mark(NamedTuple):
 
 
 class _Ledger:
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], day: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], partition: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
-        self.day = day
+        self.partition = partition
 
     # -- layout
 
@@ -68,8 +68,8 @@ class _Ledger:
         writer.parquet(f"{self.path}/{folder}")
 
     @property
-    def _days(self) -> list[str]:
-        return [self.day] if self.day else []
+    def _folders(self) -> list[str]:
+        return [self.partition] if self.partition else []
 
     # -- writing
 
@@ -79,7 +79,7 @@ class _Ledger:
         if batch_id <= mark.upto:
             raise ValueError(f"batch {batch_id} is already compacted (up to {mark.upto})")
         rows = self.prepare(df.select(*self.schema.names))
-        self._save(rows, f"epoch={mark.epoch}/log/{_BATCH}={batch_id}", self._days)
+        self._save(rows, f"epoch={mark.epoch}/log/{_BATCH}={batch_id}", self._folders)
 
     def compact(self, upto: int) -> None:
         """Reduce all batches up to ``upto``. Only pass batches whose commit is certain (before the running one)."""
@@ -88,21 +88,21 @@ class _Ledger:
             return
         state = self.read(before=upto + 1)
         folder = f"epoch={mark.epoch + 1}"
-        if self.day:
-            # Few files per day, and adaptive execution splits a day that is too big for one.
-            state = state.hint("rebalance", F.col(self.day))
-        self._save(state, f"{folder}/state", self._days)
+        if self.partition:
+            # Few files per folder, and adaptive execution splits a folder that is too big for one task.
+            state = state.hint("rebalance", F.col(self.partition))
+        self._save(state, f"{folder}/state", self._folders)
         later = self._log(mark).where(F.col(_BATCH) > upto)
-        self._save(later, f"{folder}/log", [_BATCH, *self._days])
+        self._save(later, f"{folder}/log", [_BATCH, *self._folders])
         marks = self.spark.createDataFrame([(mark.epoch + 1, upto)], _MARKS)
         marks.coalesce(1).write.mode("append").parquet(f"{self.path}/marks")
 
     # -- reading
 
-    def read(self, before: int | None = None, where: Column | None = None) -> DataFrame:
+    def read(self, before: int | None = None, where: Column | str | None = None) -> DataFrame:
         """Current rows; with ``before``, the rows as they were before that batch, so that a replay sees the same.
 
-        ``where`` may use key columns only; it reaches the files of every batch and, on the day column, prunes folders.
+        ``where`` may use key columns only; it reaches the files of every batch and, on the partition column, prunes folders.
         """
         mark = self._mark()
         if before is not None and before <= mark.upto:
@@ -127,13 +127,13 @@ class KeyedLedger(_Ledger):
     """Upsert by key: the row of the newest batch wins; within a batch the one with the largest ``order``.
 
     With ``order`` given, it also decides between batches, so a late older row does not replace a newer one.
-    With a ``day`` column, keys must include it: a filter on the day then prunes folders.
+    With a ``partition`` column (a day, mostly), keys must include it: a filter on it then prunes folders.
     """
 
-    def __init__(self, spark, path, schema, keys, day=None, order: Sequence[str] = ()):
-        super().__init__(spark, path, schema, keys, day)
-        if day is not None and day not in self.keys:
-            raise ValueError("the day column must be part of the key")
+    def __init__(self, spark, path, schema, keys, partition=None, order: Sequence[str] = ()):
+        super().__init__(spark, path, schema, keys, partition)
+        if partition is not None and partition not in self.keys:
+            raise ValueError("the partition column must be part of the key")
         self.order = list(order)
 
     def prepare(self, df: DataFrame) -> DataFrame:

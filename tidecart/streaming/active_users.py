@@ -18,7 +18,7 @@ from tidecart.streaming.run import compact_before, start
 
 def dau_ledger(spark: SparkSession, path: str) -> KeyedLedger:
     """Day records by day and device."""
-    return KeyedLedger(spark, path, schemas.DAU_INFO, ["dt", "mid"], day="dt")
+    return KeyedLedger(spark, path, schemas.DAU_INFO, ["dt", "mid"], partition="dt")
 
 
 def first_seen(page_logs: DataFrame, lateness: str = "1 day", salts: int = 8) -> DataFrame:
@@ -26,7 +26,8 @@ def first_seen(page_logs: DataFrame, lateness: str = "1 day", salts: int = 8) ->
 
     ``lateness`` of at least a day keeps every key of a day in state until the day is over. Spark sends all rows
     of a key to one task here, so a first pass on ``(day, device, salt)`` thins out a hot device on ``salts``
-    tasks and the second pass sees at most ``salts`` rows of it.
+    tasks and the second pass sees at most ``salts`` rows of it. Which of several landings in one batch is kept is
+    not fixed; across batches it is the earlier batch's.
     """
     landed = (
         with_row_count(active_users.landings(with_row_count(page_logs, "pages")), "landings")

@@ -17,11 +17,11 @@ INTERVAL = "3 seconds"
 
 
 def user_ad_ledger(spark: SparkSession, path: str) -> CounterLedger:
-    return CounterLedger(spark, path, schemas.USER_AD_COUNT, ad_clicks.USER_AD, day="dt")
+    return CounterLedger(spark, path, schemas.USER_AD_COUNT, ad_clicks.USER_AD, partition="dt")
 
 
 def area_city_ledger(spark: SparkSession, path: str) -> CounterLedger:
-    return CounterLedger(spark, path, schemas.AREA_CITY_AD_COUNT, ad_clicks.AREA_CITY_AD, day="dt")
+    return CounterLedger(spark, path, schemas.AREA_CITY_AD_COUNT, ad_clicks.AREA_CITY_AD, partition="dt")
 
 
 def black_list_ledger(spark: SparkSession, path: str) -> SetLedger:

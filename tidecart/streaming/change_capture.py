@@ -5,17 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidecart import schemas
-from tidecart.plans import change_capture
+from tidecart.plans import change_capture, dimensions
 from tidecart.sinks.ledger import KeyedLedger
 from tidecart.streaming.run import compact_before, start
 
 
 def dim_ledger(spark: SparkSession, path: str) -> KeyedLedger:
     """Dimension rows by table and id. The source order decides, so late older changes do not win."""
-    return KeyedLedger(spark, path, schemas.DIM_ROWS, ["table_name", "id"], order=["seq"])
+    return KeyedLedger(spark, path, schemas.DIM_ROWS, ["table_name", "id"], partition="table_name", order=["seq"])
+
+
+def current_dims(dims: KeyedLedger, drop_deleted: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The current users and provinces, each read from its own folder."""
+
+    def rows(table: str) -> DataFrame:
+        current = dims.read(where=F.col("table_name") == table)
+        return current.where(F.col("op") != "D") if drop_deleted else current
+
+    return dimensions.user_table(rows("USER_INFO")), dimensions.province_table(rows("BASE_PROVINCE"))
 
 
 def handle_changes(

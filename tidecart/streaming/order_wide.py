@@ -21,7 +21,7 @@ WAIT = "24 hours"
 
 def wide_ledger(spark: SparkSession, path: str) -> KeyedLedger:
     """Wide rows by line id within the order's day: exactly one row per line, also after a replay."""
-    return KeyedLedger(spark, path, schemas.ORDER_WIDE, ["create_date", "detail_id"], day="create_date")
+    return KeyedLedger(spark, path, schemas.ORDER_WIDE, ["create_date", "detail_id"], partition="create_date")
 
 
 def _event_time(df: DataFrame) -> Column:
