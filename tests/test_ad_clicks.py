@@ -24,7 +24,7 @@ def clicks(spark, *rows):
 
 
 def test_lines(spark, rows):
-    got = ad_clicks.parse(lines(spark, "1700000000123 East Boston 3 5", "1700000000123 East Boston 3", "", "1 a b 2 4 more"))
+    got = ad_clicks.parse(lines(spark, "1700000000123 East Boston 3 5", "1700000000123 East Boston 3", "1 a b 2 ", "", "1 a b 2 4 more"))
     assert rows(got) == [("1", "a", "b", "2", "4"), ("1700000000123", "East", "Boston", "3", "5")]
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecart import schemas
 from tidecart.functions import times
 from tidecart.operators.counting import bucket_counts, count_by, sum_by, windows_over_buckets
 from tidecart.operators.membership import not_listed
+from tidecart.operators.parsing import evaluated_once
 
 # Fixed value: clicks of one user on one advertisement in one day that are still accepted.
 THRESHOLD = 30
@@ -18,9 +20,9 @@ AREA_CITY_AD = ("dt", "area", "city", "adid")
 
 def parse(raw: DataFrame) -> DataFrame:
     """Clicks from lines ``<epoch_ms> <area> <city> <user> <ad>``; a line with missing fields is dropped."""
-    part = F.split("value", " ")
-    fields = ("ts", "area", "city", "user", "ad")
-    return raw.select(*[F.get(part, i).alias(name) for i, name in enumerate(fields)]).where(F.col("ad").isNotNull())
+    parts = evaluated_once(raw, F.split(F.rtrim("value"), " "), "part")
+    fields = [F.get("part", F.lit(i)).alias(name) for i, name in enumerate(schemas.AD_CLICK.names)]
+    return parts.where(F.size("part") >= len(fields)).select(*fields)
 
 
 def _with_day(clicks: DataFrame) -> DataFrame:
