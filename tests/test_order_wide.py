@@ -99,5 +99,11 @@ def test_json_forms(spark):
     raw = spark.createDataFrame([('{"id":101,"user_id":36,"total_amount":99.5,"create_time":"2023-11-14 22:13:20"}',), (None,)], "value string")
     parsed = order_wide.parse_orders(raw).collect()
     assert [(r.id, r.user_id, r.total_amount) for r in parsed] == [(101, 36, 99.5)]
+    quoted = spark.createDataFrame([('{"id":"7","user_id":"x","total_amount":"1.5"}',), ("[1]",), ("no",), ("{}",)], "value string")
+    assert [tuple(r) for r in order_wide.parse_orders(quoted).select("id", "user_id", "total_amount").collect()] == [
+        (7, None, 1.5),
+        (None, None, None),
+    ]
+    assert order_wide.parse_orders(quoted).dtypes == spark.createDataFrame([], schemas.ORDER_INFO).dtypes
     line = spark.createDataFrame([('{"id":5,"order_id":101,"sku_num":2,"sku_name":"x"}',)], "value string")
     assert tuple(order_wide.parse_details(line).select("id", "order_id", "sku_num", "sku_name").first()) == (5, 101, 2, "x")

@@ -1,4 +1,4 @@
-"""Parse a text column once."""
+"""Parse a text column once, and leniently."""
 
 from __future__ import annotations
 
@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tidecart.schemas import CORRUPT
 
 
 def evaluated_once(df: DataFrame, value: Column, name: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -15,3 +18,18 @@ def evaluated_once(df: DataFrame, value: Column, name: str, keep: Sequence[str]
     generator, which the optimizer does not move expressions across, a costly one is computed once per row.
     """
     return df.select(*keep, F.explode(F.array(value)).alias(name))
+
+
+def typed_records(raw: DataFrame, schema: StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """The records of ``schema`` in the JSON texts of ``value``, and the ``keep`` columns of ``raw``.
+
+    Fields are read as text and then cast, so a number may also come quoted; one that is no number is null. A text
+    that is no JSON object gives no record.
+    """
+    texts = StructType([StructField(f.name, StringType()) for f in schema.fields]).add(CORRUPT, StringType())
+    records = evaluated_once(raw, F.from_json("value", texts, {"columnNameOfCorruptRecord": CORRUPT}), "r", keep)
+    fields = [
+        F.col(f"r.{f.name}") if f.dataType == StringType() else F.col(f"r.{f.name}").try_cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ]
+    return records.where(F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull()).select(*fields, *keep)

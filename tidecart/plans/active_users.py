@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidecart import schemas
 from tidecart.functions import times
 from tidecart.operators.membership import not_stored
-from tidecart.operators.parsing import evaluated_once
+from tidecart.operators.parsing import typed_records
 from tidecart.operators.pick import first_by_key
 from tidecart.plans.dimensions import with_province, with_user
 
@@ -25,8 +25,7 @@ _PROVINCE_NAMES = {
 
 def parse(raw: DataFrame) -> DataFrame:
     """Page records from their JSON texts in ``value``."""
-    records = evaluated_once(raw, F.from_json("value", schemas.PAGE_LOG), "r")
-    return records.where(F.col("r").isNotNull()).select("r.*")
+    return typed_records(raw, schemas.PAGE_LOG)
 
 
 def landings(page_logs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from tidecart import schemas
 from tidecart.functions import times
 from tidecart.operators.lookup import HOT_KEYS, fits_broadcast, lookup
 from tidecart.operators.merge import merge_by_name, prefixed
-from tidecart.operators.parsing import evaluated_once
+from tidecart.operators.parsing import typed_records
 from tidecart.plans.dimensions import with_province, with_user
 
 # Output column to province column.
@@ -37,9 +37,7 @@ def parse_details(raw: DataFrame) -> DataFrame:
 
 
 def _records(raw: DataFrame, schema: StructType) -> DataFrame:
-    arrival = ["timestamp"] if "timestamp" in raw.columns else []
-    records = evaluated_once(raw, F.from_json("value", schema), "r", arrival)
-    return records.where(F.col("r").isNotNull()).select("r.*", *arrival)
+    return typed_records(raw, schema, ["timestamp"] if "timestamp" in raw.columns else [])
 
 
 def enrich_orders(
