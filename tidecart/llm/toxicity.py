@@ -13,9 +13,9 @@ every score is the share of toxic labels (0 if there are none). Extra columns ar
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +26,14 @@ from tidecart.llm.common import crc, sample_by_hash, small, stored, text_bytes
 
 #: Bound of the training sample, rows of each label.
 SAMPLE_ROWS = 1500
-WINDOW, STRIDE = 32, 16
+WINDOW, STRIDE = 32, 24
 VOCABULARY, LEAST_TEXTS, TRIGRAMS = 20_000, 4, 2048
 WORD_DIM, CHAR_DIM, HIDDEN = 7, 8, 8
 INPUT = WORD_DIM + 1 + CHAR_DIM
-ROUNDS, EPOCHS, BATCH, RATE = 4, 3, 64, 0.01
+ROUNDS, EPOCHS, BATCH, RATE = 3, 3, 96, 0.015
 TOXIC_FROM = 0.7
 #: Words a task remembers, windows in one pass.
-CACHE, PASS = 200_000, 4096
+CACHE, PASS = 200_000, 2048
 
 # ASCII letters are lower-cased, all other ASCII characters part words; bytes beyond ASCII stay.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -43,9 +43,12 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_TABLE).split()
 
 
-def _trigrams(word: bytes) -> list[int]:
-    edged = b"<" + word[:40] + b">"
-    return [zlib.crc32(edged[k : k + 3]) % TRIGRAMS for k in range(len(edged) - 2)]
+def _trigrams(distinct: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed trigrams of words with an edge mark at both ends, laid end to end, and how many each word has (its bytes)."""
+    flat = np.frombuffer(b"<" + b"><".join(distinct) + b">", np.uint8).astype(np.int64)
+    sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))
+    at = np.arange(int(sizes.sum())) + np.repeat(2 * np.arange(len(distinct)), sizes)
+    return (flat[at] * 961 + flat[at + 1] * 31 + flat[at + 2] * 7919) % TRIGRAMS, sizes
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -125,10 +128,8 @@ def _inputs(model: dict, distinct: list[bytes]) -> np.ndarray:
     at = np.fromiter((model["words"].get(w, 0) for w in distinct), np.int64, len(distinct))
     out[:-1, :WORD_DIM] = model["we"][at]
     out[:-1, WORD_DIM] = model["odds"][at]
-    grams = [_trigrams(w) for w in distinct]
     if distinct:
-        sizes = np.fromiter(map(len, grams), np.int64, len(grams))
-        flat = np.concatenate([np.array(g, np.int64) for g in grams])
+        flat, sizes = _trigrams(distinct)
         out[:-1, WORD_DIM + 1 :] = np.add.reduceat(model["ce"][flat], np.cumsum(sizes) - sizes) / sizes[:, None]
     return out
 
@@ -182,7 +183,7 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 11) -> dict:
     known = [w for w, n in seen.most_common(VOCABULARY) if n >= LEAST_TEXTS]
     n_bad, n_all = toxic.sum(), len(toxic)
     odds = [np.log((bad[w] + 0.5) / (n_bad + 1)) - np.log((seen[w] - bad[w] + 0.5) / (n_all - n_bad + 1)) for w in known]
-    shrink = [seen[w] / (seen[w] + 8.0) for w in known]
+    shrink = [seen[w] / (seen[w] + 20.0) for w in known]
     model = {
         "words": {w: k + 1 for k, w in enumerate(known)},
         "odds": np.r_[0.0, np.array(odds) * np.array(shrink) / 2].astype(np.float32),
@@ -198,7 +199,6 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 11) -> dict:
     place = {w: k for k, w in enumerate(distinct)}
     ids = np.array([place[w] for line in cut for w in line], np.int64)
     text, first, length = _spans(np.array([len(line) for line in cut], np.int64))
-    grams = [_trigrams(w) for w in distinct]
     row = np.array([model["words"].get(w, 0) for w in distinct] + [0], np.int64)
     padded = np.r_[model["odds"][row[:-1]], 0.0]
     begins = np.flatnonzero(np.r_[True, text[1:] != text[:-1]])
@@ -239,8 +239,9 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 11) -> dict:
                     adam(k, value_, g[k])
                 gw, gc = np.zeros_like(model["we"]), np.zeros_like(model["ce"])
                 np.add.at(gw, row[real], per_word[:-1, :WORD_DIM])
-                for k, grad in zip(real, per_word[:-1, WORD_DIM + 1 :]):
-                    np.add.at(gc, grams[k], grad / len(grams[k]))
+                if len(real):
+                    flat, sizes = _trigrams([distinct[k] for k in real])
+                    np.add.at(gc, flat, np.repeat(per_word[:-1, WORD_DIM + 1 :] / sizes[:, None], sizes, axis=0))
                 adam("we", model["we"], gw)
                 adam("ce", model["ce"], gc)
     return model
@@ -255,12 +256,12 @@ def score_texts(model: dict, cache: dict, texts: list[bytes]) -> np.ndarray:
     place = cache["place"]
     cut = [words(t) for t in texts]
     held = len(place)
-    fresh = [w for w in {w: None for line in cut for w in line} if w not in place]
+    fresh = [w for w in dict.fromkeys(chain.from_iterable(cut)) if w not in place]
     place.update(zip(fresh, range(held, held + len(fresh))))
     made = _inputs(model, fresh)
     cache["x"] = made if cache.get("x") is None else np.concatenate([cache["x"][:-1], made])
     sizes = np.array([len(line) for line in cut], np.int64)
-    ids = np.fromiter((place[w] for line in cut for w in line), np.int64, int(sizes.sum()))
+    ids = np.fromiter(map(place.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
     used, ids = np.unique(ids, return_inverse=True)
     x = np.concatenate([cache["x"][used], np.zeros((1, INPUT), np.float32)])
     text, first, length = _spans(sizes)
