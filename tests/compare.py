@@ -67,7 +67,7 @@ def main() -> int:
     from tidecart.session import builder
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(queries())
+    names = sys.argv[2:] or [n for n in queries() if n in oracle_sql()]
     spark = builder("compare", spark__driver__host="127.0.0.1", spark__ui__enabled="false").master("local[8]").config(
         "spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
