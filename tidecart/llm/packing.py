@@ -107,6 +107,7 @@ def _numbered(parts: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray, np.n
     at most one entry per task and per length, since the order is global."""
     n = slices(parts.sparkSession)
     tie = F.xxhash64("doc_id", "piece")
+    parts = stored(parts)  # range-sorting reads its input twice
     ranged = parts.repartitionByRange(n, F.col("length"), tie).sortWithinPartitions("length", tie)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
