@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -50,53 +50,67 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[F.col(c) for c in columns])
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, computed once per word; emptied at ``limit`` words, so that memory stays bounded."""
-
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
 def mixed(values: np.ndarray) -> np.ndarray:
-    """A second, well-spread 64-bit hash of 64-bit values."""
+    """A well-spread 64-bit hash of 64-bit values (the finalizer of the public-domain splitmix generator)."""
     with np.errstate(over="ignore"):
-        z = values + _BASE
+        z = values + np.uint64(0x9E3779B97F4A7C15)
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return z ^ (z >> np.uint64(31))
 
 
-def windows_hash(hashes: np.ndarray, size: int) -> np.ndarray:
-    """Hash of each run of ``size`` consecutive word hashes, in order (doubling steps, no loop over words)."""
-    n = len(hashes) - size + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    with np.errstate(over="ignore"):
-        power, done, out, offset = hashes, 1, None, 0
-        rest = size
-        while True:  # binary expansion of size: out covers `offset` words, power covers `done`
-            if rest & 1:
-                part = power[offset : offset + n]
-                out = part.copy() if out is None else mixed(out * np.uint64(3) + part)
-                offset += done
-            rest >>= 1
-            if not rest:
-                return mixed(out)
-            power = mixed(power[:-done] * np.uint64(3) + power[done:])
-            done *= 2
+class Sums:
+    """Polynomial hashes, modulo 2**64, of any ranges of a sequence of 64-bit values, from prefix sums."""
+
+    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def __init__(self, values: np.ndarray, base: int = 0xD6E8FEB86659FD93):
+        n = len(values)
+        if len(self._powers.get(base, [[]])[0]) <= n:
+            size = max(1 << 16, 2 * n)
+            with np.errstate(over="ignore"):
+                up, down = (np.full(size, b, np.uint64) for b in (base, pow(base, -1, 1 << 64)))
+                up[0] = down[0] = 1
+                self._powers[base] = np.cumprod(up), np.cumprod(down)
+        up, self.down = self._powers[base]
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(values * up[:n], out=self.sums[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[end] - self.sums[start]) * self.down[start])
+
+
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+_LOWERED = np.arange(256, dtype=np.uint64) + 1
+_LOWERED[65:91] += 32
+_PLAIN = np.arange(256, dtype=np.uint64) + 1
+
+
+def hashed_words(column, lower: bool, block: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Word hashes of a binary Arrow column, without making the words: for blocks of rows ``low`` to ``high`` (about ``block`` bytes)
+    the hashes of all words (runs of other than ASCII white space) and, per row, where its words begin."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = column.buffers()[2]
+    data = np.frombuffer(raw, np.uint8) if raw is not None else np.empty(0, np.uint8)
+    low = 0
+    while low < len(column):
+        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + block, "right")) - 1)
+        part = data[offsets[low] : offsets[high]]
+        begins = offsets[low : high + 1] - offsets[low]
+        edge = np.zeros(len(part) + 1, bool)  # a text begins here
+        edge[begins] = True
+        inside = ~_WHITE[part]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1] | edge[1:-1]
+        last = inside.copy()
+        last[:-1] &= ~inside[1:] | edge[1:-1]
+        start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        values = Sums((_LOWERED if lower else _PLAIN)[part]).of(start, end)
+        with np.errstate(over="ignore"):
+            values = mixed(values + (end - start).astype(np.uint64))
+        yield low, high, values, np.searchsorted(start, begins)
+        low = high
 
 
 def sample_by_hash(df: DataFrame, key: str, rows: int, per: str | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecart.llm.common import WordHashes, row_key, schema_with, slices, small, stored, text_bytes, windows_hash
+from tidecart.llm.common import Sums, hashed_words, row_key, schema_with, slices, small, stored, text_bytes
 from tidecart.llm.graph import components
 
 WORDS, THRESHOLD = 5, 80  # words of a shingle; similarity in per cent
@@ -37,13 +37,23 @@ WORDS, THRESHOLD = 5, 80  # words of a shingle; similarity in per cent
 COMMON, COMMON_LISTED = 48, 200_000
 BUCKETS = 64
 #: Points of one block of a region.
-BLOCK = 2048
+BLOCK = 1024
+#: Buckets of the finer histogram that is compared before two sets are.
+FINE = 512
 
 
-def shingle_set(hashes: np.ndarray, words: int = WORDS) -> np.ndarray:
-    if not len(hashes):
-        return hashes
-    return np.unique(windows_hash(hashes, min(words, len(hashes))))
+def shingle_sets(column: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each row of a binary column."""
+    for low, high, hashes, begins in hashed_words(column, lower=True):
+        sums = Sums(hashes)
+        place = np.arange(max(len(hashes) - words + 1, 0))
+        runs = sums.of(place, place + words)
+        for a, b in zip(begins[:-1], begins[1:]):
+            if b - a >= words:
+                found = np.sort(runs[a : b - words + 1])
+                yield found[np.r_[True, found[1:] != found[:-1]]]
+            else:
+                yield sums.of(np.array([a]), np.array([b])) if b > a else np.empty(0, np.uint64)
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -55,7 +65,7 @@ def _each_set(frame: DataFrame, make: Callable, schema: str, kinds: list[pa.Data
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, step = WordHashes(), make()
+        step = make()
         for batch in batches:
             ids = list(zip(*[c.to_pylist() for c in batch.columns[:-1]])) or [()] * batch.num_rows
             rows: list[list] = [[] for _ in names]
@@ -68,8 +78,8 @@ def _each_set(frame: DataFrame, make: Callable, schema: str, kinds: list[pa.Data
                 return pa.RecordBatch.from_arrays(arrays, names=names)
 
             size = 0
-            for row, text in zip(ids, batch.columns[-1]):
-                for made in step(row, shingle_set(table.of(text.as_py().lower().split()), words)):
+            for row, found in zip(ids, shingle_sets(batch.columns[-1], words)):
+                for made in step(row, found):
                     for c, value in zip(rows, made):
                         c.append(value)
                     size += len(made[0]) if isinstance(made[0], np.ndarray) else 1
@@ -100,7 +110,7 @@ def _common_shingles(docs: DataFrame, words: int) -> np.ndarray:
     """Shingles of many points, sorted: counted in full per task, handed on from two points a task on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen, held, size = WordHashes(), set(), [], 0
+        seen, held, size = set(), [], 0
 
         def out() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
@@ -108,8 +118,7 @@ def _common_shingles(docs: DataFrame, words: int) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["h", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                s = shingle_set(table.of(text.as_py().lower().split()), words)
+            for s in shingle_sets(batch.column(0), words):
                 node = _node(s)
                 if node in seen:
                     continue
@@ -217,7 +226,8 @@ def _is_link(threshold: int):
 
 
 def _block_pairs(regions: DataFrame, threshold: int) -> DataFrame:
-    """Candidate pairs (a, b) of an outsider and another point of its region, within the three windows."""
+    """Candidate pairs (a, b, place) of an outsider and another point of its region, within the three windows; ``place`` is one of the
+    block pairs that found it."""
     n_blocks = (
         regions.groupBy("pivot").agg(
             F.ceil(F.sum(F.col("outside").cast("long")) / BLOCK).cast("int").alias("ko"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ka")
@@ -278,9 +288,58 @@ def _block_pairs(regions: DataFrame, threshold: int) -> DataFrame:
                 b_out.append(np.maximum(node[x], node[y]))
             if a_out:
                 pair = np.unique(np.stack([np.concatenate(a_out), np.concatenate(b_out)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+                here = np.full(pair.shape[1], table["place"][0].as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1]), pa.array(here)], names=["a", "b", "place"])
 
-    return ranged.mapInArrow(run, "a long, b long").distinct()
+    return ranged.mapInArrow(run, "a long, b long, place long").groupBy("a", "b").agg(F.min("place").alias("place"))
+
+
+def _verified_by_place(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) of ``pairs`` (a, b, place) that link. The sets of a place are brought there once, not once per pair; a finer
+    histogram settles most pairs, the sets themselves the rest."""
+    needed = pairs.select("place", F.explode(F.array("a", "b")).alias("a")).distinct()
+    items = needed.join(sets.select(F.col("node").alias("a"), "items"), "a").select("place", "a", F.lit(None).cast("long").alias("b"), "items")
+    both = items.unionByName(pairs.select("place", "a", "b", F.lit(None).cast("binary").alias("items")))
+    ranged = both.repartition(slices(pairs.sparkSession), "place").sortWithinPartitions("place", F.col("b").asc_nulls_first())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held, fine, at = None, [], [], {}
+        for batch in batches:
+            places, a, b = (batch.column(k).to_pylist() for k in range(3))
+            x, y = [], []
+
+            def out() -> Iterator[pa.RecordBatch]:
+                if x:
+                    i, j = np.array([at[n] for n in x]), np.array([at[n] for n in y])
+                    n = np.array([len(v) for v in held], np.int64)
+                    rows = np.stack(fine).astype(np.int32)
+                    good = []
+                    for k in range(0, len(i), 8192):
+                        u, v = i[k : k + 8192], j[k : k + 8192]
+                        apart = np.abs(rows[u] - rows[v]).sum(1)
+                        for p in np.flatnonzero(apart * (100 + threshold) <= (n[u] + n[v]) * (100 - threshold)).tolist():
+                            common = len(np.intersect1d(held[u[p]], held[v[p]], assume_unique=True))
+                            if common * 100 >= (n[u[p]] + n[v[p]] - common) * threshold:
+                                good.append(k + p)
+                    yield pa.RecordBatch.from_arrays([pa.array([x[g] for g in good], pa.int64()), pa.array([y[g] for g in good], pa.int64())], names=["a", "b"])
+                    x.clear()
+                    y.clear()
+
+            for k, here in enumerate(places):
+                if here != place:
+                    yield from out()
+                    place, held, fine, at = here, [], [], {}
+                if b[k] is None:
+                    values = np.frombuffer(batch.column(3)[k].as_py(), np.uint64)
+                    at[a[k]] = len(held)
+                    held.append(values)
+                    fine.append(np.bincount((values >> np.uint64(55)).astype(np.int64), minlength=FINE).astype(np.int32))
+                else:
+                    x.append(a[k])
+                    y.append(b[k])
+            yield from out()
+
+    return ranged.select("place", "a", "b", "items").mapInArrow(run, "a long, b long")
 
 
 def links(docs: DataFrame, found: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -320,7 +379,7 @@ def links(docs: DataFrame, found: DataFrame, words: int = WORDS, threshold: int
     )
     tried = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = _block_pairs(stored(region), threshold).join(tried, ["a", "b"], "left_anti")
-    second = _verified(stored(rest), sets).where(_is_link(threshold)).select("a", "b")
+    second = _verified_by_place(stored(rest), sets, threshold)
     return stored(first.union(second))
 
 

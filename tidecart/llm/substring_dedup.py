@@ -22,40 +22,43 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecart.llm.common import WordHashes, row_key, small, stored, text_bytes, windows_hash
+from tidecart.llm.common import Sums, hashed_words, mixed, row_key, small, stored, text_bytes
 
 WINDOW, KMER = 50, 25
 _DIGEST = ["d1", "d2"]
 
 
-def _digest(hashes: np.ndarray) -> tuple[int, int]:
-    raw = np.frombuffer(xxhash.xxh3_128_digest(np.ascontiguousarray(hashes).data), np.int64)
-    return int(raw[0]), int(raw[1])
+#: Windows of one path at most, so that a text that repeats one word is no single endless path.
+LONGEST = 64
+_OTHER_BASE = 0xA24BAED4963EE407
+
+
+class _Digests:
+    """128-bit digests of ranges of words."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.one, self.two = Sums(hashes), Sums(mixed(hashes), _OTHER_BASE)
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(s.of(start, end).view(np.int64) for s in (self.one, self.two))
 
 
 def paths(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
     """(km, d1, d2, doc_id, doc_key, at, n): windows ``at`` to ``at + n - 1`` of a text share the smallest k-mer ``km``."""
-    span = window - kmer + 1
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordHashes()
         for batch in batches:
-            found: list[tuple] = []
-            ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc, key, text in zip(ids, keys, batch.column(2)):
-                hashes = table.of(text.as_py().split())
-                if len(hashes) >= window:
-                    found += [(*row[:3], doc, key, *row[3:]) for row in _paths_of(hashes, window, kmer, span)]
-                if len(found) >= 50_000:
-                    yield _batch(found, doc_type)
-                    found = []
-            yield _batch(found, doc_type)
-
-    doc_type = pa.int64()
+            for low, high, hashes, begins in hashed_words(batch.column(2), lower=False):
+                least, row, at, n = _paths_of(hashes, begins, window, kmer)
+                first = begins[row] + at
+                digests = _Digests(hashes).of(first, first + n + window - 1)
+                rows = pa.array(row + low)
+                ids = [batch.column(k).take(rows) for k in (0, 1)]
+                arrays = [pa.array(least), *map(pa.array, digests), *ids, pa.array(at, pa.int32()), pa.array(n, pa.int32())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["km", "d1", "d2", "doc_id", "doc_key", "at", "n"])
+
     schema = "km long, d1 long, d2 long, doc_id long, doc_key long, at int, n int"
     source = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long"), row_key("doc_id", "text").alias("doc_key"), text_bytes().alias("t")
@@ -63,43 +66,47 @@ def paths(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
-def _batch(rows: list[tuple], doc_type: pa.DataType) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), doc_type, pa.int64(), pa.int32(), pa.int32()]
-    columns = list(zip(*rows)) or [()] * 7
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["km", "d1", "d2", "doc_id", "doc_key", "at", "n"])
-
-
-def _paths_of(hashes: np.ndarray, window: int, kmer: int, span: int) -> Iterator[tuple[int, int, int, int, int]]:
-    kmers = windows_hash(hashes, kmer)
-    step = 1 << 16  # a long text is cut into blocks only to bound the view below; places are global
+def _paths_of(hashes: np.ndarray, begins: np.ndarray, window: int, kmer: int) -> tuple[np.ndarray, ...]:
+    """Smallest k-mer, row, first window and number of windows of each path of a block of texts laid end to end."""
     n = len(hashes) - window + 1
-    least = np.empty(n, np.int64)
-    for a in range(0, n, step):
-        b = min(a + step, n)
-        least[a:b] = np.lib.stride_tricks.sliding_window_view(kmers[a : b + span - 1], span).argmin(1) + np.arange(a, b)
-    begins = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-    ends = np.r_[begins[1:], n]
-    signed = kmers.view(np.int64)[least[begins]].tolist()
-    for km, a, b in zip(signed, begins.tolist(), ends.tolist()):
-        yield (km, *_digest(hashes[a : b + window - 1]), a, b - a)
+    if n <= 0:
+        return tuple(np.empty(0, np.int64) for _ in range(4))
+    place = np.arange(len(hashes) - kmer + 1)
+    least, covered = Sums(hashes).of(place, place + kmer), 1
+    span = window - kmer + 1
+    while covered < span:  # minima of ever longer runs of k-mers
+        step = min(covered, span - covered)
+        least = np.minimum(least[:-step], least[step:])
+        covered += step
+    sizes = np.diff(begins)
+    row = np.repeat(np.arange(len(sizes)), sizes)[:n]
+    inside = np.arange(n) + window <= begins[row + 1]
+    place, least, row = np.flatnonzero(inside), least[:n][inside], row[inside]
+    if not len(place):
+        return tuple(np.empty(0, np.int64) for _ in range(4))
+    starts = np.r_[True, (least[1:] != least[:-1]) | (row[1:] != row[:-1])]
+    run = np.flatnonzero(starts)
+    since = np.arange(len(place)) - np.repeat(run, np.diff(np.r_[run, len(place)]))
+    run = np.flatnonzero(since % LONGEST == 0)
+    return least[run].view(np.int64), row[run], place[run] - begins[row[run]], np.diff(np.r_[run, len(place)])
 
 
 def _opened(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """(d1, d2, j, w1, w2): digest of window ``j`` of each path in ``wanted`` (doc_key, paths), read from its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordHashes()
         for batch in batches:
-            out: list[tuple] = []
-            for text, todo in zip(batch.column(0), batch.column(1)):
-                hashes = table.of(text.as_py().split())
-                for p in todo.as_py():
-                    for j in range(p["n"]):
-                        a = p["at"] + j
-                        out.append((p["d1"], p["d2"], j, *_digest(hashes[a : a + window])))
-            columns = list(zip(*out)) or [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["d1", "d2", "j", "w1", "w2"])
+            for low, high, hashes, begins in hashed_words(batch.column(0), lower=False):
+                todo = batch.column(1).slice(low, high - low)
+                of = np.repeat(np.arange(high - low), np.diff(todo.offsets.to_numpy()))
+                flat = todo.flatten()
+                d1, d2, at, n = (flat.field(k).to_numpy() for k in ("d1", "d2", "at", "n"))
+                path = np.repeat(np.arange(len(n)), n)
+                j = np.arange(len(path)) - np.repeat(np.cumsum(n) - n, n)
+                first = begins[of[path]] + at[path] + j
+                w1, w2 = _Digests(hashes).of(first, first + window)
+                arrays = [pa.array(d1[path]), pa.array(d2[path]), pa.array(j, pa.int32()), pa.array(w1), pa.array(w2)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["d1", "d2", "j", "w1", "w2"])
 
     texts = docs.select(row_key("doc_id", "text").alias("doc_key"), text_bytes().alias("t")).where(F.octet_length("t") > 0)
     chosen = texts.join(small(wanted, 32 + 48 * F.size("paths")), "doc_key").select("doc_key", "t", "paths")
