@@ -1,0 +1,419 @@
+"""Each operator against a brute-force version, on a table that also holds nulls, empty, long and repeated rows."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tidecart.llm import (
+    class_lm,
+    decontamination,
+    embedding_dedup,
+    graph,
+    jaccard_join,
+    kneser_ney,
+    language_id,
+    packing,
+    pii,
+    substring_dedup,
+    toxicity,
+)
+
+
+def key(row):
+    return tuple((v is not None, str(v)) for v in row)
+
+
+def same(found, expected):
+    assert sorted(map(tuple, found), key=key) == sorted(expected, key=key)
+
+
+def root_of(parent, x):
+    while parent[x] != x:
+        x = parent[x]
+    return x
+
+
+def test_packing(documents, texts):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = Counter()
+    for doc, text in texts:
+        ids = coder.encode(text or "", add_special_tokens=False).ids + [2]
+        first = len(ids) % 1024 or 1024
+        cuts = [0, *range(first, len(ids) + 1, 1024)]
+        for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            expected[doc, piece, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())] += 1
+    rows = packing.pack_documents(documents).collect()
+    assert Counter(tuple(r)[:5] for r in rows) == expected
+    end = Counter()
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == end[r["sequence_id"]]
+        end[r["sequence_id"]] += r["length"]
+    assert max(end.values()) <= 1024
+    assert len(end) <= 1.02 * sum(end.values()) / 1024 + 2
+
+
+def test_packing_white_space_cuts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mine = packing._Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    for text in ["a  b", " a", "a ", " ", "  ", "a \n b", "a\n b", "a 　 b", "x <|endoftext|> y", "it's 12 34!", "\t a\t", "a  b c "]:
+        assert np.frombuffer(mine.encode(text), "<u4").tolist() == coder.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("counts", [{}, {1024: 3}, {600: 5, 424: 5}, {10: 1000}, {700: 3, 300: 4, 20: 9, 1: 5}])
+def test_sweep_fills_sequences(counts):
+    plan, opened = packing.sweep_plan(counts, 1024)
+    assert sum(s * n for s, n in counts.items()) <= opened * 1024
+    assert opened <= 1.2 * sum(s * n for s, n in counts.items()) / 1024 + max(1, sum(n for s, n in counts.items() if s > 512))
+    assert len({(s, rank) for s, rank, *_ in plan}) == len(plan)
+
+
+def test_substring_dedup(documents, texts):
+    low = {}
+    for doc, text in texts:
+        words = (text or "").encode().split()
+        for k in range(len(words) - 49):
+            if doc is not None:
+                low[tuple(words[k : k + 50])] = min(doc, low.get(tuple(words[k : k + 50]), doc))
+    expected = []
+    for doc, text in texts:
+        words, gone = (text or "").encode().split(), set()
+        for k in range(len(words) - 49):
+            if doc is not None and low[tuple(words[k : k + 50])] < doc:
+                gone.update(range(k, k + 50))
+        kept = b" ".join(w for k, w in enumerate(words) if k not in gone)
+        expected.append((doc, len(words), len(gone), hashlib.sha256(kept).hexdigest()))
+    assert sum(e[2] for e in expected) > 0
+    same(substring_dedup.report(documents).collect(), expected)
+
+
+def test_class_lm(documents, texts):
+    cut = lambda t: [*(t or "").encode().lower().split(), b""]
+    fold = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0
+    count = Counter()
+    for doc, text in texts:
+        if not fold(doc):
+            count.update(cut(text))
+    total, distinct = sum(count.values()), len(count)
+    rows = class_lm.report(documents).collect()
+    expected = Counter()
+    for doc, text in texts:
+        base = sum(np.log10((count[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in cut(text))
+        expected[doc, fold(doc), len(cut(text)), sum(count[w] > 0 for w in cut(text)), total, round(base, 5)] += 1
+    assert Counter((*tuple(r)[:5], round(r["base_score"], 5)) for r in rows) == expected
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_class_lm_rare_words_take_the_join(documents, monkeypatch):
+    whole = {(r["doc_id"], r["doc_key"]): r for r in class_lm.score(documents, class_lm.train(documents)).collect()}
+    monkeypatch.setattr(class_lm, "HEAD_WORDS", 700)
+    for r in class_lm.score(documents, class_lm.train(documents)).collect():
+        other = whole[r["doc_id"], r["doc_key"]]
+        assert r["n_known"] == other["n_known"]
+        assert r["base_score"] == pytest.approx(other["base_score"]) and r["score"] == pytest.approx(other["score"])
+
+
+def test_exchange_separates_alternating_units():
+    pairs = np.zeros((4, 4))
+    pairs[0, 1] = pairs[1, 0] = pairs[2, 3] = pairs[3, 2] = 50
+    of = class_lm.exchange(pairs, classes=4)
+    assert len({of[0], of[1]}) == 2 or len({of[2], of[3]}) == 2
+
+
+def test_embedding_dedup(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 16))
+    x[200:300] = x[:100] + rng.normal(scale=0.04, size=(100, 16))
+    x[300:350] = x[0]
+    rows = [(k, [float(np.float32(v)) for v in row]) for k, row in enumerate(x)]
+    rows += [(1000, None), (1001, [0.0] * 16), (1002, [float("nan")] * 16), (1003, [None] * 16), (1004, []), (1005, [1.0, 2.0]), (1006, [2.0, 4.0]), (None, [3.0, 6.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    good = [(k, np.array(v)) for k, v in rows[:400]] + [(k, np.array(v)) for k, v in rows[-3:]]
+    unit = [v / np.linalg.norm(v) for _, v in good]
+    parent, links = list(range(len(good))), Counter()
+    for a in range(len(good)):
+        for b in range(a):
+            if len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.95:
+                links[a] += 1
+                links[b] += 1
+                parent[max(root_of(parent, a), root_of(parent, b))] = min(root_of(parent, a), root_of(parent, b))
+    expected = []
+    for a, (vec, _) in enumerate(good):
+        group = [good[b][0] for b in range(len(good)) if root_of(parent, b) == root_of(parent, a)]
+        least = min((g for g in group if g is not None), default=None)
+        expected.append((vec, links[a], least, vec == least if vec is not None else True))
+    expected += [(k, 0, k, True) for k in range(1000, 1005)]
+    found = [tuple(r)[:4] for r in embedding_dedup.report(frame).collect()]
+    assert sum(r[1] for r in found) >= 0.9 * sum(r[1] for r in expected)
+    same(found, expected)
+
+
+def test_traversal_visits_nearest_cells_first():
+    rng = np.random.default_rng(1)
+    a, b = rng.random((5, 7)), rng.random((5, 6))
+    for row, cells in enumerate(embedding_dedup.traversal(a, b, 9)):
+        sums = (a[row][:, None] + b[row][None]).reshape(-1)
+        assert sums[cells].tolist() == np.sort(sums)[:9].tolist()
+
+
+def test_kneser_ney(documents, tables):
+    labels = tables("labels")
+    rows = kneser_ney.judge(documents, labels.where("quality = 1")).collect()
+    assert len(rows) == documents.count()
+    quality = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    wrong = [r["doc_id"] for r in rows if quality.get(r["doc_id"]) == 1 and r["rejected"]]
+    caught = [r["rejected"] for r in rows if quality.get(r["doc_id"]) == 0]
+    assert not wrong and np.mean(caught) > 0.8
+    nobody = kneser_ney.judge(documents, labels.where("false"))
+    assert nobody.where("rejected").count() == 0
+
+
+def test_kneser_ney_sums_to_one_and_joins_like_lookups(documents, spark, monkeypatch):
+    trusted = documents.where("doc_id < 60").select("text")
+    model = kneser_ney.train(trusted, vocabulary_size=50)
+    keys, gains = model.frequent
+    gain = dict(zip(keys.tolist(), gains.tolist()))
+    alone = model.alone.copy()
+    alone[kneser_ney.OTHER] += np.log10(kneser_ney.OTHER_FORMS)
+    for a in (0, 1, 5):
+        total = sum(10 ** (model.back[a] + alone[b] + gain.get((a << 20) | b, 0.0)) for b in range(len(alone)))
+        assert total == pytest.approx(1.0, abs=1e-6)
+    whole = {(r["doc_id"], r["doc_key"]): r["log_prob"] for r in kneser_ney.score(documents, model).collect()}
+    monkeypatch.setattr(kneser_ney, "FREQUENT", 100)
+    few = kneser_ney.train(trusted, vocabulary_size=50)
+    for r in kneser_ney.score(documents, few).collect():
+        assert r["log_prob"] == pytest.approx(whole[r["doc_id"], r["doc_key"]])
+
+
+def test_toxicity_gradients():
+    rng = np.random.default_rng(5)
+    p = {"a": rng.normal(size=16), "o": rng.normal(size=16), "c": np.zeros(1)}
+    for side in "fb":
+        p |= {f"w{side}": rng.normal(size=(toxicity.INPUT, 24)) * 0.3, f"u{side}": rng.normal(size=(8, 24)) * 0.3, f"b{side}": rng.normal(size=24)}
+    x, mask, y = rng.normal(size=(5, 3, toxicity.INPUT)), np.ones((5, 3), bool), np.array([1.0, 0.0, 1.0])
+    mask[3:, 1] = False
+    _, g, dx = toxicity.gradients(p, x, mask, y)
+    for name in p:
+        at = (0,) * p[name].ndim
+        keep, ends = p[name][at], []
+        for step in (1e-5, -1e-5):
+            p[name][at] = keep + step
+            ends.append(toxicity.gradients(p, x, mask, y)[0])
+        p[name][at] = keep
+        assert g[name][at] == pytest.approx((ends[0] - ends[1]) / 2e-5, rel=1e-3, abs=1e-6)
+    x[0, 0, 0] += 1e-5
+    up = toxicity.gradients(p, x, mask, y)[0]
+    x[0, 0, 0] -= 2e-5
+    assert dx[0, 0, 0] == pytest.approx((up - toxicity.gradients(p, x, mask, y)[0]) / 2e-5, rel=1e-3, abs=1e-6)
+
+
+def test_toxicity(spark, documents):
+    rng = np.random.default_rng(2)
+    plain = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(240):
+        line = list(rng.choice(plain, 120))
+        if k % 2:
+            line[rng.integers(120)] = "idiot"
+            line[rng.integers(120)] = "scum"
+        rows.append((k, " ".join(line), k % 2))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    found = {r["doc_id"]: r for r in toxicity.report(frame, frame.select("doc_id", "toxic")).collect()}
+    held = [(r["predicted"], k % 2) for k, r in found.items() if r["held_out"]]
+    assert len(found) == 240 and np.mean([a == b for a, b in held]) > 0.95
+    odd = toxicity.report(documents, frame.select("doc_id", "toxic")).collect()
+    assert len(odd) == documents.count() and all(0 <= r["score"] <= 1 for r in odd)
+    none = toxicity.report(documents, frame.where("false").select("doc_id", "toxic"))
+    assert none.where("score <> 0").count() == 0
+
+
+def _words(text):
+    lower = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower) if w]
+
+
+def test_decontamination(spark, documents, texts, tables):
+    items = [(r["item_id"], r["text"]) for r in tables("benchmark").collect()]
+    items += [(70001, None), (70002, "..."), (70003, "in a row"), (70003, "in a row"), (70004, "same words in a row same words in a row same words")]
+    items.append((None, "W w W w W w w w w w w w"))
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    windows = defaultdict(set)
+    for item, text in items:
+        words = _words(text)
+        for k in range(max(1, len(words) - 9) if words else 0):
+            windows[tuple(words[k : k + 10])].add("" if item is None else str(item))
+    expected = []
+    for doc, text in texts:
+        words, hit, named = _words(text), set(), set()
+        for n in {len(w) for w in windows}:
+            for k in range(len(words) - n + 1):
+                if found := windows.get(tuple(words[k : k + n])):
+                    hit.update(range(k, k + n))
+                    named |= found
+        digest = hashlib.sha256(",".join(sorted(named)).encode()).hexdigest()
+        expected.append((doc, len(words), len(hit), len(named), digest, bool(hit)))
+    assert any(e[-1] for e in expected)
+    same(decontamination.report(documents, frame).collect(), expected)
+    assert decontamination.report(documents, frame.where("false")).where("contaminated").count() == 0
+
+
+def test_proximity(spark):
+    frame = spark.createDataFrame([(1, "alpha b c beta"), (2, "alpha b c d e beta"), (3, None)], "doc_id long, text string")
+    assert [r["doc_id"] for r in decontamination.proximity_matches(frame, "beta alpha", 4).collect()] == [1]
+    assert decontamination.proximity_matches(frame, "nowhere", 4).count() == 0
+
+
+def _jaccard(texts):
+    sets = []
+    for _, text in texts:
+        w = (text or "").encode().lower().split()
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set())
+    parent, cells = list(range(len(sets))), defaultdict(list)
+    for k, s in enumerate(sets):
+        for g in s:
+            cells[g].append(k)
+    common = Counter((a, b) for group in cells.values() for k, b in enumerate(group) for a in group[:k])
+    for (a, b), c in common.items():
+        if 100 * c >= 80 * (len(sets[a]) + len(sets[b]) - c):
+            x, y = root_of(parent, a), root_of(parent, b)
+            parent[max(x, y)] = min(x, y)
+    out = []
+    for k, (doc, _) in enumerate(texts):
+        ids = [texts[j][0] for j in range(len(texts)) if root_of(parent, j) == root_of(parent, k)]
+        out.append((doc, len(sets[k]), min((i for i in ids if i is not None), default=None)))
+    return out
+
+
+def test_jaccard_join(documents, texts):
+    same(jaccard_join.report(documents).collect(), _jaccard(texts))
+
+
+def test_jaccard_join_of_crowded_regions(spark, monkeypatch):
+    """Many near copies around a base, chains, and a passage everybody quotes; small blocks and an early common list."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    monkeypatch.setattr(jaccard_join, "COMMON", 6)
+    rng = np.random.default_rng(4)
+    base, passage = [f"b{k}" for k in range(100)], [f"p{k}" for k in range(12)]
+    texts = []
+    for k in range(40):
+        line = list(base)
+        for at in rng.choice(100, rng.integers(0, 6), replace=False):
+            line[at] = f"x{rng.integers(10**6)}"
+        texts.append((len(texts), " ".join(line)))
+    for k in range(30):
+        texts.append((len(texts), " ".join([*passage, *(f"u{k}_{i}" for i in range(rng.integers(1, 40)))])))
+    step = [f"s{k}" for k in range(60)]
+    for k in range(10):
+        texts.append((len(texts), " ".join([*step[k * 2 :], *(f"t{i}" for i in range(k * 2))])))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    same(jaccard_join.report(frame).collect(), _jaccard(texts))
+
+
+def test_components(spark):
+    path = [(k, k + 1) for k in range(0, 40)] + [(100, 90), (90, 95), (7, 7)]
+    found = graph.components(spark.createDataFrame(path, "a long, b long")).collect()
+    same(found, [(k, 0) for k in range(41)] + [(k, 90) for k in (90, 95, 100)])
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_language(spark, documents):
+    found = {r["doc_id"]: r for r in language_id.report(spark, documents).collect()}
+    assert found[900]["lang_pred"] == found[901]["lang_pred"] == "und" and found[900]["score"] == 0
+    true = {r["doc_id"]: r["lang"] for r in documents.where("doc_id < 900").collect()}
+    held = [found[d]["lang_pred"] == lang for d, lang in true.items() if found[d]["held_out"]]
+    assert np.mean(held) > 0.9
+    assert all(0 <= r["score"] <= 1 for r in found.values())
+    nothing = language_id.classify(documents, language_id.learn(documents.where("false")))
+    assert nothing.where("lang_pred <> 'und'").count() == 0
+
+
+_KINDS = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    ("card", r"[0-9]([\x20-]?[0-9])+"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+]
+
+
+def _plain(text):
+    def fine(kind, m):
+        digits = re.sub("[^0-9]", "", m)
+        if kind == "ip":
+            return all(int(p) <= 255 for p in m.split("."))
+        if kind == "card":
+            return 12 <= len(digits) <= 19 and sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(reversed(digits))) % 10 == 0
+        return kind == "email" or 9 <= len(digits) <= 15
+
+    found = [(m.start(), k, kind, m.end()) for k, (kind, p) in enumerate(_KINDS) for m in re.finditer(p, text) if fine(kind, m.group())]
+    return [(kind, a, b) for a, _, kind, b in sorted(found)]
+
+
+def test_pii(documents, texts):
+    expected = []
+    for doc, text in texts:
+        spans = _plain(text or "")
+        written = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        counts = [sum(s[0] == k for s in spans) for k, _ in _KINDS]
+        expected.append((doc, *counts, hashlib.sha256(written.encode()).hexdigest()))
+    found = pii.report(documents).collect()
+    same([tuple(r)[:6] for r in found], expected)
+    assert all(r["spans"] is not None for r in found)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["a@b.c@d.e", "x.y@z", "@a.b", "a@@b.c", "1.2.3.4.5.6.7.8", "999.1.1.1", "1.2.3.400 01.02.03.04", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (414) 555-7134.", "+12 3", "++49 151 23456789-", "1234567890128 4111111111111111", "a" * 500 + "@" + "b" * 50, "é@b.de ü", "1" * 4000],
+)
+def test_plain_spans(text):
+    assert pii.plain_spans(text) == _plain(text)
+
+
+@pytest.mark.parametrize(
+    "text, kind, part",
+    [
+        ("write jo (at) mail (dot) example (dot) com now", "email", "jo (at) mail (dot) example (dot) com"),
+        ("write jo at example dot com now", "email", "jo at example dot com"),
+        ("write jo@mail[.]example.com now", "email", "jo@mail[.]example.com"),
+        ("write jо@еxample.com now", "email", "jо@еxample.com"),
+        ("from １２.71.76.174 on", "ip", "１２.71.76.174"),
+        ("call plus one four one four five five five seven one three four now", "phone", "plus one four one four five five five seven one three four"),
+        ("host one nine two dot one six eight dot one dot seven yes", "ip", "one nine two dot one six eight dot one dot seven"),
+        ("mail a​b@c.de", "email", "a​b@c.de"),
+    ],
+)
+def test_disguised_spans(text, kind, part):
+    base, found = pii.spans(text)
+    start = text.index(part)
+    assert (kind, start, start + len(part)) in found
+    assert set(base) <= set(found)
+
+
+def test_prose_is_left_alone():
+    for text in ["look at the dot on the map", "one two three go", "he was at home. Dot came", "meet at noon.Then go", "un deux trois"]:
+        assert pii.spans(text) == ([], [])
+
+
+def test_masked():
+    text = "a@b.de and 12.71.76.174!"
+    assert pii.masked(text, pii.spans(text)[1]) == "<email> and <ip>!"
+
+
+def test_empty_tables(spark, documents, tables):
+    none = documents.where("false")
+    labels = tables("labels")
+    for frame in [
+        packing.pack_documents(none), substring_dedup.report(none), class_lm.report(none), kneser_ney.report(none, labels),
+        toxicity.report(none, labels), decontamination.report(none, tables("benchmark")), jaccard_join.report(none),
+        language_id.report(spark, none), pii.report(none), embedding_dedup.report(tables("embeddings").where("false")),
+    ]:
+        assert frame.count() == 0

@@ -69,7 +69,7 @@ _LABEL = r"[A-Za-z0-9-]+"
 _ADDRESS = re.compile(
     rf"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9._%+-]+(?:{_DOT_ANY}[A-Za-z0-9_%+-]+)*)"
     rf"(?:(?P<box>{_AT_BOX}|\s?@\s?)(?P<d1>{_LABEL}(?:(?:\.|{_DOT_ANY}){_LABEL})+)"
-    rf"|\s(?:{_AT})\s(?P<d2>{_LABEL}(?:(?:\.|{_DOT_ANY}){_LABEL})*(?:{_DOT_ANY}{_LABEL}|\.(?:{_TOP})(?![A-Za-z0-9-]))))",
+    rf"|\s(?:{_AT})\s(?P<d2>{_LABEL}(?:(?:\.|{_DOT_ANY}){_LABEL})*(?:{_DOT_ANY}|\.)(?:{_TOP})(?![A-Za-z0-9-])))",
     re.IGNORECASE,
 )
 _DOTS = re.compile(_DOT_ANY, re.IGNORECASE)
@@ -163,7 +163,7 @@ def _spell(tape: Tape) -> None:
 
 
 def _addresses(tape: Tape) -> None:
-    """Write disguised addresses plainly. A bare "at" between words counts only before a domain with a disguised dot or
+    """Write disguised addresses plainly. A bare "at" between words counts only before a domain that ends in
     a well-known top level, so that ordinary prose stays as it is."""
     edits: list[tuple[int, int, str]] = []
     for m in _ADDRESS.finditer(tape.text):
@@ -176,8 +176,8 @@ def _addresses(tape: Tape) -> None:
 
 
 def spans(text: str) -> tuple[list[Span], list[Span]]:
-    """(plain spans, all spans). A disguised span is added only where rewriting changed something inside it, and where no
-    plain span of its kind overlaps it."""
+    """(plain spans, all spans). A disguised span is added only where rewriting changed something inside it, and unless a
+    plain span of its kind covers it."""
     base = plain_spans(text)
     glyphs = None if text.isascii() else _GLYPH.search(text)
     spelled, address = _MAYBE_SPELLED.search(text), _MAYBE_ADDRESS.search(text)
@@ -195,7 +195,7 @@ def spans(text: str) -> tuple[list[Span], list[Span]]:
     for kind, a, b in plain_spans(tape.text):
         if any(tape.changed[a:b]):
             start, end = tape.source(a, b)
-            if not any(s < end and start < e for _, s, e in taken[kind]):
+            if not any(s <= start and end <= e for _, s, e in taken[kind]):
                 added.add((kind, start, end))
     return base, in_order({*base, *added})
 
