@@ -45,7 +45,7 @@ def differences(spark, con, folder: str, query, sql: str) -> tuple[list[str], in
     names = [d[0] for d in result.description]
     right = result.fetchall()
     problems = []
-    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    kinds = {"boolean": "BOOLEAN", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
     mine = {n: kinds.get(kind, kind) for n, kind in df.dtypes}
     theirs = {d[0]: str(d[1]) for d in result.description}
     if mine != theirs:
