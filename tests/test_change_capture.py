@@ -60,6 +60,26 @@ def test_latest_dimension_row(route, rows):
     assert rows(dimensions.user_table(latest), "id", "gender") == [("36", "M"), ("37", "B"), ("38", "F")]
 
 
+def test_order_within_a_second(route):
+    _, dims = route(
+        event("update", "user_info", {"id": 1, "gender": "OLD"}, ts=100, xid=1, xoffset=5),
+        event("update", "user_info", {"id": 1, "gender": "NEW"}, ts=100, xid=2, xoffset=0),
+        event("update", "user_info", {"id": 2, "gender": "a"}, ts=100, xid=3, xoffset=0),
+        event("update", "user_info", {"id": 2, "gender": "c"}, ts=100, xid=3),
+        event("update", "user_info", {"id": 2, "gender": "b"}, ts=100, xid=3, xoffset=1),
+    )
+    got = {r.id: json.loads(r.data)["gender"] for r in change_capture.latest_dims(dims).collect()}
+    assert got == {"1": "NEW", "2": "c"}
+
+
+def test_source_offset_decides_last(spark):
+    texts = [(event("update", "user_info", {"id": 1, "gender": g}, ts=1), n) for g, n in (("new", 8), ("old", 7))]
+    changes = change_capture.parse(spark.createDataFrame(texts, "value string, offset long"))
+    roles = spark.createDataFrame(ROLES, "table_name string, role string")
+    latest = change_capture.latest_dims(change_capture.dim_changes(changes, roles)).collect()
+    assert [json.loads(r.data)["gender"] for r in latest] == ["new"]
+
+
 def test_typed_dimensions(route):
     _, dims = route(
         event("insert", "base_province", {"id": 3, "name": "P", "iso_code": "CN-11", "iso_3166_2": "CN-BJ", "area_code": "110000"}),

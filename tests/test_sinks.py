@@ -149,3 +149,33 @@ def test_kafka_options():
     assert fixed["startingOffsets"] == '{"t": {"0": 10, "1": 20}}'
     assert (fixed["groupIdPrefix"], fixed["maxOffsetsPerTrigger"]) == ("g", "5")
     assert kafka.sink_options("h:9092")["kafka.acks"] == "all"
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_new_checkpoint_adds_to_the_tables(spark, tmp_path, compacted):
+    """Batch ids start at 0 again with a new checkpoint; nothing stored before is lost, and a replay replaces only itself."""
+    one = lambda k, n: spark.createDataFrame([(k, n)], "k string, count bigint")
+    schema = _ddl("k string, count bigint")
+    open_tables = lambda: [
+        KeyedLedger(spark, f"{tmp_path}/keyed", schema, ["k"]),
+        CounterLedger(spark, f"{tmp_path}/counter", schema, ["k"]),
+        SetLedger(spark, f"{tmp_path}/set", _ddl("k string"), ["k"]),
+    ]
+    for table in open_tables():
+        table.bind("first")
+        table.write(one("a", 1), 0)
+        table.write(one("b", 2), 1)
+        if compacted:
+            table.compact(0)
+    for table in open_tables():
+        table.bind("second")
+        assert {r["k"] for r in table.read(before=0).collect()} == {"a", "b"}
+        table.write(one("a", 5), 0)
+        table.write(one("a", 7), 0)  # a replay
+    for table in open_tables():
+        table.bind("second")
+        table.write(one("c", 1), 1)
+    keyed, counter, members = (t.read() for t in open_tables())
+    assert {tuple(r) for r in keyed.collect()} == {("a", 7), ("b", 2), ("c", 1)}
+    assert {tuple(r) for r in counter.collect()} == {("a", 8), ("b", 2), ("c", 1)}
+    assert {r["k"] for r in members.collect()} == {"a", "b", "c"}

@@ -187,18 +187,24 @@ def table_roles(spark: SparkSession) -> DataFrame:
 
 
 def raw_changes(spark: SparkSession, folder: str) -> DataFrame:
-    """Change texts: users (loaded, some updated, some deleted), provinces, orders, and a table nobody asked for."""
+    """Change texts: users (loaded, some updated, some deleted), provinces, orders, a table nobody asked for, and kinds that are
+    no row changes. Updates share a second over two transactions, the second closed by an event without an offset."""
 
-    def event(kind, table: str, ts: int, data: Column) -> Column:
+    def event(kind, table: str, ts: int, data: Column, **place: int) -> Column:
         kind = kind if isinstance(kind, Column) else F.lit(kind)
-        return F.to_json(F.struct(kind.alias("type"), F.lit(table).alias("table"), F.lit(ts).alias("ts"), data.alias("data")))
+        more = [F.lit(v).alias(k) for k, v in place.items()]
+        return F.to_json(F.struct(kind.alias("type"), F.lit(table).alias("table"), F.lit(ts).alias("ts"), *more, data.alias("data")))
 
     key = F.col("c_custkey")
     user = F.struct(key.alias("id"), _gender().alias("gender"), _birthday().alias("birthday"))
     updated = F.struct(key.alias("id"), F.lit("F").alias("gender"), _birthday().alias("birthday"))
     history = F.array(
         event("bootstrap-insert", "user_info", 1, user),
-        F.when(key % 3 == 0, event("update", "user_info", 2, updated)),
+        F.when(key % 3 == 0, event("update", "user_info", 2, user, xid=1, xoffset=5)),
+        F.when(key % 3 == 0, event("update", "user_info", 2, user, xid=2, xoffset=0)),
+        F.when(key % 3 == 0, event("update", "user_info", 2, updated, xid=2)),
+        F.when(key % 7 == 0, event("bootstrap-start", "user_info", 9, updated)),
+        F.when(key % 7 == 0, event("table-alter", "order_info", 9, updated)),
         F.when(key % 5 == 0, event("delete", "user_info", 3, user)),
     )
     user_events = source(spark, folder, "customer").select(F.explode(history).alias("value"))

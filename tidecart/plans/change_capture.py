@@ -11,6 +11,7 @@ from tidecart.operators.parsing import evaluated_once
 from tidecart.operators.pick import latest_by_key
 
 FACT, DIM = "fact", "dim"
+_LAST = 2**63 - 1
 
 
 def op_code(kind: Column) -> Column:
@@ -22,16 +23,19 @@ def op_code(kind: Column) -> Column:
 
 def _events(raw: DataFrame) -> DataFrame:
     options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
-    return evaluated_once(raw, F.from_json("value", schemas.CDC_ENVELOPE, options), "e", ["value"])
+    kept = [c for c in ("value", "offset") if c in raw.columns]
+    return evaluated_once(raw, F.from_json("value", schemas.CDC_ENVELOPE, options), "e", kept)
 
 
 def parse(raw: DataFrame) -> DataFrame:
     """Row changes ``(table_name, op, data, seq)`` of a frame with a ``value`` text column.
 
-    ``seq`` orders the changes: source second, then the transaction offset within it.
+    ``seq`` orders the changes: source second, transaction, offset in it (the event that closes a transaction has none and
+    comes last), and the place in the source topic where the frame has an ``offset`` column.
     Events other than row changes are dropped, and so are texts that are not change events.
     """
-    number = lambda name: F.coalesce(F.col(name).try_cast("bigint"), F.lit(0))
+    number = lambda name, missing: F.coalesce(F.col(name).try_cast("bigint"), F.lit(missing))
+    arrived = F.col("offset").cast("bigint") if "offset" in raw.columns else F.lit(0).cast("bigint")
     return (
         _events(raw)
         .where(F.col("e").isNotNull() & F.col("e")[schemas.CORRUPT].isNull())
@@ -39,7 +43,12 @@ def parse(raw: DataFrame) -> DataFrame:
             F.col("e.table").alias("table_name"),
             op_code(F.col("e.type")).alias("op"),
             F.col("e.data").alias("data"),
-            (number("e.ts") * 1_000_000 + number("e.xoffset")).alias("seq"),
+            F.struct(
+                number("e.ts", 0).alias("ts"),
+                number("e.xid", -1).alias("xid"),
+                number("e.xoffset", _LAST).alias("xoffset"),
+                arrived.alias("arrived"),
+            ).alias("seq"),
         )
         .where(F.col("op").isNotNull())
     )

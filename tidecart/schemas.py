@@ -108,7 +108,7 @@ CDC_ENVELOPE = _ddl("type string, table string, ts string, xid string, xoffset s
 # --- tables kept by this package --------------------------------------------------------------
 
 TABLE_ROLES = _ddl("table_name string, role string")
-DIM_ROWS = _ddl("table_name string, id string, data string, op string, seq bigint")
+DIM_ROWS = _ddl("table_name string, id string, data string, op string", seq=_ddl("ts bigint, xid bigint, xoffset bigint, arrived bigint"))
 BLACK_LIST = _ddl("userid string")
 USER_AD_COUNT = _ddl("dt string, userid string, adid string, count bigint")
 AREA_CITY_AD_COUNT = _ddl("dt string, area string, city string, adid string, count bigint")

@@ -5,11 +5,14 @@ the batches: newest row per key, sum of increments, or distinct members. Compact
 to a new epoch folder and then appends a mark that makes the epoch current; nothing is changed in place, and a
 compaction that dies before its mark leaves the old epoch current.
 
+    runs/                               rows (run, base)
     marks/                              rows (epoch, upto)
     epoch=<e>/state/[<partition>=../]         rows of batches up to ``upto``, reduced
     epoch=<e>/log/batch_id=<n>/[<partition>=../]   rows of each later batch
 
-One streaming query writes a table; any number read it. Folders of old epochs are never read again and can be
+One streaming query writes a table at a time; any number read it. The batch ids of a query start at 0 with every new
+checkpoint, so a query is bound to the table under the id of its checkpoint (:meth:`bind`) and its batches are numbered on from
+those already stored: a query that starts over adds to the table, and a replay still replaces only its own batch. Folders of old epochs are never read again and can be
 removed with the storage's own tools.
 """
 
@@ -20,13 +23,14 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from tidecart.operators.counting import sum_by
 from tidecart.operators.pick import latest_by_key
 from tidecart.sources.files import read_table
 
 _MARKS = StructType().add("epoch", LongType()).add("upto", LongType())
+_RUNS = StructType().add("run", StringType()).add("base", LongType())
 _BATCH = "batch_id"
 
 
@@ -42,6 +46,19 @@ class _Ledger:
         self.schema = schema
         self.keys = list(keys)
         self.partition = partition
+        self.base = 0
+
+    def bind(self, run: str) -> None:
+        """Number the batches of ``run`` (one per checkpoint) on from the newest batch there was when it first wrote."""
+        found = read_table(self.spark, f"{self.path}/runs", _RUNS).where(F.col("run") == run).agg(F.min("base").alias("base")).first()
+        if found["base"] is None:
+            mark = self._mark()
+            newest = self._log(mark).agg(F.max(_BATCH).alias("b")).first()["b"]
+            base = max(mark.upto, -1 if newest is None else newest) + 1
+            self.spark.createDataFrame([(run, base)], _RUNS).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
+            self.base = base
+        else:
+            self.base = found["base"]
 
     # -- layout
 
@@ -76,6 +93,7 @@ class _Ledger:
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Record the rows of a batch, replacing an earlier attempt of the same batch."""
         mark = self._mark()
+        batch_id += self.base
         if batch_id <= mark.upto:
             raise ValueError(f"batch {batch_id} is already compacted (up to {mark.upto})")
         rows = self.prepare(df.select(*self.schema.names))
@@ -84,9 +102,10 @@ class _Ledger:
     def compact(self, upto: int) -> None:
         """Reduce all batches up to ``upto``. Only pass batches whose commit is certain (before the running one)."""
         mark = self._mark()
+        upto += self.base
         if upto <= mark.upto:
             return
-        state = self.read(before=upto + 1)
+        state = self.read(before=upto + 1 - self.base)
         folder = f"epoch={mark.epoch + 1}"
         if self.partition:
             # Few files per folder, and adaptive execution splits a folder that is too big for one task.
@@ -105,6 +124,8 @@ class _Ledger:
         ``where`` may use key columns only; it reaches the files of every batch and, on the partition column, prunes folders.
         """
         mark = self._mark()
+        if before is not None:
+            before += self.base
         if before is not None and before <= mark.upto:
             raise ValueError(f"the state before batch {before} is compacted away (up to {mark.upto})")
         log = self._log(mark)

@@ -21,17 +21,22 @@ def dau_ledger(spark: SparkSession, path: str) -> KeyedLedger:
     return KeyedLedger(spark, path, schemas.DAU_INFO, ["dt", "mid"], partition="dt")
 
 
+#: How far a record's time may run ahead of the batch that brings it.
+AHEAD = "1 hour"
+
+
 def first_seen(page_logs: DataFrame, lateness: str = "1 day", salts: int = 8) -> DataFrame:
     """The first landing seen per day and device.
 
     ``lateness`` of at least a day keeps every key of a day in state until the day is over. Spark sends all rows
     of a key to one task here, so a first pass on ``(day, device, salt)`` thins out a hot device on ``salts``
     tasks and the second pass sees at most ``salts`` rows of it. Which of several landings in one batch is kept is
-    not fixed; across batches it is the earlier batch's.
+    not fixed; across batches it is the earlier batch's. A clock that runs ahead moves the watermark by no more than
+    ``AHEAD`` past the time of the batch, so one record dated in the future closes no day early.
     """
     landed = (
         with_row_count(active_users.landings(with_row_count(page_logs, "pages")), "landings")
-        .withColumn("event_time", F.timestamp_millis("ts"))
+        .withColumn("event_time", F.least(F.timestamp_millis("ts"), F.current_timestamp() + F.expr(f"INTERVAL {AHEAD}")))
         .withWatermark("event_time", lateness)
     )
     if salts > 1:
@@ -86,4 +91,4 @@ def start_daily_active(
         users, provinces = dims()
         handle_landings(batch, batch_id, users, provinces, table, as_of, restore, compact_every)
 
-    return start(first_seen(page_logs, lateness, salts), "daily_active", handle, **options)
+    return start(first_seen(page_logs, lateness, salts), "daily_active", handle, tables=[table], **options)

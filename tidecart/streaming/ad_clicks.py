@@ -72,7 +72,7 @@ def start_black_list(
     def handle(batch: DataFrame, batch_id: int) -> None:
         handle_black_list(batch, batch_id, counts, black_list, threshold, compact_every)
 
-    return start(ad_clicks.parse(raw), "ad_black_list", handle, interval=interval, **options)
+    return start(ad_clicks.parse(raw), "ad_black_list", handle, interval=interval, tables=[counts, black_list], **options)
 
 
 def start_area_city_counts(
@@ -82,13 +82,14 @@ def start_area_city_counts(
         compact_before(batch_id, compact_every, counts)
         counts.write(ad_clicks.area_city_counts(batch), batch_id)
 
-    return start(ad_clicks.parse(raw), "ad_area_city", handle, interval=interval, **options)
+    return start(ad_clicks.parse(raw), "ad_area_city", handle, interval=interval, tables=[counts], **options)
 
 
-def click_trend(clicks: DataFrame, lateness: str = "10 seconds", window_seconds: int = 60, slide_seconds: int = 10) -> DataFrame:
+def click_trend(clicks: DataFrame, lateness: str = "60 seconds", window_seconds: int = 60, slide_seconds: int = 10) -> DataFrame:
     """Streaming form of the click trend, for append or update mode.
 
-    State holds one count per bucket; the windows that cover it are derived after the count.
+    State holds one count per bucket; the windows that cover it are derived after the count. ``lateness`` should be at least a
+    window, so that a click counts as long as a window that holds it can still be shown.
     """
     timed = ad_clicks.with_event_time(clicks).withWatermark("event_time", lateness)
     return windows_over_buckets(bucket_counts(timed, "event_time", slide_seconds), window_seconds, slide_seconds)
@@ -100,7 +101,7 @@ def start_click_trend(
     checkpoint: str | None = None,
     name: str = "click_trend",
     mode: str = "update",
-    lateness: str = "10 seconds",
+    lateness: str = "60 seconds",
     interval: str = "10 seconds",
     available_now: bool = False,
 ) -> StreamingQuery:

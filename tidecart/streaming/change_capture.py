@@ -54,4 +54,4 @@ def start_change_capture(
     def handle(batch: DataFrame, batch_id: int) -> None:
         handle_changes(batch, batch_id, roles(), topics, dims, compact_every)
 
-    return start(raw, "change_capture", handle, **options)
+    return start(raw, "change_capture", handle, tables=[dims], **options)

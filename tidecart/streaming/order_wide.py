@@ -121,4 +121,4 @@ def start_order_wide(
         users, provinces = dims()
         handle_pairs(batch, batch_id, users, provinces, table, as_of, compact_every)
 
-    return start(paired(orders, details, within, lateness, salts), "order_wide", handle, **options)
+    return start(paired(orders, details, within, lateness, salts), "order_wide", handle, tables=[table], **options)

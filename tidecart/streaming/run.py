@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import threading
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -21,21 +22,37 @@ def start(
     interval: str = INTERVAL,
     available_now: bool = False,
     mode: str = "append",
+    tables: Sequence = (),
 ) -> StreamingQuery:
     """Run ``handle(batch, batch_id)`` for every batch, in batches of ``interval`` or until the input is used up.
 
     The checkpoint records the input of a batch before it runs and its commit after it, so a restarted query
     repeats at most the last batch, with the same rows and the same id; ``handle`` must be safe to repeat.
+    ``tables`` are the ledgers it writes: they are bound to the checkpoint's own id before the first batch.
     """
+    started, query_id = threading.Event(), []
+
+    def bound(batch: DataFrame, batch_id: int) -> None:
+        if tables and not bound.done:
+            started.wait()
+            for table in tables:
+                table.bind(query_id[0])
+            bound.done = True
+        handle(batch, batch_id)
+
+    bound.done = False
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return (
+    query = (
         df.writeStream.queryName(name)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint or checkpoint_location(df.sparkSession, name))
-        .foreachBatch(handle)
+        .foreachBatch(bound)
         .trigger(**trigger)
         .start()
     )
+    query_id.append(str(query.id))
+    started.set()
+    return query
 
 
 def compact_before(batch_id: int, every: int, *tables) -> None:
