@@ -9,8 +9,9 @@ everybody quotes from gathering everybody; it changes no result).
    of shared cells), and is replicated to the regions of all points it shares a cell with: the boundary.
 2. Distances to the pivot are exact and link what lies within r.
 3. What is linked so far is contracted. Regions with points that are still apart from their pivot join again: pairs of an
-   outsider and any other point, within the triangle-inequality window |d(x, p) - d(y, p)| <= r, the size window, and a bound on
-   the symmetric difference from 64-bucket histograms. Large regions are dealt out as pairs of blocks.
+   outsider and any other point that may share a cell (by bit sets), within the triangle-inequality window
+   |d(x, p) - d(y, p)| <= r, the size window, and a bound on the symmetric difference from histograms. Large regions are dealt
+   out as pairs of blocks.
 4. The pairs left are verified exactly; links of both steps give the components.
 
 A text is lower-cased in A-Z and cut at ASCII white space; a set holds its distinct runs of five words, or the whole
@@ -25,9 +26,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from tidecart.llm.common import Sums, hashed_words, row_key, schema_with, slices, small, stored, text_bytes
 from tidecart.llm.graph import components
@@ -35,7 +39,12 @@ from tidecart.llm.graph import components
 WORDS, THRESHOLD = 5, 80  # words of a shingle; similarity in per cent
 #: A shingle of at least so many points comes last in the order; at most so many are listed (the list only steers cost).
 COMMON, COMMON_LISTED = 48, 200_000
-BUCKETS = 64
+#: Buckets of a set's histogram, one byte each. Counts beyond 255 stay there: differences then only look smaller.
+BUCKETS = 256
+#: 64-bit words of the set of cells of a point, hashed to bits.
+MARKS = 16
+#: Points a task remembers so as to take each once; beyond that repeats are dropped later, or only weigh more in the order.
+REMEMBERED = 2_000_000
 #: Points of one block of a region.
 BLOCK = 1024
 #: Buckets of the finer histogram that is compared before two sets are.
@@ -91,47 +100,55 @@ def _each_set(frame: DataFrame, make: Callable, schema: str, kinds: list[pa.Data
     return frame.mapInArrow(run, schema)
 
 
-def points(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, doc_key, n_shingles, node) per row; ``node`` names the set, and is null without one."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-    def make() -> Callable:
-        return lambda row, s: [(*row, len(s), _node(s) if len(s) else None)]
-
-    schema = f"doc_id {kind}, doc_key bigint, n_shingles bigint, node bigint"
-    return _each_set(
-        docs.select("doc_id", row_key("doc_id", "text").alias("doc_key"), text_bytes().alias("t")),
-        make, schema, [arrow, pa.int64(), pa.int64(), pa.int64()], words,
-    )
-
-
-def _common_shingles(docs: DataFrame, words: int) -> np.ndarray:
-    """Shingles of many points, sorted: counted in full per task, handed on from two points a task on."""
+def _read(docs: DataFrame, words: int) -> DataFrame:
+    """Points and shingle counts in one pass over the texts: (doc_id, doc_key, n_shingles, node, null, null) per row, where ``node``
+    names the set and is null without one, and (null, null, null, null, h, times) for shingles that points of a task share."""
+    schema = StructType().add("doc_id", docs.schema["doc_id"].dataType)
+    for name in ("doc_key", "n_shingles", "node", "h", "times"):
+        schema = schema.add(name, "long")
+    kinds = [to_arrow_type(f.dataType) for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, size = set(), [], 0
 
-        def out() -> pa.RecordBatch:
+        def rows(given: dict[int, pa.Array]) -> pa.RecordBatch:
+            n = len(next(iter(given.values())))
+            return pa.RecordBatch.from_arrays([given.get(k, pa.nulls(n, kind)) for k, kind in enumerate(kinds)], names=schema.names)
+
+        def shared() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
             often = counts >= 2
-            return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["h", "n"])
+            return rows({4: pa.array(values[often].view(np.int64)), 5: pa.array(counts[often].astype(np.int64))})
 
         for batch in batches:
-            for s in shingle_sets(batch.column(0), words):
+            n, nodes = [], []
+            for s in shingle_sets(batch.column(2), words):
                 node = _node(s)
-                if node in seen:
-                    continue
-                seen.add(node)
-                held.append(s)
-                size += len(s)
-                if size > 6_000_000:
-                    yield out()
-                    held, size = [], 0
-        yield out()
+                n.append(len(s))
+                nodes.append(node if len(s) else None)
+                if node not in seen:
+                    if len(seen) < REMEMBERED:
+                        seen.add(node)
+                    held.append(s)
+                    size += len(s)
+                    if size > 6_000_000:
+                        yield shared()
+                        held, size = [], 0
+            yield rows({0: batch.column(0), 1: batch.column(1), 2: pa.array(n, pa.int64()), 3: pa.array(nodes, pa.int64())})
+        yield shared()
+
+    return docs.select("doc_id", row_key("doc_id", "text").alias("doc_key"), text_bytes().alias("t")).mapInArrow(run, schema)
+
+
+def points(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, doc_key, n_shingles, node) per row, and (h, times) of shingles that points share."""
+    both = stored(_read(docs, words))
+    return both.where("times is null").drop("h", "times"), both.where("times is not null").select("h", "times")
+
 
-    part = docs.select(text_bytes().alias("t")).mapInArrow(run, "h long, n long")
-    total = part.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
+def _common_shingles(shared: DataFrame) -> np.ndarray:
+    """Shingles of many points, sorted: counted in full per task, handed on from two points a task on."""
+    total = shared.groupBy("h").agg(F.sum("times").alias("n")).where(F.col("n") >= COMMON)
     rows = total.orderBy(F.desc("n"), "h").limit(COMMON_LISTED).select("h").toPandas()
     return np.sort(rows["h"].to_numpy(np.int64).view(np.uint64))
 
@@ -147,7 +164,7 @@ def cells(docs: DataFrame, common: np.ndarray, words: int = WORDS, threshold: in
             node = _node(s)
             if not len(s) or node in seen:
                 return
-            if len(seen) < 2_000_000:
+            if len(seen) < REMEMBERED:
                 seen.add(node)
             take = len(s) * (100 - threshold) // 100 + 1
             if len(last):
@@ -188,12 +205,12 @@ def cells(docs: DataFrame, common: np.ndarray, words: int = WORDS, threshold: in
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, n, items array<long>, sketch array<int>) of each point in ``nodes`` (node, doc_key), read again from one text of it."""
+    """(node, n, items, sketch) of each point in ``nodes`` (node, doc_key), read again from one text of it."""
 
     def make() -> Callable:
         def step(row: tuple, s: np.ndarray) -> Iterator[tuple]:
-            sketch = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BUCKETS)
-            yield (row[0], len(s), s.view(np.int64).tobytes(), sketch.astype("<u4").tobytes())
+            sketch = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=BUCKETS)
+            yield (row[0], len(s), s.view(np.int64).tobytes(), np.minimum(sketch, 255).astype(np.uint8).tobytes())
 
         return step
 
@@ -221,6 +238,16 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, schema_with(joined.select(*names), common="long"))
 
 
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sums of differences of histograms: at most the size of the symmetric difference."""
+    return (np.maximum(x, y) - np.minimum(x, y)).sum(1, dtype=np.int64)
+
+
+def _marks() -> list:
+    """Aggregates that set one bit for each cell of a point."""
+    return [F.expr(f"bit_or(if(pmod(h, {64 * MARKS}) div 64 = {k}, shiftleft(1L, cast(pmod(h, 64) as int)), 0L))").alias(f"m{k}") for k in range(MARKS)]
+
+
 def _is_link(threshold: int):
     return F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * threshold
 
@@ -236,7 +263,7 @@ def _block_pairs(regions: DataFrame, threshold: int) -> DataFrame:
     dealt = regions.join(n_blocks, "pivot")
     mine = F.pmod(F.xxhash64("node"), F.col("ko")).cast("int")
     theirs = F.pmod(F.xxhash64("node"), F.col("ka")).cast("int")
-    fields = ["pivot", "node", "n", "root", "sketch", "low", "high"]
+    fields = ["pivot", "node", "n", "root", "sketch", "marks", "low", "high"]
     asks = dealt.where("outside").select(*fields, mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("ka") - 1)).alias("j"), F.lit(True).alias("asks"))
     told = dealt.select(*fields, F.explode(F.sequence(F.lit(0), F.col("ko") - 1)).alias("i"), theirs.alias("j"), F.lit(False).alias("asks"))
     both = asks.unionByName(told)
@@ -271,19 +298,22 @@ def _block_pairs(regions: DataFrame, threshold: int) -> DataFrame:
             if not k or k == len(asks):
                 continue
             n, node, root, least, most = (table[c].to_numpy() for c in ("n", "node", "root", "low", "high"))
-            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u4").reshape(len(n), BUCKETS).astype(np.int32)
+            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(n), BUCKETS)
+            marks = pc.list_flatten(table["marks"]).to_numpy().reshape(len(n), MARKS)
             order = k + np.argsort(n[k:], kind="stable")
-            sorted_n = n[order]
+            told_n, told_root, told_least, told_most = (v[order] for v in (n, root, least, most))
+            told_marks = np.ascontiguousarray(marks[order].T)
             a_out, b_out = [], []
             for x in range(k):
-                low, high = np.searchsorted(sorted_n, [-(-n[x] * threshold // 100), n[x] * 100 // threshold + 1])
-                y = order[low:high]
-                gap = np.maximum(least[y] - most[x], least[x] - most[y])
-                y = y[(root[y] != root[x]) & (gap <= (100 - threshold) / 100 + 1e-9)]
+                low, high = np.searchsorted(told_n, [-(-n[x] * threshold // 100), n[x] * 100 // threshold + 1])
+                at = np.flatnonzero(marks[x])
+                fits = np.bitwise_or.reduce(told_marks[at, low:high] & marks[x, at][:, None], axis=0) != 0
+                fits &= told_root[low:high] != root[x]
+                fits &= np.maximum(told_least[low:high] - most[x], least[x] - told_most[low:high]) <= (100 - threshold) / 100 + 1e-9
+                y = order[low + np.flatnonzero(fits)]
                 if not len(y):
                     continue
-                apart = np.abs(sketch[y] - sketch[x]).sum(1)
-                y = y[apart * (100 + threshold) <= (n[y] + n[x]) * (100 - threshold)]
+                y = y[_apart(sketch[y], sketch[x]) * (100 + threshold) <= (n[y] + n[x]) * (100 - threshold)]
                 a_out.append(np.minimum(node[x], node[y]))
                 b_out.append(np.maximum(node[x], node[y]))
             if a_out:
@@ -342,12 +372,12 @@ def _verified_by_place(pairs: DataFrame, sets: DataFrame, threshold: int) -> Dat
     return ranged.select("place", "a", "b", "items").mapInArrow(run, "a long, b long")
 
 
-def links(docs: DataFrame, found: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
+def links(docs: DataFrame, found: DataFrame, shared: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """Enough links (a, b) between points to connect all that are connected; each holds exactly."""
-    common = _common_shingles(docs, words)
+    common = _common_shingles(shared)
     cell = stored(cells(docs, common, words, threshold))
-    ranks = cell.groupBy("node").agg((-F.count(F.lit(1)) / F.max("places")).alias("rank"))
-    ranked = cell.join(ranks, "node").select("h", F.struct("rank", "node").alias("x"))
+    ranks = stored(cell.groupBy("node").agg((-F.count(F.lit(1)) / F.max("places")).alias("rank"), *_marks()))
+    ranked = cell.join(ranks.select("node", "rank"), "node").select("h", F.struct("rank", "node").alias("x"))
     center = ranked.groupBy("h").agg(F.min("x").alias("top"))
     with_top = stored(cell.select("h", "node").join(center, "h"))
     pivots = stored(with_top.groupBy("node").agg(F.min("top").alias("p")).select("node", F.col("p.node").alias("pivot")))
@@ -371,9 +401,10 @@ def links(docs: DataFrame, found: DataFrame, words: int = WORDS, threshold: int
     apart = checked.select(F.col("a").alias("pivot"), F.col("b").alias("node"), exact)
     region = (
         known.join(label, "node")
+        .join(ranks.select("node", F.array(*[f"m{k}" for k in range(MARKS)]).alias("marks")), "node")
         .join(label.select(F.col("node").alias("pivot"), F.col("root").alias("proot")), "pivot")
         .join(apart, ["pivot", "node"], "left")
-        .select("pivot", "node", "n", "sketch", "root", (F.col("root") != F.col("proot")).alias("outside"),
+        .select("pivot", "node", "n", "sketch", "marks", "root", (F.col("root") != F.col("proot")).alias("outside"),
                 F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.coalesce("exact", "least")).alias("low"),
                 F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.coalesce("exact", F.lit(1.0))).alias("high"))
     )
@@ -390,8 +421,8 @@ def _bounded(rows: DataFrame, threshold: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, pn = batch.column(2).to_numpy(), batch.column(4).to_numpy()
-            flat = [np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(len(n), BUCKETS).astype(np.int64) for c in (3, 5)]
-            apart = np.abs(flat[0] - flat[1]).sum(1)
+            flat = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(n), BUCKETS) for c in (3, 5)]
+            apart = _apart(*flat)
             maybe = (apart * (100 + threshold) <= (n + pn) * (100 - threshold)) & (np.minimum(n, pn) * 100 >= np.maximum(n, pn) * threshold)
             least = 1 - np.maximum(n + pn - apart, 0) / (n + pn + apart)
             arrays = [*batch.columns[:4], pa.array(maybe), pa.array(least)]
@@ -402,8 +433,8 @@ def _bounded(rows: DataFrame, threshold: int) -> DataFrame:
 
 def join_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, doc_key, n_shingles, component_id (smallest doc_id reachable by links, itself included) per row."""
-    found = stored(points(docs, words))
-    roots = components(links(docs, found, words, threshold))
+    found, shared = points(docs, words)
+    roots = components(links(docs, found, shared, words, threshold))
     grouped = found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = grouped.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return grouped.join(least, "root", "left").select(
