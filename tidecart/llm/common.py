@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -114,15 +114,20 @@ def hashed_words(column, lower: bool, block: int = 1 << 20) -> Iterator[tuple[in
 
 
 def sample_by_hash(df: DataFrame, key: str, rows: int, per: str | None = None) -> DataFrame:
-    """At most ``rows`` rows (of each value of ``per``) by smallest hash of the key: the same rows on every run. Spark
-    keeps the first rows of each task before it shuffles, so no group is gathered whole."""
-    from pyspark.sql import Window
-
-    by = [F.xxhash64(F.col(key).cast("string")), F.col(key)]
+    """At most ``rows`` rows (of each value of ``per``) by smallest hash of the key: the same rows on every run. Hashes are first
+    counted by their leading 16 bits; only rows up to the slot in which a group reaches ``rows`` are ranked, so no group is
+    gathered whole."""
+    hashed = F.xxhash64(F.col(key).cast("string"))
+    by = [hashed, F.col(key)]
     if per is None:
         return df.orderBy(*by).limit(rows)
-    window = Window.partitionBy(per).orderBy(*by)
-    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= rows).drop("_rank")
+    slot = F.shiftright(hashed, 48)
+    counts = df.groupBy(F.col(per).alias("_per"), slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_per").orderBy("_slot")) - F.col("_n")
+    ends = counts.withColumn("_before", before).where(F.col("_before") < rows).groupBy("_per").agg(F.max("_slot").alias("_end"))
+    near = df.join(small(stored(ends), 64), F.col(per).eqNullSafe(F.col("_per"))).where(slot <= F.col("_end")).drop("_per", "_end")
+    ranked = near.withColumn("_rank", F.row_number().over(Window.partitionBy(per).orderBy(*by)))
+    return ranked.where(F.col("_rank") <= rows).drop("_rank")
 
 
 #: A table is broadcast only if it is measured to be at most this large.
