@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 def test_registered():
     names = list(queries())
     assert [n for n in names if n.startswith("op")][:1] and "pipeline" in names
-    for k in range(1, 11):
+    for k in range(1, 14):
         assert sum(n.startswith(f"op{k}_") for n in names) == 1
     assert set(ORACLES) <= set(oracle_sql())
 

@@ -10,6 +10,7 @@ from tidecart.llm import (
     class_lm,
     decontamination,
     embedding_dedup,
+    fill_in_middle,
     jaccard_join,
     kneser_ney,
     language_id,
@@ -17,6 +18,8 @@ from tidecart.llm import (
     pii,
     substring_dedup,
     toxicity,
+    url_filter,
+    vector_codes,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,4 +44,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": _documents(jaccard_join.report),
     "op9_language_id": lambda s, d: language_id.report(s, table(s, d, "documents")),
     "op10_pii": _documents(pii.report),
+    "op11_url_filter": lambda s, d: url_filter.report(table(s, d, "pages")),
+    "op12_fill_in_middle": _documents(fill_in_middle.report),
+    "op13_vector_codes": lambda s, d: vector_codes.report(table(s, d, "embeddings")),
 }
