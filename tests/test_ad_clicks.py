@@ -61,7 +61,9 @@ def test_replay_and_compaction_change_nothing(spark, rows, tables):
     batches = [clicks(spark, ("a", "1", 20), ("b", "1", 31)), clicks(spark, ("a", "1", 11), ("b", "1", 2)), clicks(spark, ("a", "1", 1), ("c", "9", 3))]
     for i, batch in enumerate(batches):
         for _ in range(2):
-            stream.handle_black_list(batch, i, counts, banned, compact_every=1)
+            stream.handle_black_list(batch, i, counts, banned)
+            counts.compact()
+            banned.compact()
     assert rows(counts.read()) == [("2023-11-15", "a", "1", 31), ("2023-11-15", "c", "9", 3)]
     assert rows(banned.read()) == [("a",), ("b",)]
 

@@ -3,8 +3,9 @@ from pyspark.sql import functions as F
 
 from tidecart import schemas
 from tidecart.schemas import _ddl
-from tidecart.sinks import CounterLedger, FileTopics, KeyedLedger, SetLedger
+from tidecart.sinks import CounterLedger, Fenced, FileTopics, KeyedLedger, SetLedger
 from tidecart.sources import files, kafka
+from tidecart.sources.folders import create_once, matching
 
 ROW = _ddl("dt string, id bigint, v string")
 
@@ -59,23 +60,21 @@ def test_compaction_keeps_the_content(frame, table, rows):
         table.read(before=2)
 
 
-def test_a_compaction_that_dies_before_its_mark_is_ignored(frame, table, rows, monkeypatch):
+def test_a_compaction_that_dies_before_its_manifest_is_ignored(frame, table, rows, monkeypatch):
     table.write(frame(("d1", 1, "a")), 0)
     table.write(frame(("d1", 2, "b")), 1)
-    original = table._save
-    calls = []
 
-    def dies(df, folder, partitions):
-        if calls:
-            raise RuntimeError("lost")
-        calls.append(folder)
-        original(df, folder, partitions)
+    def dies(*_):
+        raise RuntimeError("lost")
 
-    monkeypatch.setattr(table, "_save", dies)
+    monkeypatch.setattr(table, "_publish", dies)
     with pytest.raises(RuntimeError):
         table.compact(0)
     monkeypatch.undo()
     assert rows(table.read()) == [("d1", 1, "a"), ("d1", 2, "b")]
+    # a manifest whose writer died while writing it counts for nothing either
+    create_once(table.spark, f"{table.path}/marks/{7:010d}.json", '{"upto": [')
+    assert rows(table.read()) == [("d1", 1, "a"), ("d1", 2, "b")]
     table.compact(1)
     assert rows(table.read()) == [("d1", 1, "a"), ("d1", 2, "b")]
 
@@ -179,3 +178,195 @@ def test_new_checkpoint_adds_to_the_tables(spark, tmp_path, compacted):
     assert {tuple(r) for r in keyed.collect()} == {("a", 7), ("b", 2), ("c", 1)}
     assert {tuple(r) for r in counter.collect()} == {("a", 8), ("b", 2), ("c", 1)}
     assert {r["k"] for r in members.collect()} == {"a", "b", "c"}
+
+
+# --- several runs ----------------------------------------------------------------------------
+
+PAIR = _ddl("k string, count bigint")
+
+
+def open_tables(spark, folder):
+    return [
+        KeyedLedger(spark, f"{folder}/keyed", PAIR, ["k"]),
+        CounterLedger(spark, f"{folder}/counter", PAIR, ["k"]),
+        SetLedger(spark, f"{folder}/set", PAIR, ["k", "count"]),
+    ]
+
+
+def contents(tables):
+    return [sorted(tuple(r) for r in t.read().collect()) for t in tables]
+
+
+@pytest.fixture
+def write(spark):
+    def put(tables, batch, *pairs):
+        for table in tables:
+            table.write(spark.createDataFrame(list(pairs), PAIR), batch)
+
+    return put
+
+
+def bound(spark, folder, run):
+    tables = open_tables(spark, folder)
+    for table in tables:
+        table.bind(run)
+    return tables
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_an_older_run_that_is_resumed_overwrites_nothing(spark, tmp_path, write, compacted):
+    first = bound(spark, tmp_path, "A")
+    write(first, 0, ("a", 1))
+    second = bound(spark, tmp_path, "B")
+    write(second, 0, ("b", 1))
+    resumed = bound(spark, tmp_path, "A")
+    write(resumed, 1, ("c", 1))
+    if compacted:
+        for table in resumed:
+            table.retire("B")
+            write([table], 2, ("a", 5))
+            assert table.compact() and not table.compact()
+        assert contents(resumed) == [[("a", 5), ("b", 1), ("c", 1)], [("a", 6), ("b", 1), ("c", 1)], [("a", 1), ("a", 5), ("b", 1), ("c", 1)]]
+    else:
+        assert contents(resumed) == [[("a", 1), ("b", 1), ("c", 1)]] * 3
+        assert contents(open_tables(spark, tmp_path)) == contents(resumed)
+
+
+def test_a_run_that_is_not_the_current_one_may_not_write(spark, tmp_path, write):
+    first = bound(spark, tmp_path, "A")
+    write(first, 0, ("a", 1))
+    second = bound(spark, tmp_path, "B")
+    for table in first:
+        with pytest.raises(Fenced):
+            write([table], 1, ("x", 9))
+    write(second, 0, ("b", 1))
+    assert contents(second) == [[("a", 1), ("b", 1)]] * 3
+
+
+def test_a_batch_that_completes_after_the_claim_fails_and_is_not_read(spark, tmp_path, write, monkeypatch):
+    """The claim falls between the writer's check and the end of its write."""
+    old = bound(spark, tmp_path, "A")[0]
+    write([old], 0, ("a", 1))
+    new = open_tables(spark, tmp_path)[0]
+    save = old._save
+
+    def claimed_meanwhile(df, folder):
+        new.bind("B")
+        save(df, folder)
+
+    monkeypatch.setattr(old, "_save", claimed_meanwhile)
+    with pytest.raises(Fenced):
+        write([old], 1, ("zombie", 1))
+    assert contents([new]) == [[("a", 1)]]
+    write([new], 0, ("b", 1))
+    # its run comes back, repeats the batch that was not committed, and goes on
+    again = bound(spark, tmp_path, "A")[0]
+    write([again], 1, ("kept", 1))
+    assert contents([again]) == [[("a", 1), ("b", 1), ("kept", 1)]]
+
+
+def test_a_repeated_batch_keeps_its_place_in_the_order(spark, tmp_path, write):
+    first = bound(spark, tmp_path, "A")[:1]
+    write(first, 0, ("k", 1))
+    write(first, 1, ("k", 2))
+    write(bound(spark, tmp_path, "B")[:1], 0, ("k", 3))
+    again = bound(spark, tmp_path, "A")[:1]
+    assert sorted(map(tuple, again[0].read(before=1).collect())) == [("k", 1)]
+    write(again, 1, ("k", 2))  # the last batch of A was not committed
+    assert contents(again) == [[("k", 3)]]
+    write(again, 2, ("k", 4))
+    assert contents(again) == [[("k", 4)]]
+
+
+def test_a_claim_whose_writer_died_counts_for_nothing(spark, tmp_path, write):
+    table = bound(spark, tmp_path, "A")[0]
+    write([table], 0, ("a", 1))
+    create_once(spark, f"{table.path}/terms/{2:010d}.claim")
+    with pytest.raises(Fenced):
+        write([table], 1, ("b", 1))
+    table.bind("A")
+    write([table], 1, ("b", 1))
+    assert table.term == 3 and contents([table]) == [[("a", 1), ("b", 1)]]
+
+
+def test_runs_that_may_return_hold_compaction_back(spark, tmp_path, write):
+    table = bound(spark, tmp_path, "A")[1]
+    for batch in range(3):
+        write([table], batch, ("k", 1))
+    assert table.compact() and tuple(table._mark().upto) == (1, 1)
+    other = bound(spark, tmp_path, "B")[1]
+    for batch in range(3):
+        write([other], batch, ("k", 10))
+    assert not other.compact()
+    other.retire("A")
+    assert other.compact() and tuple(other._mark().upto) == (2, 1)
+    assert contents([other]) == [[("k", 33)]]
+    with pytest.raises(ValueError):
+        bound(spark, tmp_path, "A")
+    with pytest.raises(ValueError):
+        other.bind("no/name")
+
+
+# --- compaction by partition -----------------------------------------------------------------
+
+
+def test_compaction_rewrites_the_changed_day_only(spark, frame, table, rows):
+    table.write(frame(*[(f"d{i:02d}", k, "old") for i in range(20) for k in range(3)], (None, 1, "no day")), 0)
+    assert table.compact(0)
+    homes = table._mark().homes
+    assert len(homes) == 21 and len(set(homes.values())) == 1
+    table.write(frame(("d07", 1, "new"), ("d07", 9, "more")), 1)
+    assert table.compact(1)
+    changed = {p for p, h in table._mark().homes.items() if h != homes[p]}
+    assert changed == {"d07"}
+    files = matching(spark, f"{table.path}/state/home={table._mark().homes['d07']}/dt=*")
+    assert files == ["dt=d07"]
+    got = rows(table.read())
+    assert len(got) == 62 and ("d07", 1, "new") in got and ("d07", 1, "old") not in got and (None, 1, "no day") in got
+    assert rows(table.read(where=F.col("dt") == "d07")) == [("d07", 0, "old"), ("d07", 1, "new"), ("d07", 2, "old"), ("d07", 9, "more")]
+    table.write(frame((None, 1, "again")), 2)
+    assert table.compact(2) and (None, 1, "again") in rows(table.read()) and len(rows(table.read())) == 62
+
+
+def test_vacuum_removes_what_no_kept_manifest_needs(spark, frame, table, rows):
+    for batch in range(5):
+        table.write(frame(("d1", 1, f"b{batch}"), (f"d{batch}", 2, "x")), batch)
+        table.compact(batch)
+    want, before = rows(table.read()), matching(spark, f"{table.path}/state/*")
+    table.vacuum(keep=2)
+    assert len(matching(spark, f"{table.path}/marks/*")) == 5  # replaced too lately
+    table.vacuum(keep=2, older_than=0)
+    assert rows(table.read()) == want
+    assert len(matching(spark, f"{table.path}/marks/*")) == 2
+    # d0 still lives in the first home; the home that only held an older d1 is gone
+    assert (len(before), len(matching(spark, f"{table.path}/state/*"))) == (5, 4)
+    assert matching(spark, f"{table.path}/log/term=*/batch_id=*") == ["batch_id=4"]
+    table.vacuum(keep=1, older_than=0)
+    assert rows(table.read()) == want and not matching(spark, f"{table.path}/log/term=*/batch_id=*")
+    # the next claim knows the last batch from the manifest
+    table.bind("later")
+    table.bind("default")
+    with pytest.raises(ValueError):
+        table.write(frame(("d1", 1, "late")), 4)
+    table.write(frame(("d1", 1, "next")), 5)
+    assert ("d1", 1, "next") in rows(table.read())
+
+
+def test_of_two_compactions_one_wins(spark, frame, table, rows):
+    for batch in range(3):
+        table.write(frame(("d1", batch, "x")), batch)
+    other = KeyedLedger(spark, table.path, ROW, ["dt", "id"], partition="dt")
+    stale = other._mark()
+    assert table.compact()
+    other._mark = lambda: stale
+    assert not other.compact()
+    del other._mark
+    assert rows(other.read()) == rows(table.read()) and len(matching(spark, f"{table.path}/state/*")) == 1
+
+
+def test_file_topics_of_two_runs(spark, tmp_path, rows):
+    topics = FileTopics(f"{tmp_path}/topics")
+    for run, value in (("A", "1"), ("B", "2"), ("B", "3")):
+        topics.bind(run)
+        topics.write(spark.createDataFrame([("T", value)], "topic string, value string"), 0)
+    assert rows(topics.read(spark), "run", "value", "batch_id") == [("A", "1", 0), ("B", "3", 0)]

@@ -137,7 +137,7 @@ def test_daily_active(spark, feed, dims, tmp_path, rows):
     run(*args, checkpoint=tmp_path / "cp", salts=4)
     assert rows(table.read(), "dt", "mid") == sorted([*before, ("2023-11-15", "d")])
     # nothing was stored twice either
-    assert table._log(table._mark()).count() == len(before) + 1
+    assert table._log(table._batches()).count() == len(before) + 1
 
 
 def test_daily_active_without_its_checkpoint_restores_from_the_table(spark, feed, dims, tmp_path, rows):

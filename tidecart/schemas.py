@@ -112,4 +112,4 @@ DIM_ROWS = _ddl("table_name string, id string, data string, op string", seq=_ddl
 BLACK_LIST = _ddl("userid string")
 USER_AD_COUNT = _ddl("dt string, userid string, adid string, count bigint")
 AREA_CITY_AD_COUNT = _ddl("dt string, area string, city string, adid string, count bigint")
-TOPIC_ROWS = _ddl("key string, value string, batch_id bigint, topic string")
+TOPIC_ROWS = _ddl("key string, value string, run string, batch_id bigint, topic string")

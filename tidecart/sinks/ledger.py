@@ -1,24 +1,36 @@
-"""Replay-safe tables on plain parquet.
-
-A batch writes its rows to its own folder, so a replay replaces exactly what it wrote before. Readers reduce
-the batches: newest row per key, sum of increments, or distinct members. Compaction writes the reduced state
-to a new epoch folder and then appends a mark that makes the epoch current; nothing is changed in place, and a
-compaction that dies before its mark leaves the old epoch current.
-
-    runs/                               rows (run, base)
-    marks/                              rows (epoch, upto)
-    epoch=<e>/state/[<partition>=../]         rows of batches up to ``upto``, reduced
-    epoch=<e>/log/batch_id=<n>/[<partition>=../]   rows of each later batch
-
-One streaming query writes a table at a time; any number read it. The batch ids of a query start at 0 with every new
-checkpoint, so a query is bound to the table under the id of its checkpoint (:meth:`bind`) and its batches are numbered on from
-those already stored: a query that starts over adds to the table, and a replay still replaces only its own batch. Folders of old epochs are never read again and can be
-removed with the storage's own tools.
+"""Replay-safe tables on plain parquet, over any number of runs.
+
+A batch is named by the run that writes it (one per checkpoint) and its number in that run, and has a folder of its own, so a
+replay replaces exactly what it wrote before. Readers reduce the batches: newest row per key, sum of increments, or distinct
+members.
+
+Only one run writes at a time. A run that starts, or starts again, claims the next *term*; from then on every older term is
+closed: its batches are those that were complete when the claim was made, and a writer that still holds it gets
+:class:`Fenced` before or right after it writes, so that its checkpoint does not commit a batch nobody will read. The place
+of a batch in the table's history is (term, number): a resumed run goes on after everything stored meanwhile, while a batch that
+it repeats keeps its old place.
+
+    terms/<term>.claim, <term>.seal              the run that holds a term; the last batch of a closed term
+    log/term=<t>/batch_id=<n>/[<partition>=../]  rows of a batch, complete once ``_done`` is there
+    state/home=<h>/[<partition>=../]             rows of compacted batches, reduced
+    marks/<n>.json                               manifest: up to which place, and which home holds each partition
+
+Compaction rewrites only the partitions that its batches touch, and then publishes a manifest; a compaction that dies before
+leaves the old one current. It may run beside the writer, in any process: batches that could still be repeated are left
+alone. :meth:`_Ledger.vacuum` removes what no kept manifest refers to. Nothing is changed in place.
+
+Everything in ``terms`` and ``marks`` is created exclusively and never changed, so its content is cached by name. A claim or
+manifest without content (its writer died) counts for nothing.
 """
 
 from __future__ import annotations
 
+import json
+import re
+import time
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,110 +39,264 @@ from pyspark.sql.types import LongType, StringType, StructType
 
 from tidecart.operators.counting import sum_by
 from tidecart.operators.pick import latest_by_key
-from tidecart.sources.files import read_table
+from tidecart.sources.folders import content, create_once, matching, remove
+
+_TERM, _BATCH, _HOME = "term", "batch_id", "home"
+_PLACE = [_TERM, _BATCH]
+_DONE = "_done"
+
+
+class Fenced(RuntimeError):
+    """Another run has claimed the table; this one must start again before it may write."""
+
+
+class Place(NamedTuple):
+    """A batch's place in the history of a table."""
+
+    term: int
+    batch: int
+
 
-_MARKS = StructType().add("epoch", LongType()).add("upto", LongType())
-_RUNS = StructType().add("run", StringType()).add("base", LongType())
-_BATCH = "batch_id"
+class _Term(NamedTuple):
+    no: int
+    run: str
+    first: int
+    last: int | None  # of a closed term
+
+    def holds(self, batch: int) -> bool:
+        return self.first <= batch and (self.last is None or batch <= self.last)
 
 
 class _Mark(NamedTuple):
-    epoch: int
-    upto: int
+    no: int
+    upto: Place
+    homes: dict[str | None, str]  # partition (as text) to home
+    written: dict[str, int]  # home to the number of partitions it was written with
 
 
 class _Ledger:
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], partition: str | None = None):
+        if clash := {_TERM, _BATCH, _HOME} & set(schema.names):
+            raise ValueError(f"reserved column names: {sorted(clash)}")
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
         self.partition = partition
-        self.base = 0
+        self.run: str | None = None
+        self.term: int | None = None
+        self._known: dict[str, str] = {}
+
+    # -- runs and terms
 
     def bind(self, run: str) -> None:
-        """Number the batches of ``run`` (one per checkpoint) on from the newest batch there was when it first wrote."""
-        found = read_table(self.spark, f"{self.path}/runs", _RUNS).where(F.col("run") == run).agg(F.min("base").alias("base")).first()
-        if found["base"] is None:
-            mark = self._mark()
-            newest = self._log(mark).agg(F.max(_BATCH).alias("b")).first()["b"]
-            base = max(mark.upto, -1 if newest is None else newest) + 1
-            self.spark.createDataFrame([(run, base)], _RUNS).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
-            self.base = base
-        else:
-            self.base = found["base"]
+        """Write as ``run`` from now on, and close every earlier term. A run that starts again binds again."""
+        if not re.fullmatch(r"[\w-]+", run):
+            raise ValueError(f"not a run name: {run!r}")
+        if run in self._retired():
+            raise ValueError(f"run {run} is retired from {self.path}")
+        no = 1 + max(self._claims(), default=0)
+        while not create_once(self.spark, f"{self.path}/terms/{no:010d}.claim", run):
+            no += 1
+        # Batches that complete from here on make their writer fail, so what is seen now is all there will be.
+        for t in self._terms():
+            if t.no < no and t.last is None:
+                seen = [p.batch for p in [*self._complete(), self._mark().upto] if p.term == t.no and t.holds(p.batch)]
+                create_once(self.spark, f"{self.path}/terms/{t.no:010d}.seal", str(max(seen, default=t.first - 1)))
+        self.run, self.term = run, no
+
+    def retire(self, run: str) -> None:
+        """Declare that ``run`` never comes back, so that its last batch can be compacted like any other."""
+        create_once(self.spark, f"{self.path}/terms/{run}.retired", run)
+
+    def _read_once(self, name: str) -> str:
+        if name not in self._known:
+            text = content(self.spark, f"{self.path}/{name}")
+            if not text:
+                return ""
+            self._known[name] = text
+        return self._known[name]
+
+    def _claims(self) -> list[int]:
+        return [int(n.split(".")[0]) for n in matching(self.spark, f"{self.path}/terms/*.claim")]
+
+    def _retired(self) -> set[str]:
+        return {n.removesuffix(".retired") for n in matching(self.spark, f"{self.path}/terms/*.retired")}
+
+    def _terms(self) -> list[_Term]:
+        """Claimed terms in order. The batches of a run's terms follow one another."""
+        sealed = {int(n.split(".")[0]): n for n in matching(self.spark, f"{self.path}/terms/*.seal")}
+        result, next_of = [], {}
+        for no in self._claims():
+            run = self._read_once(f"terms/{no:010d}.claim")
+            seal = self._read_once(f"terms/{sealed[no]}") if no in sealed else ""
+            if run:
+                term = _Term(no, run, next_of.get(run, 0), int(seal) if seal else None)
+                next_of[run] = term.first if term.last is None else max(term.first, term.last + 1)
+                result.append(term)
+        return result
+
+    def _complete(self) -> list[Place]:
+        names = matching(self.spark, f"{self.path}/log/{_TERM}=*/{_BATCH}=*/{_DONE}", 3)
+        return [Place(*(int(part.split("=")[1]) for part in n.split("/")[:2])) for n in names]
+
+    def _batches(self) -> list[Place]:
+        """Complete batches of the table in order; what a fenced writer left behind is not among them."""
+        terms = {t.no: t for t in self._terms()}
+        return sorted(p for p in self._complete() if p.term in terms and terms[p.term].holds(p.batch))
+
+    def _place(self, batch: int) -> Place:
+        """Where a batch of this run stands: in the term that first completed it, else in the current one."""
+        if self.run is None:
+            self.bind("default")
+        return next((Place(t.no, batch) for t in self._terms() if t.run == self.run and t.holds(batch)), Place(self.term, batch))
+
+    def _check_fence(self) -> None:
+        if max(self._claims(), default=0) != self.term:
+            raise Fenced(f"{self.path} is written by a newer run than {self.run}")
 
     # -- layout
 
     def _mark(self) -> _Mark:
-        marks = read_table(self.spark, f"{self.path}/marks", _MARKS)
-        newest = marks.agg(F.max(F.struct("epoch", "upto")).alias("m")).first()["m"]
-        return _Mark(newest.epoch, newest.upto) if newest else _Mark(0, -1)
-
-    def _log_schema(self) -> StructType:
-        return StructType(list(self.schema.fields)).add(_BATCH, LongType())
+        """The newest whole manifest."""
+        for name in reversed(matching(self.spark, f"{self.path}/marks/*.json")):
+            try:
+                m = json.loads(self._read_once(f"marks/{name}"))
+            except ValueError:
+                continue
+            return _Mark(int(name.split(".")[0]), Place(*m["upto"]), {p: h for p, h in m["homes"]}, m["written"])
+        return _Mark(0, Place(0, -1), {}, {})
+
+    def _rows(self, folder: str, paths: list[str], more: dict) -> DataFrame:
+        schema = StructType(list(self.schema.fields))
+        for name, kind in more.items():
+            schema = schema.add(name, kind)
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/{folder}")
+        return reader.parquet(*[f"{self.path}/{folder}/{p}" for p in paths]).select(*self.schema.names, *more)
 
     def _state(self, mark: _Mark) -> DataFrame:
-        rows = read_table(self.spark, f"{self.path}/epoch={mark.epoch}/state", self.schema)
+        live: dict[str, list[str | None]] = {}
+        for part, home in mark.homes.items():
+            live.setdefault(home, []).append(part)
+        rows = self._rows("state", [f"{_HOME}={h}" for h in live], {_HOME: StringType()})
+
+        def current(home: str, parts: list[str | None]) -> Column:
+            here = F.col(_HOME) == home
+            if len(parts) == mark.written[home]:
+                return here
+            part = F.col(self.partition).cast("string")
+            listed = part.isin([p for p in parts if p is not None])
+            return here & (listed | part.isNull() if None in parts else listed)
+
+        if live and any(len(p) != mark.written[h] for h, p in live.items()):
+            rows = rows.where(reduce(lambda a, b: a | b, [current(h, p) for h, p in live.items()]))
         return rows.select(*self.schema.names)
 
-    def _log(self, mark: _Mark) -> DataFrame:
-        rows = read_table(self.spark, f"{self.path}/epoch={mark.epoch}/log", self._log_schema())
-        return rows.select(*self.schema.names, _BATCH)
+    def _log(self, batches: list[Place]) -> DataFrame:
+        paths = [f"{_TERM}={p.term}/{_BATCH}={p.batch}" for p in batches]
+        return self._rows("log", paths, {_TERM: LongType(), _BATCH: LongType()})
 
-    def _save(self, df: DataFrame, folder: str, partitions: Sequence[str]) -> None:
+    def _save(self, df: DataFrame, folder: str) -> None:
         writer = df.write.mode("overwrite")
-        if partitions:
-            writer = writer.partitionBy(*partitions)
+        if self.partition:
+            writer = writer.partitionBy(self.partition)
         writer.parquet(f"{self.path}/{folder}")
 
-    @property
-    def _folders(self) -> list[str]:
-        return [self.partition] if self.partition else []
-
     # -- writing
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        """Record the rows of a batch, replacing an earlier attempt of the same batch."""
-        mark = self._mark()
-        batch_id += self.base
-        if batch_id <= mark.upto:
-            raise ValueError(f"batch {batch_id} is already compacted (up to {mark.upto})")
-        rows = self.prepare(df.select(*self.schema.names))
-        self._save(rows, f"epoch={mark.epoch}/log/{_BATCH}={batch_id}", self._folders)
-
-    def compact(self, upto: int) -> None:
-        """Reduce all batches up to ``upto``. Only pass batches whose commit is certain (before the running one)."""
-        mark = self._mark()
-        upto += self.base
-        if upto <= mark.upto:
-            return
-        state = self.read(before=upto + 1 - self.base)
-        folder = f"epoch={mark.epoch + 1}"
+        """Record the rows of a batch, replacing an earlier attempt of the same batch of the same run."""
+        place = self._place(batch_id)
+        self._check_fence()
+        if place <= (upto := self._mark().upto):
+            raise ValueError(f"batch {batch_id} of {self.run} is already compacted (up to {upto})")
+        folder = f"log/{_TERM}={place.term}/{_BATCH}={place.batch}"
+        self._save(self.prepare(df.select(*self.schema.names)), folder)
+        create_once(self.spark, f"{self.path}/{folder}/{_DONE}")
+        self._check_fence()
+
+    def compact(self, upto: int | None = None) -> bool:
+        """Reduce committed batches into the state, rewriting only the partitions they touch; true if there were any.
+
+        ``upto`` names the last committed batch of this run. Without it every batch counts as committed but the last of each
+        run, which that run could repeat; so compaction goes up to the first of those (see :meth:`retire`).
+        """
+        mark, batches = self._mark(), self._batches()
+        runs = {t.no: t.run for t in self._terms()}
+        last = {runs[p.term]: p for p in batches}
+        limit = None
+        if upto is not None:
+            limit = self._place(upto)
+            last.pop(self.run, None)
+        open_from = min((p for run, p in last.items() if run not in self._retired()), default=None)
+        ripe = [p for p in batches if p > mark.upto and (limit is None or p <= limit) and (open_from is None or p < open_from)]
+        if not ripe:
+            return False
+        log, state = self._log(ripe), self._state(mark)
+        touched: list[str | None] = [None]
+        if self.partition:
+            part = F.col(self.partition).cast("string")
+            touched = [r[0] for r in log.select(part).distinct().collect()]  # one row per partition
+            known = [p for p in touched if p in mark.homes]
+            among = part.isin([p for p in known if p is not None])
+            state = state.where(among | part.isNull() if None in known else among)
+        home = uuid.uuid4().hex
+        rows = self.combine(state, log)
         if self.partition:
             # Few files per folder, and adaptive execution splits a folder that is too big for one task.
-            state = state.hint("rebalance", F.col(self.partition))
-        self._save(state, f"{folder}/state", self._folders)
-        later = self._log(mark).where(F.col(_BATCH) > upto)
-        self._save(later, f"{folder}/log", [_BATCH, *self._folders])
-        marks = self.spark.createDataFrame([(mark.epoch + 1, upto)], _MARKS)
-        marks.coalesce(1).write.mode("append").parquet(f"{self.path}/marks")
+            rows = rows.hint("rebalance", F.col(self.partition))
+        self._save(rows, f"state/{_HOME}={home}")
+        homes = {**mark.homes, **{p: home for p in touched}}
+        written = {h: n for h, n in mark.written.items() if h in homes.values()} | {home: len(touched)}
+        if not self._publish(mark.no + 1, ripe[-1], homes, written):
+            remove(self.spark, f"{self.path}/state/{_HOME}={home}")  # another compaction was first
+            return False
+        return True
+
+    def _publish(self, no: int, upto: Place, homes: dict, written: dict) -> bool:
+        text = json.dumps({"at": time.time(), "upto": upto, "homes": list(homes.items()), "written": written})
+        return create_once(self.spark, f"{self.path}/marks/{no:010d}.json", text)
+
+    def vacuum(self, keep: int = 2, older_than: float = 3600) -> None:
+        """Remove what only manifests before the newest ``keep`` refer to, and the batches that all kept ones hold.
+
+        A manifest goes once another has replaced it for ``older_than`` seconds: a frame read under it must be evaluated by then.
+        """
+        marks = {}
+        for name in matching(self.spark, f"{self.path}/marks/*.json"):
+            try:
+                marks[name] = json.loads(self._read_once(f"marks/{name}"))
+            except ValueError:
+                continue
+        names = list(marks)
+        latest = time.time() - older_than
+        dropped = [n for n, newer in zip(names[: -max(keep, 1)], names[1:]) if marks[newer]["at"] <= latest]
+        kept = names[len(dropped) :]
+        if not dropped:
+            return
+        live = {h for name in kept for _, h in marks[name]["homes"]}
+        for home in {h for name in dropped for _, h in marks[name]["homes"]} - live:
+            remove(self.spark, f"{self.path}/state/{_HOME}={home}")
+        for p in self._complete():
+            if p <= Place(*marks[kept[0]]["upto"]):
+                remove(self.spark, f"{self.path}/log/{_TERM}={p.term}/{_BATCH}={p.batch}")
+        for name in dropped:
+            remove(self.spark, f"{self.path}/marks/{name}")
 
     # -- reading
 
     def read(self, before: int | None = None, where: Column | str | None = None) -> DataFrame:
-        """Current rows; with ``before``, the rows as they were before that batch, so that a replay sees the same.
+        """Current rows; with ``before``, the rows as they were before that batch of this run, so that a replay sees the same.
 
         ``where`` may use key columns only; it reaches the files of every batch and, on the partition column, prunes folders.
         """
+        end = None if before is None else self._place(before)
         mark = self._mark()
-        if before is not None:
-            before += self.base
-        if before is not None and before <= mark.upto:
-            raise ValueError(f"the state before batch {before} is compacted away (up to {mark.upto})")
-        log = self._log(mark)
-        if before is not None:
-            log = log.where(F.col(_BATCH) < before)
+        if end is not None and end <= mark.upto:
+            raise ValueError(f"the state before batch {before} of {self.run} is compacted away (up to {mark.upto})")
+        log = self._log([p for p in self._batches() if p > mark.upto and (end is None or p < end)])
         state = self._state(mark)
         if where is not None:
             state, log = state.where(where), log.where(where)
@@ -162,9 +328,10 @@ class KeyedLedger(_Ledger):
 
     def combine(self, state: DataFrame, log: DataFrame) -> DataFrame:
         if self.order:
-            both = state.withColumn(_BATCH, F.lit(-1).cast("bigint")).unionByName(log)
-            return latest_by_key(both, self.keys, [*self.order, _BATCH]).drop(_BATCH)
-        newest = latest_by_key(log, self.keys, [_BATCH]).drop(_BATCH)
+            oldest = {name: F.lit(-1).cast("bigint") for name in _PLACE}
+            both = state.withColumns(oldest).unionByName(log)
+            return latest_by_key(both, self.keys, [*self.order, *_PLACE]).drop(*_PLACE)
+        newest = latest_by_key(log, self.keys, _PLACE).drop(*_PLACE)
         # The log is short after a compaction, so the anti join is planned as a broadcast and the state is not shuffled.
         changed = newest.select([F.col(k).alias(f"__{k}") for k in self.keys])
         same_key = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in self.keys]
@@ -178,7 +345,7 @@ class CounterLedger(_Ledger):
         return sum_by(df, self.keys).select(*self.schema.names)
 
     def combine(self, state: DataFrame, log: DataFrame) -> DataFrame:
-        return sum_by(state.unionByName(log.drop(_BATCH)), self.keys).select(*self.schema.names)
+        return sum_by(state.unionByName(log.drop(*_PLACE)), self.keys).select(*self.schema.names)
 
 
 class SetLedger(_Ledger):
@@ -188,4 +355,4 @@ class SetLedger(_Ledger):
         return df.distinct()
 
     def combine(self, state: DataFrame, log: DataFrame) -> DataFrame:
-        return state.unionByName(log.drop(_BATCH)).distinct()
+        return state.unionByName(log.drop(*_PLACE)).distinct()

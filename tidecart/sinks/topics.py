@@ -16,18 +16,26 @@ class KafkaTopics:
     def __init__(self, servers: str):
         self.options = sink_options(servers)
 
+    def bind(self, run: str) -> None:
+        """Nothing to do: a topic only grows."""
+
     def write(self, messages: DataFrame, batch_id: int) -> None:
         messages.write.format("kafka").options(**self.options).save()
 
 
 class FileTopics:
-    """The same rows as parquet files under ``batch_id=<n>/topic=<t>``; a replayed batch replaces its own folder."""
+    """The same rows as parquet files under ``run=<r>/batch_id=<n>/topic=<t>``; a replayed batch of a run (one per checkpoint)
+    replaces its own folder and no other run's."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, run: str = "default"):
         self.path = path.rstrip("/")
+        self.run = run
+
+    def bind(self, run: str) -> None:
+        self.run = run
 
     def write(self, messages: DataFrame, batch_id: int) -> None:
-        messages.write.mode("overwrite").partitionBy("topic").parquet(f"{self.path}/batch_id={batch_id}")
+        messages.write.mode("overwrite").partitionBy("topic").parquet(f"{self.path}/run={self.run}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession, topic: str | None = None) -> DataFrame:
         rows = read_table(spark, self.path, TOPIC_ROWS)

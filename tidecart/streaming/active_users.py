@@ -13,7 +13,7 @@ from tidecart.operators.audit import with_row_count
 from tidecart.operators.membership import not_stored
 from tidecart.plans import active_users
 from tidecart.sinks.ledger import KeyedLedger
-from tidecart.streaming.run import compact_before, start
+from tidecart.streaming.run import start
 
 
 def dau_ledger(spark: SparkSession, path: str) -> KeyedLedger:
@@ -53,14 +53,12 @@ def handle_landings(
     table: KeyedLedger,
     as_of=None,
     restore: bool = False,
-    compact_every: int = 0,
 ) -> None:
     """Enrich the first landings of a batch and store them by day and device.
 
     With ``restore`` the stored devices of the batch's days are left out, for a query that starts over without
     its checkpoint.
     """
-    compact_before(batch_id, compact_every, table)
     batch.persist()
     try:
         if batch.isEmpty():
@@ -89,6 +87,6 @@ def start_daily_active(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         users, provinces = dims()
-        handle_landings(batch, batch_id, users, provinces, table, as_of, restore, compact_every)
+        handle_landings(batch, batch_id, users, provinces, table, as_of, restore)
 
-    return start(first_seen(page_logs, lateness, salts), "daily_active", handle, tables=[table], **options)
+    return start(first_seen(page_logs, lateness, salts), "daily_active", handle, tables=[table], compact_every=compact_every, **options)

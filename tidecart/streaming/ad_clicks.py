@@ -10,7 +10,7 @@ from tidecart import schemas
 from tidecart.operators.counting import bucket_counts, windows_over_buckets
 from tidecart.plans import ad_clicks
 from tidecart.sinks.ledger import CounterLedger, SetLedger
-from tidecart.streaming.run import compact_before, start
+from tidecart.streaming.run import start
 
 # Fixed value: batch interval of the click counters.
 INTERVAL = "3 seconds"
@@ -34,13 +34,11 @@ def handle_black_list(
     counts: CounterLedger,
     black_list: SetLedger,
     threshold: int = ad_clicks.THRESHOLD,
-    compact_every: int = 0,
 ) -> None:
     """Count the clicks of users not banned before this batch, store the counts and ban users over the threshold.
 
     Both tables are read as they were before the batch, so a replay decides the same.
     """
-    compact_before(batch_id, compact_every, counts, black_list)
     batch = ad_clicks.user_ad_counts(clicks).persist()
     judged = None
     try:
@@ -70,19 +68,18 @@ def start_black_list(
     **options,
 ) -> StreamingQuery:
     def handle(batch: DataFrame, batch_id: int) -> None:
-        handle_black_list(batch, batch_id, counts, black_list, threshold, compact_every)
+        handle_black_list(batch, batch_id, counts, black_list, threshold)
 
-    return start(ad_clicks.parse(raw), "ad_black_list", handle, interval=interval, tables=[counts, black_list], **options)
+    return start(ad_clicks.parse(raw), "ad_black_list", handle, interval=interval, tables=[counts, black_list], compact_every=compact_every, **options)
 
 
 def start_area_city_counts(
     raw: DataFrame, counts: CounterLedger, compact_every: int = 200, interval: str = INTERVAL, **options
 ) -> StreamingQuery:
     def handle(batch: DataFrame, batch_id: int) -> None:
-        compact_before(batch_id, compact_every, counts)
         counts.write(ad_clicks.area_city_counts(batch), batch_id)
 
-    return start(ad_clicks.parse(raw), "ad_area_city", handle, interval=interval, tables=[counts], **options)
+    return start(ad_clicks.parse(raw), "ad_area_city", handle, interval=interval, tables=[counts], compact_every=compact_every, **options)
 
 
 def click_trend(clicks: DataFrame, lateness: str = "60 seconds", window_seconds: int = 60, slide_seconds: int = 10) -> DataFrame:

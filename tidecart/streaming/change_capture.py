@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidecart import schemas
 from tidecart.plans import change_capture, dimensions
 from tidecart.sinks.ledger import KeyedLedger
-from tidecart.streaming.run import compact_before, start
+from tidecart.streaming.run import start
 
 
 def dim_ledger(spark: SparkSession, path: str) -> KeyedLedger:
@@ -29,10 +29,7 @@ def current_dims(dims: KeyedLedger, drop_deleted: bool = False) -> tuple[DataFra
     return dimensions.user_table(rows("USER_INFO")), dimensions.province_table(rows("BASE_PROVINCE"))
 
 
-def handle_changes(
-    batch: DataFrame, batch_id: int, roles: DataFrame, topics, dims: KeyedLedger, compact_every: int = 0
-) -> None:
-    compact_before(batch_id, compact_every, dims)
+def handle_changes(batch: DataFrame, batch_id: int, roles: DataFrame, topics, dims: KeyedLedger) -> None:
     changes = change_capture.parse(batch).persist()
     try:
         topics.write(change_capture.fact_messages(changes, roles), batch_id)
@@ -52,6 +49,6 @@ def start_change_capture(
     """``roles`` is called for every batch, so a changed table list applies from the next batch on."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        handle_changes(batch, batch_id, roles(), topics, dims, compact_every)
+        handle_changes(batch, batch_id, roles(), topics, dims)
 
-    return start(raw, "change_capture", handle, tables=[dims], **options)
+    return start(raw, "change_capture", handle, tables=[dims], sinks=[topics], compact_every=compact_every, **options)

@@ -10,5 +10,5 @@ from tidecart.streaming.run import start
 
 
 def start_log_split(raw: DataFrame, topics, **options) -> StreamingQuery:
-    """``topics`` is a sink with ``write(messages, batch_id)``."""
-    return start(log_split.split(raw), "log_split", topics.write, **options)
+    """``topics`` is a sink with ``write(messages, batch_id)`` and ``bind(run)``."""
+    return start(log_split.split(raw), "log_split", topics.write, sinks=[topics], **options)

@@ -13,7 +13,7 @@ from tidecart.functions import times
 from tidecart.operators.merge import prefixed
 from tidecart.plans import order_wide
 from tidecart.sinks.ledger import KeyedLedger
-from tidecart.streaming.run import compact_before, start
+from tidecart.streaming.run import start
 
 # Fixed value: how long one side waits for the other.
 WAIT = "24 hours"
@@ -90,9 +90,7 @@ def handle_pairs(
     provinces: DataFrame,
     table: KeyedLedger,
     as_of=None,
-    compact_every: int = 0,
 ) -> None:
-    compact_before(batch_id, compact_every, table)
     batch.persist()
     try:
         if batch.isEmpty():
@@ -119,6 +117,6 @@ def start_order_wide(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         users, provinces = dims()
-        handle_pairs(batch, batch_id, users, provinces, table, as_of, compact_every)
+        handle_pairs(batch, batch_id, users, provinces, table, as_of)
 
-    return start(paired(orders, details, within, lateness, salts), "order_wide", handle, tables=[table], **options)
+    return start(paired(orders, details, within, lateness, salts), "order_wide", handle, tables=[table], compact_every=compact_every, **options)

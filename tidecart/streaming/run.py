@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -14,6 +15,31 @@ from tidecart.session import checkpoint_location
 INTERVAL = "5 seconds"
 
 
+class Upkeep:
+    """Compacts and vacuums tables beside the batches of a query, once in ``every`` batches, one run at a time."""
+
+    def __init__(self, tables: Sequence, every: int):
+        self.tables, self.every = tables, every
+        self.thread = ThreadPoolExecutor(1, "upkeep")
+        self.running: Future | None = None
+
+    def _work(self) -> None:
+        for table in self.tables:
+            table.compact()
+            table.vacuum()
+
+    def after(self, batch_id: int) -> None:
+        """Start in the background unless the last one still runs. Its failure fails the batch that would start the next."""
+        if not self.every or (batch_id + 1) % self.every or (self.running and not self.running.done()):
+            return
+        self.wait()
+        self.running = self.thread.submit(self._work)
+
+    def wait(self) -> None:
+        if self.running:
+            self.running.result()
+
+
 def start(
     df: DataFrame,
     name: str,
@@ -23,22 +49,28 @@ def start(
     available_now: bool = False,
     mode: str = "append",
     tables: Sequence = (),
+    compact_every: int = 0,
+    sinks: Sequence = (),
 ) -> StreamingQuery:
     """Run ``handle(batch, batch_id)`` for every batch, in batches of ``interval`` or until the input is used up.
 
     The checkpoint records the input of a batch before it runs and its commit after it, so a restarted query
     repeats at most the last batch, with the same rows and the same id; ``handle`` must be safe to repeat.
-    ``tables`` are the ledgers it writes: they are bound to the checkpoint's own id before the first batch.
+    ``tables`` are the ledgers it writes: before the first batch they are bound to the checkpoint's own id, which closes them
+    to any query that wrote them before; ``sinks`` are bound to it too. ``compact_every`` batches they are compacted in the background; ``query.upkeep`` can be
+    waited for.
     """
     started, query_id = threading.Event(), []
+    upkeep = Upkeep(tables, compact_every)
 
     def bound(batch: DataFrame, batch_id: int) -> None:
-        if tables and not bound.done:
+        if not bound.done:
             started.wait()
-            for table in tables:
+            for table in [*tables, *sinks]:
                 table.bind(query_id[0])
             bound.done = True
         handle(batch, batch_id)
+        upkeep.after(batch_id)
 
     bound.done = False
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
@@ -50,13 +82,7 @@ def start(
         .trigger(**trigger)
         .start()
     )
+    query.upkeep = upkeep
     query_id.append(str(query.id))
     started.set()
     return query
-
-
-def compact_before(batch_id: int, every: int, *tables) -> None:
-    """Compact the tables up to the previous, committed batch, once in ``every`` batches."""
-    if every and batch_id and batch_id % every == 0:
-        for table in tables:
-            table.compact(batch_id - 1)
