@@ -140,6 +140,30 @@ def test_daily_active(spark, feed, dims, tmp_path, rows):
     assert table._log(table._batches()).count() == len(before) + 1
 
 
+def test_a_landing_dated_in_the_future_closes_no_day(spark, feed, dims, tmp_path, rows):
+    pages = feed()
+    january = 1_704_672_000_000
+    pages.add(page("a", january), page("bad", 4_102_444_800_000))
+    for n, mid in enumerate(["b", "c", "d", "a"]):
+        pages.add(page(mid, january + 1000 * n - 86_400_000 * (mid == "d")))
+    table = dau_stream.dau_ledger(spark, f"{tmp_path}/dau")
+    run(dau_stream.start_daily_active, active_users.parse(pages.stream()), dims, table, AS_OF, checkpoint=tmp_path / "cp", salts=2)
+    assert rows(table.read(), "mid", "ts") == [
+        ("a", january), ("b", january), ("bad", 4_102_444_800_000), ("c", january + 1000), ("d", january + 2000 - 86_400_000)
+    ]
+
+
+def test_the_first_landing_stays_when_its_key_is_forgotten(spark, dims, tmp_path, rows):
+    batch = lambda ts: spark.createDataFrame([("a", "2023-11-15", ts)], "mid string, dt string, ts bigint")
+    filled = lambda df: df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.PAGE_LOG.fields], "dt")
+    table = dau_stream.dau_ledger(spark, f"{tmp_path}/dau")
+    for n, ts in enumerate((DAY + 5, DAY + 9, DAY + 1)):
+        dau_stream.handle_landings(filled(batch(ts)), n, *dims(), table, AS_OF)
+    assert rows(table.read(), "mid", "ts") == [("a", DAY + 5)]
+    table.compact(1)
+    assert rows(table.read(), "mid", "ts") == [("a", DAY + 5)]
+
+
 def test_daily_active_without_its_checkpoint_restores_from_the_table(spark, feed, dims, tmp_path, rows):
     pages = feed()
     pages.add(page("a", DAY), page("b", DAY))
@@ -183,6 +207,14 @@ ARRIVALS = [
 ]
 
 
+def arriving(raw):
+    """Raw texts that arrive when they say they were created."""
+    return raw.withColumn("timestamp", F.to_timestamp(F.get_json_object("value", "$.create_time")))
+
+
+BY_ARRIVAL = {"clock": "timestamp", "lateness": "1 hour"}
+
+
 @pytest.mark.parametrize("salts", [1, 3])
 def test_order_wide_in_any_arrival_order(spark, feed, dims, tmp_path, rows, salts):
     orders, details = feed(), feed()
@@ -191,7 +223,7 @@ def test_order_wide_in_any_arrival_order(spark, feed, dims, tmp_path, rows, salt
         details.add(*some_details)
     table = order_stream.wide_ledger(spark, f"{tmp_path}/wide")
     streams = order_wide.parse_orders(orders.stream()), order_wide.parse_details(details.stream())
-    run(order_stream.start_order_wide, *streams, dims, table, AS_OF, checkpoint=tmp_path / "cp", salts=salts, compact_every=2)
+    run(order_stream.start_order_wide, *streams, dims, table, AS_OF, checkpoint=tmp_path / "cp", salts=salts, within="24 hours", compact_every=2)
     got = table.read()
     assert rows(got, "detail_id") == [(i,) for i in (10, 11, 20, 30, 40, 41, 50)]
     static = order_wide.parse_orders(orders.static()), order_wide.parse_details(details.static())
@@ -210,8 +242,8 @@ def test_a_partner_after_the_wait_is_not_found(spark, feed, dims, tmp_path, rows
         orders.add(*some_orders)
         details.add(*some_details)
     table = order_stream.wide_ledger(spark, f"{tmp_path}/wide")
-    streams = order_wide.parse_orders(orders.stream()), order_wide.parse_details(details.stream())
-    run(order_stream.start_order_wide, *streams, dims, table, AS_OF, checkpoint=tmp_path / "cp", salts=2)
+    streams = order_wide.parse_orders(arriving(orders.stream())), order_wide.parse_details(arriving(details.stream()))
+    run(order_stream.start_order_wide, *streams, dims, table, AS_OF, checkpoint=tmp_path / "cp", salts=2, **BY_ARRIVAL)
     assert rows(table.read(), "detail_id") == [(20,), (21,)]
     assert table.read().columns == schemas.ORDER_WIDE.names
 
@@ -231,6 +263,21 @@ def test_order_wide_restart_finds_the_waiting_side(spark, feed, dims, tmp_path,
     assert rows(table.read(), "order_id", "detail_id") == [(1, 10), (2, 20)]
 
 
+def test_an_order_dated_in_the_future_drops_nothing(spark, feed, dims, tmp_path, rows):
+    orders, details = feed(), feed()
+    # a three-day backlog, its newest rows first, with one pair dated 2099
+    created = [day(3), "2099-01-01 00:00:00", day(1), day(2), day(1)]
+    for n, at in enumerate(created):
+        orders.add(order(n, at))
+        details.add(detail(n * 10, n, at))
+    orders.add(order(9, "no time"))
+    details.add(detail(90, 9, day(1)), detail(31, 3, day(1)))
+    table = order_stream.wide_ledger(spark, f"{tmp_path}/wide")
+    streams = order_wide.parse_orders(orders.stream()), order_wide.parse_details(details.stream())
+    run(order_stream.start_order_wide, *streams, dims, table, AS_OF, checkpoint=tmp_path / "cp", salts=2)
+    assert rows(table.read(), "detail_id") == [(i,) for i in (0, 10, 20, 30, 31, 40, 90)]
+
+
 def test_pairs_handled_twice_give_one_row_per_line(spark, dims, tmp_path, rows):
     orders = spark.createDataFrame([json.loads(order(1, day(1)))], schemas.ORDER_INFO)
     details = spark.createDataFrame([json.loads(detail(10, 1, day(1))), json.loads(detail(11, 1, day(2)))], schemas.ORDER_DETAIL)
@@ -248,9 +295,9 @@ def test_unmatched_rows_come_out_of_the_audit_streams(spark, feed, tmp_path, row
     for n in (9, 20, 28):  # later rows move the watermark past the wait
         orders.add(order(100 + n, day(n)))
         details.add(detail(100 + n, 100 + n, day(n)))
-    streams = order_wide.parse_orders(orders.stream()), order_wide.parse_details(details.stream())
+    streams = order_wide.parse_orders(arriving(orders.stream())), order_wide.parse_details(arriving(details.stream()))
     seen = {"details": [], "orders": []}
-    audits = {"details": order_stream.lonely_details(*streams, salts=2), "orders": order_stream.lonely_orders(*streams)}
+    audits = {"details": order_stream.lonely_details(*streams, salts=2, **BY_ARRIVAL), "orders": order_stream.lonely_orders(*streams, **BY_ARRIVAL)}
     for name, audit in audits.items():
         handle = lambda batch, _, name=name: seen[name].extend(r.id for r in batch.collect())
         finish(start(audit, f"audit_{name}", handle, checkpoint=f"{tmp_path}/cp_{name}", available_now=True))
@@ -285,14 +332,31 @@ def test_click_trend_closed_windows_equal_batch(spark, feed, tmp_path, rows):
     for start_at in range(0, len(times), 2):
         clicks.add(*[click(DAY + t) for t in times[start_at : start_at + 2]])
     query = click_stream.start_click_trend(
-        clicks.stream(), "memory", f"{tmp_path}/cp", "trend", mode="append", available_now=True
+        clicked(clicks.stream()), "memory", f"{tmp_path}/cp", "trend", mode="append", available_now=True, clock="timestamp"
     )
     finish(query)
     got = rows(spark.table("trend"))
-    want = rows(ad_clicks.click_trend(ad_clicks.parse(clicks.static())).where(F.col("bucket_ms") < DAY + 120_000))
+    want = rows(ad_clicks.click_trend(ad_clicks.parse(clicks.static())).where(F.col("window_end_ms") <= DAY + 120_000))
     assert got == want and len(got) == 4 * 6
 
 
+def clicked(raw):
+    """Raw clicks that arrive when they say they were made."""
+    return raw.withColumn("timestamp", F.timestamp_millis(F.split("value", " ")[0].cast("bigint")))
+
+
+def test_clicks_count_when_they_arrive(spark, feed, tmp_path):
+    """A click of the year 2100, then a backlog of three days, newest first: nothing is dropped."""
+    clicks = feed()
+    clicks.add(click(4_102_444_800_000))
+    for days in (0, 1, 2, 3):
+        clicks.add(click(DAY - days * 86_400_000), click(DAY - days * 86_400_000 + 1))
+    finish(click_stream.start_click_trend(clicks.stream(), "memory", f"{tmp_path}/cp", "late_trend", available_now=True))
+    newest = spark.table("late_trend").groupBy("window_start_ms", "bucket_ms").agg(F.max("count").alias("n"))
+    per_bucket = newest.groupBy("bucket_ms").agg(F.min("n"), F.max("n"), F.count(F.lit(1))).orderBy("bucket_ms").collect()
+    assert [tuple(r) for r in per_bucket] == [(DAY - d * 86_400_000, 2, 2, 6) for d in (3, 2, 1, 0)] + [(4_102_444_800_000, 1, 1, 6)]
+
+
 def test_click_trend_equals_counting_every_window_directly(spark, rows):
     clicks = spark.createDataFrame([(str(DAY + i * i * 37),) for i in range(200)], "ts string")
     timed = ad_clicks.with_event_time(clicks).withColumn("bucket_ms", F.floor(F.col("ts").cast("bigint") / 10_000) * 10_000)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from tidecart import schemas
@@ -19,10 +19,12 @@ AREA_CITY_AD = ("dt", "area", "city", "adid")
 
 
 def parse(raw: DataFrame) -> DataFrame:
-    """Clicks from lines ``<epoch_ms> <area> <city> <user> <ad>``; a line with missing fields is dropped."""
-    parts = evaluated_once(raw, F.split(F.rtrim("value"), " "), "part")
+    """Clicks from lines ``<epoch_ms> <area> <city> <user> <ad>``, with the arrival ``timestamp`` where the source has one; a line
+    with missing fields is dropped."""
+    kept = ["timestamp"] if "timestamp" in raw.columns else []
+    parts = evaluated_once(raw, F.split(F.rtrim("value"), " "), "part", kept)
     fields = [F.get("part", F.lit(i)).alias(name) for i, name in enumerate(schemas.AD_CLICK.names)]
-    return parts.where(F.size("part") >= len(fields)).select(*fields)
+    return parts.where(F.size("part") >= len(fields)).select(*fields, *kept)
 
 
 def _with_day(clicks: DataFrame) -> DataFrame:
@@ -84,6 +86,13 @@ def click_trend(clicks: DataFrame, window_seconds: int = 60, slide_seconds: int
     return windows_over_buckets(click_buckets(clicks, slide_seconds), window_seconds, slide_seconds)
 
 
+def trend_rows(windowed: GroupedData) -> DataFrame:
+    """``(window_start_ms, window_end_ms, bucket_ms, count)`` of clicks grouped by ``window`` and ``bucket_ms``."""
+    counts = windowed.agg(F.count(F.lit(1)).alias("count"))
+    start, end = (F.unix_millis(f"window.{edge}").alias(f"window_{edge}_ms") for edge in ("start", "end"))
+    return counts.select(start, end, "bucket_ms", "count")
+
+
 def with_event_time(clicks: DataFrame) -> DataFrame:
     ms = times.text_to_ms(F.col("ts"))
     return clicks.where(ms.isNotNull()).withColumn("event_time", F.timestamp_millis(ms))

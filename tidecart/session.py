@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -32,6 +34,18 @@ def builder(app_name: str = "tidecart", **overrides: str) -> SparkSession.Builde
     return result
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all machines reach: ``spark.checkpoint.dir``. Where it is unset, a local session (as in tests) gets a temporary
+    one; on a cluster that is an error, since no other machine would see it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder all machines can reach")
+        folder = "file://" + tempfile.mkdtemp(prefix="tidecart-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
 def checkpoint_location(spark: SparkSession, name: str) -> str:
     """Checkpoint folder of one streaming query under the cluster's shared folder."""
     shared = spark.conf.get("spark.checkpoint.dir", None)

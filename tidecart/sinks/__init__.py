@@ -1,4 +1,4 @@
-from tidecart.sinks.ledger import CounterLedger, Fenced, KeyedLedger, SetLedger
+from tidecart.sinks.ledger import CounterLedger, Fenced, FirstLedger, KeyedLedger, SetLedger
 from tidecart.sinks.topics import FileTopics, KafkaTopics
 
-__all__ = ["CounterLedger", "Fenced", "FileTopics", "KafkaTopics", "KeyedLedger", "SetLedger"]
+__all__ = ["CounterLedger", "Fenced", "FileTopics", "FirstLedger", "KafkaTopics", "KeyedLedger", "SetLedger"]

@@ -1,8 +1,8 @@
 """Replay-safe tables on plain parquet, over any number of runs.
 
 A batch is named by the run that writes it (one per checkpoint) and its number in that run, and has a folder of its own, so a
-replay replaces exactly what it wrote before. Readers reduce the batches: newest row per key, sum of increments, or distinct
-members.
+replay replaces exactly what it wrote before. Readers reduce the batches: newest or first row per key, sum of increments, or
+distinct members.
 
 Only one run writes at a time. A run that starts, or starts again, claims the next *term*; from then on every older term is
 closed: its batches are those that were complete when the claim was made, and a writer that still holds it gets
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 from tidecart.operators.counting import sum_by
-from tidecart.operators.pick import latest_by_key
+from tidecart.operators.pick import first_by_key, latest_by_key
 from tidecart.sources.folders import content, create_once, matching, remove
 
 _TERM, _BATCH, _HOME = "term", "batch_id", "home"
@@ -338,6 +338,23 @@ class KeyedLedger(_Ledger):
         return state.join(changed, same_key, "left_anti").unionByName(newest)
 
 
+class FirstLedger(_Ledger):
+    """Insert by key where there is none: the row of the oldest batch stays; within a batch the one with the smallest ``order``."""
+
+    def __init__(self, spark, path, schema, keys, partition=None, order: Sequence[str] = ()):
+        super().__init__(spark, path, schema, keys, partition)
+        if partition is not None and partition not in self.keys:
+            raise ValueError("the partition column must be part of the key")
+        self.order = list(order)
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        return first_by_key(df, self.keys, self.order)
+
+    def combine(self, state: DataFrame, log: DataFrame) -> DataFrame:
+        oldest = {name: F.lit(-1).cast("bigint") for name in _PLACE}
+        return first_by_key(state.withColumns(oldest).unionByName(log), self.keys, _PLACE).drop(*_PLACE)
+
+
 class CounterLedger(_Ledger):
     """Running totals of ``count`` per key as a sum of per-batch increments."""
 

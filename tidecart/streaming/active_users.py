@@ -9,40 +9,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidecart import schemas
+from tidecart.operators.arrival import arrived
 from tidecart.operators.audit import with_row_count
 from tidecart.operators.membership import not_stored
 from tidecart.plans import active_users
-from tidecart.sinks.ledger import KeyedLedger
+from tidecart.sinks.ledger import FirstLedger
 from tidecart.streaming.run import start
 
 
-def dau_ledger(spark: SparkSession, path: str) -> KeyedLedger:
-    """Day records by day and device."""
-    return KeyedLedger(spark, path, schemas.DAU_INFO, ["dt", "mid"], partition="dt")
+def dau_ledger(spark: SparkSession, path: str) -> FirstLedger:
+    """Day records by day and device; the first one stored stays."""
+    return FirstLedger(spark, path, schemas.DAU_INFO, ["dt", "mid"], partition="dt", order=["ts"])
 
 
-#: How far a record's time may run ahead of the batch that brings it.
-AHEAD = "1 hour"
-
-
-def first_seen(page_logs: DataFrame, lateness: str = "1 day", salts: int = 8) -> DataFrame:
+def first_seen(page_logs: DataFrame, lateness: str = "1 day", salts: int = 8, clock: str | None = None) -> DataFrame:
     """The first landing seen per day and device.
 
-    ``lateness`` of at least a day keeps every key of a day in state until the day is over. Spark sends all rows
-    of a key to one task here, so a first pass on ``(day, device, salt)`` thins out a hot device on ``salts``
-    tasks and the second pass sees at most ``salts`` rows of it. Which of several landings in one batch is kept is
-    not fixed; across batches it is the earlier batch's. A clock that runs ahead moves the watermark by no more than
-    ``AHEAD`` past the time of the batch, so one record dated in the future closes no day early.
+    A key stays in state for ``lateness`` from its arrival (:func:`tidecart.operators.arrival.arrived`), whatever day it is of:
+    no record is too late, and one dated in the future closes no day. A key that comes again after that passes here; the table
+    keeps the first. Spark sends all rows of a key to one task, so a first pass on ``(day, device, salt)`` thins out a hot
+    device on ``salts`` tasks and the second pass sees at most ``salts`` rows of it. Which of several landings in one batch is
+    kept is not fixed; across batches it is the earlier batch's.
     """
     landed = (
         with_row_count(active_users.landings(with_row_count(page_logs, "pages")), "landings")
-        .withColumn("event_time", F.least(F.timestamp_millis("ts"), F.current_timestamp() + F.expr(f"INTERVAL {AHEAD}")))
-        .withWatermark("event_time", lateness)
+        .withColumn("arrived", arrived(clock))
+        .withWatermark("arrived", lateness)
     )
     if salts > 1:
         salt = F.pmod(F.xxhash64("ts", "page_id"), F.lit(salts))
         landed = landed.withColumn("salt", salt).dropDuplicatesWithinWatermark(["dt", "mid", "salt"]).drop("salt")
-    return landed.dropDuplicatesWithinWatermark(["dt", "mid"]).drop("event_time")
+    return landed.dropDuplicatesWithinWatermark(["dt", "mid"]).drop("arrived")
 
 
 def handle_landings(
@@ -50,7 +47,7 @@ def handle_landings(
     batch_id: int,
     users: DataFrame,
     provinces: DataFrame,
-    table: KeyedLedger,
+    table: FirstLedger,
     as_of=None,
     restore: bool = False,
 ) -> None:
@@ -75,11 +72,12 @@ def handle_landings(
 def start_daily_active(
     page_logs: DataFrame,
     dims: Callable[[], tuple[DataFrame, DataFrame]],
-    table: KeyedLedger,
+    table: FirstLedger,
     as_of=None,
     restore: bool = False,
     lateness: str = "1 day",
     salts: int = 8,
+    clock: str | None = None,
     compact_every: int = 200,
     **options,
 ) -> StreamingQuery:
@@ -89,4 +87,4 @@ def start_daily_active(
         users, provinces = dims()
         handle_landings(batch, batch_id, users, provinces, table, as_of, restore)
 
-    return start(first_seen(page_logs, lateness, salts), "daily_active", handle, tables=[table], compact_every=compact_every, **options)
+    return start(first_seen(page_logs, lateness, salts, clock), "daily_active", handle, tables=[table], compact_every=compact_every, **options)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidecart import schemas
-from tidecart.operators.counting import bucket_counts, windows_over_buckets
+from tidecart.functions import times
+from tidecart.operators.arrival import arrived
 from tidecart.plans import ad_clicks
 from tidecart.sinks.ledger import CounterLedger, SetLedger
 from tidecart.streaming.run import start
@@ -82,14 +83,23 @@ def start_area_city_counts(
     return start(ad_clicks.parse(raw), "ad_area_city", handle, interval=interval, tables=[counts], compact_every=compact_every, **options)
 
 
-def click_trend(clicks: DataFrame, lateness: str = "60 seconds", window_seconds: int = 60, slide_seconds: int = 10) -> DataFrame:
+def click_trend(
+    clicks: DataFrame,
+    lateness: str = "10 seconds",
+    window_seconds: int = 60,
+    slide_seconds: int = 10,
+    clock: str | None = None,
+) -> DataFrame:
     """Streaming form of the click trend, for append or update mode.
 
-    State holds one count per bucket; the windows that cover it are derived after the count. ``lateness`` should be at least a
-    window, so that a click counts as long as a window that holds it can still be shown.
+    Windows go by arrival (:func:`tidecart.operators.arrival.arrived`) and buckets by the clicks' own time, so every click
+    counts in the windows in which it came in, and one dated in the future is a bucket of its own and closes nothing.
     """
-    timed = ad_clicks.with_event_time(clicks).withWatermark("event_time", lateness)
-    return windows_over_buckets(bucket_counts(timed, "event_time", slide_seconds), window_seconds, slide_seconds)
+    timed = ad_clicks.with_event_time(clicks).withColumn("arrived", arrived(clock)).withWatermark("arrived", lateness)
+    bucket = times.floor_ms(F.unix_millis("event_time"), slide_seconds * 1000)
+    return ad_clicks.trend_rows(
+        timed.groupBy(F.window("arrived", f"{window_seconds} seconds", f"{slide_seconds} seconds"), bucket.alias("bucket_ms"))
+    )
 
 
 def start_click_trend(
@@ -98,12 +108,13 @@ def start_click_trend(
     checkpoint: str | None = None,
     name: str = "click_trend",
     mode: str = "update",
-    lateness: str = "60 seconds",
+    lateness: str = "10 seconds",
+    clock: str | None = None,
     interval: str = "10 seconds",
     available_now: bool = False,
 ) -> StreamingQuery:
     """Show the trend of the last minute, by default on the console once per slide."""
-    writer = click_trend(ad_clicks.parse(raw), lateness).writeStream.format(sink_format).queryName(name).outputMode(mode)
+    writer = click_trend(ad_clicks.parse(raw), lateness, clock=clock).writeStream.format(sink_format).queryName(name).outputMode(mode)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(**({"availableNow": True} if available_now else {"processingTime": interval})).start()

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidecart import schemas
-from tidecart.functions import times
+from tidecart.operators.arrival import arrived
 from tidecart.operators.merge import prefixed
 from tidecart.plans import order_wide
 from tidecart.sinks.ledger import KeyedLedger
 from tidecart.streaming.run import start
 
-# Fixed value: how long one side waits for the other.
+# Fixed value: how long one side waits for the other, from its arrival on.
 WAIT = "24 hours"
 
 
@@ -24,39 +24,49 @@ def wide_ledger(spark: SparkSession, path: str) -> KeyedLedger:
     return KeyedLedger(spark, path, schemas.ORDER_WIDE, ["create_date", "detail_id"], partition="create_date")
 
 
-def _event_time(df: DataFrame) -> Column:
-    """The create time, or the arrival time where it does not parse and the source has one."""
-    created = times.timestamp_of_text(F.col("create_time"))
-    return F.coalesce(created, F.col("timestamp")) if "timestamp" in df.columns else created
+def _arriving(df: DataFrame, prefix: str, clock: str | None, lateness: str) -> DataFrame:
+    timed = df.withColumn("arrived", arrived(clock)).drop("timestamp")
+    return prefixed(timed, prefix).withWatermark(f"{prefix}arrived", lateness)
 
 
-def _timed(df: DataFrame, prefix: str, lateness: str) -> DataFrame:
-    timed = df.withColumn("time", _event_time(df)).drop("timestamp")
-    return prefixed(timed, prefix).withWatermark(f"{prefix}time", lateness)
+def _meet(wait: str, within: str | None) -> Column:
+    """The same order, and arrivals at most ``wait`` apart; with ``within`` also create times, where both parse."""
+    span = F.expr(f"interval {wait}")
+    condition = (F.col("detail__order_id") == F.col("order__id")) & F.col("detail__arrived").between(
+        F.col("order__arrived") - span, F.col("order__arrived") + span
+    )
+    if within is None:
+        return condition
+    return condition & F.coalesce(order_wide.close_in_time(within), F.lit(True))
+
+
+def _salted(details: DataFrame, salts: int) -> DataFrame:
+    return details.withColumn("detail__salt", F.pmod(F.xxhash64("detail__id"), F.lit(salts)))
 
 
 def paired(
     orders: DataFrame,
     details: DataFrame,
-    within: str = WAIT,
-    lateness: str = WAIT,
+    wait: str = WAIT,
+    within: str | None = None,
+    lateness: str = "10 minutes",
     salts: int = 8,
     how: str = "inner",
+    clock: str | None = None,
 ) -> DataFrame:
-    """Lines with their order in either arrival order, if created at most ``within`` apart.
+    """Lines with their order in either arrival order, if the second comes at most ``wait`` after the first.
 
-    The watermark drops a waiting row from state once no partner can come any more. All lines of an order would
-    meet in one task: lines take one of ``salts`` salts and the order is copied once per salt, so a huge order
-    is spread. ``how="left_outer"`` also gives the lines that stayed alone (order columns null).
+    The wait goes by arrival (:func:`tidecart.operators.arrival.arrived`), so that what a row says about its own time neither
+    ends another row's wait nor its own. ``lateness`` is how far the rows of a ``clock`` column may come out of order. The
+    watermark drops a waiting row from state once no partner can come any more. All lines of an order would meet in one task:
+    lines take one of ``salts`` salts and the order is copied once per salt, so a huge order is spread. ``how="left_outer"``
+    also gives the lines that stayed alone (order columns null). ``within`` also bounds the distance of create times.
     """
-    left = _timed(details, "detail__", lateness)
-    right = _timed(orders, "order__", lateness)
-    span = F.expr(f"interval {within}")
-    condition = (F.col("detail__order_id") == F.col("order__id")) & F.col("detail__time").between(
-        F.col("order__time") - span, F.col("order__time") + span
-    )
+    left = _arriving(details, "detail__", clock, lateness)
+    right = _arriving(orders, "order__", clock, lateness)
+    condition = _meet(wait, within)
     if salts > 1:
-        left = left.withColumn("detail__salt", F.pmod(F.xxhash64("detail__id"), F.lit(salts)))
+        left = _salted(left, salts)
         copies = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
         right = right.withColumn("order__salt", F.explode(copies))
         condition = condition & (F.col("detail__salt") == F.col("order__salt"))
@@ -64,22 +74,31 @@ def paired(
 
 
 def lonely_details(orders: DataFrame, details: DataFrame, **options) -> DataFrame:
-    """Audit stream: lines whose order did not come in time."""
+    """Late output: lines whose order did not come in time."""
     joined = paired(orders, details, how="left_outer", **options).where(F.col("order__id").isNull())
     return joined.select([F.col(f"detail__{c}").alias(c) for c in details.columns if c != "timestamp"])
 
 
 def lonely_orders(
-    orders: DataFrame, details: DataFrame, within: str = WAIT, lateness: str = WAIT
+    orders: DataFrame,
+    details: DataFrame,
+    wait: str = WAIT,
+    within: str | None = None,
+    lateness: str = "10 minutes",
+    salts: int = 8,
+    clock: str | None = None,
 ) -> DataFrame:
-    """Audit stream: orders none of whose lines came in time. Not salted: one copy of an order decides."""
-    left = _timed(orders, "order__", lateness)
-    right = _timed(details.select("order_id", *[c for c in ("create_time", "timestamp") if c in details.columns]), "detail__", lateness)
-    span = F.expr(f"interval {within}")
-    condition = (F.col("detail__order_id") == F.col("order__id")) & F.col("detail__time").between(
-        F.col("order__time") - span, F.col("order__time") + span
-    )
-    joined = left.join(right, condition, "left_outer").where(F.col("detail__order_id").isNull())
+    """Late output: orders none of whose lines came in time.
+
+    One copy of an order decides, so its lines are thinned out first, to one per salt while they wait.
+    """
+    left = _arriving(orders, "order__", clock, lateness)
+    columns = ["id", "order_id", *[c for c in ("create_time", "timestamp") if c in details.columns]]
+    right = _salted(_arriving(details.select(*columns), "detail__", clock, lateness), salts)
+    if within is None:
+        # Without a bound on create times the lines of an order are alike.
+        right = right.dropDuplicatesWithinWatermark(["detail__order_id", "detail__salt"])
+    joined = left.join(right, _meet(wait, within), "left_outer").where(F.col("detail__order_id").isNull())
     return joined.select([F.col(f"order__{c}").alias(c) for c in orders.columns if c != "timestamp"])
 
 
@@ -107,9 +126,11 @@ def start_order_wide(
     dims: Callable[[], tuple[DataFrame, DataFrame]],
     table: KeyedLedger,
     as_of=None,
-    within: str = WAIT,
-    lateness: str = WAIT,
+    wait: str = WAIT,
+    within: str | None = None,
+    lateness: str = "10 minutes",
     salts: int = 8,
+    clock: str | None = None,
     compact_every: int = 200,
     **options,
 ) -> StreamingQuery:
@@ -119,4 +140,5 @@ def start_order_wide(
         users, provinces = dims()
         handle_pairs(batch, batch_id, users, provinces, table, as_of)
 
-    return start(paired(orders, details, within, lateness, salts), "order_wide", handle, tables=[table], compact_every=compact_every, **options)
+    pairs = paired(orders, details, wait, within, lateness, salts, clock=clock)
+    return start(pairs, "order_wide", handle, tables=[table], compact_every=compact_every, **options)
