@@ -149,6 +149,16 @@ kept2 AS (SELECT dt, userid, adid, sum(n) AS n FROM (
 
 _STATS_AGE = f"SELECT {{keys}}b.name, round(sum(CASE WHEN {_BAND_NO} = b.no THEN split_total_amount ELSE 0 END), 2) AS value"
 
+_LINE_ROUTES = f"""{_ORDERS},
+placed AS (
+  SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_id, l_partkey % 100 = 3 AS dead, h.id AS found,
+         l_shipdate + to_seconds(l_orderkey % 86400 + l_linenumber) BETWEEN h.created - INTERVAL 24 HOUR AND h.created + INTERVAL 24 HOUR AS near
+  FROM lineitem LEFT JOIN headers h ON l_orderkey = h.id AND h.id % 50 NOT IN (7, 8)),
+routes AS (
+  SELECT id, order_id, CASE WHEN dead THEN 'dead' WHEN found IS NULL OR NOT near THEN 'late' ELSE 'stored' END AS route,
+         CASE WHEN dead THEN 'not a JSON object' WHEN found IS NULL THEN 'no order' WHEN NOT near THEN 'order too far in time' END AS reason
+  FROM placed)"""
+
 ORACLES: dict[str, str] = {
     "order_wide": f"{_wide()} SELECT * FROM wide",
     "order_wide_hot_keys": f"{_wide()} SELECT * FROM wide",
@@ -235,4 +245,46 @@ buckets AS (SELECT ms // 10000 * 10000 AS bucket_ms, count(*) AS n FROM clicks G
 SELECT bucket_ms - back AS window_start_ms, bucket_ms - back + 60000 AS window_end_ms, bucket_ms, n AS "count"
 FROM buckets, (VALUES (0), (10000), (20000), (30000), (40000), (50000)) AS o(back)""",
     "delta_counter_total": f'WITH {_CLICKS} SELECT dt, userid, adid, count(*) AS "count" FROM clicks GROUP BY ALL',
+    "ad_blacklist_by_batch": f"{_FOLD} SELECT userid FROM ban2",
+    "ad_count_by_batch": f'{_FOLD} SELECT dt, userid, adid, CAST(n AS BIGINT) AS "count" FROM kept2',
+    "ledger_upsert": f"""WITH {_USERS}
+SELECT gender, id, CASE WHEN id % 7 = 0 THEN 'seven' WHEN id % 5 = 0 THEN 'five' WHEN id % 3 = 0 THEN 'three'
+  ELSE strftime(birthday, '%Y-%m-%d') END AS birthday FROM users""",
+    "ledger_counter_total": f'WITH {_CLICKS} SELECT dt, userid, adid, count(*) AS "count" FROM clicks GROUP BY ALL',
+    "ledger_set": f"""WITH {_CLICKS}
+SELECT DISTINCT userid FROM (SELECT batch, dt, userid, adid FROM clicks GROUP BY ALL HAVING count(*) > {CLICK_THRESHOLD})""",
+    "click_dead_letter": f"""WITH {_EVENTS}
+SELECT 'missing fields' AS reason, 'click ' || event_id AS value FROM e WHERE k = 99
+UNION ALL SELECT 'time is no number', 'x' || ms || ' AREA CITY ' || u || ' ' || (k % 6 + 1) FROM e WHERE k = 98""",
+    "order_dead_letter": """
+SELECT 'not a JSON object' AS reason, 'order ' || o_orderkey AS value FROM orders WHERE o_orderkey % 50 = 7
+UNION ALL SELECT 'no id', '{"user_id":' || o_custkey || '}' FROM orders WHERE o_orderkey % 50 = 8""",
+    "cdc_dead_letter": """
+SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'no id' ELSE 'not a change event' END AS reason,
+  CASE WHEN s_suppkey % 2 = 0 THEN '{"type":"insert","table":"user_info","ts":1,"data":{"gender":"F"}}' ELSE 'change ' || s_suppkey END AS value
+FROM supplier""",
+    "click_accounts": f"""WITH {_EVENTS}
+SELECT count(*) AS rows, count(*) FILTER (WHERE k < 98) AS stored, CAST(0 AS BIGINT) AS late, count(*) FILTER (WHERE k >= 98) AS dead,
+  CAST(0 AS BIGINT) AS other FROM e""",
+    "order_accounts": f"""WITH {_LINE_ROUTES}
+SELECT count(*) AS rows, count(*) FILTER (WHERE route = 'stored') AS stored, count(*) FILTER (WHERE route = 'late') AS late,
+  count(*) FILTER (WHERE route = 'dead') AS dead, CAST(0 AS BIGINT) AS other FROM routes""",
+    "order_late": f"WITH {_LINE_ROUTES} SELECT id, order_id, reason FROM routes WHERE route = 'late'",
+    "cdc_routes": """
+WITH users AS (SELECT sum(1 + CASE WHEN c_custkey % 3 = 0 THEN 3 ELSE 0 END + CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END) AS good,
+                 sum(CASE WHEN c_custkey % 7 = 0 THEN 2 ELSE 0 END) AS other FROM customer),
+routes AS (
+  SELECT 'stored' AS route, NULL AS reason, good + (SELECT count(*) FROM nation) + (SELECT count(*) FROM orders) AS n FROM users
+  UNION ALL SELECT 'other', 'no row change', other FROM users
+  UNION ALL SELECT 'other', 'table in no role', count(*) FROM part
+  UNION ALL SELECT 'dead', 'no id', count(*) FILTER (WHERE s_suppkey % 2 = 0) FROM supplier
+  UNION ALL SELECT 'dead', 'not a change event', count(*) FILTER (WHERE s_suppkey % 2 = 1) FROM supplier)
+SELECT route, CAST(reason AS VARCHAR) AS reason, CAST(n AS BIGINT) AS n FROM routes WHERE n > 0""",
+    "log_routes": f"""WITH {_EVENTS}
+SELECT CASE WHEN k = 99 THEN 'dead' ELSE 'stored' END AS route, CASE WHEN k = 99 THEN 'not a JSON object' END AS reason, count(*) AS n
+FROM e GROUP BY 1, 2""",
+    "dau_routes": f"""WITH {_EVENTS}
+SELECT CASE WHEN k = 99 THEN 'dead' WHEN kind = 'view' THEN 'stored' ELSE 'other' END AS route,
+  CASE WHEN k = 99 THEN 'not a JSON object' WHEN kind <> 'view' THEN 'opens no visit' END AS reason, count(*) AS n
+FROM e WHERE k = 99 OR kind IN ('view', 'click', 'purchase') GROUP BY 1, 2""",
 }

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecart.demo import tables as t
+from tidecart import schemas
 from tidecart.functions import times
+from tidecart.operators import routing
 from tidecart.operators.counting import count_by, sum_by
 from tidecart.operators.paging import top_groups
 from tidecart.plans import active_users, ad_clicks, change_capture, log_split, order_wide, serving
+from tidecart.session import shared_folder
+from tidecart.sinks import CounterLedger, KeyedLedger, SetLedger
+from tidecart.streaming import ad_clicks as click_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,6 +130,95 @@ def _replayed(part: int) -> Query:
     return lambda spark, folder: ad_clicks.replay_batches(_batch_counts(spark, folder), CLICK_THRESHOLD)[part]
 
 
+def _fresh(spark: SparkSession) -> str:
+    """A folder of its own for the tables of one run."""
+    return f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+
+
+def _click_batches(spark: SparkSession, folder: str, at: str) -> list[tuple[int, DataFrame]]:
+    """The clicks of hours 0-7, 8-15 and 16-23 of every day, as three stored batches, the second one twice."""
+    hour = F.hour(F.timestamp_millis(times.text_to_ms(F.col("ts"))))
+    clicks = _clicks(spark, folder).withColumn("batch", F.floor(hour / 8))
+    clicks.write.partitionBy("batch").parquet(f"{at}/clicks")
+    stored = spark.read.parquet(f"{at}/clicks")
+    return [(n, stored.where(F.col("batch") == n).drop("batch")) for n in (0, 1, 1, 2)]
+
+
+def _by_batch(part: int) -> Query:
+    """The click rule run batch by batch on its tables, as the stream does; the second batch comes twice."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        at = _fresh(spark)
+        counts, banned = click_stream.user_ad_ledger(spark, f"{at}/counts"), click_stream.black_list_ledger(spark, f"{at}/banned")
+        for batch, clicks in _click_batches(spark, folder, at):
+            click_stream.handle_black_list(clicks, batch, counts, banned, CLICK_THRESHOLD)
+        return (counts, banned)[part].read()
+
+    return query
+
+
+def _ledger_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Users loaded by one run, changed by it twice (one change comes twice, with a compaction between) and by a second run."""
+    table = KeyedLedger(spark, _fresh(spark), schemas._ddl("gender string, id bigint, birthday string"), ["gender", "id"], "gender")
+    users = t.users(spark, folder)
+    changed = lambda every, to: users.where(F.col("id") % every == 0).withColumn("birthday", F.lit(to))
+    table.bind("first")
+    table.write(users, 0)
+    table.write(changed(3, "three"), 1)
+    table.write(changed(3, "three"), 1)
+    table.compact()
+    table.bind("second")
+    table.write(changed(5, "five"), 0)
+    table.bind("first")
+    table.write(changed(7, "seven"), 2)
+    return table.read()
+
+
+def _ledger_counter(spark: SparkSession, folder: str) -> DataFrame:
+    """Clicks per key from three batches, one of them twice, half of them compacted."""
+    at = _fresh(spark)
+    table = CounterLedger(spark, f"{at}/counts", schemas.USER_AD_COUNT, ad_clicks.USER_AD, partition="dt")
+    for batch, clicks in _click_batches(spark, folder, at):
+        table.write(ad_clicks.user_ad_counts(clicks), batch)
+    table.compact()
+    return table.read()
+
+
+def _ledger_set(spark: SparkSession, folder: str) -> DataFrame:
+    """Users with more clicks on one advertisement than the threshold within one of three batches, one of which comes twice."""
+    at = _fresh(spark)
+    table = SetLedger(spark, f"{at}/users", schemas.BLACK_LIST, ["userid"])
+    for batch, clicks in _click_batches(spark, folder, at):
+        counts = ad_clicks.user_ad_counts(clicks)
+        table.write(counts.where(F.col("count") > CLICK_THRESHOLD).select("userid"), batch)
+    table.compact()
+    return table.read()
+
+
+def _letters(routed: DataFrame) -> DataFrame:
+    letters = routing.dead_letters(routed, "T").select(F.from_json("value", "reason string, value string").alias("r"))
+    return letters.select("r.reason", "r.value")
+
+
+def _routes(routed: DataFrame) -> DataFrame:
+    return count_by(routed, ["route", "reason"], "n")
+
+
+def _cdc_routed(spark: SparkSession, folder: str) -> DataFrame:
+    return change_capture.routed(t.raw_changes_with_noise(spark, folder), t.table_roles(spark))
+
+
+def _details_routed(spark: SparkSession, folder: str) -> DataFrame:
+    orders = order_wide.routed_orders(t.raw_orders(spark, folder)).where(F.col("route") == routing.STORED)
+    return order_wide.routed_details(t.raw_details(spark, folder), orders.select("id", "create_time"))
+
+
+def _dau_routed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text of the page topic; a few of the log texts are put among them as they came."""
+    messages = log_split.split(t.raw_logs(spark, folder))
+    return active_users.routed(messages.where(F.col("topic").isin(log_split.PAGE_TOPIC, log_split.DEAD_LETTER_TOPIC)))
+
+
 def _over_threshold(spark: SparkSession, folder: str) -> DataFrame:
     return ad_clicks.user_ad_counts(_clicks(spark, folder)).where(F.col("count") > CLICK_THRESHOLD)
 
@@ -184,4 +279,20 @@ QUERIES: dict[str, Query] = {
     "click_bucket_10s": lambda spark, folder: ad_clicks.click_buckets(_clicks(spark, folder)),
     "click_sliding_60s": lambda spark, folder: ad_clicks.click_trend(_clicks(spark, folder)),
     "delta_counter_total": _delta_total,
+    "ad_blacklist_by_batch": _by_batch(1),
+    "ad_count_by_batch": _by_batch(0),
+    # replay-safe tables
+    "ledger_upsert": _ledger_upsert,
+    "ledger_counter_total": _ledger_counter,
+    "ledger_set": _ledger_set,
+    # where each input row goes
+    "click_dead_letter": lambda spark, folder: _letters(ad_clicks.routed(t.raw_clicks_with_noise(spark, folder))),
+    "order_dead_letter": lambda spark, folder: _letters(order_wide.routed_orders(t.raw_orders(spark, folder))),
+    "cdc_dead_letter": lambda spark, folder: _letters(_cdc_routed(spark, folder)),
+    "click_accounts": lambda spark, folder: routing.accounts(ad_clicks.routed(t.raw_clicks_with_noise(spark, folder))),
+    "order_accounts": lambda spark, folder: routing.accounts(_details_routed(spark, folder)),
+    "order_late": lambda spark, folder: _details_routed(spark, folder).where(F.col("route") == routing.LATE).select("id", "order_id", "reason"),
+    "cdc_routes": lambda spark, folder: _routes(_cdc_routed(spark, folder)),
+    "log_routes": lambda spark, folder: _routes(log_split.routed(t.raw_logs(spark, folder))),
+    "dau_routes": lambda spark, folder: _routes(_dau_routed(spark, folder)),
 }

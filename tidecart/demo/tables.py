@@ -240,3 +240,44 @@ def raw_clicks(spark: SparkSession, folder: str, **lookup_options) -> DataFrame:
     names = [F.replace("r_name", F.lit(" "), F.lit("_")).alias("area"), F.col("n_name").alias("city")]
     placed = lookup(placed, nations, "nation_id", "n_nationkey", names, ["ms", "k"], **lookup_options)
     return placed.select(F.concat_ws(" ", "ms", "area", "city", "user_id", F.col("k") % 6 + 1).alias("value"))
+
+
+# --- inputs with texts that are not what they should be ----------------------------------------
+
+
+def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Order texts; of fifty orders one is no JSON and one has no id."""
+    rows = orders(spark, folder)
+    text = (
+        F.when(F.col("id") % 50 == 7, F.concat(F.lit("order "), "id"))
+        .when(F.col("id") % 50 == 8, F.to_json(F.struct("user_id")))
+        .otherwise(F.to_json(F.struct(*rows.columns)))
+    )
+    return evaluated_once(rows, text, "value")
+
+
+def raw_details(spark: SparkSession, folder: str) -> DataFrame:
+    """Line texts with a number as id; those of a few articles are no JSON."""
+    line = F.struct(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("sku_id"),
+        _seconds_after(F.col("l_shipdate"), F.col("l_orderkey") % 86400 + F.col("l_linenumber")).alias("create_time"),
+    )
+    text = F.when(F.col("l_partkey") % 100 == 3, F.concat(F.lit("line "), "l_orderkey")).otherwise(F.to_json(line))
+    return evaluated_once(source(spark, folder, "lineitem"), text, "value")
+
+
+def raw_changes_with_noise(spark: SparkSession, folder: str) -> DataFrame:
+    """Change texts, and for each supplier a text that is none or a user without an id."""
+    nobody = F.lit('{"type":"insert","table":"user_info","ts":1,"data":{"gender":"F"}}')
+    text = F.when(F.col("s_suppkey") % 2 == 0, nobody).otherwise(F.concat(F.lit("change "), "s_suppkey"))
+    return raw_changes(spark, folder).unionByName(source(spark, folder, "supplier").select(text.alias("value")))
+
+
+def raw_clicks_with_noise(spark: SparkSession, folder: str) -> DataFrame:
+    """Click lines; some have missing fields, some a time that is no number."""
+    e = source(spark, folder, "events").select("event_id", _millis().alias("ms"), "user_id", _k().alias("k"))
+    line = F.concat_ws(" ", "ms", F.lit("AREA"), F.lit("CITY"), "user_id", F.col("k") % 6 + 1)
+    text = F.when(F.col("k") == 99, F.concat(F.lit("click "), "event_id")).when(F.col("k") == 98, F.concat(F.lit("x"), line))
+    return e.select(F.coalesce(text, line).alias("value"))

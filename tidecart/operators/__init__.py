@@ -1,3 +1,3 @@
-from tidecart.operators import arrival, audit, counting, lookup, membership, merge, paging, pick
+from tidecart.operators import arrival, audit, counting, lookup, membership, merge, paging, pick, routing
 
-__all__ = ["arrival", "audit", "counting", "lookup", "membership", "merge", "paging", "pick"]
+__all__ = ["arrival", "audit", "counting", "lookup", "membership", "merge", "paging", "pick", "routing"]

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidecart import schemas
 from tidecart.functions import times
+from tidecart.operators import routing
 from tidecart.operators.membership import not_stored
-from tidecart.operators.parsing import typed_records
+from tidecart.operators.parsing import routed_records, typed_records
 from tidecart.operators.pick import first_by_key
 from tidecart.plans.dimensions import with_province, with_user
 
@@ -28,6 +29,13 @@ def parse(raw: DataFrame) -> DataFrame:
     return typed_records(raw, schemas.PAGE_LOG)
 
 
+def routed(raw: DataFrame) -> DataFrame:
+    """Every page text with its record, ``route`` and ``reason``: other are pages that open no visit."""
+    pages = routed_records(raw, schemas.PAGE_LOG, ["mid", "ts"]).withColumnRenamed("reason", "__why")
+    inner = routing.reasons(opens_no_visit=F.col("last_page_id").isNotNull())
+    return routing.routed(pages, dead=F.col("__why"), other=inner).drop("__why")
+
+
 def landings(page_logs: DataFrame) -> DataFrame:
     """Pages that open a visit, with their day."""
     return page_logs.where(F.col("last_page_id").isNull()).withColumn("dt", times.day_of_ms(F.col("ts")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidecart import schemas
 from tidecart.functions import times
+from tidecart.operators import routing
 from tidecart.operators.counting import bucket_counts, count_by, sum_by, windows_over_buckets
 from tidecart.operators.membership import not_listed
 from tidecart.operators.parsing import evaluated_once
@@ -14,6 +15,9 @@ from tidecart.operators.parsing import evaluated_once
 # Fixed value: clicks of one user on one advertisement in one day that are still accepted.
 THRESHOLD = 30
 
+# Ours: lines that are no clicks.
+DEAD_LETTER_TOPIC = "AD_CLICK_DEAD_LETTER"
+
 USER_AD = ("dt", "userid", "adid")
 AREA_CITY_AD = ("dt", "area", "city", "adid")
 
@@ -27,6 +31,16 @@ def parse(raw: DataFrame) -> DataFrame:
     return parts.where(F.size("part") >= len(fields)).select(*fields, *kept)
 
 
+def routed(raw: DataFrame) -> DataFrame:
+    """Every line with its click, ``route`` and ``reason``: dead are lines with missing fields or a time that is no number."""
+    kept = ["value", *(["timestamp"] if "timestamp" in raw.columns else [])]
+    parts = evaluated_once(raw, F.split(F.rtrim("value"), " "), "part", kept)
+    fields = [F.get("part", F.lit(i)).alias(name) for i, name in enumerate(schemas.AD_CLICK.names)]
+    lines = parts.select(*fields, *kept, F.coalesce(F.size("part") < len(fields), F.lit(True)).alias("__short"))
+    dead = routing.reasons(missing_fields=F.col("__short"), time_is_no_number=times.text_to_ms(F.col("ts")).isNull())
+    return routing.routed(lines, dead=dead).drop("__short")
+
+
 def _with_day(clicks: DataFrame) -> DataFrame:
     """Clicks with their day; a click whose time is not a number is dropped."""
     ms = times.text_to_ms(F.col("ts"))

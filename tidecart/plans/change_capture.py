@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecart import schemas
+from tidecart.operators import routing
+from tidecart.operators.lookup import fits_broadcast
 from tidecart.operators.membership import listed
 from tidecart.operators.parsing import evaluated_once
 from tidecart.operators.pick import latest_by_key
 
 FACT, DIM = "fact", "dim"
+# Ours: texts that are no change events.
+DEAD_LETTER_TOPIC = "ODS_BASE_DB_DEAD_LETTER"
 _LAST = 2**63 - 1
 
 
@@ -34,12 +38,19 @@ def parse(raw: DataFrame) -> DataFrame:
     comes last), and the place in the source topic where the frame has an ``offset`` column.
     Events other than row changes are dropped, and so are texts that are not change events.
     """
+    return _changes(raw).where(~F.col("broken") & F.col("op").isNotNull()).drop("value", "broken")
+
+
+def _changes(raw: DataFrame) -> DataFrame:
+    """``(value, broken, table_name, op, data, seq)`` of every text."""
+    broken = F.col("e").isNull() | F.col("e")[schemas.CORRUPT].isNotNull()
     number = lambda name, missing: F.coalesce(F.col(name).try_cast("bigint"), F.lit(missing))
     arrived = F.col("offset").cast("bigint") if "offset" in raw.columns else F.lit(0).cast("bigint")
     return (
         _events(raw)
-        .where(F.col("e").isNotNull() & F.col("e")[schemas.CORRUPT].isNull())
         .select(
+            "value",
+            broken.alias("broken"),
             F.col("e.table").alias("table_name"),
             op_code(F.col("e.type")).alias("op"),
             F.col("e.data").alias("data"),
@@ -50,14 +61,29 @@ def parse(raw: DataFrame) -> DataFrame:
                 arrived.alias("arrived"),
             ).alias("seq"),
         )
-        .where(F.col("op").isNotNull())
     )
 
 
+def routed(raw: DataFrame, roles: DataFrame) -> DataFrame:
+    """Every text with its change (:func:`parse`), ``route`` and ``reason``: dead are texts that are no change events and
+    dimension rows without an id; other are events that change no row, and tables in no role."""
+    known = roles.where(F.col("role").isin(FACT, DIM)).groupBy("table_name").agg(F.max(F.col("role") == DIM).alias("__dim"))
+    known = known.withColumnRenamed("table_name", "__known")
+    if fits_broadcast(known):
+        known = F.broadcast(known)
+    changes = _changes(raw).join(known, F.col("table_name") == F.col("__known"), "left")
+    no_id = F.col("op").isNotNull() & F.col("__dim") & F.get_json_object("data", "$.id").isNull()
+    tagged = routing.routed(
+        changes,
+        dead=routing.reasons(not_a_change_event=F.col("broken"), no_id=no_id),
+        other=routing.reasons(no_row_change=F.col("op").isNull(), table_in_no_role=F.col("__known").isNull()),
+    )
+    return tagged.drop("__known", "__dim", "broken")
+
+
 def dead_letters(raw: DataFrame) -> DataFrame:
     """Texts that are not one JSON object of the expected shape."""
-    broken = F.col("e").isNull() | F.col("e")[schemas.CORRUPT].isNotNull()
-    return _events(raw).where(broken).select("value")
+    return _changes(raw).where("broken").select("value")
 
 
 def _in_role(changes: DataFrame, roles: DataFrame, role: str) -> DataFrame:

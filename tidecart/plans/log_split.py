@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecart import schemas
+from tidecart.operators import routing
 from tidecart.operators.parsing import evaluated_once
 
 # Topic names.
@@ -128,6 +129,15 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.where(is_dead()).select("value")
 
 
+def routed(raw: DataFrame) -> DataFrame:
+    """``(value, route, reason)`` of every message."""
+    empty = is_good() & F.col("log.page").isNull() & F.col("log.start").isNull()
+    tagged = routing.routed(
+        parse(raw), dead=routing.reasons(not_a_JSON_object=is_dead()), other=routing.reasons(no_page_start_or_error=empty)
+    )
+    return tagged.select("value", "route", "reason")
+
+
 def split(raw: DataFrame) -> DataFrame:
     """All outputs as ``(topic, value)`` rows from one parse of each message.
 

@@ -11,9 +11,10 @@ from pyspark.sql.types import StructType
 
 from tidecart import schemas
 from tidecart.functions import times
+from tidecart.operators import routing
 from tidecart.operators.lookup import HOT_KEYS, fits_broadcast, lookup
 from tidecart.operators.merge import merge_by_name, prefixed
-from tidecart.operators.parsing import typed_records
+from tidecart.operators.parsing import routed_records, typed_records
 from tidecart.plans.dimensions import with_province, with_user
 
 # Output column to province column.
@@ -23,6 +24,10 @@ _PROVINCE_NAMES = {
     "province_3166_2_code": "iso_3166_2",
     "province_iso_code": "iso_code",
 }
+# Ours: texts that are no orders or lines, and lines whose order did not come.
+DEAD_LETTER_TOPIC = "DWD_ORDER_DEAD_LETTER"
+LATE_TOPIC = "DWD_ORDER_LATE"
+
 _RENAMES = {"order__id": "order_id", "detail__id": "detail_id"}
 
 
@@ -40,6 +45,24 @@ def _records(raw: DataFrame, schema: StructType) -> DataFrame:
     return typed_records(raw, schema, ["timestamp"] if "timestamp" in raw.columns else [])
 
 
+def routed_orders(raw: DataFrame) -> DataFrame:
+    """Every order text with its record, ``route`` and ``reason``: dead are texts that are no JSON objects or have no id."""
+    return routed_records(raw, schemas.ORDER_INFO, ["id"])
+
+
+def routed_details(raw: DataFrame, orders: DataFrame, within: str = "24 hours") -> DataFrame:
+    """Every line text with its record, ``route`` and ``reason``: late are lines whose order is missing or was created more than
+    ``within`` before or after."""
+    lines = routed_records(raw, schemas.ORDER_DETAIL, ["id", "order_id"]).withColumnRenamed("reason", "__why")
+    placed = [F.col("id").alias("__order"), F.col("create_time").alias("__created")]
+    met = lookup(lines, orders, "order_id", "id", placed, ["id"])
+    ordered, made = (times.timestamp_of_text(F.col(c)) for c in ("__created", "create_time"))
+    span = F.expr(f"interval {within}")
+    near = F.coalesce(made.between(ordered - span, ordered + span), F.lit(False))
+    late = routing.reasons(no_order=F.col("__order").isNull(), order_too_far_in_time=~near)
+    return routing.routed(met, dead=F.col("__why"), late=late).drop("__why", "__order", "__created")
+
+
 def enrich_orders(
     orders: DataFrame,
     users: DataFrame,

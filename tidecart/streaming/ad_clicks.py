@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidecart import schemas
 from tidecart.functions import times
+from tidecart.operators import routing
 from tidecart.operators.arrival import arrived
 from tidecart.plans import ad_clicks
 from tidecart.sinks.ledger import CounterLedger, SetLedger
@@ -59,6 +63,18 @@ def handle_black_list(
         batch.unpersist()
 
 
+@contextmanager
+def _letters_out(batch: DataFrame, batch_id: int, topics) -> Iterator[DataFrame]:
+    """The clicks of a routed batch, held while they are used; its dead letters go to ``topics``."""
+    batch.persist()
+    try:
+        if topics:
+            topics.write(routing.dead_letters(batch, ad_clicks.DEAD_LETTER_TOPIC), batch_id)
+        yield batch.where(F.col("route") == routing.STORED)
+    finally:
+        batch.unpersist()
+
+
 def start_black_list(
     raw: DataFrame,
     counts: CounterLedger,
@@ -66,21 +82,30 @@ def start_black_list(
     threshold: int = ad_clicks.THRESHOLD,
     compact_every: int = 200,
     interval: str = INTERVAL,
+    topics=None,
     **options,
 ) -> StreamingQuery:
+    """``topics`` gets the lines that are no clicks; the accounts of each batch are metrics of the query."""
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        handle_black_list(batch, batch_id, counts, black_list, threshold)
+        with _letters_out(batch, batch_id, topics) as clicks:
+            handle_black_list(clicks, batch_id, counts, black_list, threshold)
 
-    return start(ad_clicks.parse(raw), "ad_black_list", handle, interval=interval, tables=[counts, black_list], compact_every=compact_every, **options)
+    options["sinks"] = [topics] if topics else []
+    return start(routing.watched(ad_clicks.routed(raw)), "ad_black_list", handle, interval=interval, tables=[counts, black_list], compact_every=compact_every, **options)
 
 
 def start_area_city_counts(
-    raw: DataFrame, counts: CounterLedger, compact_every: int = 200, interval: str = INTERVAL, **options
+    raw: DataFrame, counts: CounterLedger, compact_every: int = 200, interval: str = INTERVAL, topics=None, **options
 ) -> StreamingQuery:
+    """``topics`` gets the lines that are no clicks; the accounts of each batch are metrics of the query."""
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        counts.write(ad_clicks.area_city_counts(batch), batch_id)
+        with _letters_out(batch, batch_id, topics) as clicks:
+            counts.write(ad_clicks.area_city_counts(clicks), batch_id)
 
-    return start(ad_clicks.parse(raw), "ad_area_city", handle, interval=interval, tables=[counts], compact_every=compact_every, **options)
+    options["sinks"] = [topics] if topics else []
+    return start(routing.watched(ad_clicks.routed(raw)), "ad_area_city", handle, interval=interval, tables=[counts], compact_every=compact_every, **options)
 
 
 def click_trend(

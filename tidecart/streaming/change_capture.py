@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidecart import schemas
+from tidecart.operators import routing
 from tidecart.plans import change_capture, dimensions
 from tidecart.sinks.ledger import KeyedLedger
 from tidecart.streaming.run import start
@@ -30,12 +31,15 @@ def current_dims(dims: KeyedLedger, drop_deleted: bool = False) -> tuple[DataFra
 
 
 def handle_changes(batch: DataFrame, batch_id: int, roles: DataFrame, topics, dims: KeyedLedger) -> None:
-    changes = change_capture.parse(batch).persist()
+    """Facts and dead letters go to topics in one write, dimension rows to their table; texts are parsed once."""
+    routed = change_capture.routed(batch, roles).persist()
     try:
-        topics.write(change_capture.fact_messages(changes, roles), batch_id)
+        changes = routed.where(F.col("route") == routing.STORED)
+        dead = routing.dead_letters(routed, change_capture.DEAD_LETTER_TOPIC)
+        topics.write(change_capture.fact_messages(changes, roles).unionByName(dead), batch_id)
         dims.write(change_capture.dim_changes(changes, roles), batch_id)
     finally:
-        changes.unpersist()
+        routed.unpersist()
 
 
 def start_change_capture(

@@ -9,6 +9,7 @@ from concurrent.futures import Future, ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tidecart.operators import routing
 from tidecart.session import checkpoint_location
 
 # Fixed value: batch interval.
@@ -86,3 +87,13 @@ def start(
     query_id.append(str(query.id))
     started.set()
     return query
+
+
+def start_dead_letters(raw: DataFrame, routed: Callable[[DataFrame], DataFrame], topic: str, topics, **options) -> StreamingQuery:
+    """The dead rows of ``raw`` to ``topic``, for steps that keep state and so see sound records only. ``routed`` gives every row
+    its route; the accounts of each batch are metrics of the query."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        topics.write(routing.dead_letters(batch, topic), batch_id)
+
+    return start(routing.watched(routed(raw)), f"{topic.lower()}_stream", handle, sinks=[topics], **options)
