@@ -5,7 +5,7 @@ Written against the columns of the source tables, without the JSON and text deto
 
 from __future__ import annotations
 
-from tidecart.demo.queries import CLICK_THRESHOLD, DAU_DAY, ORDER_DAY, PAGE_NO, PAGE_SIZE
+from tidecart.demo.queries import CLICK_THRESHOLD, DAU_DAY, DEEP_PAGE, DEEP_SIZE, ORDER_DAY, PAGE_NO, PAGE_SIZE
 from tidecart.demo.tables import AS_OF
 
 _USERS = f"""
@@ -188,6 +188,12 @@ SELECT create_time, order_price, province_name, regexp_replace(sku_name, '\\b(wi
 FROM wide WHERE {_DAY_AND_ITEM} ORDER BY wide.create_time DESC, detail_id
 LIMIT {PAGE_SIZE} OFFSET {(PAGE_NO - 1) * PAGE_SIZE}""",
     "detail_total": f"{_wide()} SELECT count(*) AS total FROM wide WHERE {_DAY_AND_ITEM}",
+    "detail_deep_page": f"""{_wide()}
+SELECT detail_id, create_time, sku_name, total_amount FROM wide ORDER BY wide.create_time DESC, detail_id
+LIMIT {DEEP_SIZE} OFFSET {(DEEP_PAGE - 1) * DEEP_SIZE}""",
+    "detail_next_page": f"""{_wide()}
+SELECT detail_id, create_time, sku_name, total_amount FROM wide WHERE create_time < '1995-06-01 00:00:00'
+ORDER BY wide.create_time DESC, detail_id LIMIT {DEEP_SIZE}""",
     "top_ages": f"""{_wide()}
 SELECT user_age, count(*) AS n FROM wide WHERE user_age IS NOT NULL GROUP BY 1 ORDER BY n DESC, user_age LIMIT 24""",
     "dau_info": f"{_DAU} SELECT * FROM dau",

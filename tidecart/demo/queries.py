@@ -13,10 +13,10 @@ from tidecart import schemas
 from tidecart.functions import times
 from tidecart.operators import routing
 from tidecart.operators.counting import count_by, sum_by
-from tidecart.operators.paging import top_groups
+from tidecart.operators.paging import page_after, seek_page, top_groups
 from tidecart.plans import active_users, ad_clicks, change_capture, log_split, order_wide, serving
 from tidecart.session import shared_folder
-from tidecart.sinks import CounterLedger, KeyedLedger, SetLedger
+from tidecart.sinks import CounterLedger, DayIndex, KeyedLedger, SetLedger
 from tidecart.streaming import ad_clicks as click_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,7 @@ ORDER_DAY = "1997-02-01"
 ITEM = "Widget"
 DAU_DAY = "2024-01-15"
 PAGE_NO, PAGE_SIZE = 2, 3
+DEEP_PAGE, DEEP_SIZE = 123, 20
 # Clicks per user, advertisement and day are few in the source tables.
 CLICK_THRESHOLD = 2
 
@@ -37,13 +38,31 @@ def _wide(spark: SparkSession, folder: str, day: str | None = None, **options) -
         t.users(spark, folder),
         t.provinces(spark, folder),
         t.AS_OF,
+        bare_details=t.source(spark, folder, "lineitem").select(F.col("l_orderkey").alias("order_id")),
         **options,
     )
 
 
-def _stats(by: str, day: str | None) -> Query:
+_BUILT: dict[tuple[str, str], DayIndex] = {}
+
+
+def order_index(spark: SparkSession, folder: str) -> DayIndex:
+    """The wide order lines of the day asked for and those beside it, stored and indexed: built once in a session, then read by
+    every query for that day."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _BUILT:
+        wide = _wide(spark, folder, ORDER_DAY)
+        index = DayIndex(spark, _fresh(spark), wide.schema, "create_date", "detail_id", "sku_name")
+        index.write(wide, 0)
+        index.compact(0)
+        _BUILT[key] = index
+    return _BUILT[key]
+
+
+def _stats(by: str, day: str | None, item: str = ITEM) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        stats = serving.stats_by_item(_wide(spark, folder, day), ITEM, day, by)
+        rows = _wide(spark, folder) if day is None else order_index(spark, folder).search(item, day)
+        stats = serving.stats_by_item(rows, item, day, by)
         return stats.withColumn("value", F.round("value", 2))
 
     return query
@@ -51,15 +70,23 @@ def _stats(by: str, day: str | None) -> Query:
 
 def _detail(part: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        wide = _wide(spark, folder, ORDER_DAY)
-        return getattr(serving.detail_by_item(wide, ORDER_DAY, ITEM, PAGE_NO, PAGE_SIZE), part)
+        found = order_index(spark, folder).search(ITEM, ORDER_DAY)
+        return getattr(serving.detail_by_item(found, ORDER_DAY, ITEM, PAGE_NO, PAGE_SIZE), part)
 
     return query
 
 
-def _two_words(spark: SparkSession, folder: str) -> DataFrame:
-    stats = serving.stats_by_item(_wide(spark, folder), "widget RED", None, "gender")
-    return stats.withColumn("value", F.round("value", 2))
+def _deep_page(spark: SparkSession, folder: str) -> DataFrame:
+    """One page out of the middle of all wide lines, stored and then sought by counting ranges."""
+    at = f"{_fresh(spark)}/lines"
+    _wide(spark, folder).select("detail_id", "create_time", "sku_name", "total_amount").write.parquet(at)
+    return seek_page(spark.read.parquet(at), serving.DETAIL_ORDER, DEEP_PAGE, DEEP_SIZE, most=1000)
+
+
+def _next_page(spark: SparkSession, folder: str) -> DataFrame:
+    """The page after a given line."""
+    wide = _wide(spark, folder).select("detail_id", "create_time", "sku_name", "total_amount")
+    return page_after(wide, serving.DETAIL_ORDER, ["1995-06-01 00:00:00", ""], DEEP_SIZE)
 
 
 def _top_ages(spark: SparkSession, folder: str) -> DataFrame:
@@ -243,9 +270,11 @@ QUERIES: dict[str, Query] = {
     "stats_by_item_gender": _stats("gender", ORDER_DAY),
     "stats_by_item_age_all_days": _stats("age", None),
     "stats_by_item_gender_all_days": _stats("gender", None),
-    "stats_two_words": _two_words,
+    "stats_two_words": _stats("gender", None, "widget RED"),
     "detail_by_item": _detail("detail"),
     "detail_total": _detail("total"),
+    "detail_deep_page": _deep_page,
+    "detail_next_page": _next_page,
     "top_ages": _top_ages,
     # active users
     "dau_info": _dau,

@@ -15,7 +15,7 @@ keys are spread there too.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -27,25 +27,58 @@ HOT_KEYS = 256
 # Candidates the sketch keeps per reported key, so that no key above the share is missed.
 _TRACKED_PER_KEY = 16
 _SPREAD = 1024
+# Times the bound. Files are compressed, estimates are not exact: only what is far beyond is refused unseen.
+_REFUSED = 8
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a static frame is proven to stay within both bounds.
+    """Whether a static frame is proven to stay within both bounds: by one pass that counts its rows and bytes.
 
-    The row count reads no columns, so a large table is refused without scanning it.
+    A frame is refused without a pass where the plan's own estimate, which follows file sizes, is far beyond the bound.
     """
-    if df.isStreaming or max_rows <= 0 or df.count() > max_rows:
+    if df.isStreaming or max_rows <= 0 or _estimated_bytes(df) > _REFUSED * max_bytes:
         return False
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns), F.lit(0))
-    return (df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0) <= max_bytes
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    return seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
 
 
-def heavy_keys(df: DataFrame, key: str, k: int = HOT_KEYS) -> tuple[list[Any], bool]:
-    """The fewer than ``k`` non-null keys with at least one ``k``-th of the rows, and whether nulls have that share."""
-    sketch = F.expr(f"approx_top_k(`{key}`, {int(k)}, {int(k) * _TRACKED_PER_KEY}) FILTER (WHERE `{key}` IS NOT NULL)")
-    seen = df.agg(sketch.alias("items"), F.count(F.lit(1)).alias("rows"), F.count(key).alias("keyed")).first()
+def _estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate where it follows file sizes; 0 where it is a guess (joins multiply, other sources are unknown)."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    size = int(str(plan.stats().sizeInBytes()))
+    return 0 if size >= 1 << 62 or "Join " in plan.toString() else size
+
+
+Heavy = tuple[list[Any], bool]
+
+
+def heavy_keys(df: DataFrame, *keys: str, k: int = HOT_KEYS) -> dict[str, Heavy]:
+    """For each key column the fewer than ``k`` non-null keys with at least one ``k``-th of the rows, and whether nulls have that
+    share. One pass for all columns."""
+    wanted = [F.count(F.lit(1)).alias("rows")]
+    for n, key in enumerate(keys):
+        sketch = F.expr(f"approx_top_k(`{key}`, {int(k)}, {int(k) * _TRACKED_PER_KEY}) FILTER (WHERE `{key}` IS NOT NULL)")
+        wanted += [sketch.alias(f"items{n}"), F.count(key).alias(f"keyed{n}")]
+    seen = df.agg(*wanted).first()
     least = max(seen["rows"] / k, 2)
-    return [i["item"] for i in seen["items"] or [] if i["count"] >= least], seen["rows"] - seen["keyed"] >= least
+    return {
+        key: ([i["item"] for i in seen[f"items{n}"] or [] if i["count"] >= least], seen["rows"] - seen[f"keyed{n}"] >= least)
+        for n, key in enumerate(keys)
+    }
+
+
+def heavy_of(facts: DataFrame, *keys: str, hot_keys: int = HOT_KEYS) -> Callable[[str], Heavy]:
+    """Heavy keys of ``facts`` by column. The one pass that finds them all is made when the first is asked for, so a chain whose
+    tables are all small makes none."""
+    found: dict[str, Heavy] = {}
+
+    def of(key: str) -> Heavy:
+        if not found:
+            found.update(heavy_keys(facts, *keys, k=hot_keys))
+        return found[key]
+
+    return of
 
 
 def lookup(
@@ -58,11 +91,13 @@ def lookup(
     how: str = "left",
     small: bool | None = None,
     hot_keys: int = HOT_KEYS,
+    heavy: Callable[[str], Heavy] | None = None,
 ) -> DataFrame:
     """``facts`` with ``attributes`` of the row of ``table`` whose ``table_key`` equals ``fact_key``.
 
     ``table`` has one row per key. ``spread_by`` names fact columns that vary within one key. ``small`` overrides
-    the size check; ``hot_keys=0`` skips the sketch and leaves hot keys to adaptive execution.
+    the size check; ``hot_keys=0`` skips the sketch and leaves hot keys to adaptive execution. ``heavy`` gives the heavy keys of
+    a column found elsewhere: a chain of lookups takes one pass over its base rows (:func:`heavy_of`), and none over joined ones.
     """
     if how not in ("left", "inner", "anti"):
         raise ValueError(f"unsupported lookup {how!r}")
@@ -85,7 +120,9 @@ def lookup(
     hot: list[Any] = []
     spread_nulls = how != "inner"
     if hot_keys > 0 and not facts.isStreaming:
-        hot, many_nulls = heavy_keys(left, "__fact_key", hot_keys)
+        hot, many_nulls = heavy(fact_key) if heavy else heavy_keys(left, "__fact_key", k=hot_keys)["__fact_key"]
+        if dict(left.dtypes)["__fact_key"] == "string":
+            hot = [str(h) for h in hot]
         spread_nulls = spread_nulls and many_nulls
     if not hot and not spread_nulls:
         return left.join(right, same_key, how).select(*kept, *names)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidecart import schemas
 from tidecart.functions import times
 from tidecart.operators import routing
+from tidecart.operators.lookup import HOT_KEYS, heavy_of
 from tidecart.operators.membership import not_stored
 from tidecart.operators.parsing import routed_records, typed_records
 from tidecart.operators.pick import first_by_key
@@ -51,6 +52,9 @@ def enrich(
 ) -> DataFrame:
     """The 23-column day record of one landing per day and device."""
     spread = ["mid", "ts"]
+    hot_keys = lookup_options.get("hot_keys", HOT_KEYS)
+    if hot_keys and not landed.isStreaming:
+        lookup_options["heavy"] = heavy_of(landed, "user_id", "province_id", hot_keys=hot_keys)
     with_dims = with_user(landed, users, spread, as_of, **lookup_options)
     with_dims = with_province(with_dims, provinces, spread, _PROVINCE_NAMES, **lookup_options)
     return with_dims.withColumn("hr", times.hour_of_ms(F.col("ts"))).select(*schemas.DAU_INFO.names)

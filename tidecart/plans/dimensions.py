@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidecart import schemas
 from tidecart.functions import times
-from tidecart.operators.lookup import HOT_KEYS, lookup
+from tidecart.operators.lookup import lookup
 
 
 def _typed(dims: DataFrame, table: str, schema) -> DataFrame:
@@ -34,8 +34,7 @@ def with_user(
     spread_by: Sequence[str],
     as_of: Column | str | dt.date | None = None,
     prefix: str = "",
-    small: bool | None = None,
-    hot_keys: int = HOT_KEYS,
+    **lookup_options,
 ) -> DataFrame:
     """Add ``user_gender`` and ``user_age``; both null for an anonymous or unknown user.
 
@@ -45,7 +44,7 @@ def with_user(
         F.col("gender").alias(f"{prefix}user_gender"),
         times.age_years(F.col("birthday"), as_of).alias(f"{prefix}user_age"),
     ]
-    return lookup(facts, users, f"{prefix}user_id", "id", attributes, spread_by, small=small, hot_keys=hot_keys)
+    return lookup(facts, users, f"{prefix}user_id", "id", attributes, spread_by, **lookup_options)
 
 
 def with_province(
@@ -54,9 +53,8 @@ def with_province(
     spread_by: Sequence[str],
     names: dict[str, str],
     prefix: str = "",
-    small: bool | None = None,
-    hot_keys: int = HOT_KEYS,
+    **lookup_options,
 ) -> DataFrame:
     """Add province attributes; ``names`` maps an output column to a province column."""
     attributes = [F.col(source).alias(f"{prefix}{name}") for name, source in names.items()]
-    return lookup(facts, provinces, f"{prefix}province_id", "id", attributes, spread_by, small=small, hot_keys=hot_keys)
+    return lookup(facts, provinces, f"{prefix}province_id", "id", attributes, spread_by, **lookup_options)

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from tidecart import schemas
 from tidecart.functions import times
 from tidecart.operators import routing
-from tidecart.operators.lookup import HOT_KEYS, fits_broadcast, lookup
+from tidecart.operators.lookup import HOT_KEYS, fits_broadcast, heavy_keys, heavy_of, lookup
 from tidecart.operators.merge import merge_by_name, prefixed
 from tidecart.operators.parsing import routed_records, typed_records
 from tidecart.plans.dimensions import with_province, with_user
@@ -73,6 +73,10 @@ def enrich_orders(
     **lookup_options,
 ) -> DataFrame:
     """Order headers with user, province, ``create_date`` and ``create_hour``; ``prefix`` stands before every name."""
+    hot_keys = lookup_options.get("hot_keys", HOT_KEYS)
+    if hot_keys and not orders.isStreaming:
+        # Both lookups keep the rows, so one pass over the plain headers serves them.
+        lookup_options["heavy"] = heavy_of(orders, f"{prefix}user_id", f"{prefix}province_id", hot_keys=hot_keys)
     with_dims = with_user(orders, users, spread_by, as_of, prefix, **lookup_options)
     with_dims = with_province(with_dims, provinces, spread_by, _PROVINCE_NAMES, prefix, **lookup_options)
     created = F.col(f"{prefix}create_time")
@@ -99,21 +103,25 @@ def order_wide(
     within: str | None = None,
     small: bool | None = None,
     hot_keys: int = HOT_KEYS,
+    bare_details: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order line that has its order.
 
     Headers are enriched before the join: there are fewer of them than lines. ``within`` (an interval such as
-    ``"24 hours"``) keeps only pairs whose create times are at most that far apart.
+    ``"24 hours"``) keeps only pairs whose create times are at most that far apart. ``bare_details`` are the same lines before they
+    were joined to anything (``order_id`` is enough): hot orders are then looked for there.
     """
     options = {"small": small, "hot_keys": hot_keys}
     enriched = prefixed(enrich_orders(orders, users, provinces, as_of, **options), "order__")
     lines = prefixed(details, "detail__")
+    base = details if bare_details is None else bare_details
+    line_keys = lambda key: heavy_keys(base, "order_id", k=hot_keys)["order_id"]
     if small is None:
         # Enrichment keeps the row count and adds a few short texts, so the plain headers answer the size check.
         small = fits_broadcast(orders)
     attributes = [F.col(c) for c in enriched.columns]
     joined = lookup(
-        lines, enriched, "detail__order_id", "order__id", attributes, ["detail__id"], how="inner", small=small, hot_keys=hot_keys
+        lines, enriched, "detail__order_id", "order__id", attributes, ["detail__id"], how="inner", small=small, hot_keys=hot_keys, heavy=line_keys
     )
     if within is not None:
         joined = joined.where(close_in_time(within))

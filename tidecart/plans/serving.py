@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidecart.functions import labels, times
 from tidecart.functions.text import highlight, matches_all_words
 from tidecart.operators.counting import count_by
-from tidecart.operators.paging import page
+from tidecart.operators.paging import SortKey, page, seek_page
 
 # Columns of a detail row.
 DETAIL_COLUMNS = (
@@ -28,6 +28,11 @@ DETAIL_COLUMNS = (
 )
 
 
+#: Order of detail rows, and the rows up to which a page is taken from the sorted top.
+DETAIL_ORDER = (SortKey("create_time", descending=True), SortKey("detail_id"))
+_DEEP = 10_000
+
+
 # --- active users ----------------------------------------------------------------------------
 
 
@@ -112,8 +117,12 @@ class ItemDetail(NamedTuple):
 
 
 def detail_by_item(wide: DataFrame, date: str, item_name: str, page_no: int = 1, page_size: int = 20) -> ItemDetail:
-    """Exact number of matching lines, and one page of them, newest first, with the matched words marked."""
+    """Exact number of matching lines, and one page of them, newest first, with the matched words marked. A page far down is
+    sought by counting ranges; lines without a time or id, which have no place in that order, come on the first pages only."""
     found = _matching(wide, item_name, date)
-    rows = page(found, [F.desc("create_time"), F.asc("detail_id")], page_no, page_size)
+    if page_no * page_size > _DEEP:
+        rows = seek_page(found.where("create_time is not null and detail_id is not null"), DETAIL_ORDER, page_no, page_size)
+    else:
+        rows = page(found, [k.order() for k in DETAIL_ORDER], page_no, page_size)
     marked = rows.select(*[c for c in DETAIL_COLUMNS]).withColumn("sku_name", highlight(F.col("sku_name"), item_name))
     return ItemDetail(found.agg(F.count(F.lit(1)).alias("total")), marked)

@@ -167,20 +167,31 @@ class _Ledger:
             return _Mark(int(name.split(".")[0]), Place(*m["upto"]), {p: h for p, h in m["homes"]}, m["written"])
         return _Mark(0, Place(0, -1), {}, {})
 
-    def _rows(self, folder: str, paths: list[str], more: dict) -> DataFrame:
+    def _folder_of(self, part: str) -> str | None:
+        """The folder name of a partition value; none for a value that is not written as it is."""
+        return f"{self.partition}={part}" if re.fullmatch(r"[\w-]+", part) else None
+
+    def _rows(self, folder: str, paths: list[str], more: dict) -> DataFrame | None:
         schema = StructType(list(self.schema.fields))
         for name, kind in more.items():
             schema = schema.add(name, kind)
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return None
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/{folder}")
         return reader.parquet(*[f"{self.path}/{folder}/{p}" for p in paths]).select(*self.schema.names, *more)
 
-    def _state(self, mark: _Mark) -> DataFrame:
+    def _state(self, mark: _Mark, part: str | None = None) -> DataFrame | None:
+        """Compacted rows; none if there are no files to read."""
+        if part is not None and self._folder_of(part):
+            home = mark.homes.get(part)
+            one = self._rows("state", [f"{_HOME}={home}/{self._folder_of(part)}"] if home else [], {_HOME: StringType()})
+            return None if one is None else one.select(*self.schema.names)
         live: dict[str, list[str | None]] = {}
         for part, home in mark.homes.items():
             live.setdefault(home, []).append(part)
         rows = self._rows("state", [f"{_HOME}={h}" for h in live], {_HOME: StringType()})
+        if rows is None:
+            return None
 
         def current(home: str, parts: list[str | None]) -> Column:
             here = F.col(_HOME) == home
@@ -190,15 +201,22 @@ class _Ledger:
             listed = part.isin([p for p in parts if p is not None])
             return here & (listed | part.isNull() if None in parts else listed)
 
-        if live and any(len(p) != mark.written[h] for h, p in live.items()):
+        if any(len(p) != mark.written[h] for h, p in live.items()):
             rows = rows.where(reduce(lambda a, b: a | b, [current(h, p) for h, p in live.items()]))
         return rows.select(*self.schema.names)
 
-    def _log(self, batches: list[Place]) -> DataFrame:
+    def _log(self, batches: list[Place], part: str | None = None) -> DataFrame | None:
+        """Rows of batches with their place; none if there are no files to read."""
         paths = [f"{_TERM}={p.term}/{_BATCH}={p.batch}" for p in batches]
+        if part is not None and batches and (folder := self._folder_of(part)):
+            here = matching(self.spark, f"{self.path}/log/{_TERM}=*/{_BATCH}=*/{folder}", 3)
+            paths = [name for name in here if name.rsplit("/", 1)[0] in set(paths)]
         return self._rows("log", paths, {_TERM: LongType(), _BATCH: LongType()})
 
     def _save(self, df: DataFrame, folder: str) -> None:
+        if self.partition:
+            # Few files per folder, and adaptive execution splits a folder that is too big for one task.
+            df = df.hint("rebalance", F.col(self.partition))
         writer = df.write.mode("overwrite")
         if self.partition:
             writer = writer.partitionBy(self.partition)
@@ -241,13 +259,9 @@ class _Ledger:
             touched = [r[0] for r in log.select(part).distinct().collect()]  # one row per partition
             known = [p for p in touched if p in mark.homes]
             among = part.isin([p for p in known if p is not None])
-            state = state.where(among | part.isNull() if None in known else among)
+            state = state.where(among | part.isNull() if None in known else among) if known else None
         home = uuid.uuid4().hex
-        rows = self.combine(state, log)
-        if self.partition:
-            # Few files per folder, and adaptive execution splits a folder that is too big for one task.
-            rows = rows.hint("rebalance", F.col(self.partition))
-        self._save(rows, f"state/{_HOME}={home}")
+        self._save(self.combine(state, log), f"state/{_HOME}={home}")
         homes = {**mark.homes, **{p: home for p in touched}}
         written = {h: n for h, n in mark.written.items() if h in homes.values()} | {home: len(touched)}
         if not self._publish(mark.no + 1, ripe[-1], homes, written):
@@ -287,29 +301,41 @@ class _Ledger:
 
     # -- reading
 
-    def read(self, before: int | None = None, where: Column | str | None = None) -> DataFrame:
+    def read(self, before: int | None = None, where: Column | str | None = None, part: str | None = None) -> DataFrame:
         """Current rows; with ``before``, the rows as they were before that batch of this run, so that a replay sees the same.
 
         ``where`` may use key columns only; it reaches the files of every batch and, on the partition column, prunes folders.
+        ``part`` is one value of the partition column: no other folder is even listed.
         """
         end = None if before is None else self._place(before)
         mark = self._mark()
         if end is not None and end <= mark.upto:
             raise ValueError(f"the state before batch {before} of {self.run} is compacted away (up to {mark.upto})")
-        log = self._log([p for p in self._batches() if p > mark.upto and (end is None or p < end)])
-        state = self._state(mark)
+        log = self._log([p for p in self._batches() if p > mark.upto and (end is None or p < end)], part)
+        state = self._state(mark, part)
+        if part is not None:
+            here = F.col(self.partition) == part
+            where = here if where is None else here & (F.expr(where) if isinstance(where, str) else where)
         if where is not None:
-            state, log = state.where(where), log.where(where)
+            state, log = (None if rows is None else rows.where(where) for rows in (state, log))
+        if log is None:
+            return self.spark.createDataFrame([], self.schema) if state is None else state
         return self.combine(state, log)
 
     def prepare(self, df: DataFrame) -> DataFrame:
         """Shape the rows of one batch before they are written."""
         return df
 
-    def combine(self, state: DataFrame, log: DataFrame) -> DataFrame:
+    def combine(self, state: DataFrame | None, log: DataFrame) -> DataFrame:
+        """Current rows from compacted ones, if there are any, and those of later batches."""
         raise NotImplementedError
 
 
+def _all(state: DataFrame | None, log: DataFrame) -> DataFrame:
+    """Rows with their place; compacted ones come before all batches."""
+    return log if state is None else state.withColumns({name: F.lit(-1).cast("bigint") for name in _PLACE}).unionByName(log)
+
+
 class KeyedLedger(_Ledger):
     """Upsert by key: the row of the newest batch wins; within a batch the one with the largest ``order``.
 
@@ -326,12 +352,12 @@ class KeyedLedger(_Ledger):
     def prepare(self, df: DataFrame) -> DataFrame:
         return latest_by_key(df, self.keys, self.order)
 
-    def combine(self, state: DataFrame, log: DataFrame) -> DataFrame:
+    def combine(self, state: DataFrame | None, log: DataFrame) -> DataFrame:
         if self.order:
-            oldest = {name: F.lit(-1).cast("bigint") for name in _PLACE}
-            both = state.withColumns(oldest).unionByName(log)
-            return latest_by_key(both, self.keys, [*self.order, *_PLACE]).drop(*_PLACE)
+            return latest_by_key(_all(state, log), self.keys, [*self.order, *_PLACE]).drop(*_PLACE)
         newest = latest_by_key(log, self.keys, _PLACE).drop(*_PLACE)
+        if state is None:
+            return newest
         # The log is short after a compaction, so the anti join is planned as a broadcast and the state is not shuffled.
         changed = newest.select([F.col(k).alias(f"__{k}") for k in self.keys])
         same_key = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in self.keys]
@@ -350,9 +376,8 @@ class FirstLedger(_Ledger):
     def prepare(self, df: DataFrame) -> DataFrame:
         return first_by_key(df, self.keys, self.order)
 
-    def combine(self, state: DataFrame, log: DataFrame) -> DataFrame:
-        oldest = {name: F.lit(-1).cast("bigint") for name in _PLACE}
-        return first_by_key(state.withColumns(oldest).unionByName(log), self.keys, _PLACE).drop(*_PLACE)
+    def combine(self, state: DataFrame | None, log: DataFrame) -> DataFrame:
+        return first_by_key(_all(state, log), self.keys, _PLACE).drop(*_PLACE)
 
 
 class CounterLedger(_Ledger):
@@ -361,8 +386,8 @@ class CounterLedger(_Ledger):
     def prepare(self, df: DataFrame) -> DataFrame:
         return sum_by(df, self.keys).select(*self.schema.names)
 
-    def combine(self, state: DataFrame, log: DataFrame) -> DataFrame:
-        return sum_by(state.unionByName(log.drop(*_PLACE)), self.keys).select(*self.schema.names)
+    def combine(self, state: DataFrame | None, log: DataFrame) -> DataFrame:
+        return sum_by(_all(state, log), self.keys).select(*self.schema.names)
 
 
 class SetLedger(_Ledger):
@@ -371,5 +396,5 @@ class SetLedger(_Ledger):
     def prepare(self, df: DataFrame) -> DataFrame:
         return df.distinct()
 
-    def combine(self, state: DataFrame, log: DataFrame) -> DataFrame:
-        return state.unionByName(log.drop(*_PLACE)).distinct()
+    def combine(self, state: DataFrame | None, log: DataFrame) -> DataFrame:
+        return _all(state, log).drop(*_PLACE).distinct()
