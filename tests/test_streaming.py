@@ -158,7 +158,7 @@ def test_the_first_landing_stays_when_its_key_is_forgotten(spark, dims, tmp_path
     filled = lambda df: df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.PAGE_LOG.fields], "dt")
     table = dau_stream.dau_ledger(spark, f"{tmp_path}/dau")
     for n, ts in enumerate((DAY + 5, DAY + 9, DAY + 1)):
-        dau_stream.handle_landings(filled(batch(ts)), n, *dims(), table, AS_OF)
+        dau_stream.handle_landings(filled(batch(ts)), n, dims, table, AS_OF)
     assert rows(table.read(), "mid", "ts") == [("a", DAY + 5)]
     table.compact(1)
     assert rows(table.read(), "mid", "ts") == [("a", DAY + 5)]
@@ -172,7 +172,7 @@ def test_daily_active_without_its_checkpoint_restores_from_the_table(spark, feed
     first = {r.mid: r.ts for r in table.read().collect()}
     batch = spark.createDataFrame([(m, "2023-11-15", DAY + 99) for m in ("a", "c")], "mid string, dt string, ts bigint")
     filled = [F.col(f.name) if f.name in batch.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.PAGE_LOG.fields]
-    dau_stream.handle_landings(batch.select(*filled, "dt"), 1, *dims(), table, AS_OF, restore=True)
+    dau_stream.handle_landings(batch.select(*filled, "dt"), 1, dims, table, AS_OF, restore=True)
     got = {r.mid: r.ts for r in table.read().collect()}
     assert got == {**first, "c": DAY + 99}
 
@@ -284,7 +284,7 @@ def test_pairs_handled_twice_give_one_row_per_line(spark, dims, tmp_path, rows):
     batch = order_stream.paired(orders, details, salts=2)
     table = order_stream.wide_ledger(spark, f"{tmp_path}/wide")
     for batch_id in (0, 0, 1):
-        order_stream.handle_pairs(batch, batch_id, *dims(), table, AS_OF)
+        order_stream.handle_pairs(batch, batch_id, dims, table, AS_OF)
     assert rows(table.read(), "detail_id") == [(10,), (11,)]
 
 
@@ -370,3 +370,41 @@ def test_checkpoint_folder_comes_from_the_cluster():
         checkpoint_location(SimpleNamespace(conf={}), "q")
     cluster = SimpleNamespace(conf={"spark.checkpoint.dir": "/shared/cp/"})
     assert checkpoint_location(cluster, "q") == "/shared/cp/q"
+
+
+# --- dimensions ------------------------------------------------------------------------------
+
+
+def test_a_small_batch_reads_the_dimension_rows_it_refers_to(spark, tmp_path, rows):
+    """Fifty pairs against 200,000 users, a few of which changed since the last compaction."""
+    import time
+
+    dims = cdc_stream.dim_ledger(spark, f"{tmp_path}/dims")
+    seq = lambda n: F.struct(*[F.lit(n).cast("bigint").alias(k) for k in ("ts", "xid", "xoffset", "arrived")]).alias("seq")
+    user = F.to_json(F.struct(F.col("id").cast("string").alias("id"), F.lit("F").alias("gender"), F.lit("2000-01-01").alias("birthday")))
+    of = lambda df, table, data, n=1: df.select(F.lit(table).alias("table_name"), F.col("id").cast("string").alias("id"), data.alias("data"), F.lit("I").alias("op"), seq(n))
+    province = F.to_json(F.struct(F.col("id").cast("string").alias("id"), F.lit("P").alias("name")))
+    dims.write(of(spark.range(200_000), "USER_INFO", user).unionByName(of(spark.range(5), "BASE_PROVINCE", province)), 0)
+    dims.compact(0)
+    male = F.to_json(F.struct(F.col("id").cast("string").alias("id"), F.lit("M").alias("gender"), F.lit("2000-01-01").alias("birthday")))
+    dims.write(of(spark.range(10), "USER_INFO", male, 2).unionByName(of(spark.range(7, 8), "USER_INFO", user, 0)), 1)
+    orders = spark.createDataFrame([json.loads(order(n, day(1))) | {"user_id": n, "province_id": n % 7} for n in range(50)], schemas.ORDER_INFO)
+    details = spark.createDataFrame([json.loads(detail(n, n, day(1))) for n in range(50)], schemas.ORDER_DETAIL)
+    near = cdc_stream.CurrentDims(dims)
+    tables = [order_stream.wide_ledger(spark, f"{tmp_path}/{n}") for n in range(3)]
+    batch = order_stream.paired(orders, details, salts=2)
+    for table in tables:
+        table.bind("run")
+    order_stream.handle_pairs(batch, 0, near, tables[0], AS_OF)  # warm
+    spark.sparkContext.setJobGroup("near", "near")
+    began = time.time()
+    order_stream.handle_pairs(batch, 0, near, tables[1], AS_OF)
+    took = time.time() - began
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("near"))
+    spark.sparkContext.setJobGroup("", "")
+    order_stream.handle_pairs(batch, 0, lambda: near(), tables[2], AS_OF)
+    assert rows(tables[1].read()) == rows(tables[2].read())
+    got = {r["detail_id"]: (r["user_gender"], r["province_name"]) for r in tables[1].read().collect()}
+    assert got[3] == ("M", "P") and got[20] == ("F", None) and got[7] == ("M", "P") and len(got) == 50
+    print("jobs", jobs, "seconds", round(took, 2))
+    assert jobs <= 20 and took < 15

@@ -301,11 +301,12 @@ class _Ledger:
 
     # -- reading
 
-    def read(self, before: int | None = None, where: Column | str | None = None, part: str | None = None) -> DataFrame:
+    def read(self, before: int | None = None, where: Column | str | None = None, part: str | None = None, only: DataFrame | None = None) -> DataFrame:
         """Current rows; with ``before``, the rows as they were before that batch of this run, so that a replay sees the same.
 
         ``where`` may use key columns only; it reaches the files of every batch and, on the partition column, prunes folders.
-        ``part`` is one value of the partition column: no other folder is even listed.
+        ``part`` is one value of the partition column: no other folder is even listed. ``only`` holds values of some key columns:
+        rows of other keys are left out before anything is reduced; mark it for broadcast if its size is known.
         """
         end = None if before is None else self._place(before)
         mark = self._mark()
@@ -318,6 +319,10 @@ class _Ledger:
             where = here if where is None else here & (F.expr(where) if isinstance(where, str) else where)
         if where is not None:
             state, log = (None if rows is None else rows.where(where) for rows in (state, log))
+        if only is not None:
+            names = self.schema.names
+            state, log = (None if rows is None else rows.join(only, only.columns, "left_semi").select(*names, *more)
+                          for rows, more in ((state, []), (log, _PLACE)))
         if log is None:
             return self.spark.createDataFrame([], self.schema) if state is None else state
         return self.combine(state, log)

@@ -14,6 +14,7 @@ from tidecart.operators.audit import with_row_count
 from tidecart.operators.membership import not_stored
 from tidecart.plans import active_users
 from tidecart.sinks.ledger import FirstLedger
+from tidecart.streaming.change_capture import dims_for
 from tidecart.streaming.run import start
 
 
@@ -45,8 +46,7 @@ def first_seen(page_logs: DataFrame, lateness: str = "1 day", salts: int = 8, cl
 def handle_landings(
     batch: DataFrame,
     batch_id: int,
-    users: DataFrame,
-    provinces: DataFrame,
+    dims: Callable[[], tuple[DataFrame, DataFrame]],
     table: FirstLedger,
     as_of=None,
     restore: bool = False,
@@ -64,7 +64,8 @@ def handle_landings(
             days = batch.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")).first()
             stored = table.read(before=batch_id, where=F.col("dt").between(days.lo, days.hi))
             batch = not_stored(batch, stored, ["dt", "mid"])
-        table.write(active_users.enrich(batch, users, provinces, as_of), batch_id)
+        users, provinces, small = dims_for(dims, batch, "user_id", "province_id")
+        table.write(active_users.enrich(batch, users, provinces, as_of, small=small), batch_id)
     finally:
         batch.unpersist()
 
@@ -81,10 +82,10 @@ def start_daily_active(
     compact_every: int = 200,
     **options,
 ) -> StreamingQuery:
-    """``dims`` is called for every batch and returns the current users and provinces."""
+    """``dims`` is asked for every batch and gives the current users and provinces (:class:`CurrentDims`, or any function that
+    returns both)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        users, provinces = dims()
-        handle_landings(batch, batch_id, users, provinces, table, as_of, restore)
+        handle_landings(batch, batch_id, dims, table, as_of, restore)
 
     return start(first_seen(page_logs, lateness, salts, clock), "daily_active", handle, tables=[table], compact_every=compact_every, **options)

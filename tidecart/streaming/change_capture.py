@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidecart import schemas
 from tidecart.operators import routing
+from tidecart.operators.lookup import fits_broadcast
 from tidecart.plans import change_capture, dimensions
 from tidecart.sinks.ledger import KeyedLedger
 from tidecart.streaming.run import start
@@ -20,6 +21,42 @@ def dim_ledger(spark: SparkSession, path: str) -> KeyedLedger:
     return KeyedLedger(spark, path, schemas.DIM_ROWS, ["table_name", "id"], partition="table_name", order=["seq"])
 
 
+class CurrentDims:
+    """The current users and provinces for the steps that look them up.
+
+    Called without arguments it gives the whole tables; :meth:`near` only the rows that a batch refers to, so that the work of
+    a batch goes with its own keys and a scan of the key column, not with a reduction of all dimension rows.
+    """
+
+    def __init__(self, dims: KeyedLedger, drop_deleted: bool = False):
+        self.dims, self.drop_deleted = dims, drop_deleted
+
+    def __call__(self) -> tuple[DataFrame, DataFrame]:
+        return current_dims(self.dims, self.drop_deleted)
+
+    def near(self, batch: DataFrame, user: str, province: str) -> tuple[DataFrame, DataFrame, bool]:
+        """``(users, provinces, small)`` for the keys in the named columns of ``batch``; ``small`` if they are known to be few."""
+        keys = batch.select(F.explode(F.array(*[
+            F.struct(F.lit(table).alias("table_name"), F.col(column).cast("string").alias("id"))
+            for table, column in (("USER_INFO", user), ("BASE_PROVINCE", province))
+        ])).alias("k")).select("k.*").where(F.col("id").isNotNull()).distinct()
+        small = fits_broadcast(keys)
+
+        def rows(table: str) -> DataFrame:
+            of_table = keys.where(F.col("table_name") == table).select("id")
+            current = self.dims.read(part=table, only=F.broadcast(of_table) if small else of_table)
+            return current.where(F.col("op") != "D") if self.drop_deleted else current
+
+        return dimensions.user_table(rows("USER_INFO")), dimensions.province_table(rows("BASE_PROVINCE")), small
+
+
+def dims_for(dims, batch: DataFrame, user: str, province: str) -> tuple[DataFrame, DataFrame, bool | None]:
+    """Users and provinces for a batch from ``dims``: those it refers to where ``dims`` can tell, else all; and whether they are
+    few (none if that is not known)."""
+    near = getattr(dims, "near", None)
+    return near(batch, user, province) if near else (*dims(), None)
+
+
 def current_dims(dims: KeyedLedger, drop_deleted: bool = False) -> tuple[DataFrame, DataFrame]:
     """The current users and provinces, each read from its own folder."""
 

@@ -13,6 +13,7 @@ from tidecart.operators.arrival import arrived
 from tidecart.operators.merge import prefixed
 from tidecart.plans import order_wide
 from tidecart.sinks.ledger import KeyedLedger
+from tidecart.streaming.change_capture import dims_for
 from tidecart.streaming.run import start
 
 # Fixed value: how long one side waits for the other, from its arrival on.
@@ -102,19 +103,13 @@ def lonely_orders(
     return joined.select([F.col(f"order__{c}").alias(c) for c in orders.columns if c != "timestamp"])
 
 
-def handle_pairs(
-    batch: DataFrame,
-    batch_id: int,
-    users: DataFrame,
-    provinces: DataFrame,
-    table: KeyedLedger,
-    as_of=None,
-) -> None:
+def handle_pairs(batch: DataFrame, batch_id: int, dims: Callable[[], tuple[DataFrame, DataFrame]], table: KeyedLedger, as_of=None) -> None:
     batch.persist()
     try:
         if batch.isEmpty():
             return
-        enriched = order_wide.enrich_orders(batch, users, provinces, as_of, "order__", ["detail__id"])
+        users, provinces, small = dims_for(dims, batch, "order__user_id", "order__province_id")
+        enriched = order_wide.enrich_orders(batch, users, provinces, as_of, "order__", ["detail__id"], small=small)
         table.write(order_wide.merge(enriched), batch_id)
     finally:
         batch.unpersist()
@@ -134,11 +129,11 @@ def start_order_wide(
     compact_every: int = 200,
     **options,
 ) -> StreamingQuery:
-    """``dims`` is called for every batch and returns the current users and provinces."""
+    """``dims`` is asked for every batch and gives the current users and provinces (:class:`CurrentDims`, or any function that
+    returns both)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        users, provinces = dims()
-        handle_pairs(batch, batch_id, users, provinces, table, as_of)
+        handle_pairs(batch, batch_id, dims, table, as_of)
 
     pairs = paired(orders, details, wait, within, lateness, salts, clock=clock)
     return start(pairs, "order_wide", handle, tables=[table], compact_every=compact_every, **options)
