@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,14 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="tidecart-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+from tidecart.session import shared_folder
+from tidecart.sources.folders import remove
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -30,6 +23,16 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame | None) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for table in tables:
+        if table is not None:
+            for file in table.inputFiles()[:1]:
+                folder = file.rsplit("/", 1)[0]
+                if folder.rsplit("/", 1)[-1].startswith("tidecart-"):
+                    remove(table.sparkSession, folder)
+
+
 def slices(spark: SparkSession) -> int:
     """Partitions for work that no key deals out: as many as shuffles use."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -25,10 +25,11 @@ from tidecart.llm.common import crc, sample_by_hash
 SAMPLE_ROWS = 200
 DICTIONARY_BYTES = 48 * 1024
 BLOCK_BYTES = 8 * 1024
-LEVEL = 3
+LEVEL = 6
+#: Characters taken of a sampled row, at a place that its hash chooses, in times of its share of the dictionary.
+SPAN = 8
 #: Relative margin between the two smallest sizes below which a language is rejected.
 MARGIN = 0.01
-_LETTER = re.compile(r"[^\W\d_]")
 _BETWEEN = re.compile(r"[\W\d_]+")
 
 
@@ -38,13 +39,17 @@ def _plain(text: str) -> bytes:
 
 
 def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
-    """A dictionary text for each non-null ``lang``, from at most ``rows`` rows of each (bounded, chosen by hash of the id).
-    Each row gives an equal share of the dictionary, so that one long row does not fill it."""
+    """A dictionary text for each non-null ``lang``, from at most ``rows`` rows of each (bounded, chosen by hash of the id), the
+    language with the most rows first. Each row gives an equal share of the dictionary, so that one long row does not fill it,
+    from a place anywhere in its text that its hash chooses."""
     usable = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select("doc_id", "lang", "text")
-    sample = sample_by_hash(usable, "doc_id", rows, per="lang").withColumn("text", F.left("text", F.lit(size)))
-    texts: dict[str, list[bytes]] = {}
+    span = max(1, size // rows) * SPAN
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(1)), F.greatest(F.length("text") - span, F.lit(0)) + 1)
+    sample = sample_by_hash(usable, "doc_id", rows, per="lang").withColumn("text", F.substring("text", place.cast("int") + 1, F.lit(span)))
+    by_rows = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    texts: dict[str, list[bytes]] = {row["lang"]: [] for row in by_rows.collect()}
     for row in sample.orderBy("lang", F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "text").toLocalIterator():
-        texts.setdefault(row["lang"], []).append(_plain(row["text"]))
+        texts[row["lang"]].append(_plain(row["text"]))
     result = {}
     for lang, parts in texts.items():
         share = max(size // len(parts), min(64, size))
@@ -59,9 +64,9 @@ def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, size: int = DICTIONARY_B
 
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN) -> DataFrame:
-    """doc_id, ``lang_pred`` (best language, ``und`` without letters), ``score`` (0 to 1, the share of the best one if each byte
+    """doc_id, ``lang_pred`` (best language, of several the first in ``dictionaries``; ``und`` without letters), ``score`` (0 to 1, the share of the best one if each byte
     saved doubles the odds), ``margin`` and ``rejected`` (the margin is narrow). One pass, no shuffle."""
-    held = docs.sparkSession.sparkContext.broadcast(dict(sorted(dictionaries.items())))
+    held = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coders = []
@@ -72,7 +77,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
-                if not coders or not text or not _LETTER.search(text):
+                if not coders or not text or not any(map(str.isalpha, text)):
                     rows.append(("und", 0.0, 0.0, True))
                     continue
                 data = _plain(text)

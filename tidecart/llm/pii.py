@@ -11,6 +11,7 @@ an empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -57,21 +58,20 @@ _TOP = "com|org|net|edu|gov|info|io|co|de|fr|es|eu|uk"
 _GLYPH = re.compile("[" + "".join(map(re.escape, HOMOGLYPHS)) + "]")
 _WORD = "|".join(sorted([*DIGIT_WORDS, *MARK_WORDS], key=len, reverse=True))
 _ANY_DIGIT = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-_SPELLED = re.compile(
-    rf"(?<!\w)(?:(?:{_WORD}|[0-9+])(?:[\s,.-]{{1,2}}|(?<=[0-9+])(?=[0-9]))){{3,}}(?:{_ANY_DIGIT}|[0-9])(?!\w)", re.IGNORECASE
-)
-_UNIT = re.compile(rf"(?:{_WORD}|[0-9+])", re.IGNORECASE)
+# A digit or mark as a word or a character, and what may stand between two of them.
+_ATOM = re.compile(rf"(?<!\w)(?:{_WORD})(?!\w)|[0-9+]", re.IGNORECASE)
+_BETWEEN = re.compile(r"[\s,.-]{1,2}")
 _OPEN, _CLOSE = r"[\(\[\{<]\s?", r"\s?[\)\]\}>]"
 _AT_BOX = rf"\s?{_OPEN}(?:{_AT}|@){_CLOSE}\s?"
 _DOT_BOX = rf"\s?{_OPEN}(?:{_DOT}|\.){_CLOSE}\s?"
 _DOT_ANY = rf"(?:{_DOT_BOX}|\s(?:{_DOT})\s)"
 _LABEL = r"[A-Za-z0-9-]+"
-_ADDRESS = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9._%+-]+(?:{_DOT_ANY}[A-Za-z0-9_%+-]+)*)"
-    rf"(?:(?P<box>{_AT_BOX}|\s?@\s?)(?P<d1>{_LABEL}(?:(?:\.|{_DOT_ANY}){_LABEL})+)"
-    rf"|\s(?:{_AT})\s(?P<d2>{_LABEL}(?:(?:\.|{_DOT_ANY}){_LABEL})*(?:{_DOT_ANY}|\.)(?:{_TOP})(?![A-Za-z0-9-])))",
-    re.IGNORECASE,
-)
+_AT_ANY = re.compile(rf"(?P<box>{_AT_BOX}|\s?@\s?)|\s(?:{_AT})\s", re.IGNORECASE)
+_BOXED_DOMAIN = re.compile(rf"{_LABEL}(?:(?:\.|{_DOT_ANY}){_LABEL})+", re.IGNORECASE)
+_BARE_DOMAIN = re.compile(rf"{_LABEL}(?:(?:\.|{_DOT_ANY}){_LABEL})*(?:{_DOT_ANY}|\.)(?:{_TOP})(?![A-Za-z0-9-])", re.IGNORECASE)
+_DOT_BEFORE = re.compile(rf"{_DOT_ANY}\Z", re.IGNORECASE)
+#: No written dot is longer.
+_LONGEST_DOT = 16
 _DOTS = re.compile(_DOT_ANY, re.IGNORECASE)
 _MAYBE_ADDRESS = re.compile(rf"[\(\[\{{<]\s?(?:{_AT}|@|{_DOT}|\.)\s?[\)\]\}}>]|\s@|@\s|\s(?:{_DOT})\s|\s(?:{_AT})\s{_LABEL}\.[A-Za-z0-9]", re.IGNORECASE)
 _MAYBE_SPELLED = re.compile(rf"(?<!\w)(?:{_ANY_DIGIT})[\s,.-]{{1,2}}(?:{_WORD}|[0-9])(?!\w)", re.IGNORECASE)
@@ -105,7 +105,8 @@ def plain_spans(text: str) -> list[Span]:
                 floor = max(floor, m.start())
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            # Zeros in front are cut off first: they may be more than a number can have digits.
+            if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m.group().split("."))):
                 found.append(("ip", *m.span()))
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 12 and 12 <= len(d := _digits(m.group())) <= 19 and _luhn(d):
@@ -154,24 +155,68 @@ class Tape:
 
 
 def _spell(tape: Tape) -> None:
-    edits = []
-    for m in _SPELLED.finditer(tape.text):
-        units = [DIGIT_WORDS.get(u.lower()) or MARK_WORDS.get(u.lower(), u) for u in _UNIT.findall(m.group())]
-        if any(c.isalpha() for c in m.group()):
-            edits.append((*m.span(), "".join(units)))
+    """Write runs of four or more spelled digits and marks plainly. One pass: atoms are found left to right and chained; a
+    chain counts from its first atom that no word character precedes to its last digit that none follows."""
+    text, edits = tape.text, []
+    chain: list[re.Match] = []
+
+    def close() -> None:
+        # The two ends of a chain of n atoms are found in n steps.
+        inside = lambda at: 0 <= at < len(text) and (text[at].isalnum() or text[at] == "_")
+        start = next((i for i, m in enumerate(chain) if not inside(m.start() - 1)), len(chain))
+        unit = lambda m: DIGIT_WORDS.get(m.group().lower()) or MARK_WORDS.get(m.group().lower(), m.group())
+        end = next((i for i in range(len(chain) - 1, -1, -1) if unit(chain[i]).isdigit() and not inside(chain[i].end())), -1)
+        if end - start >= 3 and any(m.group()[0].isalpha() for m in chain[start : end + 1]):
+            edits.append((chain[start].start(), chain[end].end(), "".join(map(unit, chain[start : end + 1]))))
+        chain.clear()
+
+    for m in _ATOM.finditer(text):
+        if chain:
+            last = chain[-1]
+            gap = text[last.end() : m.start()] if m.start() - last.end() <= 2 else None
+            joined = gap is not None and (bool(_BETWEEN.fullmatch(gap)) if gap else last.group()[-1] in "0123456789+" and m.group().isdigit())
+            if not joined:
+                close()
+        chain.append(m)
+    if chain:
+        close()
     tape.rewrite(edits)
 
 
+def _local_start(text: str, end: int, floor: int) -> int:
+    """Where the local part that ends at ``end`` begins: runs of its characters, joined by written dots, from right to left."""
+    start = end
+    while True:
+        at = start
+        while at > floor and text[at - 1] in _LOCAL:
+            at -= 1
+        if at == start:
+            return start
+        start = at
+        dot = _DOT_BEFORE.search(text[max(floor, start - _LONGEST_DOT) : start])
+        before = start - len(dot.group()) if dot else floor
+        if not dot or before <= floor or text[before - 1] not in _LOCAL:
+            return start
+        start = before
+
+
 def _addresses(tape: Tape) -> None:
     """Write disguised addresses plainly. A bare "at" between words counts only before a domain that ends in
-    a well-known top level, so that ordinary prose stays as it is."""
+    a well-known top level, so that ordinary prose stays as it is. Every "at" is looked at once, with the domain after it and
+    the local part before it; neither reaches past another "at"."""
+    text = tape.text
     edits: list[tuple[int, int, str]] = []
-    for m in _ADDRESS.finditer(tape.text):
-        group = "d1" if m.group("d1") else "d2"
-        edits += [(*d.span(), ".") for d in _DOTS.finditer(tape.text, *m.span("local"))]
-        if tape.text[m.end("local") : m.start(group)] != "@":
-            edits.append((m.end("local"), m.start(group), "@"))
-        edits += [(*d.span(), ".") for d in _DOTS.finditer(tape.text, *m.span(group))]
+    floor, at = 0, _AT_ANY.search(tape.text)
+    while at:
+        domain = (_BOXED_DOMAIN if at.group("box") else _BARE_DOMAIN).match(text, at.end())
+        start = _local_start(text, at.start(), floor) if domain else at.start()
+        if start < at.start():
+            edits += [(*d.span(), ".") for d in _DOTS.finditer(text, start, at.start())]
+            if at.group() != "@":
+                edits.append((*at.span(), "@"))
+            edits += [(*d.span(), ".") for d in _DOTS.finditer(text, *domain.span())]
+            floor = domain.end()
+        at = _AT_ANY.search(text, max(floor, at.start() + 1))
     tape.rewrite(edits)
 
 
@@ -190,12 +235,14 @@ def spans(text: str) -> tuple[list[Span], list[Span]]:
         _spell(tape)
     if address or glyphs:
         _addresses(tape)
-    taken = {k: [s for s in base if s[0] == k] for k in KINDS}
+    taken = {k: [s for s in base if s[0] == k] for k in KINDS}  # by start, and apart from one another
+    begins = {k: [s[1] for s in taken[k]] for k in KINDS}
     added = set()
     for kind, a, b in plain_spans(tape.text):
-        if any(tape.changed[a:b]):
+        if 1 in tape.changed[a:b]:
             start, end = tape.source(a, b)
-            if not any(s <= start and end <= e for _, s, e in taken[kind]):
+            near = bisect_right(begins[kind], start) - 1
+            if near < 0 or end > taken[kind][near][2]:
                 added.add((kind, start, end))
     return base, in_order({*base, *added})
 
