@@ -162,9 +162,33 @@ def test_embedding_dedup(spark):
 def test_traversal_visits_nearest_cells_first():
     rng = np.random.default_rng(1)
     a, b = rng.random((5, 7)), rng.random((5, 6))
-    for row, cells in enumerate(embedding_dedup.traversal(a, b, 9)):
-        sums = (a[row][:, None] + b[row][None]).reshape(-1)
-        assert sums[cells].tolist() == np.sort(sums)[:9].tolist()
+    for row, (cells, sums) in enumerate(zip(*embedding_dedup.traversal(a, b, 9))):
+        every = (a[row][:, None] + b[row][None]).reshape(-1)
+        assert every[cells].tolist() == sums.tolist() == np.sort(every)[:9].tolist()
+    cells, sums = embedding_dedup.traversal(np.ones((1, 3)), np.ones((1, 4)), 5)
+    assert cells[0].tolist() == [0, 1, 2, 3, 4] and set(sums[0]) == {2.0}
+
+
+@pytest.mark.parametrize("n, pairs", [(6000, 4), (4000, 200)])
+def test_rare_near_copies_are_found_from_both_ends(spark, n, pairs):
+    """Random vectors, and pairs just above the threshold: as many links as brute force, each seen from both of its ends."""
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = rng.normal(size=(pairs, 32))
+    u -= (u * x[:pairs]).sum(1, keepdims=True) * x[:pairs]
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    x[n - pairs :] = 0.955 * x[:pairs] + np.sqrt(1 - 0.955**2) * u
+    near = x @ x.T >= 0.95
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r for r in embedding_dedup.report(frame).collect()}
+    links = np.array([found[k]["n_links"] for k in range(n)])
+    assert (links <= near.sum(1) - 1).all() and links.sum() >= 0.99 * (near.sum() - n)
+    for k in range(n):
+        assert (found[k]["component_id"] != k or not found[k]["kept"]) or links[k] == 0 or min(np.flatnonzero(near[k])) == k
+        assert links[k] or found[k]["component_id"] == k
+    group = Counter(found[k]["component_id"] for k in range(n) if links[k])
+    assert all(size >= 2 for size in group.values())
 
 
 def test_kneser_ney(documents, tables):

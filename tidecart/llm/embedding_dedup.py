@@ -6,8 +6,10 @@
    two nearest codewords.
 3. Multi-sequence traversal: from the two lists of codewords by distance, each point visits the cells in order of the sum of
    both distances, so many that at least ``TARGET`` of the true neighbours of a sample lie in them (measured against all
-   points, in blocks). Every point is indexed and every point asks.
-4. Cells are verified in double precision, block against block; only counts and a spanning set of links leave a block.
+   points, in blocks), and as many of the neighbours made for the sample right at the threshold, which stand in where near copies
+   are rare. Every point is indexed and every point asks.
+4. Cells are verified in double precision, block against block; only counts and a spanning set of links leave a block. A link
+   that one of its ends finds counts for both: the end that is found is credited too, unless it visits the finder's cell itself.
 
 Vectors of different lengths never link. Rows that repeat a vec_id are vectors of their own with that id; a null id is never
 the smallest. Extra columns are ignored; empty in, empty out.
@@ -29,7 +31,9 @@ THRESHOLD = 0.95
 #: Recall the traversal is calibrated to (of the sample's true neighbours), and the rows of the samples.
 TARGET, TRAIN_ROWS, PROBE_ROWS = 0.998, 8192, 2048
 #: Points per cell aimed at, codewords per half at most, points of one block.
-PER_CELL, CODEWORDS, BLOCK = 4.0, 256, 2048
+PER_CELL, CODEWORDS, BLOCK = 4.0, 1024, 2048
+#: Numbers of one step of an exact distance table.
+STEP = 1 << 21
 
 
 def points(vectors: DataFrame) -> DataFrame:
@@ -54,7 +58,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 7) -> np.ndarray
     k = max(1, min(k, len(np.unique(x, axis=0))))
     centers = x[rng.choice(len(x), k, replace=False)]
     for _ in range(rounds):
-        near = _distances(x, centers).argmin(1)
+        near = np.concatenate([_distances(x[low : low + 2048], centers).argmin(1) for low in range(0, len(x), 2048)])
         sums = np.zeros_like(centers)
         np.add.at(sums, near, x)
         counts = np.bincount(near, minlength=k)
@@ -66,10 +70,20 @@ def _distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] + (centers * centers).sum(1)[None] - 2 * x @ centers.T, 0)
 
 
-def traversal(first: np.ndarray, second: np.ndarray, cells: int) -> np.ndarray:
-    """For each row the ``cells`` nearest cells of the product grid, nearest first, as i * columns + j. Only codewords among
-    the first ``cells`` of a half can be part of it, and (a, b) comes after all (a', b') with a' <= a and b' <= b: ranks
-    with (a + 1) * (b + 1) > cells need not be looked at."""
+def _exact(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distances that come out the same in whatever block a row stands."""
+    out = np.empty((len(x), len(centers)))
+    step = max(1, STEP // max(1, centers.size))
+    for low in range(0, len(x), step):
+        apart = x[low : low + step, None] - centers[None]
+        out[low : low + step] = (apart * apart).sum(2)
+    return out
+
+
+def traversal(first: np.ndarray, second: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the ``cells`` nearest cells of the product grid as i * columns + j, nearest first and ties by number, and the
+    sum of both distances. Only codewords among the first ``cells`` of a half can be part of it, and (a, b) comes after all
+    (a', b') with a' <= a and b' <= b: ranks with (a + 1) * (b + 1) > cells need not be looked at."""
     ka, kb = first.shape[1], second.shape[1]
     cells = min(cells, ka * kb)
     oa, ob = np.argsort(first, 1, kind="stable"), np.argsort(second, 1, kind="stable")
@@ -77,8 +91,9 @@ def traversal(first: np.ndarray, second: np.ndarray, cells: int) -> np.ndarray:
     inside = (a + 1) * (b + 1) <= cells
     a, b = a[inside], b[inside]
     sums = np.take_along_axis(first, oa, 1)[:, a] + np.take_along_axis(second, ob, 1)[:, b]
-    best = np.argsort(sums, 1, kind="stable")[:, :cells]
-    return oa[np.arange(len(oa))[:, None], a[best]] * kb + ob[np.arange(len(ob))[:, None], b[best]]
+    cell = oa[:, a] * kb + ob[:, b]
+    best = np.lexsort((cell, sums), 1)[:, :cells]
+    return np.take_along_axis(cell, best, 1), np.take_along_axis(sums, best, 1)
 
 
 def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +102,9 @@ def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _calibrate(one: DataFrame, x: np.ndarray, books: tuple[np.ndarray, np.ndarray], threshold: float) -> int:
-    """Cells to visit so that ``TARGET`` of the true neighbours of sampled points (brute force over all points) are found."""
+    """Cells to visit so that ``TARGET`` of the true neighbours of sampled points (brute force over all points) are found, and of
+    neighbours in random directions at the threshold itself."""
+    made = _made_neighbours(x, books, threshold)
     held = one.sparkSession.sparkContext.broadcast((x, books))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,12 +125,34 @@ def _calibrate(one: DataFrame, x: np.ndarray, books: tuple[np.ndarray, np.ndarra
 
     found = one.select("x").mapInArrow(run, "q long, cells long, n long").groupBy("q", "cells").agg(F.sum("n").alias("n")).toPandas()
     if not len(found):
-        return 1
+        return made
     # Recall over all pairs, and with each point counting alike, so that a large group does not speak for all.
     found["even"] = found["n"] / found.groupby("q")["n"].transform("sum")
     found = found.sort_values("cells")
     share = np.minimum(*[(found[c].cumsum() / found[c].sum()).to_numpy() for c in ("n", "even")])
-    return int(found["cells"].to_numpy()[int((share >= TARGET).argmax())])
+    return max(made, int(found["cells"].to_numpy()[int((share >= TARGET).argmax())]))
+
+
+def _made_neighbours(x: np.ndarray, books: tuple[np.ndarray, np.ndarray], threshold: float, seed: int = 11) -> int:
+    """Cells to visit so that ``TARGET`` of made pairs are found, from one end or the other."""
+    if x.shape[1] < 2:
+        return 1
+    u = np.random.default_rng(seed).normal(size=x.shape)
+    u -= (u * x).sum(1, keepdims=True) * x
+    u /= np.maximum(np.sqrt((u * u).sum(1, keepdims=True)), 1e-300)
+    y = threshold * x + np.sqrt(1 - threshold**2) * u
+    wide = len(books[1])
+    tables = [[_exact(half, book) for half, book in zip(_halves(z), books)] for z in (x, y)]
+    homes = [(a.argmin(1), b.argmin(1)) for a, b in tables]
+    ranks = []
+    for (first, second), (i, j) in zip(tables, reversed(homes)):
+        rows = np.arange(len(x))
+        reach = first[rows, i] + second[rows, j]
+        # Per row, cells that are nearer than the partner's: for each codeword of one half, those of the other that fit.
+        second = np.sort(second, 1)
+        nearer = [sum(np.searchsorted(s, r - f) for f in fs) if wide > 64 else int(((fs[:, None] + s) < r).sum()) for fs, s, r in zip(first, second, reach)]
+        ranks.append(np.array(nearer) + 1)
+    return int(np.quantile(np.minimum(*ranks), TARGET, method="higher"))
 
 
 def _sample(one: DataFrame, rows: int) -> np.ndarray:
@@ -139,6 +178,9 @@ def _labels(near: np.ndarray) -> np.ndarray:
     return of
 
 
+VISIT = ["point", "cell", "rank", "home", "last", "last_cell"]
+
+
 def _verify(one: DataFrame, books: tuple[np.ndarray, np.ndarray], cells: int, dim: int, threshold: float) -> DataFrame:
     """(a, b, n): ``n`` copies of others next to point ``a`` in one block (b null), or a link between a and b (n null)."""
     spark = one.sparkSession
@@ -150,13 +192,18 @@ def _verify(one: DataFrame, books: tuple[np.ndarray, np.ndarray], cells: int, di
             if not batch.num_rows:
                 continue
             xa, xb = _halves(_normed(batch, 1))
-            to = traversal(_distances(xa, left), _distances(xb, right), cells)
-            wide = to.shape[1]
-            rows = pa.array(np.repeat(np.arange(batch.num_rows), wide))
-            rank = pa.array(np.tile(np.arange(wide), batch.num_rows), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(to.reshape(-1), pa.int64()), rank], names=["point", "cell", "rank"])
-
-    visits = stored(one.select("point", "x").mapInArrow(visit, "point long, cell long, rank int"))
+            # The candidates of a row are about cells * log(cells).
+            step = max(1, STEP // (cells * (1 + int(cells).bit_length())))
+            for low in range(0, batch.num_rows, step):
+                some = slice(low, low + step)
+                to, sums = traversal(_exact(xa[some], left), _exact(xb[some], right), cells)
+                n, wide = to.shape
+                rows = pa.array(np.repeat(np.arange(low, low + n), wide))
+                rank = pa.array(np.tile(np.arange(wide), n), pa.int32())
+                each = [pa.array(np.repeat(v, wide)) for v in (to[:, 0], sums[:, -1], to[:, -1])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(to.reshape(-1)), rank, *each], names=VISIT)
+
+    visits = stored(one.select("point", "x").mapInArrow(visit, "point long, cell long, rank int, home long, last double, last_cell long"))
     load = visits.groupBy("cell").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("kq"),
         F.ceil(F.sum((F.col("rank") == 0).cast("long")) / BLOCK).cast("int").alias("kr"),
@@ -165,13 +212,16 @@ def _verify(one: DataFrame, books: tuple[np.ndarray, np.ndarray], cells: int, di
     dealt = visits.join(load, "cell")
     i = F.pmod(F.xxhash64("point"), F.col("kq")).cast("int")
     j = F.pmod(F.xxhash64("point", F.lit(1)), F.col("kr")).cast("int")
-    asks = dealt.select("point", "cell", i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("kr") - 1)).alias("j"), F.lit(True).alias("asks"))
-    home = dealt.where("rank = 0").select("point", "cell", F.explode(F.sequence(F.lit(0), F.col("kq") - 1)).alias("i"), j.alias("j"), F.lit(False).alias("asks"))
+    facts = ["home", "last", "last_cell"]
+    asks = dealt.select("point", "cell", *facts, i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("kr") - 1)).alias("j"), F.lit(True).alias("asks"))
+    home = dealt.where("rank = 0").select("point", "cell", *facts, F.explode(F.sequence(F.lit(0), F.col("kq") - 1)).alias("i"), j.alias("j"), F.lit(False).alias("asks"))
     both = asks.union(home).join(one.select("point", "x", "copies"), "point")
     ranged = both.repartition(slices(spark), "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = ["cell", "i", "j"]
+        left, right = held.value
+        wide = len(right)
 
         def solve(table: pa.Table) -> pa.RecordBatch:
             asks = table["asks"].to_numpy()
@@ -179,12 +229,18 @@ def _verify(one: DataFrame, books: tuple[np.ndarray, np.ndarray], cells: int, di
             x = _normed(table.select(["x"]).combine_chunks().to_batches()[0], 0)
             near = x[asks] @ x[~asks].T >= threshold
             near &= point[asks][:, None] != point[~asks][None]
-            counts = near @ copies[~asks]
-            some = counts > 0
+            # The found end is credited here unless it comes to the finder's home cell itself.
+            goal = table["home"].to_numpy()[asks]
+            last, last_cell = (table[c].to_numpy()[~asks][None] for c in ("last", "last_cell"))
+            ha, hb = _halves(x[~asks])
+            way = _exact(ha, left)[:, goal // wide].T + _exact(hb, right)[:, goal % wide].T
+            comes = (way < last) | ((way == last) & (goal[:, None] <= last_cell))
             names = np.r_[point[asks], point[~asks]]
+            counts = np.r_[near @ copies[~asks], (near & ~comes).T @ copies[asks]]
+            some = counts > 0
             of = _labels(near)
             linked = names[of] != names
-            a = np.r_[point[asks][some], names[linked]]
+            a = np.r_[names[some], names[linked]]
             b = [None] * int(some.sum()) + names[of][linked].tolist()
             n = counts[some].tolist() + [None] * int(linked.sum())
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], names=["a", "b", "n"])
@@ -218,8 +274,8 @@ def near_copies(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found, depth = None, 0
     for dim, n in sizes:
         one = distinct.where(F.col("dim") == dim)
-        sample = _sample(one, TRAIN_ROWS)
         k = int(np.clip(np.sqrt(n / PER_CELL), 1, CODEWORDS))
+        sample = _sample(one, max(TRAIN_ROWS, 16 * k))
         books = tuple(kmeans(half, k) if half.shape[1] else np.zeros((1, 0)) for half in _halves(sample))
         cells = _calibrate(one, sample[:PROBE_ROWS], books, threshold)
         depth = max(depth, cells)
