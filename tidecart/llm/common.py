@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -14,13 +15,19 @@ from tidecart.session import shared_folder
 from tidecart.sources.folders import remove
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, *read: DataFrame | None, free: bool = False) -> DataFrame:
     """``df`` written as a table to the shared folder and read back: later steps neither recompute it nor lose it
-    with an executor."""
+    with an executor. ``read`` are stored tables that nothing reads after this; they are deleted. With ``free`` the shuffle files of
+    finished steps go too: Spark keeps them until the driver collects its garbage, which a long job would wait for in vain."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tidecart-{uuid.uuid4().hex}"
+    path, schema = f"{shared_folder(spark)}/tidecart-{uuid.uuid4().hex}", df.schema
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    dropped(*read)
+    if free:
+        del df
+        gc.collect()
+        spark._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def dropped(*tables: DataFrame | None) -> None:

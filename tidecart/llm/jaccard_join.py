@@ -252,9 +252,9 @@ def _is_link(threshold: int):
     return F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * threshold
 
 
-def _block_pairs(regions: DataFrame, threshold: int) -> DataFrame:
+def _block_pairs(regions: DataFrame, facts: DataFrame, threshold: int) -> DataFrame:
     """Candidate pairs (a, b, place) of an outsider and another point of its region, within the three windows; ``place`` is one of the
-    block pairs that found it."""
+    block pairs that found it. ``facts`` (node, sketch, marks) join the members where they are dealt out, and not before."""
     n_blocks = (
         regions.groupBy("pivot").agg(
             F.ceil(F.sum(F.col("outside").cast("long")) / BLOCK).cast("int").alias("ko"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ka")
@@ -263,12 +263,13 @@ def _block_pairs(regions: DataFrame, threshold: int) -> DataFrame:
     dealt = regions.join(n_blocks, "pivot")
     mine = F.pmod(F.xxhash64("node"), F.col("ko")).cast("int")
     theirs = F.pmod(F.xxhash64("node"), F.col("ka")).cast("int")
-    fields = ["pivot", "node", "n", "root", "sketch", "marks", "low", "high"]
+    fields = ["pivot", "node", "n", "root", "low", "high"]
     asks = dealt.where("outside").select(*fields, mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("ka") - 1)).alias("j"), F.lit(True).alias("asks"))
     told = dealt.select(*fields, F.explode(F.sequence(F.lit(0), F.col("ko") - 1)).alias("i"), theirs.alias("j"), F.lit(False).alias("asks"))
     both = asks.unionByName(told)
     place = F.xxhash64("pivot", "i", "j")
-    ranged = both.withColumn("place", place).repartition(slices(regions.sparkSession), "place").sortWithinPartitions("place", F.desc("asks"))
+    both = both.select(place.alias("place"), "node", "n", "root", "low", "high", "asks").join(facts, "node")
+    ranged = both.repartition(slices(regions.sparkSession), "place").sortWithinPartitions("place", F.desc("asks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -376,23 +377,23 @@ def links(docs: DataFrame, found: DataFrame, shared: DataFrame, words: int = WOR
     """Enough links (a, b) between points to connect all that are connected; each holds exactly."""
     common = _common_shingles(shared)
     cell = stored(cells(docs, common, words, threshold))
-    ranks = stored(cell.groupBy("node").agg((-F.count(F.lit(1)) / F.max("places")).alias("rank"), *_marks()))
+    ranks = stored(cell.groupBy("node").agg((-F.count(F.lit(1)) / F.max("places")).alias("rank"), *_marks()), free=True)
     ranked = cell.join(ranks.select("node", "rank"), "node").select("h", F.struct("rank", "node").alias("x"))
     center = ranked.groupBy("h").agg(F.min("x").alias("top"))
-    with_top = stored(cell.select("h", "node").join(center, "h"))
+    with_top = stored(cell.select("h", "node").join(center, "h"), cell, free=True)
     pivots = stored(with_top.groupBy("node").agg(F.min("top").alias("p")).select("node", F.col("p.node").alias("pivot")))
     # A region has its own points and every point that shares a cell with one of them.
     reach = with_top.select("h", "node").join(pivots, "node").select("h", "pivot").distinct()
-    members = stored(with_top.select("h", "node").join(reach, "h").select("pivot", "node").distinct())
+    members = stored(with_top.select("h", "node").join(reach, "h").select("pivot", "node").distinct(), with_top, free=True)
     one_text = found.where("node is not null").groupBy("node").agg(F.min("doc_key").alias("doc_key"))
-    sets = stored(_sets(docs, stored(one_text.join(pivots.select("node"), "node")), words))
+    sets = stored(_sets(docs, stored(one_text.join(pivots.select("node"), "node")), words), free=True)
     sizes = sets.select("node", "n", "sketch")
     # Distance to the pivot: exact where the size and histogram bounds allow a link, else known to be beyond r.
     at = members.join(sizes, "node")
     top = sizes.select(F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("sketch").alias("ps"))
-    known = stored(_bounded(at.join(top, "pivot"), threshold))
+    known = stored(_bounded(at.join(top, "pivot"), threshold), members, free=True)
     near = known.where("maybe and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    checked = stored(_verified(near, sets).select("a", "b", "na", "nb", "common"))
+    checked = stored(_verified(near, sets).select("a", "b", "na", "nb", "common"), free=True)
     first = checked.where(_is_link(threshold)).select("a", "b")
     roots = components(first)
     label = sizes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
@@ -401,22 +402,24 @@ def links(docs: DataFrame, found: DataFrame, shared: DataFrame, words: int = WOR
     apart = checked.select(F.col("a").alias("pivot"), F.col("b").alias("node"), exact)
     region = (
         known.join(label, "node")
-        .join(ranks.select("node", F.array(*[f"m{k}" for k in range(MARKS)]).alias("marks")), "node")
         .join(label.select(F.col("node").alias("pivot"), F.col("root").alias("proot")), "pivot")
         .join(apart, ["pivot", "node"], "left")
-        .select("pivot", "node", "n", "sketch", "marks", "root", (F.col("root") != F.col("proot")).alias("outside"),
+        .select("pivot", "node", "n", "root", (F.col("root") != F.col("proot")).alias("outside"),
                 F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.coalesce("exact", "least")).alias("low"),
                 F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.coalesce("exact", F.lit(1.0))).alias("high"))
     )
     tried = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = _block_pairs(stored(region), threshold).join(tried, ["a", "b"], "left_anti")
-    second = _verified_by_place(stored(rest), sets, threshold)
-    return stored(first.union(second))
+    region = stored(region, known, label, free=True)
+    marks = ranks.select("node", F.array(*[f"m{k}" for k in range(MARKS)]).alias("marks"))
+    facts = stored(sets.select("node", "sketch").join(marks, "node"), ranks, free=True)
+    rest = stored(_block_pairs(region, facts, threshold).join(tried, ["a", "b"], "left_anti"), region, facts, free=True)
+    second = _verified_by_place(rest, sets, threshold)
+    return stored(first.union(second), rest, sets, checked, free=True)
 
 
 def _bounded(rows: DataFrame, threshold: int) -> DataFrame:
-    """(pivot, node, n, sketch, maybe, least): whether a link to the pivot is possible by size and histogram."""
-    schema = "pivot long, node long, n long, sketch binary, maybe boolean, least double"
+    """(pivot, node, n, maybe, least): whether a link to the pivot is possible by size and histogram."""
+    schema = "pivot long, node long, n long, maybe boolean, least double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -425,8 +428,8 @@ def _bounded(rows: DataFrame, threshold: int) -> DataFrame:
             apart = _apart(*flat)
             maybe = (apart * (100 + threshold) <= (n + pn) * (100 - threshold)) & (np.minimum(n, pn) * 100 >= np.maximum(n, pn) * threshold)
             least = 1 - np.maximum(n + pn - apart, 0) / (n + pn + apart)
-            arrays = [*batch.columns[:4], pa.array(maybe), pa.array(least)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["pivot", "node", "n", "sketch", "maybe", "least"])
+            arrays = [*batch.columns[:3], pa.array(maybe), pa.array(least)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["pivot", "node", "n", "maybe", "least"])
 
     return rows.select("pivot", "node", "n", "sketch", "pn", "ps").mapInArrow(run, schema)
 

@@ -109,7 +109,9 @@ def _opened(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, names=["d1", "d2", "j", "w1", "w2"])
 
     texts = docs.select(row_key("doc_id", "text").alias("doc_key"), text_bytes().alias("t")).where(F.octet_length("t") > 0)
-    chosen = texts.join(small(wanted, 32 + 48 * F.size("paths")), "doc_key").select("doc_key", "t", "paths")
+    # Few texts are read again; only those are brought to their paths.
+    some = texts.join(small(wanted.select("doc_key"), 16), "doc_key", "left_semi")
+    chosen = some.join(small(wanted, 32 + 48 * F.size("paths")), "doc_key").select("doc_key", "t", "paths")
     once = chosen.dropDuplicates(["doc_key"]).select("t", "paths")
     return once.mapInArrow(run, "d1 long, d2 long, j int, w1 long, w2 long")
 
@@ -118,17 +120,17 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     """(doc_key, first, last): places of words covered by windows that also start in a document with a smaller id."""
     every = stored(paths(docs, window, kmer))
     shared = every.groupBy("km").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("km")
-    kept = stored(every.join(shared, "km"))
+    kept = stored(every.join(shared, "km"), every, free=True)
     # One node per digest: its smallest document, and one occurrence there as source coordinates.
     nodes = stored(
-        kept.groupBy("km", *_DIGEST).agg(F.min(F.struct("doc_id", "doc_key", "at", "n")).alias("source")).select("km", *_DIGEST, "source")
+        kept.groupBy("km", *_DIGEST).agg(F.min(F.struct("doc_id", "doc_key", "at", "n")).alias("source")).select("km", *_DIGEST, "source"), free=True
     )
     owner = nodes.select(*_DIGEST, F.col("source.doc_id").alias("owner"))
     branching = nodes.groupBy("km").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("km")
     open_nodes = stored(nodes.join(branching, "km").select(*_DIGEST, "source"))
     todo = open_nodes.select("source.doc_key", F.struct(*_DIGEST, "source.at", "source.n").alias("p"))
     wanted = stored(todo.groupBy("doc_key").agg(F.collect_list("p").alias("paths")))
-    opened = stored(_opened(docs, wanted, window).join(open_nodes.select(*_DIGEST, F.col("source.doc_id").alias("owner")), _DIGEST))
+    opened = stored(_opened(docs, wanted, window).join(open_nodes.select(*_DIGEST, F.col("source.doc_id").alias("owner")), _DIGEST), wanted, free=True)
     earliest = opened.groupBy("w1", "w2").agg(F.min("owner").alias("low"), F.max("owner").alias("high")).where("low < high").select("w1", "w2", "low")
     partly = opened.join(earliest, ["w1", "w2"]).where("low < owner").groupBy(*_DIGEST).agg(F.collect_set("j").alias("js"))
     placed = kept.join(owner, _DIGEST).select("doc_key", "at", "n", *_DIGEST, (F.col("owner") < F.col("doc_id")).alias("whole"))
@@ -136,13 +138,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     whole = placed.where("whole").select("doc_key", F.col("at").alias("first"), (F.col("at") + F.col("n") - 1 + reach).alias("last"))
     part = placed.where("not whole").join(partly, _DIGEST).select("doc_key", "at", F.explode("js").alias("j"))
     part = part.select("doc_key", (F.col("at") + F.col("j")).alias("first"), (F.col("at") + F.col("j") + reach).alias("last"))
-    return whole.union(part)
+    return stored(whole.union(part).distinct(), kept, nodes, open_nodes, opened, free=True)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> DataFrame:
     """doc_id, doc_key, n_words, n_removed and ``kept`` (the remaining words joined by one blank) for every row of ``docs``."""
     spans = repeated_spans(docs, window, kmer)
-    cuts = stored(spans.distinct().groupBy("doc_key").agg(F.collect_list(F.struct("first", "last")).alias("cuts")))
+    cuts = stored(spans.groupBy("doc_key").agg(F.collect_list(F.struct("first", "last")).alias("cuts")), spans, free=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,7 +167,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", row_key("doc_id", "text").alias("doc_key"), text_bytes().alias("t"))
-    joined = rows.join(small(cuts, 32 + 24 * F.size("cuts")), "doc_key", "left").select("doc_id", "doc_key", "t", "cuts")
+    # Texts without a cut, by far the most, stay where they are.
+    keys = small(cuts.select("doc_key"), 16)
+    none = F.lit(None).cast(cuts.schema["cuts"].dataType)
+    cut = rows.join(keys, "doc_key", "left_semi").join(small(cuts, 32 + 24 * F.size("cuts")), "doc_key", "left")
+    joined = cut.select("doc_id", "doc_key", "t", "cuts").union(rows.join(keys, "doc_key", "left_anti").select("doc_id", "doc_key", "t", none))
     return joined.mapInArrow(run, f"doc_id {kind}, doc_key long, n_words long, n_removed long, kept string")
 
 
