@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidecart.operators import audit, counting, membership, merge, paging, pick
+from tidecart.schemas import _ddl
 from tidecart.operators.lookup import fits_broadcast, heavy_keys, lookup
 
 
@@ -87,8 +88,10 @@ def test_one_row_per_key_combines_before_the_shuffle(spark):
 
 def test_merge_by_name_right_wins(spark):
     joined = spark.createDataFrame([(1, "left", 5, 9, "right", 6)], "l_id int, l_x string, l_y int, r_id int, r_x string, r_z int")
-    merged = merge.merge_by_name(joined, "l_", "r_", ["parent", "child", "x", "y", "z", "none"], {"l_id": "parent", "r_id": "child"})
+    target = _ddl("parent int, child int, x string, y int, z int, none double")
+    merged = merge.merge_by_name(joined, "l_", "r_", target, {"l_id": "parent", "r_id": "child"})
     assert tuple(merged.first()) == (1, 9, "right", 5, 6, None)
+    assert dict(merged.dtypes)["none"] == "double"
 
 
 def test_membership(spark, rows):

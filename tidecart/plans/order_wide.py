@@ -91,7 +91,7 @@ def merge(joined: DataFrame) -> DataFrame:
     Where both sides have a field the line wins, so ``create_time`` is the line's while ``create_date`` and
     ``create_hour`` come from the order.
     """
-    return merge_by_name(joined, "order__", "detail__", schemas.ORDER_WIDE.names, _RENAMES)
+    return merge_by_name(joined, "order__", "detail__", schemas.ORDER_WIDE, _RENAMES)
 
 
 def order_wide(
