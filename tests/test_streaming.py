@@ -18,7 +18,6 @@ from tidecart.streaming import ad_clicks as click_stream
 from tidecart.streaming import change_capture as cdc_stream
 from tidecart.streaming import log_split as log_stream
 from tidecart.streaming import order_wide as order_stream
-from tidecart.streaming.run import start
 
 DAY = 1700006400000  # 2023-11-15 00:00:00
 AS_OF = "2023-11-20"
@@ -296,12 +295,12 @@ def test_unmatched_rows_come_out_of_the_audit_streams(spark, feed, tmp_path, row
         orders.add(order(100 + n, day(n)))
         details.add(detail(100 + n, 100 + n, day(n)))
     streams = order_wide.parse_orders(arriving(orders.stream())), order_wide.parse_details(arriving(details.stream()))
-    seen = {"details": [], "orders": []}
-    audits = {"details": order_stream.lonely_details(*streams, salts=2, **BY_ARRIVAL), "orders": order_stream.lonely_orders(*streams, **BY_ARRIVAL)}
-    for name, audit in audits.items():
-        handle = lambda batch, _, name=name: seen[name].extend(r.id for r in batch.collect())
-        finish(start(audit, f"audit_{name}", handle, checkpoint=f"{tmp_path}/cp_{name}", available_now=True))
-    assert seen == {"details": [30], "orders": [2]}
+    topics = FileTopics(f"{tmp_path}/late")
+    options = {"salts": 2, "available_now": True, **BY_ARRIVAL}
+    for query in order_stream.start_order_late(*streams, lambda: FileTopics(topics.path), str(tmp_path), **options):
+        finish(query)
+    letters = [json.loads(r.value) for r in topics.read(spark, order_wide.LATE_TOPIC).collect()]
+    assert sorted((r["reason"], json.loads(r["value"])["id"]) for r in letters) == [("no line came", 2), ("no order came", 30)]
 
 
 # --- clicks ----------------------------------------------------------------------------------

@@ -137,3 +137,26 @@ def start_order_wide(
 
     pairs = paired(orders, details, wait, within, lateness, salts, clock=clock)
     return start(pairs, "order_wide", handle, tables=[table], compact_every=compact_every, **options)
+
+
+def start_order_late(orders: DataFrame, details: DataFrame, topics, checkpoint: str, **options) -> tuple[StreamingQuery, StreamingQuery]:
+    """Late outputs: lines whose order, and orders none of whose lines came within the wait, to ``LATE_TOPIC`` with the reason.
+
+    ``options`` are those of :func:`lonely_details` and :func:`lonely_orders`, and of :func:`tidecart.streaming.run.start`. The two
+    queries keep their checkpoints below ``checkpoint`` and write under runs of their own, so ``topics`` is a function that
+    gives each its sink.
+    """
+    joined = {k: options.pop(k) for k in ("wait", "within", "lateness", "salts", "clock") if k in options}
+    found = {
+        "no order came": lonely_details(orders, details, **joined),
+        "no line came": lonely_orders(orders, details, **joined),
+    }
+
+    def begin(reason: str, rows: DataFrame) -> StreamingQuery:
+        sink = topics()
+        letter = F.to_json(F.struct(F.lit(reason).alias("reason"), F.to_json(F.struct(*rows.columns)).alias("value")))
+        letters = rows.select(F.lit(order_wide.LATE_TOPIC).alias("topic"), letter.alias("value"))
+        name = reason.replace(" ", "_")
+        return start(letters, name, sink.write, checkpoint=f"{checkpoint}/{name}", sinks=[sink], **options)
+
+    return tuple(begin(reason, rows) for reason, rows in found.items())
