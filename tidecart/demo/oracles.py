@@ -197,6 +197,11 @@ ORDER BY wide.create_time DESC, detail_id LIMIT {DEEP_SIZE}""",
     "top_ages": f"""{_wide()}
 SELECT user_age, count(*) AS n FROM wide WHERE user_age IS NOT NULL GROUP BY 1 ORDER BY n DESC, user_age LIMIT 24""",
     "dau_info": f"{_DAU} SELECT * FROM dau",
+    "dau_stored_info": f"{_DAU} SELECT * FROM dau",
+    "dau_stored_realtime": f"""{_DAU}
+SELECT 'dauTotal' AS metric, CAST(NULL AS VARCHAR) AS hr, count(*) AS n FROM dau WHERE dt = '{DAU_DAY}'
+UNION ALL SELECT 'dauTd', hr, count(*) FROM dau WHERE dt = '{DAU_DAY}' GROUP BY hr
+UNION ALL SELECT 'dauYd', hr, count(*) FROM dau WHERE dt = {_YESTERDAY} GROUP BY hr""",
     "dau_daily": f"{_DAU} SELECT dt, count(*) AS n FROM dau GROUP BY dt",
     "dau_hourly": f"{_DAU} SELECT dt, hr, count(*) AS n FROM dau GROUP BY dt, hr",
     "dau_realtime": f"""{_DAU}

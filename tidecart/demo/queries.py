@@ -16,7 +16,8 @@ from tidecart.operators.counting import count_by, sum_by
 from tidecart.operators.paging import page_after, seek_page, top_groups
 from tidecart.plans import active_users, ad_clicks, change_capture, log_split, order_wide, serving
 from tidecart.session import shared_folder
-from tidecart.sinks import CounterLedger, DayIndex, KeyedLedger, SetLedger
+from tidecart.sinks import CounterLedger, DayIndex, FirstLedger, KeyedLedger, SetLedger
+from tidecart.streaming import active_users as dau_stream
 from tidecart.streaming import ad_clicks as click_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +107,35 @@ def _dau_keys(spark: SparkSession, folder: str) -> DataFrame:
     return first.withColumn("hr", times.hour_of_ms(F.col("ts")))
 
 
+_DAYS: dict[tuple[str, str], FirstLedger] = {}
+
+
+def dau_table(spark: SparkSession, folder: str) -> FirstLedger:
+    """The day records as the stream stores them: pages of hours 0-7, 8-15 and 16-23 come as three batches, the second one twice.
+    Built once in a session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _DAYS:
+        at = _fresh(spark)
+        pages = log_split.page_logs(log_split.parse(t.raw_logs(spark, folder)))
+        batch = F.floor(F.hour(F.timestamp_millis("ts")) / 8)
+        pages.withColumn("batch", batch).write.partitionBy("batch").parquet(f"{at}/pages")
+        stored = spark.read.parquet(f"{at}/pages")
+        table = dau_stream.dau_ledger(spark, f"{at}/dau")
+        for n in (0, 1, 1, 2):
+            landed = active_users.landings(stored.where(F.col("batch") == n).drop("batch"))
+            dau_stream.handle_landings(landed, n, lambda: (t.users(spark, folder), t.provinces(spark, folder)), table, t.AS_OF)
+        table.compact()
+        _DAYS[key] = table
+    return _DAYS[key]
+
+
+def _dau_stored_realtime(spark: SparkSession, folder: str) -> DataFrame:
+    """Today's and yesterday's hours from the two days' folders."""
+    table = dau_table(spark, folder)
+    days = [table.read(part=day).select("dt", "hr", "mid") for day in (DAU_DAY, times.previous_day(DAU_DAY))]
+    return serving.dau_realtime(days[0].unionByName(days[1]), DAU_DAY)
+
+
 def _log(select: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: select(log_split.parse(t.raw_logs(spark, folder)))
 
@@ -282,6 +312,8 @@ QUERIES: dict[str, Query] = {
     "dau_hourly": lambda spark, folder: serving.dau_hourly(_dau_keys(spark, folder)),
     "dau_realtime": lambda spark, folder: serving.dau_realtime(_dau_keys(spark, folder), DAU_DAY),
     "dau_realtime_24h": lambda spark, folder: serving.dau_realtime_24h(_dau_keys(spark, folder), DAU_DAY),
+    "dau_stored_info": lambda spark, folder: dau_table(spark, folder).read(),
+    "dau_stored_realtime": _dau_stored_realtime,
     # log split
     "log_page": _log(log_split.page_logs),
     "log_display": _log(log_split.display_logs),
