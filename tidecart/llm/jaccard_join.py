@@ -204,38 +204,43 @@ def cells(docs: DataFrame, common: np.ndarray, words: int = WORDS, threshold: in
     return ranged.mapInArrow(shared, rows.schema)
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, n, items, sketch) of each point in ``nodes`` (node, doc_key), read again from one text of it."""
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, t): the texts of each point in ``nodes`` (node, doc_key); a row that repeats comes as often."""
+    texts = docs.select(row_key("doc_id", "text").alias("doc_key"), text_bytes().alias("t"))
+    return texts.join(small(nodes, 48), "doc_key").select("node", "t")
+
+
+def _sketches(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, n, sketch) of each point: the size and histogram of its set."""
 
     def make() -> Callable:
         def step(row: tuple, s: np.ndarray) -> Iterator[tuple]:
             sketch = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=BUCKETS)
-            yield (row[0], len(s), s.view(np.int64).tobytes(), np.minimum(sketch, 255).astype(np.uint8).tobytes())
+            yield (row[0], len(s), np.minimum(sketch, 255).astype(np.uint8).tobytes())
 
         return step
 
-    texts = docs.select(row_key("doc_id", "text").alias("doc_key"), text_bytes().alias("t"))
-    chosen = texts.join(small(nodes, 48), "doc_key").dropDuplicates(["node"]).select("node", "t")
-    return _each_set(chosen, make, "node bigint, n bigint, items binary, sketch binary", [pa.int64(), pa.int64(), pa.binary(), pa.binary()], words)
+    rows = _each_set(_texts_of(docs, nodes), make, "node bigint, n bigint, sketch binary", [pa.int64(), pa.int64(), pa.binary()], words)
+    return rows.dropDuplicates(["node"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, more) with ``common``, the exact size of the intersection, and both sizes."""
-    x = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("items").alias("xa"))
-    y = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("items").alias("xb"))
-    joined = pairs.join(x, "a").join(y, "b")
-    names = [c for c in joined.columns if c not in ("xa", "xb")]
+def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """(node, items) of the points that ``pairs`` (a, b) are made of, read again; a point may come more than once."""
+
+    def make() -> Callable:
+        def step(row: tuple, s: np.ndarray) -> Iterator[tuple]:
+            yield (row[0], s.view(np.int64).tobytes())
+
+        return step
+
+    needed = stored(nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"))
+    return _each_set(_texts_of(docs, needed), make, "node bigint, items binary", [pa.int64(), pa.binary()], words)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = {n: k for k, n in enumerate(batch.schema.names)}
-            common = [
-                len(np.intersect1d(np.frombuffer(a.as_py(), np.int64), np.frombuffer(b.as_py(), np.int64), assume_unique=True))
-                for a, b in zip(batch.column(at["xa"]), batch.column(at["xb"]))
-            ]
-            yield pa.RecordBatch.from_arrays([*(batch.column(at[n]) for n in names), pa.array(common, pa.int64())], names=[*names, "common"])
 
-    return joined.mapInArrow(run, schema_with(joined.select(*names), common="long"))
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with a ``place``: those of one ``a`` together, at most about ``BLOCK`` of them."""
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
+    return pairs.join(many, "a").select("a", "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("k"))).alias("place"))
 
 
 def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -326,8 +331,8 @@ def _block_pairs(regions: DataFrame, facts: DataFrame, threshold: int) -> DataFr
 
 
 def _verified_by_place(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` (a, b, place) that link. The sets of a place are brought there once, not once per pair; a finer
-    histogram settles most pairs, the sets themselves the rest."""
+    """``pairs`` (a, b, place) as (a, b, na, nb, common): both sizes and the size of the intersection, null where a finer histogram
+    already rules a link out. The sets of a place are brought there once, not once per pair."""
     needed = pairs.select("place", F.explode(F.array("a", "b")).alias("a")).distinct()
     items = needed.join(sets.select(F.col("node").alias("a"), "items"), "a").select("place", "a", F.lit(None).cast("long").alias("b"), "items")
     both = items.unionByName(pairs.select("place", "a", "b", F.lit(None).cast("binary").alias("items")))
@@ -344,15 +349,14 @@ def _verified_by_place(pairs: DataFrame, sets: DataFrame, threshold: int) -> Dat
                     i, j = np.array([at[n] for n in x]), np.array([at[n] for n in y])
                     n = np.array([len(v) for v in held], np.int64)
                     rows = np.stack(fine).astype(np.int32)
-                    good = []
+                    common: list[int | None] = [None] * len(x)
                     for k in range(0, len(i), 8192):
                         u, v = i[k : k + 8192], j[k : k + 8192]
                         apart = np.abs(rows[u] - rows[v]).sum(1)
                         for p in np.flatnonzero(apart * (100 + threshold) <= (n[u] + n[v]) * (100 - threshold)).tolist():
-                            common = len(np.intersect1d(held[u[p]], held[v[p]], assume_unique=True))
-                            if common * 100 >= (n[u[p]] + n[v[p]] - common) * threshold:
-                                good.append(k + p)
-                    yield pa.RecordBatch.from_arrays([pa.array([x[g] for g in good], pa.int64()), pa.array([y[g] for g in good], pa.int64())], names=["a", "b"])
+                            common[k + p] = len(np.intersect1d(held[u[p]], held[v[p]], assume_unique=True))
+                    columns = [x, y, n[i], n[j], common]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "na", "nb", "common"])
                     x.clear()
                     y.clear()
 
@@ -370,7 +374,7 @@ def _verified_by_place(pairs: DataFrame, sets: DataFrame, threshold: int) -> Dat
                     y.append(b[k])
             yield from out()
 
-    return ranged.select("place", "a", "b", "items").mapInArrow(run, "a long, b long")
+    return ranged.select("place", "a", "b", "items").mapInArrow(run, "a long, b long, na long, nb long, common long")
 
 
 def links(docs: DataFrame, found: DataFrame, shared: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -386,14 +390,15 @@ def links(docs: DataFrame, found: DataFrame, shared: DataFrame, words: int = WOR
     reach = with_top.select("h", "node").join(pivots, "node").select("h", "pivot").distinct()
     members = stored(with_top.select("h", "node").join(reach, "h").select("pivot", "node").distinct(), with_top, free=True)
     one_text = found.where("node is not null").groupBy("node").agg(F.min("doc_key").alias("doc_key"))
-    sets = stored(_sets(docs, stored(one_text.join(pivots.select("node"), "node")), words), free=True)
-    sizes = sets.select("node", "n", "sketch")
+    texts = stored(one_text.join(pivots.select("node"), "node"))
+    sizes = stored(_sketches(docs, texts, words), free=True)
     # Distance to the pivot: exact where the size and histogram bounds allow a link, else known to be beyond r.
     at = members.join(sizes, "node")
     top = sizes.select(F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("sketch").alias("ps"))
     known = stored(_bounded(at.join(top, "pivot"), threshold), members, free=True)
-    near = known.where("maybe and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    checked = stored(_verified(near, sets).select("a", "b", "na", "nb", "common"), free=True)
+    near = stored(_dealt(known.where("maybe and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))))
+    sets = stored(_sets(docs, texts, near, words), free=True)
+    checked = stored(_verified_by_place(near, sets, threshold), near, sets, free=True)
     first = checked.where(_is_link(threshold)).select("a", "b")
     roots = components(first)
     label = sizes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
@@ -411,10 +416,11 @@ def links(docs: DataFrame, found: DataFrame, shared: DataFrame, words: int = WOR
     tried = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     region = stored(region, known, label, free=True)
     marks = ranks.select("node", F.array(*[f"m{k}" for k in range(MARKS)]).alias("marks"))
-    facts = stored(sets.select("node", "sketch").join(marks, "node"), ranks, free=True)
+    facts = stored(sizes.select("node", "sketch").join(marks, "node"), ranks, sizes, free=True)
     rest = stored(_block_pairs(region, facts, threshold).join(tried, ["a", "b"], "left_anti"), region, facts, free=True)
-    second = _verified_by_place(rest, sets, threshold)
-    return stored(first.union(second), rest, sets, checked, free=True)
+    sets = stored(_sets(docs, texts, rest, words), free=True)
+    second = _verified_by_place(rest, sets, threshold).where(_is_link(threshold)).select("a", "b")
+    return stored(first.union(second), rest, sets, checked, texts, free=True)
 
 
 def _bounded(rows: DataFrame, threshold: int) -> DataFrame:
