@@ -23,6 +23,7 @@ out.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -377,6 +378,21 @@ def _verified_by_place(pairs: DataFrame, sets: DataFrame, threshold: int) -> Dat
     return ranged.select("place", "a", "b", "items").mapInArrow(run, "a long, b long, na long, nb long, common long")
 
 
+def _verified_in_rounds(pairs: DataFrame, sets: DataFrame, found: DataFrame, threshold: int) -> list[DataFrame]:
+    """The links (a, b) among ``pairs``, as stored tables. A set is brought to every place that compares it; so many places take part
+    in a round that it moves no more than all sets of the input take once, and its shuffle files go before the next."""
+    needed = pairs.select("place", F.explode(F.array("a", "b")).alias("node")).distinct()
+    size = sets.select("node", F.octet_length("items").alias("size"))
+    moved = needed.join(size, "node").agg(F.sum("size")).first()[0] or 0
+    held = 8 * (found.agg(F.sum("n_shingles")).first()[0] or 1)
+    rounds = max(1, -(-moved // held))
+    links = []
+    for k in range(rounds):
+        some = pairs.where(F.pmod("place", F.lit(rounds)) == k)
+        links.append(stored(_verified_by_place(some, sets, threshold).where(_is_link(threshold)).select("a", "b"), free=True))
+    return links
+
+
 def links(docs: DataFrame, found: DataFrame, shared: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """Enough links (a, b) between points to connect all that are connected; each holds exactly."""
     common = _common_shingles(shared)
@@ -419,8 +435,8 @@ def links(docs: DataFrame, found: DataFrame, shared: DataFrame, words: int = WOR
     facts = stored(sizes.select("node", "sketch").join(marks, "node"), ranks, sizes, free=True)
     rest = stored(_block_pairs(region, facts, threshold).join(tried, ["a", "b"], "left_anti"), region, facts, free=True)
     sets = stored(_sets(docs, texts, rest, words), free=True)
-    second = _verified_by_place(rest, sets, threshold).where(_is_link(threshold)).select("a", "b")
-    return stored(first.union(second), rest, sets, checked, texts, free=True)
+    second = _verified_in_rounds(rest, sets, found, threshold)
+    return stored(reduce(DataFrame.union, second, first), rest, sets, checked, texts, *second, free=True)
 
 
 def _bounded(rows: DataFrame, threshold: int) -> DataFrame:
