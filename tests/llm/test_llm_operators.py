@@ -124,6 +124,17 @@ def test_class_lm_rare_words_take_the_join(documents, monkeypatch):
         assert r["base_score"] == pytest.approx(other["base_score"]) and r["score"] == pytest.approx(other["score"])
 
 
+def test_class_lm_knows_the_end_token_beside_more_frequent_words(spark, monkeypatch):
+    words = [f"w{k}" for k in range(710)]
+    docs = spark.createDataFrame([(1, " ".join(words * 3)), (2, " ".join(words[::-1] + words))], "doc_id long, text string")
+    whole = {r["doc_id"]: r["score"] for r in class_lm.score(docs, class_lm.train(docs)).collect()}
+    monkeypatch.setattr(class_lm, "HEAD_WORDS", 700)
+    model = class_lm.train(docs)
+    assert len(model.head) == 700 and class_lm.END in dict(model.head)
+    for r in class_lm.score(docs, model).collect():
+        assert r["score"] == pytest.approx(whole[r["doc_id"]])
+
+
 def test_exchange_separates_alternating_units():
     pairs = np.zeros((4, 4))
     pairs[0, 1] = pairs[1, 0] = pairs[2, 3] = pairs[3, 2] = 50
