@@ -107,3 +107,28 @@ def test_json_forms(spark):
     assert order_wide.parse_orders(quoted).dtypes == spark.createDataFrame([], schemas.ORDER_INFO).dtypes
     line = spark.createDataFrame([('{"id":5,"order_id":101,"sku_num":2,"sku_name":"x"}',)], "value string")
     assert tuple(order_wide.parse_details(line).select("id", "order_id", "sku_num", "sku_name").first()) == (5, 101, 2, "x")
+
+
+def test_lines_of_a_day_are_chosen_before_articles_are_joined(spark, tmp_path, monkeypatch):
+    """Order 1 is of the day and comes twice, order 2 is of another day; one line has no order key."""
+    from tidecart.demo import queries, tables
+
+    day = "timestamp_ntz'1997-02-01 00:00:00'"
+    made = {
+        "orders": f"""select * from values (1L, 1L, 'O', 9.0D, {day}), (1L, 1L, 'O', 9.0D, {day}), (null, 1L, 'O', 9.0D, {day}),
+            (2L, 1L, 'O', 9.0D, {day} + interval 9 days) as t(o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate)""",
+        "lineitem": f"""select *, 1L as l_suppkey, 2.0D as l_quantity, {day} as l_shipdate, 8.0D as l_extendedprice, 0.5D as l_discount,
+            0.5D as l_tax from values (1L, 1, 1L), (1L, 2, null), (2L, 1, 1L), (null, 1, 1L), (3L, 1, 1L) as t(l_orderkey, l_linenumber, l_partkey)""",
+        "part": "select 1L as p_partkey, 'red widget' as p_name, 3.0D as p_retailprice",
+        "customer": "select 1L as c_custkey, 1L as c_nationkey",
+        "nation": "select 1 as n_nationkey, 'N' as n_name",
+    }
+    for name, text in made.items():
+        spark.sql(text).write.parquet(f"{tmp_path}/{name}.parquet")
+    named, lookup = [], tables.lookup
+    monkeypatch.setattr(tables, "lookup", lambda facts, *rest, **more: named.append(facts.count()) or lookup(facts, *rest, **more))
+    wide = queries._wide(spark, str(tmp_path), "1997-02-01").select("order_id", "sku_id", "sku_name")
+    assert sorted(map(str, wide.collect())) == sorted(
+        2 * [str(r) for r in spark.sql("select 1L order_id, 1L sku_id, 'red widget' sku_name union all select 1L, null, null").collect()]
+    )
+    assert named == [2]

@@ -33,9 +33,10 @@ CLICK_THRESHOLD = 2
 
 
 def _wide(spark: SparkSession, folder: str, day: str | None = None, **options) -> DataFrame:
+    orders = t.orders(spark, folder, day)
     return order_wide.order_wide(
-        t.orders(spark, folder, day),
-        t.details(spark, folder),
+        orders,
+        t.details(spark, folder, None if day is None else orders),
         t.users(spark, folder),
         t.provinces(spark, folder),
         t.AS_OF,

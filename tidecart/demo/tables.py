@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidecart import schemas
 from tidecart.operators.lookup import lookup
+from tidecart.operators.membership import listed
 from tidecart.operators.parsing import evaluated_once
 
 AS_OF = "2024-01-30"
@@ -84,9 +85,13 @@ def orders(spark: SparkSession, folder: str, day: str | None = None) -> DataFram
     )
 
 
-def details(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with their article name. No single source column is a key, so the line id joins five of them."""
-    lines = source(spark, folder, "lineitem").select(
+def details(spark: SparkSession, folder: str, of: DataFrame | None = None) -> DataFrame:
+    """Order lines with their article name. No single source column is a key, so the line id joins five of them. With ``of``
+    (order headers) only the lines of these orders are taken, before anything is joined to them."""
+    raw = source(spark, folder, "lineitem")
+    if of is not None:
+        raw = listed(raw, "l_orderkey", of, "id")
+    lines = raw.select(
         F.concat_ws(
             "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int")
         ).alias("id"),
