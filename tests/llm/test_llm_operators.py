@@ -214,6 +214,14 @@ def test_kneser_ney(documents, tables):
     assert nobody.where("rejected").count() == 0
 
 
+def test_kneser_ney_learns_from_all_trusted_documents(spark, monkeypatch):
+    docs = spark.range(16_300).selectExpr("id as doc_id", "concat('w', id % 7, ' v', id % 5) as text", "'en' as lang")
+    learned, train = [], kneser_ney.train
+    monkeypatch.setattr(kneser_ney, "train", lambda texts: learned.append(texts.count()) or train(texts))
+    assert kneser_ney.judge(docs, docs.where("doc_id >= 100").select("doc_id")).count() == 16_300
+    assert learned == [16_200]
+
+
 def test_kneser_ney_sums_to_one_and_joins_like_lookups(documents, spark, monkeypatch):
     trusted = documents.where("doc_id < 60").select("text")
     model = kneser_ney.train(trusted, vocabulary_size=50)
