@@ -135,6 +135,21 @@ def test_class_lm_knows_the_end_token_beside_more_frequent_words(spark, monkeypa
         assert r["score"] == pytest.approx(whole[r["doc_id"]])
 
 
+def test_class_lm_head_is_cut_before_it_is_sorted(spark):
+    rows = [(b"", 3), *[(b"w%03d" % k, 9 if k < 40 else 5 if k < 140 else 1) for k in range(400)]]
+    counts = spark.createDataFrame(rows, "word binary, n long").repartition(8)
+    for limit in (1, 41, 60, 141, 142, 401, 500):
+        assert class_lm.frequent_words(counts, limit) == rows[:limit]
+    assert class_lm.frequent_words(counts.limit(0), 5) == []
+
+
+def test_class_lm_sends_the_driver_no_rows_one_by_one(documents, monkeypatch):
+    sent, collect = [], type(documents).collect
+    monkeypatch.setattr(type(documents), "collect", lambda frame: sent.append(collect(frame)) or sent[-1])
+    model = class_lm.train(documents)
+    assert len(model.head) > 700 and max(map(len, sent)) <= class_lm.GROUPS  # the head and the bigrams of units come as Arrow
+
+
 def test_exchange_separates_alternating_units():
     pairs = np.zeros((4, 4))
     pairs[0, 1] = pairs[1, 0] = pairs[2, 3] = pairs[3, 2] = 50
