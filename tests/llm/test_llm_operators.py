@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -378,6 +379,49 @@ def test_jaccard_join_of_crowded_regions(spark, monkeypatch):
     same(jaccard_join.report(frame).collect(), _jaccard(texts))
 
 
+def test_jaccard_sketches_tell_large_sets_apart():
+    rng = np.random.default_rng(11)
+    draw = lambda n: np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+    for n in (300, 3000, 6000, 60000):
+        x, y = jaccard_join._sketch(draw(n)), jaccard_join._sketch(draw(n))
+        assert jaccard_join._apart(x[None], y[None])[0] * 180 > 2 * n * 20
+
+
+def test_jaccard_sketches_never_rule_out_a_link():
+    rng = np.random.default_rng(12)
+    base = rng.integers(0, 1 << 64, 5000, dtype=np.uint64)
+    narrow = rng.integers(0, 1 << 56, 3000, dtype=np.uint64)  # all in one bucket of the coarsest histogram
+    sets = [np.unique(base[:k]) for k in (90, 1000, 1030, 2100, 4090, 4100, 5000)] + [np.unique(narrow[:k]) for k in (200, 700, 2000, 3000)]
+    sketches = jaccard_join._Sketches(pa.array([jaccard_join._sketch(s).tobytes() for s in sets], pa.binary()))
+    true = np.array([[len(np.setxor1d(a, b)) for b in sets] for a in sets])
+    every = np.arange(len(sets))
+    for x in every:
+        assert (sketches.apart_from(x, every) <= true[x]).all()
+        turned = jaccard_join._Sketches(pa.array([jaccard_join._sketch(sets[(k + x) % len(sets)]).tobytes() for k in every], pa.binary()))
+        found = jaccard_join._apart_by_row(sketches, turned)
+        assert found.tolist() == [sketches.apart_from(k, np.array([(k + x) % len(sets)]))[0] for k in every]
+
+
+def test_jaccard_large_unrelated_texts_make_no_pairs(spark, monkeypatch):
+    """Texts of 6000 words that share a passage and are long otherwise: one region, no candidates; and one near copy that is found."""
+    rng = np.random.default_rng(13)
+    passage = " ".join(f"p{k}" for k in range(40))
+    texts = [f"{passage} " + " ".join(map(str, rng.integers(0, 10**9, 6000 + 20 * k))) for k in range(20)]
+    texts.append(texts[5].rsplit(" ", 200)[0])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made, verified = [], jaccard_join._verified_in_rounds
+    monkeypatch.setattr(jaccard_join, "_verified_in_rounds", lambda pairs, *rest: made.append(pairs.count()) or verified(pairs, *rest))
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_join.report(docs).collect()}
+    assert found == {k: 5 if k == 20 else k for k in range(21)} and made == [0]
+
+
+def test_jaccard_shared_shingles(documents, texts):
+    _, shared = jaccard_join.points(documents.coalesce(1))
+    sets = {tuple(s.tolist()) for s in jaccard_join.shingle_sets(pa.array([(t or "").encode() for _, t in texts], pa.binary()))}
+    times = Counter(h for s in sets for h in s)
+    assert {r["h"] % 2**64: r["times"] for r in shared.collect()} == {h: n for h, n in times.items() if n > 1}
+
+
 def test_components(spark):
     path = [(k, k + 1) for k in range(0, 40)] + [(100, 90), (90, 95), (7, 7)]
     found = graph.components(spark.createDataFrame(path, "a long, b long")).collect()

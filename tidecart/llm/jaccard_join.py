@@ -8,10 +8,10 @@ everybody quotes from gathering everybody; it changes no result).
 1. Voronoi regions: every point takes as pivot the most central point it shares a cell with (the one with the largest share
    of shared cells), and is replicated to the regions of all points it shares a cell with: the boundary.
 2. Distances to the pivot are exact and link what lies within r.
-3. What is linked so far is contracted. Regions with points that are still apart from their pivot join again: pairs of an
-   outsider and any other point that may share a cell (by bit sets), within the triangle-inequality window
-   |d(x, p) - d(y, p)| <= r, the size window, and a bound on the symmetric difference from histograms. Large regions are dealt
-   out as pairs of blocks.
+3. What is linked so far is contracted. Regions with points that are still apart from their pivot join again: pairs of a point
+   that has the region as its own and any other point, one of them an outsider, that may share a cell (by bit sets), within the
+   triangle-inequality window |d(x, p) - d(y, p)| <= r, the size window, and a bound on the symmetric difference from
+   histograms. Large regions are dealt out as pairs of blocks.
 4. The pairs left are verified exactly; links of both steps give the components.
 
 A text is lower-cased in A-Z and cut at ASCII white space; a set holds its distinct runs of five words, or the whole
@@ -23,7 +23,7 @@ out.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +40,9 @@ from tidecart.llm.graph import components
 WORDS, THRESHOLD = 5, 80  # words of a shingle; similarity in per cent
 #: A shingle of at least so many points comes last in the order; at most so many are listed (the list only steers cost).
 COMMON, COMMON_LISTED = 48, 200_000
-#: Buckets of a set's histogram, one byte each. Counts beyond 255 stay there: differences then only look smaller.
-BUCKETS = 256
+#: Buckets of a set's histogram, one byte each: at least and at most so many, and otherwise one for every four shingles, so that large
+#: sets are told apart as well as small ones. Counts beyond 255 stay there: differences then only look smaller.
+BUCKETS, MOST_BUCKETS = 256, 1 << 14
 #: 64-bit words of the set of cells of a point, hashed to bits.
 MARKS = 16
 #: Points a task remembers so as to take each once; beyond that repeats are dropped later, or only weigh more in the order.
@@ -117,9 +118,13 @@ def _read(docs: DataFrame, words: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([given.get(k, pa.nulls(n, kind)) for k, kind in enumerate(kinds)], names=schema.names)
 
         def shared() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
-            often = counts >= 2
-            return rows({4: pa.array(values[often].view(np.int64)), 5: pa.array(counts[often].astype(np.int64))})
+            """Shingles held at least twice, sorted in place and without counting the others: a worker has little room."""
+            values = np.concatenate([np.empty(0, np.uint64), *held])
+            held.clear()
+            values.sort()
+            twice = values[1:] == values[:-1]  # those of one shingle are a run of its times less one
+            edges = np.flatnonzero(np.diff(np.r_[False, twice, False].view(np.int8)))
+            return rows({4: pa.array(values[edges[::2]].view(np.int64)), 5: pa.array(edges[1::2] - edges[::2] + 1)})
 
         for batch in batches:
             n, nodes = [], []
@@ -134,7 +139,7 @@ def _read(docs: DataFrame, words: int) -> DataFrame:
                     size += len(s)
                     if size > 6_000_000:
                         yield shared()
-                        held, size = [], 0
+                        size = 0
             yield rows({0: batch.column(0), 1: batch.column(1), 2: pa.array(n, pa.int64()), 3: pa.array(nodes, pa.int64())})
         yield shared()
 
@@ -216,8 +221,7 @@ def _sketches(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
 
     def make() -> Callable:
         def step(row: tuple, s: np.ndarray) -> Iterator[tuple]:
-            sketch = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=BUCKETS)
-            yield (row[0], len(s), np.minimum(sketch, 255).astype(np.uint8).tobytes())
+            yield (row[0], len(s), _sketch(s).tobytes())
 
         return step
 
@@ -244,11 +248,72 @@ def _dealt(pairs: DataFrame) -> DataFrame:
     return pairs.join(many, "a").select("a", "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("k"))).alias("place"))
 
 
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """Histogram of a set by the leading bits of its shingles; the number of buckets is a power of two."""
+    bits = max(BUCKETS.bit_length() - 1, min((len(shingles) // 4).bit_length(), MOST_BUCKETS.bit_length() - 1))
+    return np.minimum(np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
+
+
+def _folded(rows: np.ndarray, width: int) -> np.ndarray:
+    """Histograms with ``width`` buckets, made of finer ones."""
+    while rows.shape[1] > width:
+        rows = np.minimum(rows[:, ::2].astype(np.uint16) + rows[:, 1::2], 255).astype(np.uint8)
+    return rows
+
+
 def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Sums of differences of histograms: at most the size of the symmetric difference."""
+    """Sums of differences of histograms, in the buckets of the coarser ones: at most the size of the symmetric difference."""
+    width = min(x.shape[1], y.shape[1])
+    x, y = _folded(x, width), _folded(y, width)
     return (np.maximum(x, y) - np.minimum(x, y)).sum(1, dtype=np.int64)
 
 
+class _Sketches:
+    """Histograms of the rows of a binary column, in one array for each number of buckets."""
+
+    def __init__(self, column: pa.Array | pa.ChunkedArray):
+        values = column.to_pylist()
+        self.width = np.array([len(v) for v in values], np.int64)
+        self.place = np.empty(len(values), np.int64)
+        self.rows = {}
+        for w in np.unique(self.width).tolist():
+            at = np.flatnonzero(self.width == w)
+            self.place[at] = np.arange(len(at))
+            self.rows[w] = np.frombuffer(b"".join([values[k] for k in at.tolist()]), np.uint8).reshape(len(at), w)
+
+    @cached_property
+    def coarse(self) -> np.ndarray:
+        """All rows with the fewest buckets, to be compared first."""
+        result = np.empty((len(self.width), BUCKETS), np.uint8)
+        for w, rows in self.rows.items():
+            result[self.width == w] = _folded(rows, BUCKETS)
+        return result
+
+    def of(self, width: int, at: np.ndarray | int) -> np.ndarray:
+        return self.rows[width][self.place[at]]
+
+    def apart_from(self, x: int, y: np.ndarray) -> np.ndarray:
+        """How far the rows ``y`` are from row ``x`` at least."""
+        mine = self.of(int(self.width[x]), x)[None]
+        if len(self.rows) == 1:
+            return _apart(self.of(int(self.width[x]), y), mine)
+        result = np.empty(len(y), np.int64)
+        for w in np.unique(self.width[y]).tolist():
+            k = self.width[y] == w
+            result[k] = _apart(self.of(w, y[k]), mine)
+        return result
+
+
+def _apart_by_row(x: _Sketches, y: _Sketches) -> np.ndarray:
+    result = np.empty(len(x.width), np.int64)
+    for v in x.rows:
+        for w in y.rows:
+            at = np.flatnonzero((x.width == v) & (y.width == w))
+            if len(at):
+                result[at] = _apart(x.of(v, at), y.of(w, at))
+    return result
+
+
 def _marks() -> list:
     """Aggregates that set one bit for each cell of a point."""
     return [F.expr(f"bit_or(if(pmod(h, {64 * MARKS}) div 64 = {k}, shiftleft(1L, cast(pmod(h, 64) as int)), 0L))").alias(f"m{k}") for k in range(MARKS)]
@@ -259,21 +324,37 @@ def _is_link(threshold: int):
 
 
 def _block_pairs(regions: DataFrame, facts: DataFrame, threshold: int) -> DataFrame:
-    """Candidate pairs (a, b, place) of an outsider and another point of its region, within the three windows; ``place`` is one of the
-    block pairs that found it. ``facts`` (node, sketch, marks) join the members where they are dealt out, and not before."""
-    n_blocks = (
-        regions.groupBy("pivot").agg(
-            F.ceil(F.sum(F.col("outside").cast("long")) / BLOCK).cast("int").alias("ko"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ka")
-        )
-    ).where("ko > 0")
-    dealt = regions.join(n_blocks, "pivot")
-    mine = F.pmod(F.xxhash64("node"), F.col("ko")).cast("int")
-    theirs = F.pmod(F.xxhash64("node"), F.col("ka")).cast("int")
+    """Candidate pairs (a, b, place), within the three windows. Two points that share a cell meet in the home region of each: the one
+    with the smaller name asks, at home, and the other is told, so a pair is met once, in the block pair ``place``. A pair links
+    two clusters, so one of it is an outsider of the region: in large regions only outsiders are told to who is not one. What
+    lies near a pivot is known, so pivots do not ask. ``facts`` (node, sketch, marks) join the members where they are dealt out."""
+    asking = F.col("home") & (F.col("node") != F.col("pivot"))
+    number = lambda those: F.sum(those.cast("long"))
+    counts = regions.groupBy("pivot").agg(
+        F.count(F.lit(1)).alias("all"), number(F.col("outside")).alias("out"), number(asking).alias("ask"), number(asking & F.col("outside")).alias("ask_out")
+    )
+    large = F.col("ask") > BLOCK
+    blocks_of = lambda n: F.ceil(n / BLOCK).cast("int")
+    n_blocks = counts.where("out > 0 and ask > 0").select(
+        "pivot", large.alias("large"), blocks_of(F.col("all")).alias("told_all"), blocks_of(F.col("out")).alias("told_out"),
+        blocks_of(F.when(large, F.col("ask_out")).otherwise(F.col("ask"))).alias("ask_all"),
+        blocks_of(F.when(large, F.col("ask") - F.col("ask_out")).otherwise(0)).alias("ask_few"),
+    )
+    dealt = regions.join(n_blocks, "pivot").withColumn("every", ~F.col("large") | F.col("outside"))
     fields = ["pivot", "node", "n", "root", "low", "high"]
-    asks = dealt.where("outside").select(*fields, mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("ka") - 1)).alias("j"), F.lit(True).alias("asks"))
-    told = dealt.select(*fields, F.explode(F.sequence(F.lit(0), F.col("ko") - 1)).alias("i"), theirs.alias("j"), F.lit(False).alias("asks"))
-    both = asks.unionByName(told)
-    place = F.xxhash64("pivot", "i", "j")
+    spot = F.xxhash64("node")
+    each = lambda count: F.explode(F.sequence(F.lit(0), count - 1))
+    mine = F.pmod(spot, F.when(F.col("every"), F.col("ask_all")).otherwise(F.col("ask_few"))).cast("int")
+    asks = dealt.where(asking).select(
+        *fields, "every", mine.alias("i"), each(F.when(F.col("every"), F.col("told_all")).otherwise(F.col("told_out"))).alias("j"), F.lit(True).alias("asks")
+    )
+
+    def told(rows: DataFrame, every: bool, count: str, blocks: str) -> DataFrame:
+        met = rows.where(F.col(count) > 0)
+        return met.select(*fields, F.lit(every).alias("every"), each(F.col(count)).alias("i"), F.pmod(spot, F.col(blocks)).cast("int").alias("j"), F.lit(False).alias("asks"))
+
+    both = asks.unionByName(told(dealt, True, "ask_all", "told_all")).unionByName(told(dealt.where("outside"), False, "ask_few", "told_out"))
+    place = F.xxhash64("pivot", "every", "i", "j")
     both = both.select(place.alias("place"), "node", "n", "root", "low", "high", "asks").join(facts, "node")
     ranged = both.repartition(slices(regions.sparkSession), "place").sortWithinPartitions("place", F.desc("asks"))
 
@@ -305,30 +386,32 @@ def _block_pairs(regions: DataFrame, facts: DataFrame, threshold: int) -> DataFr
             if not k or k == len(asks):
                 continue
             n, node, root, least, most = (table[c].to_numpy() for c in ("n", "node", "root", "low", "high"))
-            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(n), BUCKETS)
+            sketches = _Sketches(table["sketch"])
             marks = pc.list_flatten(table["marks"]).to_numpy().reshape(len(n), MARKS)
             order = k + np.argsort(n[k:], kind="stable")
-            told_n, told_root, told_least, told_most = (v[order] for v in (n, root, least, most))
+            told_n, told_node, told_root, told_least, told_most = (v[order] for v in (n, node, root, least, most))
             told_marks = np.ascontiguousarray(marks[order].T)
             a_out, b_out = [], []
             for x in range(k):
                 low, high = np.searchsorted(told_n, [-(-n[x] * threshold // 100), n[x] * 100 // threshold + 1])
                 at = np.flatnonzero(marks[x])
                 fits = np.bitwise_or.reduce(told_marks[at, low:high] & marks[x, at][:, None], axis=0) != 0
-                fits &= told_root[low:high] != root[x]
+                fits &= (told_node[low:high] > node[x]) & (told_root[low:high] != root[x])
                 fits &= np.maximum(told_least[low:high] - most[x], least[x] - told_most[low:high]) <= (100 - threshold) / 100 + 1e-9
                 y = order[low + np.flatnonzero(fits)]
                 if not len(y):
                     continue
-                y = y[_apart(sketch[y], sketch[x]) * (100 + threshold) <= (n[y] + n[x]) * (100 - threshold)]
-                a_out.append(np.minimum(node[x], node[y]))
-                b_out.append(np.maximum(node[x], node[y]))
+                y = y[_apart(sketches.coarse[y], sketches.coarse[x][None]) * (100 + threshold) <= (n[y] + n[x]) * (100 - threshold)]
+                if len(y) and max(sketches.rows) > BUCKETS:
+                    y = y[sketches.apart_from(x, y) * (100 + threshold) <= (n[y] + n[x]) * (100 - threshold)]
+                a_out.append(np.full(len(y), node[x]))
+                b_out.append(node[y])
             if a_out:
-                pair = np.unique(np.stack([np.concatenate(a_out), np.concatenate(b_out)]), axis=1)
-                here = np.full(pair.shape[1], table["place"][0].as_py(), np.int64)
+                pair = np.concatenate(a_out), np.concatenate(b_out)
+                here = np.full(len(pair[0]), table["place"][0].as_py(), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1]), pa.array(here)], names=["a", "b", "place"])
 
-    return ranged.mapInArrow(run, "a long, b long, place long").groupBy("a", "b").agg(F.min("place").alias("place"))
+    return ranged.mapInArrow(run, "a long, b long, place long")
 
 
 def _verified_by_place(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -424,8 +507,9 @@ def links(docs: DataFrame, found: DataFrame, shared: DataFrame, words: int = WOR
     region = (
         known.join(label, "node")
         .join(label.select(F.col("node").alias("pivot"), F.col("root").alias("proot")), "pivot")
+        .join(pivots.withColumnRenamed("pivot", "own"), "node")
         .join(apart, ["pivot", "node"], "left")
-        .select("pivot", "node", "n", "root", (F.col("root") != F.col("proot")).alias("outside"),
+        .select("pivot", "node", "n", "root", (F.col("own") == F.col("pivot")).alias("home"), (F.col("root") != F.col("proot")).alias("outside"),
                 F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.coalesce("exact", "least")).alias("low"),
                 F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.coalesce("exact", F.lit(1.0))).alias("high"))
     )
@@ -446,8 +530,7 @@ def _bounded(rows: DataFrame, threshold: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, pn = batch.column(2).to_numpy(), batch.column(4).to_numpy()
-            flat = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(n), BUCKETS) for c in (3, 5)]
-            apart = _apart(*flat)
+            apart = _apart_by_row(_Sketches(batch.column(3)), _Sketches(batch.column(5)))
             maybe = (apart * (100 + threshold) <= (n + pn) * (100 - threshold)) & (np.minimum(n, pn) * 100 >= np.maximum(n, pn) * threshold)
             least = 1 - np.maximum(n + pn - apart, 0) / (n + pn + apart)
             arrays = [*batch.columns[:3], pa.array(maybe), pa.array(least)]
