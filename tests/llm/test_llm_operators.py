@@ -379,6 +379,37 @@ def test_jaccard_join_of_crowded_regions(spark, monkeypatch):
     same(jaccard_join.report(frame).collect(), _jaccard(texts))
 
 
+def test_jaccard_points_leave_cells_without_a_possible_partner(spark):
+    """Texts of very different sizes that all quote a passage meet nobody; two of one size stay in cells."""
+    passage = " ".join(f"p{k}" for k in range(40))
+    texts = [passage + "".join(f" u{k}_{i}" for i in range(50 << k)) for k in range(6)]
+    none = np.empty(0, np.uint64)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert jaccard_join.cells(frame, none).count() == 0
+    texts.append(texts[2] + " more")
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert jaccard_join.cells(frame, none).select("node").distinct().count() == 2
+    same(jaccard_join.report(frame).collect(), _jaccard(list(enumerate(texts))))
+
+
+def test_jaccard_cells_in_small_batches(spark):
+    """Near copies of many sizes around the threshold, some of them twice, with cells that go over several batches."""
+    rng = np.random.default_rng(14)
+    words = [f"w{k}" for k in range(120)]
+    texts = []
+    for k in range(90):
+        line = words[rng.integers(0, 15) : 120 - rng.integers(0, 25)]
+        line = [f"x{rng.integers(10**6)}" if rng.random() < 0.01 else w for w in line]
+        texts += [" ".join(line)] * (1 + k % 2)
+    rows = list(enumerate(texts))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        same(jaccard_join.report(spark.createDataFrame(rows, "doc_id long, text string")).collect(), _jaccard(rows))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
 def test_jaccard_sketches_tell_large_sets_apart():
     rng = np.random.default_rng(11)
     draw = lambda n: np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))

@@ -2,12 +2,13 @@
 
 Texts whose sets are equal are one point. Two points within distance r = 1 - threshold share one of the first
 floor(r * size) + 1 shingles of each, in any order common to all points; so a point needs to look for partners only in those
-cells. Cells with one point vanish at once. The order puts shingles of many texts last (that alone keeps passages that
-everybody quotes from gathering everybody; it changes no result).
+cells. The first one they share bounds what they have in common by what comes after it, so a point meets in a cell only points
+up to a size that its place there gives. A point without anyone to meet in a cell leaves it. The order puts shingles of many texts
+last (that alone keeps passages that everybody quotes from gathering everybody; it changes no result).
 
 1. Voronoi regions: every point takes as pivot the most central point it shares a cell with (the one with the largest share
-   of shared cells), and is replicated to the regions of all points it shares a cell with: the boundary.
-2. Distances to the pivot are exact and link what lies within r.
+   of shared cells), and is replicated to the regions of all points it meets in a cell: the boundary.
+2. Distances to the pivot are exact and link what lies within r; beyond the size window they are at least 1 - smaller / larger.
 3. What is linked so far is contracted. Regions with points that are still apart from their pivot join again: pairs of a point
    that has the region as its own and any other point, one of them an outsider, that may share a cell (by bit sets), within the
    triangle-inequality window |d(x, p) - d(y, p)| <= r, the size window, and a bound on the symmetric difference from
@@ -160,7 +161,8 @@ def _common_shingles(shared: DataFrame) -> np.ndarray:
 
 
 def cells(docs: DataFrame, common: np.ndarray, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """(h, node, n, places): the first shingles of each point, as cells with at least two points."""
+    """(h, most, node, n): the first shingles of each point of size ``n``, as cells. If ``h`` is the first shingle that the point shares
+    with a linked one, that one is at most ``most`` large; rows without another such point in their cell are left out."""
     held = docs.sparkSession.sparkContext.broadcast(common)
 
     def make() -> Callable:
@@ -177,18 +179,20 @@ def cells(docs: DataFrame, common: np.ndarray, words: int = WORDS, threshold: in
                 at = np.minimum(np.searchsorted(last, s), len(last) - 1)
                 often = last[at] == s
                 s = np.r_[s[~often], s[often]]
-            first = s[:take].view(np.int64)
-            yield first, np.full(take, node, np.int64), np.full(take, take, np.int32)
+            most = (len(s) - np.arange(take)) * (100 + threshold) // threshold - len(s)
+            yield s[:take].view(np.int64), most.astype(np.int32), np.full(take, node, np.int64), np.full(take, len(s), np.int32)
 
         return step
 
-    rows = _each_set(docs.select(text_bytes().alias("t")), make, "h bigint, node bigint, places int", [pa.int64(), pa.int64(), pa.int32()], words)
-    ranged = rows.repartition(slices(docs.sparkSession), "h").sortWithinPartitions("h", "node")
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+    rows = _each_set(docs.select(text_bytes().alias("t")), make, "h bigint, most int, node bigint, n int", kinds, words)
+    ranged = rows.repartition(slices(docs.sparkSession), "h").sortWithinPartitions("h", "n", "node")
 
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Distinct rows whose cell has another point; the rows come sorted, and one row is carried from batch to batch."""
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Distinct rows that may meet another of their cell. The rows come by cell and size; the last one is carried from batch to
+        batch, with the largest ``most`` before it in its cell (-1 if none is) and the least size there."""
         carry: pa.Table | None = None
-        before: int | None = None  # cell of the row before the carried one
+        reached, least, kept = -1, 0, False
         for batch in batches:
             table = pa.Table.from_batches([batch])
             if carry is not None:
@@ -198,16 +202,21 @@ def cells(docs: DataFrame, common: np.ndarray, words: int = WORDS, threshold: in
             h, node = table["h"].to_numpy(), table["node"].to_numpy()
             fresh = np.r_[True, (h[1:] != h[:-1]) | (node[1:] != node[:-1])]
             table, h = table.filter(pa.array(fresh)), h[fresh]
-            same_before = np.r_[before == h[0] if before is not None else False, h[1:] == h[:-1]]
-            keep = same_before[:-1] | same_before[1:]
-            yield from table.slice(0, len(h) - 1).filter(pa.array(keep)).combine_chunks().to_batches()
-            if len(h) > 1:
-                before = int(h[-2])
-            carry = table.slice(len(h) - 1)
-        if carry is not None and before is not None and before == carry["h"][0].as_py():
+            n, most = (table[c].to_numpy().astype(np.int64) for c in ("n", "most"))
+            new = np.r_[carry is None, h[1:] != h[:-1]]
+            cell = np.cumsum(new)
+            high = cell << 33  # sets the cells apart in one running maximum
+            before = np.maximum.accumulate(np.where(new, -1, np.r_[reached, most[:-1]]) + high) - high
+            first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+            smallest = np.where(cell == 0, least, n[first])
+            after = np.r_[(n[1:] <= most[:-1]) & ~new[1:], False]
+            keep = (before >= n) & (smallest <= most) | after
+            yield from table.slice(0, len(h) - 1).filter(pa.array(keep[:-1])).combine_chunks().to_batches()
+            carry, reached, least, kept = table.slice(len(h) - 1), int(before[-1]), int(smallest[-1]), bool(keep[-1])
+        if kept:
             yield from carry.combine_chunks().to_batches()
 
-    return ranged.mapInArrow(shared, rows.schema)
+    return ranged.mapInArrow(met, rows.schema)
 
 
 def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -327,15 +336,15 @@ def _block_pairs(regions: DataFrame, facts: DataFrame, threshold: int) -> DataFr
     """Candidate pairs (a, b, place), within the three windows. Two points that share a cell meet in the home region of each: the one
     with the smaller name asks, at home, and the other is told, so a pair is met once, in the block pair ``place``. A pair links
     two clusters, so one of it is an outsider of the region: in large regions only outsiders are told to who is not one. What
-    lies near a pivot is known, so pivots do not ask. ``facts`` (node, sketch, marks) join the members where they are dealt out."""
-    asking = F.col("home") & (F.col("node") != F.col("pivot"))
+    lies near a pivot is known, so ``regions`` has no pivots. ``facts`` (node, sketch, marks) join the members where they are dealt out."""
+    asking = F.col("home")
     number = lambda those: F.sum(those.cast("long"))
     counts = regions.groupBy("pivot").agg(
         F.count(F.lit(1)).alias("all"), number(F.col("outside")).alias("out"), number(asking).alias("ask"), number(asking & F.col("outside")).alias("ask_out")
     )
     large = F.col("ask") > BLOCK
     blocks_of = lambda n: F.ceil(n / BLOCK).cast("int")
-    n_blocks = counts.where("out > 0 and ask > 0").select(
+    n_blocks = counts.where("out > 0 and ask > 0 and all > 1").select(
         "pivot", large.alias("large"), blocks_of(F.col("all")).alias("told_all"), blocks_of(F.col("out")).alias("told_out"),
         blocks_of(F.when(large, F.col("ask_out")).otherwise(F.col("ask"))).alias("ask_all"),
         blocks_of(F.when(large, F.col("ask") - F.col("ask_out")).otherwise(0)).alias("ask_few"),
@@ -480,22 +489,28 @@ def links(docs: DataFrame, found: DataFrame, shared: DataFrame, words: int = WOR
     """Enough links (a, b) between points to connect all that are connected; each holds exactly."""
     common = _common_shingles(shared)
     cell = stored(cells(docs, common, words, threshold))
-    ranks = stored(cell.groupBy("node").agg((-F.count(F.lit(1)) / F.max("places")).alias("rank"), *_marks()), free=True)
-    ranked = cell.join(ranks.select("node", "rank"), "node").select("h", F.struct("rank", "node").alias("x"))
+    places = F.max(F.floor(F.col("n") * (100 - threshold) / 100) + 1)
+    ranks = stored(cell.groupBy("node").agg((-F.count(F.lit(1)) / places).alias("rank"), *_marks()), free=True)
+    ranked = cell.join(ranks.select("node", "rank"), "node").select("h", F.struct("rank", "node", "n").alias("x"))
     center = ranked.groupBy("h").agg(F.min("x").alias("top"))
-    with_top = stored(cell.select("h", "node").join(center, "h"), cell, free=True)
-    pivots = stored(with_top.groupBy("node").agg(F.min("top").alias("p")).select("node", F.col("p.node").alias("pivot")))
-    # A region has its own points and every point that shares a cell with one of them.
-    reach = with_top.select("h", "node").join(pivots, "node").select("h", "pivot").distinct()
-    members = stored(with_top.select("h", "node").join(reach, "h").select("pivot", "node").distinct(), with_top, free=True)
+    top = cell.select("h", "node", "n").join(center, "h").groupBy("node", "n").agg(F.min("top").alias("p"))
+    pivots = stored(top.select("node", "n", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn")), free=True)
+    # A region has its own points and every point that meets one of them in a cell.
+    own = cell.join(pivots.select("node", "pivot", "pn"), "node")
+    reach = own.groupBy("h", "pivot", "pn").agg(F.min("n").alias("least"), F.max("most").alias("reached"))
+    met = cell.join(reach, "h").where("n <= reached and least <= most").select("node", "n", "pivot", "pn")
+    members = stored(pivots.union(met).where("node <> pivot").distinct(), cell, free=True)
     one_text = found.where("node is not null").groupBy("node").agg(F.min("doc_key").alias("doc_key"))
     texts = stored(one_text.join(pivots.select("node"), "node"))
     sizes = stored(_sketches(docs, texts, words), free=True)
     # Distance to the pivot: exact where the size and histogram bounds allow a link, else known to be beyond r.
-    at = members.join(sizes, "node")
-    top = sizes.select(F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("sketch").alias("ps"))
-    known = stored(_bounded(at.join(top, "pivot"), threshold), members, free=True)
-    near = stored(_dealt(known.where("maybe and node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))))
+    less, more = F.least("n", "pn"), F.greatest("n", "pn")
+    members = members.withColumns({c: F.col(c).cast("long") for c in ("n", "pn")}).withColumn("like", less * 100 >= more * threshold)
+    sketch = sizes.select("node", "sketch")
+    like = members.where("like").join(sketch.select(F.col("node").alias("pivot"), F.col("sketch").alias("ps")), "pivot").join(sketch, "node")
+    unlike = members.where("not like").select("pivot", "node", "n", F.lit(False).alias("maybe"), (1 - less / more).alias("least"))
+    known = stored(_bounded(like, threshold).union(unlike), members, free=True)
+    near = stored(_dealt(known.where("maybe").select(F.col("pivot").alias("a"), F.col("node").alias("b"))))
     sets = stored(_sets(docs, texts, near, words), free=True)
     checked = stored(_verified_by_place(near, sets, threshold), near, sets, free=True)
     first = checked.where(_is_link(threshold)).select("a", "b")
@@ -507,11 +522,10 @@ def links(docs: DataFrame, found: DataFrame, shared: DataFrame, words: int = WOR
     region = (
         known.join(label, "node")
         .join(label.select(F.col("node").alias("pivot"), F.col("root").alias("proot")), "pivot")
-        .join(pivots.withColumnRenamed("pivot", "own"), "node")
+        .join(pivots.select("node", F.col("pivot").alias("own")), "node")
         .join(apart, ["pivot", "node"], "left")
         .select("pivot", "node", "n", "root", (F.col("own") == F.col("pivot")).alias("home"), (F.col("root") != F.col("proot")).alias("outside"),
-                F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.coalesce("exact", "least")).alias("low"),
-                F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.coalesce("exact", F.lit(1.0))).alias("high"))
+                F.coalesce("exact", "least").alias("low"), F.coalesce("exact", F.lit(1.0)).alias("high"))
     )
     tried = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     region = stored(region, known, label, free=True)
