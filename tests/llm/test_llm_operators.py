@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidecart.llm import (
     class_lm,
+    common,
     decontamination,
     embedding_dedup,
     graph,
@@ -610,3 +611,17 @@ def test_disguises():
     assert found("x at @joe.example.org y")[0][0] == "email"
     assert found("call plus one four one four five five five seven one three four ok") == [("phone", 5, 63)]
     assert found("look at the dot and five six") == [] and found("5 6 7 8") == []
+
+
+def test_large_batches_are_handled_in_pieces(spark):
+    """Personal data is looked for in slices of a batch, not in ten thousand texts at once."""
+    texts = [None, "", "x" * 700, "mail a.b@c.org now", "y" * 5000, "é" * 300, None, "4111 1111 1111 1111", "z" * 400, "end"]
+    batch = pa.record_batch([pa.array(range(10)), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    parts = list(common.pieces(batch.slice(1), 1, 1000))
+    assert pa.Table.from_batches(parts).to_pylist() == batch.slice(1).to_pylist()
+    sizes = [sum(len((t or "").encode()) for t in part.column(1).to_pylist()) for part in parts]
+    assert len(parts) > 3 and all(n <= 1000 or part.num_rows == 1 for n, part in zip(sizes, parts))
+    assert list(common.pieces(batch.slice(0, 0), 1)) == []
+    many = [(k, t and t * (200 if len(t) > 250 else 1)) for k, t in enumerate(texts)] * 3
+    found = pii.find_pii(spark.createDataFrame(many, "doc_id long, text string").coalesce(1), mask=True).collect()
+    assert sorted((r["doc_id"], r["clean"]) for r in found) == sorted((k, pii.masked(t or "", pii.spans(t or "")[1])) for k, t in many)

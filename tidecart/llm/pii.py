@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecart.llm.common import schema_with
+from tidecart.llm.common import pieces, schema_with
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -278,7 +278,7 @@ def find_pii(docs: DataFrame, text: str = "text", mask: bool = False) -> DataFra
     names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole, names.index(text))):
             rows = []
             for value in batch.column(names.index(text)).to_pylist():
                 value = value or ""
