@@ -328,6 +328,18 @@ def test_decontamination(spark, documents, texts, tables):
     assert decontamination.report(documents, frame.where("false")).where("contaminated").count() == 0
 
 
+def test_decontamination_compares_words_in_small_methods(spark, documents, tables, capsys):
+    """The JVM leaves methods of more than 8000 bytes of code interpreted; words compared one by one in the code made one of 19,777."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        decontamination.phrase_matches(documents, tables("benchmark")).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_proximity(spark):
     frame = spark.createDataFrame([(1, "alpha b c beta"), (2, "alpha b c d e beta"), (3, None)], "doc_id long, text string")
     assert [r["doc_id"] for r in decontamination.proximity_matches(frame, "beta alpha", 4).collect()] == [1]

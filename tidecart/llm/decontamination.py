@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecart.llm.common import row_key, small, stored
+from tidecart.operators.parsing import evaluated_once
 
 WINDOW = 10
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -57,13 +58,16 @@ def _anchors(items: DataFrame, frequency: DataFrame, window: int) -> DataFrame:
 
 
 def _run(step: int, reach: int) -> Column:
-    """How many words beside the anchor are equal, going left (step -1) or right (1)."""
-    here, there = F.least("p", F.lit(reach)), F.least("q", F.lit(reach))
-    same = [F.coalesce(F.get("ctx", here + step * k) == F.get("near", there + step * k), F.lit(False)) for k in range(1, reach + 1)]
-    length = F.lit(reach)
-    for k in range(reach, 0, -1):
-        length = F.when(~same[k - 1], F.lit(k - 1)).otherwise(length)
-    return length
+    """How many words beside the anchor are equal, going left (step -1) or right (1). One pass over two arrays: written out word by
+    word, and copied by the optimizer, it made a method so large that compiling it took more memory than the rows."""
+
+    def beside(array: str, at: str) -> Column:
+        place = F.least(at, F.lit(reach))
+        return F.slice(array, place + 2, F.lit(reach)) if step > 0 else F.reverse(F.slice(array, F.lit(1), place))
+
+    same = F.zip_with(beside("ctx", "p"), beside("near", "q"), lambda here, there: here.eqNullSafe(there))
+    other = F.array_position(same, False).cast("int")
+    return F.when(other > 0, other - 1).otherwise(F.size(same))
 
 
 def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -93,12 +97,14 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
         texts.select("doc_id", "doc_key", "w", F.posexplode("w").alias("p", "term"))
         .join(small(anchors, weight), "term")
         .select("doc_id", "doc_key", "item_id", "p", "q", "m", "near", _around(F.col("w"), F.col("p"), reach).alias("ctx"))
-        .select("doc_id", "doc_key", "item_id", "p", "q", "m", _run(-1, reach).alias("l"), _run(1, reach).alias("r"))
-        .where((F.col("l") + F.col("r") + 1) >= F.least(F.lit(window), F.col("m")))
     )
-    return found.select(
-        "doc_id", "doc_key", "item_id", (F.col("p") - F.col("l")).alias("first"), (F.col("p") + F.col("r")).alias("last")
-    ).distinct()
+    run = F.struct((F.col("p") - _run(-1, reach)).alias("first"), (F.col("p") + _run(1, reach)).alias("last"))
+    return (
+        evaluated_once(found, run, "run", ["doc_id", "doc_key", "item_id", "m"])
+        .where((F.col("run.last") - F.col("run.first") + 1) >= F.least(F.lit(window), F.col("m")))
+        .select("doc_id", "doc_key", "item_id", "run.first", "run.last")
+        .distinct()
+    )
 
 
 def proximity_matches(docs: DataFrame, phrase: str, within: int) -> DataFrame:
