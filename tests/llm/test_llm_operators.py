@@ -340,6 +340,21 @@ def test_decontamination_compares_words_in_small_methods(spark, documents, table
     assert sizes and max(sizes) < 8000
 
 
+def test_small_batches_hold_and_end(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    with pytest.raises(ZeroDivisionError), common.small_batches(spark):
+        rows = common.stored(spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long")).collect()
+        assert max(r["n"] for r in rows) <= common.BATCH_ROWS and sum(r["n"] for r in rows) == 5000
+        1 / 0
+    assert spark.conf.get(name) == before
+
+
 def test_proximity(spark):
     frame = spark.createDataFrame([(1, "alpha b c beta"), (2, "alpha b c d e beta"), (3, None)], "doc_id long, text string")
     assert [r["doc_id"] for r in decontamination.proximity_matches(frame, "beta alpha", 4).collect()] == [1]

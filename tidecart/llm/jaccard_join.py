@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from tidecart.llm.common import Sums, hashed_words, row_key, schema_with, slices, small, stored, text_bytes
+from tidecart.llm.common import Sums, hashed_words, row_key, schema_with, slices, small, small_batches, stored, text_bytes
 from tidecart.llm.graph import components
 
 WORDS, THRESHOLD = 5, 80  # words of a shingle; similarity in per cent
@@ -555,8 +555,9 @@ def _bounded(rows: DataFrame, threshold: int) -> DataFrame:
 
 def join_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, doc_key, n_shingles, component_id (smallest doc_id reachable by links, itself included) per row."""
-    found, shared = points(docs, words)
-    roots = components(links(docs, found, shared, words, threshold))
+    with small_batches(docs.sparkSession):
+        found, shared = points(docs, words)
+        roots = components(links(docs, found, shared, words, threshold))
     grouped = found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = grouped.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return grouped.join(least, "root", "left").select(
