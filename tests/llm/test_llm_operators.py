@@ -256,6 +256,60 @@ def test_kneser_ney_sums_to_one_and_joins_like_lookups(documents, spark, monkeyp
         assert r["log_prob"] == pytest.approx(whole[r["doc_id"], r["doc_key"]])
 
 
+def _kneser_ney(learned, own=None):
+    """log10 P(text) by dictionaries: a bigram model of whole texts, and of one text's bigrams as if ``own`` were not counted."""
+    edge = b""
+    cut = lambda t: [edge, *(t or "").encode().split(), edge]
+    n = Counter(p for t in learned for p in zip(cut(t)[:-1], cut(t)[1:]))
+    c, total, kinds = Counter(b for _, b in n), Counter(), Counter()
+    d, e = (kneser_ney._discounts([list(v.values()).count(k) for k in (1, 2, 3, 4)]) for v in (n, c))
+    left = Counter()
+    for (a, _), k in n.items():
+        total[a] += k
+        left[a] += d[min(k, 3) - 1]
+    mass = sum(e[min(k, 3) - 1] for k in c.values()) / sum(c.values())
+
+    def log_prob(text, own):
+        mine, result = Counter(zip(cut(text)[:-1], cut(text)[1:])), 0
+        for (a, b), times in mine.items():
+            p = mass / (len(c) + kneser_ney.OTHER_FORMS) + ((c[b] - e[min(c[b], 3) - 1]) / sum(c.values()) if c[b] else 0)
+            k = n[a, b] - own * times
+            if total[a]:
+                p = ((k - d[min(k, 3) - 1] if k > 0 else 0) + left[a] * p) / total[a]
+            result += times * np.log10(p)
+        return result
+
+    return log_prob
+
+
+def test_kneser_ney_counts_all_words(documents, monkeypatch):
+    trusted = documents.where("doc_id < 40 or doc_id > 899").select("text")
+    expected = _kneser_ney([r["text"] for r in trusted.collect()])
+    some = documents.where("doc_id < 60 or doc_id > 899 or doc_id is null")
+    keyed = {row_key: text for row_key, text in some.selectExpr("xxhash64(doc_id, text)", "text").collect()}
+    for limit, size in ((kneser_ney.FREQUENT, kneser_ney.ROUND_BYTES), (50, 30_000)):
+        for name, value in (("LOCAL_WORDS", limit), ("FREQUENT", limit), ("ROUND_BYTES", size), ("ASKED", limit)):
+            monkeypatch.setattr(kneser_ney, name, value)
+        model = kneser_ney.train(trusted)
+        assert len(model.words) <= limit and len(model.frequent[0]) <= limit and (len(model.tables) > 1) == (limit == 50)
+        rows = kneser_ney.score(some, model).collect()
+        assert len(rows) == some.count()
+        for r in rows:
+            text = keyed[r["doc_key"]]
+            assert r["n_tokens"] == len((text or "").encode().split()) + 1
+            for name, own in (("log_prob", 0), ("own", 1)):
+                assert r[name] == pytest.approx(expected(text, own), rel=1e-6, abs=1e-3)  # single precision, six thousand times
+
+
+def test_kneser_ney_knows_what_follows_rare_words(spark):
+    words = [f"w{k}" for k in range(6_000)]
+    docs = spark.createDataFrame([(k, " ".join(words), "en") for k in range(3)], "doc_id long, text string, lang string")
+    model = kneser_ney.train(docs.select("text"))
+    asked = spark.createDataFrame([(1, " ".join(words[5_800:]), "en"), (2, " ".join(words[:5_799:-1]), "en")], docs.schema)
+    found = {r["doc_id"]: r["log_prob"] for r in kneser_ney.score(asked, model).collect()}
+    assert found[1] > found[2] / 2  # each word follows the one before; backwards none does
+
+
 def test_toxicity_gradients():
     rng = np.random.default_rng(5)
     p = {"a": rng.normal(size=16), "o": rng.normal(size=16), "c": np.zeros(1)}
