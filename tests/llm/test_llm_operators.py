@@ -152,6 +152,27 @@ def test_class_lm_sends_the_driver_no_rows_one_by_one(documents, monkeypatch):
     assert len(model.head) > 700 and max(map(len, sent)) <= class_lm.GROUPS  # the head and the bigrams of units come as Arrow
 
 
+def test_class_lm_classes_rare_words_by_their_neighbours(spark, monkeypatch):
+    """Words beyond the units that end alike, but stand where different units do, take the classes of these."""
+    words = [f"{c}{k:03d}" for c in "xy" for k in range(40)]
+    texts = [" ".join(["a p b"] * 20 + ["u9 q v99"] * 20 + ["a", words[k], "b"] * 3 + ["u9", words[k + 40], "v99"] * 3) for k in range(40)]
+    texts += [" ".join(f"u{k} v{k}" for k in range(318))] * 20  # 640 units, all more frequent
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scores = []
+    for head in (class_lm.HEAD_WORDS, 650):
+        monkeypatch.setattr(class_lm, "HEAD_WORDS", head)
+        model = class_lm.train(docs)
+        rows = {r["key"]: r for r in model.classes.collect()}
+        found = [rows[int(k)] for k in class_lm._hashes([w.encode() for w in words]).view(np.int64)]
+        of = dict(zip([w for w, _ in model.head], model.local.tolist()))
+        assert len(rows) == 80 and {r["n"] for r in found} == {3} and of[b"p"] != of[b"q"]
+        assert {r["c"] for r in found[:40]} == {of[b"p"]} and {r["c"] for r in found[40:]} == {of[b"q"]}
+        asked = spark.createDataFrame([(1, "a x003 b"), (2, "a y003 b"), (3, "new")], docs.schema)
+        scores.append({r["doc_id"]: r["score"] for r in class_lm.score(asked, model).collect()})
+        assert scores[-1][1] > scores[-1][2] + 0.5
+    assert scores[0] == pytest.approx(scores[1])
+
+
 def test_exchange_separates_alternating_units():
     pairs = np.zeros((4, 4))
     pairs[0, 1] = pairs[1, 0] = pairs[2, 3] = pairs[3, 2] = 50
